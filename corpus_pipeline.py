@@ -4,19 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quorumrank.llm import ngram_join
+from quorumrank.llm import ngram_join, packing, pii, toxicity
 from quorumrank.llm.shared import stored
 
 
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by word shingles, the one with the smallest id stays."""
     return ngram_join.keep_one(docs)
 
 
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal values become pseudonyms, and n_chars counts the new text."""
+    out = pii.pseudonymise(docs)
+    return out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast("long"))).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", without_toxic),
     ("ngram_jaccard_join", one_of_each_group),
+    ("pii", pseudonyms),
+    ("packing", packed),
 ]
 
 #: SQL can't express the learned and packed stages; tests hold the pipeline against plain Python instead.

@@ -4,21 +4,37 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ngram_join
+from . import ngram_join, packing, pii, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymised_documents(_table(spark, sf_dir, "documents"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_pseudonyms": op1_pii_pseudonyms,
+    "op5_toxicity": op5_toxicity,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op8_packing": op8_packing,
 }
 
 ORACLES: dict[str, str] = {}

@@ -69,12 +69,22 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word in order, len + 1 offsets of each text's words)."""
+@functools.cache
+def non_letters() -> np.ndarray:
+    """Separators for runs of letters: every ASCII byte but A-Z and a-z."""
+    flags = np.zeros(256, dtype=bool)
+    flags[:128] = True
+    flags[65:91] = flags[97:123] = False
+    return flags
+
+
+def spans(texts: pa.Array, separators: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes of all texts, start and end of each word, len + 1 offsets of each text's words)."""
     data, at = buffers(texts)
     if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    inside = ~_spaces()[data]
+        none = np.zeros(0, np.int64)
+        return data, none, none, np.zeros(len(texts) + 1, np.int64)
+    inside = ~(_spaces() if separators is None else separators)[data]
     before = np.empty_like(inside)
     before[0] = False
     before[1:] = inside[:-1]
@@ -86,13 +96,25 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     after[:-1] = inside[1:]
     tails = at[1:] - 1
     after[tails[tails >= 0]] = False
-    ends = np.flatnonzero(inside & ~after) + 1
+    return data, starts, np.flatnonzero(inside & ~after) + 1, np.searchsorted(starts, at).astype(np.int64)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, *ends: np.ndarray) -> list[np.ndarray]:
+    """For each array of ends the hashes of the spans from ``starts``; equal lower-cased bytes hash alike."""
     up, down = _power_tables(len(data) + 1)
+    out = []
     with np.errstate(over="ignore"):
         sums = np.cumsum(_byte_codes()[data] * up[: len(data)], dtype=np.uint64)
-        low = np.where(starts > 0, sums[starts - 1], np.uint64(0))
-        hashes = mix((sums[ends - 1] - low) * down[starts] + (ends - starts).astype(np.uint64) * _STEP)
-    return hashes, np.searchsorted(starts, at).astype(np.int64)
+        low = np.where(starts > 0, sums[starts - 1], np.uint64(0)) if len(starts) else np.zeros(0, np.uint64)
+        for end in ends:
+            out.append(mix((sums[end - 1] - low) * down[starts] + (end - starts).astype(np.uint64) * _STEP))
+    return out
+
+
+def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each word in order, len + 1 offsets of each text's words)."""
+    data, starts, ends, at = spans(texts)
+    return (span_hashes(data, starts, ends)[0] if len(data) else np.zeros(0, np.uint64)), at
 
 
 def shingle_sets(texts: pa.Array) -> list[np.ndarray]:
