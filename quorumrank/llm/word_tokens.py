@@ -9,7 +9,7 @@ import re
 import numpy as np
 
 #: Words of one generation of a Python worker's memory; two generations are held.
-CACHE_WORDS, CACHE_CHARS = 250_000, 40
+CACHE_WORDS, CACHE_CHARS = 500_000, 40
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)\Z")
 
 
