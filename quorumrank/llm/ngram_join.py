@@ -178,7 +178,7 @@ class _Groups:
         self.up[max(i, j)] = min(i, j)
 
 
-def _by_key(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+def by_key(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows with equal keys from a sorted stream, one group at a time."""
     held: list[pa.Table] = []
     last = None
@@ -250,7 +250,7 @@ def _bound_tile(rep: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndar
 def _tile_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a: list[int] = []
     b: list[int] = []
-    for tile in _by_key(batches, ["h", "block"]):
+    for tile in by_key(batches, ["h", "block"]):
         if tile.num_rows > 1:
             x, y = _bound_tile(
                 *(tile.column(k).to_numpy() for k in ("rep", "n", "label", "side")), _binary_rows(tile.column("bits"), np.uint64)
@@ -291,7 +291,7 @@ def _exact_tile(rep: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.
 def _exact_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a: list[int] = []
     b: list[int] = []
-    for tile in _by_key(batches, ["label", "block"]):
+    for tile in by_key(batches, ["label", "block"]):
         if tile.num_rows > 1:
             x, y = _exact_tile(*(tile.column(k).to_numpy() for k in ("rep", "n", "side")), _binary_rows(tile.column("items"), np.uint64))
             a += x
