@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embed_dedup, fingerprint, ngram_join, packing, pii, toxicity, url_filter, warc
+from . import context_tree, embed_dedup, fingerprint, ngram_join, packing, piece_codec, pii, toxicity, url_filter, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,10 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived_pages(_table(spark, sf_dir, "pages"))
 
 
+def op4_piece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -34,6 +38,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.scores(_table(spark, sf_dir, "documents"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -50,8 +58,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_pseudonyms": op1_pii_pseudonyms,
     "op2_url_filter": op2_url_filter,
     "op3_warc": op3_warc,
+    "op4_piece_round_trip": op4_piece_round_trip,
     "op5_toxicity": op5_toxicity,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_context_tree_scores": op7_context_tree_scores,
     "op8_packing": op8_packing,
     "op9_embedding_near_dedup": op9_embedding_near_dedup,
     "op10_fingerprints": op10_fingerprints,
