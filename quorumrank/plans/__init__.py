@@ -1 +1 @@
-"""Plans of the consensus-ranking engine."""
+"""Plans of the consensus-ranking engine: importing the modules registers their queries."""
