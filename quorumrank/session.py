@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,11 @@ def tag_query(spark: SparkSession, node: str, methodology_version: str, run_id:
     """Labels the jobs that follow with what runs them, as JSON."""
     said = {"app": "quorumrank", "node": node, "methodology_version": methodology_version, "run_id": run_id}
     spark.sparkContext.setJobDescription(json.dumps(said, sort_keys=True))
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the reliable folder of ``spark.checkpoint.dir``; a temporary one where it is unset."""
+    spark = df.sparkSession
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quorumrank-"))
+    return df.checkpoint()
