@@ -20,7 +20,7 @@ from .shared import pick, row_chunks
 from .wordhash import mix, non_letters, span_hashes, spans
 
 #: Bound of the training sample: so many confirmed toxic and so many unlabelled documents, those of smallest hash.
-SAMPLE_ROWS = 12_000
+SAMPLE_ROWS = 8_000
 BUCKET_BITS = 20
 MIN_Z = 5.0
 PREFIX_BYTES = (4, 5, 6, 7, 8)
@@ -79,18 +79,15 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     size = 1 << BUCKET_BITS
     if not positive or not unlabelled:
         return Model(np.zeros(size, np.float32), -4.0)
-    lengths = np.array([len(x) for x in (*positive, *unlabelled)])
-    flat = np.concatenate([*positive, *unlabelled])
-    in_p = np.bincount(np.concatenate(positive), minlength=size)
-    in_u = np.bincount(np.concatenate(unlabelled), minlength=size)
-    both = (in_p + in_u + 1) / (len(lengths) + 2)
+    in_p, in_u = (_document_counts(rows, size) for rows in (positive, unlabelled))
+    both = (in_p + in_u + 1) / (len(positive) + len(unlabelled) + 2)
     error = np.sqrt(both * (1 - both) * (1 / len(positive) + 1 / len(unlabelled)))
     used = np.flatnonzero((np.abs(in_p / len(positive) - in_u / len(unlabelled)) >= MIN_Z * error) & (in_p + in_u >= 4))
     place = np.full(size, -1, dtype=np.int64)
     place[used] = np.arange(len(used))
-    row = np.repeat(np.arange(len(lengths)), lengths)
-    kept = place[flat] >= 0
-    flat, row = place[flat][kept], row[kept]
+    kept = [k[k >= 0] for k in (place[x] for x in (*positive, *unlabelled))]
+    lengths = np.array([len(k) for k in kept])
+    flat, row = np.concatenate(kept), np.repeat(np.arange(len(lengths)), lengths)
     is_p = np.arange(len(lengths)) < len(positive)
     n_p, n_u = len(positive), len(unlabelled)
     w, speed, bias, bias_speed = np.zeros(len(used)), np.zeros(len(used)), float(np.log(prior / (1 - prior))), 0.0
@@ -110,6 +107,14 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     return Model(weights, float(bias))
 
 
+def _document_counts(rows: list[np.ndarray], size: int) -> np.ndarray:
+    """In how many rows each bucket is."""
+    out = np.zeros(size, dtype=np.int64)
+    for x in rows:
+        out[x] += 1  # buckets of a row are distinct
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
     """Fits on documents outside fold 0: confirmed toxic ones, and a sample of all as unlabelled text.
 
