@@ -44,7 +44,7 @@ def _long(df: DataFrame, slot: int, values: dict[str, str], keep: str = "false")
 
 def meta_candidates(hist: DataFrame, slots: int, windows: tuple[int, ...] = (4, 8)) -> DataFrame:
     """Raw scores and every candidate of every window, from the first slot with a whole window."""
-    parts = []
+    hist, parts = frozen(hist), []
     for last in range(max(windows) - 1, slots):
         parts.append(_long(hist, last, {"raw": f"s{last}"}))
         df = T.with_bands(hist.where(f"s{last} is not null"), last)
@@ -57,7 +57,7 @@ def meta_candidates(hist: DataFrame, slots: int, windows: tuple[int, ...] = (4,
 
 def index_candidates(hist: DataFrame, slots: int) -> DataFrame:
     """Raw scores and the index's candidates, with the slot's structural shocks."""
-    parts = []
+    hist, parts = frozen(hist), []
     for last in range(T.HISTORY_WINDOW - 1, slots):
         now = hist.where(f"s{last} is not null")
         df = T.apply(T.with_bands(now, last), [*T.rolling("l_", last, 4), *T.rolling("p_", last - 1, 4), *T.rolling("t_", last, 8)])
