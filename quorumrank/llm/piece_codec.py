@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .shared import pick, row_chunks
-from .word_tokens import _Memory
+from .word_tokens import Memory
 
 SPACE = "▁"
 _BAD = "�".encode()
@@ -163,8 +163,8 @@ class Codec:
         self._beside = {p[i : i + 2] for p, k in zip(pieces, kinds, strict=True) if k != byte for i in range(len(p) - 1)}
         self._parted = proto.trainer_spec.model_type == 2 and user not in kinds  # BPE without reserved strings
         self._spaced = not any(SPACE in p.lstrip(SPACE) for p in pieces)
-        self._parts = _Memory(self._segment)
-        self._words = _Memory(self._word)
+        self._parts = Memory(self._segment)
+        self._words = Memory(self._word)
         self._numbers = [str(i) for i in range(len(pieces))]
 
     def _segment(self, text: str) -> bytes:

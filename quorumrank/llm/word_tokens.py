@@ -1,4 +1,4 @@
-"""Tokenisation by a ``tokenizers`` file that drops white space, remembering words."""
+"""Tokenisation by a ``tokenizers`` file that drops white space, remembering pieces of words."""
 
 from __future__ import annotations
 
@@ -8,23 +8,28 @@ import re
 
 import numpy as np
 
-#: Words of one generation of a Python worker's memory; two generations are held.
-CACHE_WORDS, CACHE_CHARS = 500_000, 40
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)\Z")
+#: Pieces of one generation of a Python worker's memory; two generations are held.
+CACHE_PIECES, CACHE_CHARS = 350_000, 40
 
+# Characters whose handling is the same for all: ASCII without the rarer controls, and the Latin-1 letters.
+_LETTERS = "a-zß-öø-ÿ"
+_PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
+#: English endings, runs of letters, single digits, and runs of anything else that isn't white space.
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
 
-class _Memory(dict):
+
+class Memory(dict):
     """A dict that makes missing values and forgets those not used for a generation."""
 
-    def __init__(self, make) -> None:
-        self._make, self._old = make, {}
+    def __init__(self, make, most: int = CACHE_PIECES) -> None:
+        self._make, self._most, self._old = make, most, {}
 
     def __missing__(self, key: str) -> bytes:
         value = self._old.get(key)
         if value is None:
             value = self._make(key)
         if len(key) <= CACHE_CHARS:
-            if len(self) >= CACHE_WORDS:
+            if len(self) >= self._most:
                 self._old = dict(self)
                 self.clear()
             self[key] = value
@@ -34,9 +39,9 @@ class _Memory(dict):
 class WordTokens:
     """Ids of whole texts, as little-endian unsigned 32-bit bytes.
 
-    Only for tokenizers that treat words between blanks and line ends independently, drop those, ignore case and
-    part letters from marks (checked on a probe): then a text's ids are those of its words, and a plain word's ids
-    those of its letters and of the marks after them, so each is tokenized once.
+    Only for tokenizers that ignore case, drop white space and merge inside the pieces above alone (checked on a
+    probe): then a text's ids are those of its pieces, and each piece is tokenized once. Texts with other characters
+    than ASCII and Latin-1 letters are tokenized line by line and word by word.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,24 +49,23 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._parts = _Memory(self._ids)
-        self._words = _Memory(self._word)
-        probe = "Ab's  c12\n\nd. ÉtÉ*** e_ x'T don't, ''"
-        if self.encode([probe])[0] != self._ids(probe):
-            raise ValueError("this tokenizer keeps white space or joins marks to letters")
+        self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
+        self._pieces = Memory(self._ids)
+        probe = "Ab's  c12\n\nd. ÉtÉ*** e_ x'T don't, ''s *'s I'LL'd ß--1st"
+        if self._text(probe) != self._ids(probe):
+            raise ValueError("this tokenizer keeps white space or merges across pieces")
 
     def _ids(self, text: str) -> bytes:
         return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() if text else b""
 
-    def _word(self, word: str) -> bytes:
-        plain = _PLAIN.match(word)
-        if not plain:
-            return self._ids(word)
-        return self._parts[plain[1].lower()] + self._parts[plain[2]]
+    def _text(self, text: str) -> bytes:
+        look = self._pieces.__getitem__
+        if _PLAIN.fullmatch(text) and not any(s in text for s in self._special):
+            return b"".join(map(look, _PIECES.findall(text.lower())))
+        return b"".join(map(look, text.replace("\n", " ").split(" ")))
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        look = self._words.__getitem__
-        return [b"".join(map(look, (t or "").replace("\n", " ").split(" "))) for t in texts]
+        return [self._text(t or "") for t in texts]
 
 
 @functools.cache
