@@ -8,6 +8,7 @@ from dataclasses import dataclass
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Names that no public registry has.
 RESERVED_SUFFIXES = ("internal", "local", "localhost", "test")
@@ -51,18 +52,21 @@ def _is_ip(domain: Column) -> Column:
     return domain.rlike(rf"^{octet}(?:\.{octet}){{3}}$") | domain.contains(":")
 
 
-@F.pandas_udf("string")
-def _to_ascii(names: pd.Series) -> pd.Series:
+def _to_ascii(name: Column) -> Column:
     """IDNA (UTS 46) of non-ASCII names; null where they have none."""
-    import idna
 
-    def one(name: str | None) -> str | None:
-        try:
-            return None if name is None else idna.encode(name, uts46=True).decode("ascii")
-        except idna.IDNAError:
-            return None
+    def encode(names: pd.Series) -> pd.Series:
+        import idna
 
-    return names.map(one)
+        def one(name: str | None) -> str | None:
+            try:
+                return None if name is None else idna.encode(name, uts46=True).decode("ascii")
+            except idna.IDNAError:
+                return None
+
+        return names.map(one)
+
+    return F.pandas_udf(encode, StringType())(name)
 
 
 def clean_name(raw: Column) -> Column:

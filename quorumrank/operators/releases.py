@@ -14,7 +14,10 @@ TIERS = ("full", "high", "partial", "sparse")
 QUANTILES = {"min": 0.0, "p01": 0.01, "p05": 0.05, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99, "max": 1.0}
 BANDS = ("0-10", "10-20", "20-30", "30-40", "40-50", "50-60", "60-70", "70-80", "80-90", "90-100")
 TOP_N = (100, 1_000, 10_000, 100_000)
-SCORED = F.col("consensus_score").isNotNull
+
+
+def is_scored() -> Column:
+    return F.col("consensus_score").isNotNull()
 
 
 def _total() -> Column:
@@ -66,8 +69,8 @@ def source_presence(release: DataFrame) -> DataFrame:
     pairs = [(a, b) for i, a in enumerate(SOURCES) for b in SOURCES[i + 1 :]]
     one = F.count_if
     counts = release.agg(
-        *[one(has_source(s)).alias(f"source:{s}") for s in SOURCES], *[one(has_source(s) & SCORED()).alias(f"scored:source:{s}") for s in SOURCES],
-        *[one(has_source(a) & has_source(b)).alias(f"pair:{a}+{b}") for a, b in pairs], *[one(has_source(a) & has_source(b) & SCORED()).alias(f"scored:pair:{a}+{b}") for a, b in pairs],
+        *[one(has_source(s)).alias(f"source:{s}") for s in SOURCES], *[one(has_source(s) & is_scored()).alias(f"scored:source:{s}") for s in SOURCES],
+        *[one(has_source(a) & has_source(b)).alias(f"pair:{a}+{b}") for a, b in pairs], *[one(has_source(a) & has_source(b) & is_scored()).alias(f"scored:pair:{a}+{b}") for a, b in pairs],
     )
     names = [f"source:{s}" for s in SOURCES] + [f"pair:{a}+{b}" for a, b in pairs]
     rows = F.array(*[
@@ -112,7 +115,7 @@ def rightmost_labels(release: DataFrame, top: int = 25) -> DataFrame:
 
 
 def top_rows(release: DataFrame, n: int) -> DataFrame:
-    return release.where(SCORED()).orderBy(*_release_order()).limit(n)
+    return release.where(is_scored()).orderBy(*_release_order()).limit(n)
 
 
 def count_deltas(current: DataFrame, previous: DataFrame) -> DataFrame:
