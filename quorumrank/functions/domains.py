@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -69,11 +70,18 @@ def _to_ascii(name: Column) -> Column:
     return F.pandas_udf(encode, StringType())(name)
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value named once in the plan, however often it is used."""
+    return F.transform(F.array(value), use)[0]
+
+
 def clean_name(raw: Column) -> Column:
     """Trimmed, undotted, lower-case name, or null for blank, overlong, control characters and IP addresses."""
-    name = F.lower(F.regexp_replace(F.regexp_replace(F.trim(raw), r"^[\s]+|[\s]+$", ""), r"^\.+|\.+$", ""))
-    good = (name != "") & (F.char_length(name) <= 253) & ~name.rlike(r"[\x00-\x1f\x7f]") & ~_is_ip(name)
-    return F.when(good, name)
+    name = F.lower(F.regexp_replace(F.regexp_replace(raw, r"^[\s]+|[\s]+$", ""), r"^\.+|\.+$", ""))
+    def checked(n: Column) -> Column:
+        return F.when((n != "") & (F.char_length(n) <= 253) & ~n.rlike(r"[\x00-\x1f\x7f]") & ~_is_ip(n), n)
+
+    return _let(name, checked)
 
 
 def ascii_label_ok(name: Column) -> Column:
@@ -95,33 +103,28 @@ def with_registered_domain(df: DataFrame, column: str, out: str, rules: Sequence
     Only names with other letters than ASCII leave for Python, and only where ``idna`` is on.
     """
     table = {r.suffix: r.kind for r in rules if private or r.section == "icann"}
-    kinds = F.create_map(*[F.lit(x) for item in table.items() for x in item])
-    name = clean_name(F.col(column))
-    work = df.withColumn("_n", name)
+    kinds = F.from_json(F.lit(json.dumps(table)), "map<string,string>")  # folds to one constant
+    plain = F.col("_n").rlike(r"^[\x00-\x7f]*$")
+    work = df.withColumn("_n", clean_name(F.col(column)))
     if idna:
-        plain = work.withColumn("_a", F.when(F.col("_n").rlike(r"^[\x00-\x7f]*$"), F.col("_n")))
-        work = plain.withColumn("_a", F.coalesce("_a", _to_ascii(F.when(F.col("_a").isNull(), F.col("_n")))))
+        name = F.coalesce(F.when(plain, F.col("_n")), _to_ascii(F.when(~plain, F.col("_n"))))
     else:
-        work = work.withColumn("_a", F.when(F.col("_n").rlike(r"^[\x00-\x7f]*$"), F.col("_n")))
-    work = work.withColumn("_l", F.when(ascii_label_ok(F.col("_a")), F.split("_a", r"\.")))
-    n = F.size("_l")
-    # k: how many labels the public suffix has by the rule at the last i labels
-    tails = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.struct(i.alias("i"), F.array_join(F.slice("_l", n - i + 1, i), ".").alias("s")))
-    found = F.transform(
-        tails,
-        lambda t: F.struct(
-            (kinds[t["s"]] == "exception").alias("e"),
-            F.when(kinds[t["s"]] == "normal", t["i"]).when(kinds[t["s"]] == "wildcard", t["i"] + 1).when(kinds[t["s"]] == "exception", t["i"] - 1).alias("k"),
-        ),
-    )
-    work = work.withColumn("_f", F.when(F.col("_l").isNotNull(), F.filter(found, lambda f: f["k"].isNotNull())))
-    exception = F.array_max(F.transform(F.filter("_f", lambda f: f["e"]), lambda f: f["k"]))
-    longest = F.array_max(F.transform("_f", lambda f: f["k"]))
-    k = F.coalesce(exception, longest)
-    domain = F.array_join(F.slice("_l", n - k, k + 1), ".")
-    last = F.element_at("_l", -1)
-    good = (k >= 1) & (n > k) & ~last.isin(*RESERVED_SUFFIXES)
-    return work.withColumn(out, F.when(good, domain)).select(*df.columns, out)
+        name = F.when(plain, F.col("_n"))
+
+    def suffix_labels(tail: Column, i: Column) -> Column:
+        """How many labels the suffix has by the rule at the last i labels; negative for an exception; null for no rule."""
+        return _let(kinds[tail], lambda kind: F.when(kind == "normal", i).when(kind == "wildcard", i + 1).when(kind == "exception", 1 - i))
+
+    def of_labels(labels: Column) -> Column:
+        n = F.size(labels)
+        rules_at = F.transform(F.sequence(F.lit(1), n), lambda i: suffix_labels(F.array_join(F.slice(labels, n - i + 1, i), "."), i))
+        longest = _let(F.array_compact(rules_at), lambda k: F.when(F.array_min(k) < 0, -F.array_min(k)).otherwise(F.array_max(k)))
+        return _let(longest, lambda k: F.when(
+            (k >= 1) & (n > k) & ~F.element_at(labels, -1).isin(*RESERVED_SUFFIXES), F.array_join(F.slice(labels, n - k, k + 1), ".")
+        ))
+
+    work = work.withColumn(out, _let(name, lambda a: F.when(ascii_label_ok(a), _let(F.split(a, r"\."), of_labels))))
+    return work.select(*df.columns, out)
 
 
 def rightmost_label(domain: Column) -> Column:
