@@ -105,7 +105,7 @@ def invalid_index(index: DataFrame) -> DataFrame:
     key = F.col("registered_domain")
     return index.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(key.isNull()).alias("null_domains"), (F.count(key) - F.count_distinct(key)).alias("repeated_domains"),
-        F.count_if(~F.col("reputation_score").between(0, 100) | ~F.col("ddri_score_candidate").between(0, 100)).alias("scores_out_of_range"),
+        F.count_if(~F.col("reputation_score").between(0, 100) | ~F.col("score_candidate").between(0, 100)).alias("scores_out_of_range"),
         F.count_if(~F.col("reputation_confidence").between(0, 1)).alias("confidence_out_of_range"),
         F.count_if(~F.col("reputation_trend").isin("rising", "falling", "stable", "uncertain")).alias("unknown_trends"), F.count_if(~F.col("structural_shock").isin("true", "false")).alias("unknown_shocks"),
     )

@@ -24,7 +24,7 @@ BAND_CAPS = (0.01, 0.03, 0.10, 0.30, 0.75)
 BAND_LABELS = ("1-100", "101-1000", "1001-10000", "10001-100000", "100001+")
 MAX_SOURCES = 5
 SOURCE_BITS = {"tranco": 1, "majestic": 2, "radar": 4, "crux": 8, "opr": 16}
-METHODOLOGY = "ddri-v1"
+METHODOLOGY = "index-v1"
 
 #: Columns that a stage adds: name to SQL expression over the columns before it.
 Stage = dict[str, str]
@@ -148,7 +148,7 @@ def index_stages(last: int) -> list[Stage]:
 INDEX_COLUMNS: Stage = {
     "registered_domain": "registered_domain", "reputation_score": "case when l_ok then l_ewma end", "reputation_confidence": "case when t_ok then confidence end",
     "reputation_trend": "trend", "trend_strength": "case when t_ok then t_conf end", "history_observations": "cast(q_n as bigint)",
-    "structural_shock": "case when shock then 'true' else 'false' end", "ddri_score_candidate": "case when l_ok then candidate end", "observed_risk": "risk_state",
+    "structural_shock": "case when shock then 'true' else 'false' end", "score_candidate": "case when l_ok then candidate end", "observed_risk": "risk_state",
 }
 
 
@@ -184,18 +184,18 @@ def components(hist: DataFrame, slots: int = HISTORY_WINDOW) -> DataFrame:
 def temporal_index(hist: DataFrame, snapshot_date: F.Column, slots: int = HISTORY_WINDOW) -> DataFrame:
     """The published index in its order: candidate, level, domain."""
     out = components(hist, slots).select(*[F.expr(text).alias(name) for name, text in INDEX_COLUMNS.items()])
-    out = out.withColumns({"snapshot_date": snapshot_date, "ddri_methodology_version": F.lit(METHODOLOGY)})
-    return out.orderBy(F.col("ddri_score_candidate").desc_nulls_last(), F.col("reputation_score").desc_nulls_last(), "registered_domain")
+    out = out.withColumns({"snapshot_date": snapshot_date, "index_methodology_version": F.lit(METHODOLOGY)})
+    return out.orderBy(F.col("score_candidate").desc_nulls_last(), F.col("reputation_score").desc_nulls_last(), "registered_domain")
 
 
 def index_statistics(index: DataFrame) -> DataFrame:
     """One row: counts, and quantiles of candidate and confidence."""
     quantiles = [
         F.percentile(c, q).alias(f"{k}_p{int(q * 100):02d}")
-        for c, k in (("ddri_score_candidate", "candidate"), ("reputation_confidence", "confidence")) for q in (0.05, 0.25, 0.5, 0.75, 0.95)
+        for c, k in (("score_candidate", "candidate"), ("reputation_confidence", "confidence")) for q in (0.05, 0.25, 0.5, 0.75, 0.95)
     ]
     return index.agg(
-        F.count(F.lit(1)).alias("row_count"), F.count("ddri_score_candidate").alias("eligible_score_count"),
+        F.count(F.lit(1)).alias("row_count"), F.count("score_candidate").alias("eligible_score_count"),
         F.count_if(F.col("history_observations") == HISTORY_WINDOW).alias("full_history_count"), F.count_if(F.col("structural_shock") == "true").alias("structural_shock_count"), *quantiles,
     )
 

@@ -75,7 +75,7 @@ def quality_release_frame(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("quality_index_frame", timeline._CHAIN.sql(f"""select count(*) as rows, count(*) filter (registered_domain is null) as null_domains, count(registered_domain) - count(distinct registered_domain) as repeated_domains,
-    count(*) filter (not reputation_score between 0 and 100 or not ddri_score_candidate between 0 and 100) as scores_out_of_range, count(*) filter (not reputation_confidence between 0 and 1) as confidence_out_of_range,
+    count(*) filter (not reputation_score between 0 and 100 or not score_candidate between 0 and 100) as scores_out_of_range, count(*) filter (not reputation_confidence between 0 and 1) as confidence_out_of_range,
     count(*) filter (reputation_trend not in ('rising', 'falling', 'stable', 'uncertain')) as unknown_trends, count(*) filter (structural_shock not in ('true', 'false')) as unknown_shocks
     from (select {timeline._list(timeline.T.INDEX_COLUMNS)} from {timeline._PARTS})"""))
 def quality_index_frame(spark: SparkSession, d: str) -> DataFrame:

@@ -82,7 +82,7 @@ _CHAIN, _PARTS = _index_chain()
 _LEVEL = {"n": "cast(l_n as bigint)", "ewma": "round(l_ewma, 6)", "mean": "round(l_mean, 6)", "previous": "round(p_ewma, 6)", "eligible": "l_ok", "damped": "round(damped, 6)"}
 _TREND = {"slope": "round(t_slope, 6)", "residual": "round(t_res, 6)", "confirmed": "round(t_conf, 6)", "adjustment": "round(t_adj, 6)", "fitted": "round(t_fit, 6)", "trend": "trend", "rank": "rank", "band": "band"}
 _SHARES = {k: f"round({k}, 6)" for k in ("history_share", "coverage_share", "steady_share", "noise", "confidence")} | {"shock": "shock"}
-_INDEX = {k: (f"round({e}, 6)" if k in ("reputation_score", "reputation_confidence", "trend_strength", "ddri_score_candidate") else e) for k, e in T.INDEX_COLUMNS.items()}
+_INDEX = {k: (f"round({e}, 6)" if k in ("reputation_score", "reputation_confidence", "trend_strength", "score_candidate") else e) for k, e in T.INDEX_COLUMNS.items()}
 
 
 def _list(columns: T.Stage) -> str:
@@ -112,18 +112,18 @@ def temporal_confidence(spark: SparkSession, d: str) -> DataFrame:
     return _selected(spark, d, _SHARES)
 
 
-@query("temporal_index", _CHAIN.sql(f"select {_list(_INDEX)}, date '2001-12-31' as snapshot_date, '{T.METHODOLOGY}' as ddri_methodology_version from {_PARTS}"))
+@query("temporal_index", _CHAIN.sql(f"select {_list(_INDEX)}, date '2001-12-31' as snapshot_date, '{T.METHODOLOGY}' as index_methodology_version from {_PARTS}"))
 def temporal_index(spark: SparkSession, d: str) -> DataFrame:
     index = T.temporal_index(history(spark, d), F.lit("2001-12-31").cast("date"))
-    return index.withColumns({c: F.round(c, 6) for c in ("reputation_score", "reputation_confidence", "trend_strength", "ddri_score_candidate")})
+    return index.withColumns({c: F.round(c, 6) for c in ("reputation_score", "reputation_confidence", "trend_strength", "score_candidate")})
 
 
 _QUANTILES = ", ".join(
-    f"round(quantile_cont({c}, {q}), 6) as {k}_p{int(q * 100):02d}" for c, k in (("ddri_score_candidate", "candidate"), ("reputation_confidence", "confidence")) for q in (0.05, 0.25, 0.5, 0.75, 0.95)
+    f"round(quantile_cont({c}, {q}), 6) as {k}_p{int(q * 100):02d}" for c, k in (("score_candidate", "candidate"), ("reputation_confidence", "confidence")) for q in (0.05, 0.25, 0.5, 0.75, 0.95)
 )
 
 
-@query("temporal_stats", _CHAIN.sql(f"""select count(*) as row_count, count(ddri_score_candidate) as eligible_score_count, count(*) filter (history_observations = 8) as full_history_count,
+@query("temporal_stats", _CHAIN.sql(f"""select count(*) as row_count, count(score_candidate) as eligible_score_count, count(*) filter (history_observations = 8) as full_history_count,
     count(*) filter (structural_shock = 'true') as structural_shock_count, {_QUANTILES} from (select {_list(T.INDEX_COLUMNS)} from {_PARTS})"""))
 def temporal_stats(spark: SparkSession, d: str) -> DataFrame:
     out = T.index_statistics(T.temporal_index(history(spark, d), F.lit("2001-12-31").cast("date")))

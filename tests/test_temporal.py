@@ -91,10 +91,10 @@ def test_index_equals_definition(spark, world):
     assert set(got) == set(want)
     for name, values in want.items():
         r = got[name]
-        found = (r.reputation_score, r.reputation_confidence, r.reputation_trend, r.trend_strength, r.history_observations, r.structural_shock, r.ddri_score_candidate, r.observed_risk)
+        found = (r.reputation_score, r.reputation_confidence, r.reputation_trend, r.trend_strength, r.history_observations, r.structural_shock, r.score_candidate, r.observed_risk)
         for a, b in zip(found, values):
             assert a == pytest.approx(b, abs=1e-4) if isinstance(b, float) and a is not None else a == b, (name, found, values)
-    order = [(-(x.ddri_score_candidate if x.ddri_score_candidate is not None else -1), x.registered_domain) for x in index.collect()]
+    order = [(-(x.score_candidate if x.score_candidate is not None else -1), x.registered_domain) for x in index.collect()]
     assert [o[0] for o in order] == sorted(o[0] for o in order)
     assert got["domain-000.example"].structural_shock == "true"
 
