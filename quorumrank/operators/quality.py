@@ -38,7 +38,7 @@ FRESHNESS = {"ranking": (8, 14), "crux": (60, 90), "risk": (8, 15)}
 
 def freshness(df: DataFrame, loaded: str, now: Column, warn: int, error: int) -> DataFrame:
     """One row: the latest load, its age in days, and pass, warn or error; no rows are an error."""
-    row = df.agg(F.max(loaded).alias("latest")).withColumn("age_days", F.datediff(now, "latest"))
+    row = df.agg(F.max(loaded).alias("latest")).withColumn("age_days", F.datediff(now, "latest").cast("long"))
     return row.withColumn("status", F.when(F.col("age_days").isNull() | (F.col("age_days") > error), "error").when(F.col("age_days") > warn, "warn").otherwise("pass"))
 
 

@@ -67,7 +67,7 @@ def quality_freshness(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("quality_release_frame", publication._sql("""select count(*) filter (registered_domain is null) as null_domains, count(registered_domain) - count(distinct registered_domain) as repeated_domains,
-    count(*) filter (not consensus_score between 0 and 100) as scores_out_of_range, 0 as other_dates, 0 as other_versions from cur"""))
+    count(*) filter (not consensus_score between 0 and 100) as scores_out_of_range, 0::bigint as other_dates, 0::bigint as other_versions from cur"""))
 def quality_release_frame(spark: SparkSession, d: str) -> DataFrame:
     day = F.lit("2001-12-31").cast("date")
     release = publication.release(spark, d, publication.SLOTS[-1]).withColumns({"snapshot_date": day, "methodology_version": F.lit("v1")})

@@ -28,8 +28,17 @@ def tag_query(spark: SparkSession, node: str, methodology_version: str, run_id:
 
 
 def frozen(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the reliable folder of ``spark.checkpoint.dir``; a temporary one where it is unset."""
+    """``df`` computed once into the reliable folder of ``spark.checkpoint.dir``.
+
+    Where that is unset, local mode takes a temporary folder; on a cluster it must be set, as no machine's own folder will do.
+    """
     spark = df.sparkSession
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="quorumrank-"))
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+            folder = "file://" + tempfile.mkdtemp(prefix="quorumrank-")
+        context.setCheckpointDir(folder)
     return df.checkpoint()
