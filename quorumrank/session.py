@@ -6,6 +6,7 @@ import json
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def session(app: str = "quorumrank", **conf: str) -> SparkSession:
@@ -42,3 +43,15 @@ def frozen(df: DataFrame) -> DataFrame:
             folder = "file://" + tempfile.mkdtemp(prefix="quorumrank-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def ensure_table(spark: SparkSession, name: str, schema: StructType) -> DataFrame:
+    """A catalog table, created empty where it doesn't exist."""
+    if not spark.catalog.tableExists(name):
+        spark.createDataFrame([], schema).write.saveAsTable(name)
+    return spark.table(name)
+
+
+def run_sql(spark: SparkSession, text: str, **args: object) -> DataFrame:
+    """SQL with named parameters (``:name``), never spliced into the text."""
+    return spark.sql(text, args=args)
