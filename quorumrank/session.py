@@ -38,7 +38,7 @@ def frozen(df: DataFrame) -> DataFrame:
     if context._jsc.sc().getCheckpointDir().isEmpty():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:
-            if not context.master.startswith("local"):
+            if context.master != "local" and not context.master.startswith("local["):
                 raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             folder = "file://" + tempfile.mkdtemp(prefix="quorumrank-")
         context.setCheckpointDir(folder)
