@@ -8,6 +8,8 @@ the work: ranks are exact whatever they are.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -22,10 +24,12 @@ def percentile_window(value: str, direction: str = "asc") -> Column:
     return 1 - F.percent_rank().over(Window.orderBy(order))
 
 
-def _edges(df: DataFrame, value: str, ranges: int) -> list[float]:
+def quantile_edges(columns: dict[str, tuple[DataFrame, str]], ranges: int = RANGES) -> dict[str, list[float]]:
+    """Range edges of several columns in one job; columns: name to (table, column)."""
+    parts = [df.select(F.lit(name).alias("name"), F.col(c).cast("double").alias("v")) for name, (df, c) in columns.items()]
     shares = [i / ranges for i in range(1, ranges)]
-    row = df.agg(F.percentile_approx(F.col(value).cast("double"), shares, 20 * ranges).alias("e")).first()
-    return sorted(set(row.e or []))
+    rows = reduce(DataFrame.unionByName, parts).groupBy("name").agg(F.percentile_approx("v", shares, 20 * ranges).alias("e")).collect()
+    return {name: [] for name in columns} | {r.name: sorted(set(r.e or [])) for r in rows}
 
 
 def range_of(value: Column, edges: list[float], descending: bool = False) -> Column:
@@ -39,15 +43,17 @@ def range_of(value: Column, edges: list[float], descending: bool = False) -> Col
     return F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= len(edges)) & (F.get(places, at + s - 1) < value), at + s).otherwise(at))
 
 
-def value_ranks(df: DataFrame, value: str, direction: str = "asc", few: bool = False, ranges: int = RANGES) -> DataFrame:
+def value_ranks(df: DataFrame, value: str, direction: str = "asc", few: bool = False, ranges: int = RANGES, edges: list[float] | None = None) -> DataFrame:
     """(value, below, n): rows with a better value than each distinct one, and all rows; nulls don't take part.
 
-    ``few`` says that the values are a short fixed list (rank buckets), which need no ranges.
+    ``few`` says that the values are a short fixed list (rank buckets), which need no ranges; ``edges`` are computed
+    where they aren't given.
     """
     known = df.where(F.col(value).isNotNull()).select(value)
     counts = known.groupBy(value).agg(F.count(F.lit(1)).alias("_c"))
     descending = direction == "desc"
-    edges = [] if few else _edges(known, value, ranges)
+    if edges is None:
+        edges = [] if few else quantile_edges({"v": (known, value)}, ranges)["v"]
     counts = counts.withColumn("_r", range_of(F.col(value).cast("double"), edges, descending))
     order = F.col(value).desc() if descending else F.col(value).asc()
     before = Window.partitionBy("_r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
@@ -58,9 +64,9 @@ def value_ranks(df: DataFrame, value: str, direction: str = "asc", few: bool = F
     return placed.select(value, (F.col("_o") + F.col("_b")).alias("below"), "n")
 
 
-def with_percentile(df: DataFrame, value: str, out: str, direction: str = "asc", few: bool = False) -> DataFrame:
+def with_percentile(df: DataFrame, value: str, out: str, direction: str = "asc", few: bool = False, edges: list[float] | None = None) -> DataFrame:
     """``df`` without null values and with ``out`` = 1 - (rank - 1) / (n - 1), ties sharing the best; 1.0 for one row."""
-    ranks = value_ranks(df, value, direction, few)
+    ranks = value_ranks(df, value, direction, few, edges=edges)
     score = F.when(F.col("n") > 1, 1 - F.col("below") / (F.col("n") - 1)).otherwise(F.lit(1.0))
     return df.join(ranks, value).withColumn(out, score).drop("below", "n").select(*df.columns, out)
 
@@ -68,7 +74,7 @@ def with_percentile(df: DataFrame, value: str, out: str, direction: str = "asc",
 def with_ordinal_rank(df: DataFrame, score: str, ties: list[Column], out: str = "rank", ranges: int = RANGES) -> DataFrame:
     """Adds 1, 2, 3... by falling score and then ``ties``, which must tell all rows apart. Null scores get none."""
     known = df.where(F.col(score).isNotNull())
-    edges = _edges(known, score, ranges)
+    edges = quantile_edges({"v": (known, score)}, ranges)["v"]
     placed = known.withColumn("_r", range_of(F.col(score).cast("double"), edges, descending=True))
     totals = placed.groupBy("_r").agg(F.count(F.lit(1)).alias("_t"))
     along = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
