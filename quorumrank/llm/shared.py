@@ -14,13 +14,16 @@ CHUNK_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one where it is unset (tests, local mode)."""
+    """The folder named in ``spark.checkpoint.dir``.
+
+    Where it is unset, local mode takes a temporary one (as tests do); on a cluster it must be set.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quorumrank-")
         spark.conf.set("spark.checkpoint.dir", found)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
