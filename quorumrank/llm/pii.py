@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .shared import row_chunks
+
 #: Stands in where no key is given, for tests and for queries that must give the same rows everywhere.
 DEMO_KEY = b"demonstration key"
 ROUNDS = 10
@@ -267,9 +269,9 @@ def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, undo: bool = False, cou
 
     def act(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p = Pseudonymiser(key, undo)
-        for batch in batches:
-            done = [p.text(x) for x in batch.column(at_text).to_pylist()]
-            columns = list(batch.columns)
+        for batch, lo, hi in ((b, lo, hi) for b in batches for lo, hi in row_chunks(b.column(at_text))):
+            columns = [c.slice(lo, hi - lo) for c in batch.columns]
+            done = [p.text(x) for x in columns[at_text].to_pylist()]
             columns[at_text] = pa.array([x for x, _ in done], pa.string())
             columns += [pa.array([c.get(k, 0) for _, c in done], pa.int64()) for k in (KINDS if counts else ())]
             yield pa.RecordBatch.from_arrays(columns, [*names, *extra])
