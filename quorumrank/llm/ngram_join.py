@@ -115,9 +115,9 @@ def hot_shingles(docs: DataFrame, keep: int = HOT_SHINGLES) -> np.ndarray:
     found = (
         docs.select("text").mapInArrow(_hot_in, "h long, c long")
         .groupBy("h").agg(F.sum("c").alias("c")).where("c >= 8")
-        .orderBy(F.desc("c"), "h").limit(keep).collect()
+        .orderBy(F.desc("c"), "h").limit(keep).select("h").toArrow()
     )
-    return np.array([r.h for r in reversed(found)], dtype=np.int64).view(np.uint64)
+    return found.column("h").to_numpy()[::-1].astype(np.int64).view(np.uint64)
 
 
 def shingle_table(docs: DataFrame, hot: np.ndarray) -> DataFrame:

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import pick, row_chunks
-from .wordhash import mix, non_letters, span_hashes, spans
+from .wordhash import buffers, mix, non_letters, span_hashes, spans
 
 #: Bound of the training sample: so many confirmed toxic and so many unlabelled documents, those of smallest hash.
-SAMPLE_ROWS = 8_000
+SAMPLE_ROWS = 4_000
 BUCKET_BITS = 20
 MIN_Z = 5.0
 PREFIX_BYTES = (4, 5, 6, 7, 8)
@@ -134,9 +134,15 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     others = others.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = docs.join(F.broadcast(toxic.unionByName(others).distinct()), "doc_id")  # 2 * sample_rows ids at most
     table = sample.select("positive", "text").mapInArrow(_encode, "positive boolean, buckets binary").toArrow()
-    flags = table.column("positive").to_pylist()
-    rows = [np.frombuffer(x, np.int32) for x in table.column("buckets").to_pylist()]
-    return fit_nnpu([x for x, p in zip(rows, flags, strict=True) if p], [x for x, p in zip(rows, flags, strict=True) if not p], prior)
+    rows: dict[bool, list[np.ndarray]] = {True: [], False: []}
+    for batch in table.to_batches():  # views of the table's own memory
+        data, at = buffers(batch.column("buckets"))
+        for positive, lo, hi in zip(batch.column("positive").to_pylist(), at[:-1], at[1:], strict=True):
+            rows[positive].append(data[lo:hi].view(np.int32))
+    model = fit_nnpu(rows[True], rows[False], prior)
+    del table, rows
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

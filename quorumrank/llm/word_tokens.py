@@ -9,7 +9,7 @@ import re
 import numpy as np
 
 #: Pieces of one generation of a Python worker's memory; two generations are held.
-CACHE_PIECES, CACHE_CHARS = 350_000, 40
+CACHE_PIECES, CACHE_CHARS = 250_000, 40
 
 # Characters whose handling is the same for all: ASCII without the rarer controls, and the Latin-1 letters.
 _LETTERS = "a-zß-öø-ÿ"

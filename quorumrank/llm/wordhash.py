@@ -60,8 +60,8 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """UTF-8 bytes of all texts and the len + 1 offsets into them; null reads as empty."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    """Bytes of all texts, or binary values, and the len + 1 offsets into them; null reads as empty."""
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
     if data is None or not len(texts):
