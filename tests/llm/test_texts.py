@@ -184,6 +184,17 @@ def test_head_and_tail_counts_agree(documents, monkeypatch):
     assert {r.doc_id: (r.n_known, round(r.base_score, 6)) for r in context_tree.scores(documents).collect()} == whole
 
 
+@pytest.mark.parametrize("most", [0, 300])
+def test_scores_do_not_depend_on_the_broadcast_strings(documents, monkeypatch, most):
+    rows = documents.select("doc_id", "text").collect()
+    keys, counts = np.unique(np.concatenate([context_tree.grams(context_tree.tokens(r.text)) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2]), return_counts=True)
+    tree = context_tree.build_tree(keys, counts)
+    monkeypatch.setattr(context_tree, "MAX_GRAMS", most)
+    monkeypatch.setattr(context_tree, "_SHARD_ROWS", 5_000, raising=False)
+    got = {r.doc_id: r.score for r in context_tree.scores(documents).collect()}
+    assert got == {r.doc_id: pytest.approx(tree.log2(context_tree.grams(context_tree.tokens(r.text))).sum() * math.log10(2), rel=1e-6) for r in rows}
+
+
 def reference_bits(strings, depth):
     """log2 P of each string's last byte by the recursive definition."""
     tables = [defaultdict(lambda: [0, 0]) for _ in range(depth + 1)]
