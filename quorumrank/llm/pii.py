@@ -205,7 +205,18 @@ _KINDS: dict[str, tuple[str, Callable[[Feistel, str, bool], str | None]]] = {
     "phone": (r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ ]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\w|-\d)|\+\d{10,15}(?!\w)", _phone),
 }
 #: A digit, a plus or a bracket that no word, number or sign of one goes before.
-_NUMBERS = re.compile(r"(?<![\w+])(?<!\d[.\-/])(?=[0-9+(])(?:" + "|".join(f"(?P<{k}>{p})" for k, (p, _) in _KINDS.items()) + ")", re.ASCII)
+_START = re.compile(r"(?<![\w+])(?<!\d[.\-/])(?=[0-9+(])", re.ASCII)
+#: What numbers consist of; none goes beyond such a stretch.
+_RUN = re.compile(r"[0-9+(][0-9 ().+/-]*", re.ASCII)
+#: Readings tried at a start, the first valid one is taken. Shapes that leave no doubt go before those that depend on a
+#: check digit, and usual groups of a card before longer ones, so that a pseudonym is read as the original was.
+_READINGS = [(k, re.compile(p, re.ASCII)) for k, p in (
+    *((k, p) for k, (p, _) in _KINDS.items() if k != "card"),
+    ("card", r"\d{4}(?:([ -])\d{4}\1\d{4}\1\d{4}|([ -])\d{6}\2\d{5})(?!\w|-\d)"),
+    *(("card", rf"\d(?:[ -]?\d){{{n - 1}}}(?!\w|-\d)") for n in range(19, 12, -1)),
+)]
+#: Times that the values of a stretch are permuted until it reads like the original; beyond, hiding goes before undoing.
+_WALKS = 1_000
 _EMAIL = re.compile(r"(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.ASCII)
 _DIGIT = re.compile(r"[0-9]")
@@ -230,6 +241,43 @@ class Pseudonymiser:
             self._known[at] = act(self._permutations[kind], text, self._undo)
         return self._known[at]
 
+    def _read(self, text: str, at: int, end: int) -> list[tuple[int, int, str]]:
+        """(start, end, kind) of the valid numbers of a stretch; after a start without one the next start is tried."""
+        out: list[tuple[int, int, str]] = []
+        while (start := _START.search(text, at)) and start.start() < end:
+            at = start.start()
+            for kind, pattern in _READINGS:
+                m = pattern.match(text, at)
+                if m and m.end() <= end and self.value(kind, m[0]) is not None:
+                    out.append((at, m.end(), kind))
+                    at = m.end()
+                    break
+            else:
+                at += 1
+        return out
+
+    def _run(self, text: str, start: int, end: int) -> list[tuple[int, int, str, str]]:
+        """(start, end, kind, pseudonym) of the numbers of a stretch.
+
+        Beside other digits a pseudonym may be read in another way than its original; then all values of the stretch are
+        permuted again until they are read in the same way, which undoing does too.
+        """
+        before, after = text[max(0, start - 2) : start], text[end : end + 2]
+        spans = self._read(text, start, end)
+        if not spans:
+            return []
+        kinds, values = [k for _, _, k in spans], [text[s:e] for s, e, _ in spans]
+        gaps = [text[a:b] for a, b in zip([start, *[e for _, e, _ in spans]], [*[s for s, _, _ in spans], end], strict=True)]
+        for _ in range(_WALKS):
+            values = [self.value(k, v) or v for k, v in zip(kinds, values, strict=True)]
+            new, places = before + gaps[0], []
+            for k, v, gap in zip(kinds, values, gaps[1:], strict=True):
+                places.append((len(new), len(new) + len(v), k))
+                new += v + gap
+            if self._read(new + after, len(before), len(new)) == places:
+                break
+        return [(s, e, k, v) for (s, e, k), v in zip(spans, values, strict=True)]
+
     def text(self, text: str | None) -> tuple[str | None, dict[str, int]]:
         """(the text with pseudonyms, number of values by kind)."""
         counts: dict[str, int] = {}
@@ -238,7 +286,6 @@ class Pseudonymiser:
         taken: list[tuple[int, int, str]] = []
         found = [("email", m) for m in _EMAIL.finditer(text)] if "@" in text else []
         found += [("iban", m) for m in _IBAN.finditer(text)]
-        found += [(m.lastgroup or "", m) for m in _NUMBERS.finditer(text)]
         for kind, m in found:
             if any(m.start() < e and s < m.end() for s, e, _ in taken):
                 continue
@@ -246,6 +293,12 @@ class Pseudonymiser:
             if new is not None:
                 taken.append((m.start(), m.end(), new))
                 counts[kind] = counts.get(kind, 0) + 1
+        edges = [0, *[x for s, e, _ in sorted(taken) for x in (s, e)], len(text)]
+        for lo, hi in zip(edges[::2], edges[1::2], strict=True):
+            for m in _RUN.finditer(text, lo, hi):
+                for start, end, kind, new in self._run(text, m.start(), m.end()):
+                    taken.append((start, end, new))
+                    counts[kind] = counts.get(kind, 0) + 1
         if not taken:
             return text, counts
         out, at = [], 0

@@ -47,6 +47,17 @@ def test_pseudonyms(text, kinds):
     assert hide.text(new)[1] == kinds  # the pseudonyms are valid values of the same kinds
 
 
+@pytest.mark.parametrize("text, kinds", [
+    ("4111 1111 1111 1111 12/25", {"card": 1}), ("2 4111 1111 1111 1111", {"card": 1}), ("4111 1111 1111 1111 123", {"card": 1}), ("555 123 4567 555 123 4567", {"phone": 2}),
+    ("3782 822463 10005 4111-1111-1111-1111 7", {"card": 2}), ("7 555 123 4567 1980-02-29 12 4111111111111111", {"phone": 1, "date": 1, "card": 1}),
+])
+def test_pseudonyms_beside_other_numbers(text, kinds):
+    for n in range(60):
+        hide, show = (pii.Pseudonymiser(b"k%d" % n, undo=undo) for undo in (False, True))
+        new, counts = hide.text(text)
+        assert counts == kinds and new != text and show.text(new) == (text, kinds)
+
+
 def test_equal_values_stay_linked():
     a, b = (pii.Pseudonymiser(b"k").text(t)[0] for t in ("x 4111111111111111", "y 4111-1111-1111-1111"))
     assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b)
