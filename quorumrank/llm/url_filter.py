@@ -1,7 +1,7 @@
 """URL verdicts from rules and from a logistic regression on hashed character n-grams, scored by SQL expressions.
 
-The regression is fitted on the driver over a small labelled table of URLs (its size is its bound). A weight belongs
-to a bucket of ``crc32(kind + n-gram)``; the fitted weights enter the plan as one constant array, so scoring is a
+The regression is fitted on the driver over a small labelled table of URLs, made by a rule from two lists of ordinary
+words (its size is its bound). A weight belongs to a bucket of ``crc32(kind + n-gram)``; the fitted weights enter the plan as one constant array, so scoring is a
 projection over the table: no join, no shuffle, no Python on the executors.
 """
 
@@ -21,50 +21,55 @@ from .shared import pick
 BUCKETS = 16_384
 #: (kind, characters of an n-gram): of the host between its end marks, and of the path.
 GRAMS = (("h", 3), ("h", 4), ("h", 5), ("p", 4))
-#: Log odds without any evidence, not trained: an empty URL is allowed.
-BIAS = -1.0
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# Labelled URLs. Hosts are written without scheme; a path follows where it matters.
+# Words that the labelled hosts are made of.
 _BLOCKED = """
-casino-win.example.com online-casino.example.net royal-casino.example.org casino24.example.com vegas-slots.example.net
-poker-bonus.example.com free-bets.example.com best-bets.example.net sports-betting.example.org betting-tips.example.com
-free-spins.example.net lottery-win.example.org jackpot-win.example.com cheap-pills.example.com cheap-meds.example.net
-pills-online.example.org buy-pills.example.com discount-meds.example.com diet-pills.example.net spam-farm.example.com
-link-farm.example.net spam-links.example.org content-farm.example.com spam-blog.example.net ads-track.example.com
-ad-tracker.example.net click-ads.example.org ads-server.example.com track-click.example.net popup-ads.example.com
-banner-ads.example.org adult-x.example.net adult-videos.example.com xxx-adult.example.org adult-chat.example.com
-adult-dating.example.net hot-adult.example.org fast-loans.example.com payday-loans.example.net cheap-loans.example.org
-fake-watches.example.com replica-bags.example.net cracked-warez.example.org warez-keys.example.com torrent-cracks.example.net
-win-prizes.example.org free-iphone.example.com crypto-doubler.example.net get-rich.example.org miracle-cure.example.com
-shop.example.com/buy-pills/now games.example.net/casino/slots blog.example.org/adult/videos news.example.com/ads/track?click=1
+casino poker roulette blackjack slots jackpot lottery lotto bets betting gambling bingo sportsbook pills pharmacy meds viagra
+steroids adult porn xxx nude erotic escorts camgirls hookups fetish ads adserver adclick banners popups tracker clickbait spam
+spambot linkfarm malware phishing scam warez torrents cracks keygen serials pirated replica counterfeit knockoff payday loans
+debt-relief get-rich prizes giveaway miracle-cure weight-loss fake-followers doorway cheats
 """
 _ALLOWED = """
-news.example.com library.example.org university.example.net weather.example.com cooking.example.org gardening.example.net
-museum.example.org history.example.com science.example.net physics.example.org maths.example.com literature.example.net
-poetry.example.org travel.example.com railway.example.net cycling.example.org football.example.com swimming.example.net
-chess.example.org music.example.com theatre.example.net cinema.example.org painting.example.com school.example.net
-hospital.example.org charity.example.com council.example.net parliament.example.org courts.example.com archive.example.net
-docs.example.org wiki.example.com forum.example.net blog.example.org shop.example.com books.example.net recipes.example.org
-python.example.com compilers.example.net databases.example.org networks.example.com astronomy.example.net biology.example.org
-chemistry.example.com geology.example.net medicine.example.org nursing.example.com farming.example.net forestry.example.org
-rivers.example.com mountains.example.net birds.example.org winter.example.com window.example.net address.example.org
-thorn.example.com northern.example.net stationery.example.org attention.example.com trackside.example.net farmhouse.example.org
-theron.example.com therand.example.net tionary.example.org thenth.example.com thering.example.net ththor.example.org
-tionen.example.com thstand.example.net thouer.example.org tionest.example.com ththink.example.net therea.example.org
-tionsh.example.net ththes.example.com ththan.example.org thwhole.example.com ervation.example.net onering.example.org
-betterment.example.com alphabet.example.net adulthood-studies.example.org casting.example.com spillway.example.net
+news library university weather cooking gardening museum history science physics maths literature poetry travel railway cycling
+football swimming chess music theatre cinema painting school hospital charity council parliament courts archive documents wiki
+forum blog shop books recipes compilers database network astronomy biology chemistry geology medicine nursing farming forestry
+rivers mountains birds winter window address northern stationery attention trackside farmhouse dictionary tenth ring thread
+therapy weaving thunder theory thought other weather-station tradition station nation motion version letter street winner better
+alphabet adulthood casting spillway address-book headset upload billing tablet padlock advice spine farmers-market essex scandinavia
+finance insurance bakery coffee garden travelogue photography design fashion kitchen furniture pottery knitting running climbing
+sailing fishing camping horses dogs cats zoo aquarium castle village harbour bridge tunnel airport police fire-brigade election
+embassy ministry charter treaty economy market bank savings pension tax museum-shop orchestra choir opera dance ballet radio
+television newspaper magazine journal press podcast lecture course exam teacher student kindergarten playground toys puzzle
 """
+#: They stand beside words of both lists alike, and so say nothing.
+_BESIDE = "online best top my club world hub city zone now web star royal live pro plus first big new home".split()
+_HOSTS = ("{beside}-{word}", "{word}{beside}", "{word}-{beside}", "{beside}{word}", "{word}")
+_SUBDOMAINS, _ENDS = ("", "www.", "m.", "blog."), ("com", "net", "org")
+_PATHS = ("/en/{n}", "/de/{n}.html", "/fr/{n}?page=2&ref=x", "/es/{n}/", "/")
 
 
-def labelled_urls() -> list[tuple[str, int]]:
-    """(url, 1 to block or 0 to allow): each host of the table under a few subdomains, schemes and paths."""
+def labelled_hosts() -> list[tuple[str, int]]:
+    """(host label, 1 to block or 0 to allow): every word alone and in four compounds, in which the words beside it take turns."""
     out = []
     for text, label in ((_BLOCKED, 1), (_ALLOWED, 0)):
-        for i, item in enumerate(text.split()):
-            host, _, path = item.partition("/")
-            for k, (sub, tail) in enumerate((("", "en/12"), ("www.", "de/7.html"), ("m.", "fr/31?page=2&ref=x"), ("blog.", "es/5/"))):
-                out.append((f"{'https' if (i + k) % 2 else 'http'}://{sub}{host}/{path or tail}", label))
+        for i, word in enumerate(text.split()):
+            out += [(form.format(word=word, beside=_BESIDE[(i * 7 + k * 3) % len(_BESIDE)]), label) for k, form in enumerate(_HOSTS)]
+    return out
+
+
+def labelled_urls(hosts: Sequence[tuple[str, int]] | None = None) -> list[tuple[str, int]]:
+    """(url, label): each host once, subdomains, endings and paths taking turns; every sixth time an allowed host has a
+    blocked word in its path and is to be blocked, or another allowed one and is not."""
+    hosts = labelled_hosts() if hosts is None else hosts
+    words = (_ALLOWED.split(), _BLOCKED.split())
+    out = []
+    for i, (host, label) in enumerate(hosts):
+        path = _PATHS[i % len(_PATHS)].format(n=i)
+        if not label and i % 3 == 0:
+            label = i // 3 % 2
+            path = f"/{words[label][i % len(words[label])]}{path}"
+        out.append((f"{'https' if i % 2 else 'http'}://{_SUBDOMAINS[i // 2 % 4]}{host}.example.{_ENDS[i // 8 % 3]}{path}", label))
     return out
 
 
@@ -113,21 +118,20 @@ def buckets(host: str, path: str) -> list[int]:
     return [zlib.crc32((k + of[k][i : i + n]).encode()) % BUCKETS for k, n in GRAMS for i in range(len(of[k]) - n + 1)]
 
 
-def fit(labelled: Sequence[tuple[str, int]], steps: int = 600, rate: float = 2.0, decay: float = 2e-4) -> Model:
-    """Logistic regression by gradient descent over the whole labelled table; classes weigh alike."""
-    rows = np.zeros((len(labelled), BUCKETS))
-    for i, (url, _) in enumerate(labelled):
-        for b in buckets(*split_url(url)):
-            rows[i, b] += 1
-    rows /= np.sqrt(np.maximum(1, (rows * rows).sum(axis=1, keepdims=True)))
+def fit(labelled: Sequence[tuple[str, int]], steps: int = 1500, rate: float = 20.0, decay: float = 1e-5) -> Model:
+    """Logistic regression by gradient descent over the whole labelled table; the bias is learned and not decayed."""
+    counts = [np.unique(buckets(*split_url(url)), return_counts=True) for url, _ in labelled]
+    at = np.concatenate([b for b, _ in counts]).astype(np.int64)
+    value = np.concatenate([n / max(1.0, np.sqrt((n * n).sum())) for _, n in counts])
+    row = np.repeat(np.arange(len(counts)), [len(b) for b, _ in counts])
     y = np.array([label for _, label in labelled], dtype=float)
-    weight = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum()))
-    w, bias = np.zeros(BUCKETS), BIAS
+    w, bias = np.zeros(BUCKETS), 0.0
     for _ in range(steps):
-        z = np.clip(rows @ w + bias, -30, 30)
-        slope = weight * (1 / (1 + np.exp(-z)) - y)
-        w -= rate * (rows.T @ slope + decay * w)
-    return Model(tuple(float(f"{x:.6g}") for x in w), bias)
+        z = np.clip(np.bincount(row, w[at] * value, len(y)) + bias, -30, 30)
+        slope = (1 / (1 + np.exp(-z)) - y) / len(y)
+        w -= rate * (np.bincount(at, slope[row] * value, BUCKETS) + decay * w)
+        bias -= slope.sum()
+    return Model(tuple(float(f"{x:.6g}") for x in w), float(f"{bias:.6g}"))
 
 
 def score_of(model: Model, host: Column, path: Column) -> Column:
