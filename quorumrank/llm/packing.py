@@ -3,7 +3,11 @@
 An example needs tokens, one segment and some loss-bearing tokens; a sequence has a limit on each. The open sequence
 takes, of a bounded window of waiting examples that fit, the one whose needs (as shares of the limits) have the
 largest dot product with what is left of the limits, so the scarcest resource decides. Each task packs its own rows:
-nothing is shuffled or gathered, memory is bounded by the window, and a lost task is packed again the same way.
+nothing is gathered, memory is bounded by the window, and a lost task is packed again the same way.
+
+Where examples may be cut and all their tokens bear loss, no sequence is padded but to a power of two: a sequence is
+opened only as long as the largest waiting examples fill within its segments, and once whole examples would use up the
+segments first, a longer one is cut to fill what is left.
 """
 
 from __future__ import annotations
@@ -17,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .shared import pick, row_chunks
 from .word_tokens import word_tokens
@@ -37,6 +42,10 @@ class Limits:
     loss: int = SEQUENCE_TOKENS
 
 
+#: For instruction data: few conversations side by side, and not more to learn from than half of a sequence.
+INSTRUCTIONS = Limits(segments=16, loss=SEQUENCE_TOKENS // 2)
+
+
 @dataclass
 class Example:
     """A run of tokens; ``loss`` marks those that bear loss (None: all of them)."""
@@ -104,11 +113,13 @@ class Packer:
         return e
 
     def _open(self) -> None:
-        """The next sequence. Once less than a full one is left, cut streams end in sequences of powers of two."""
+        """The next sequence. Where the largest waiting examples don't fill a full one within its segments (short ones, or
+        the end of the stream), a stream that may be cut gets the longest power of two that they do fill."""
         self._sequence += 1
         tokens = self.limits.tokens
-        if self.cut and len(self._waiting) < self.window:
-            total = int(self._needs[: len(self._waiting), 0].sum())
+        if self.cut:
+            lengths, most = self._needs[: len(self._waiting), 0], self.limits.segments
+            total = int((lengths if len(lengths) <= most else np.partition(lengths, -most)[-most:]).sum())
             if total < tokens:
                 tokens = 1 << (total.bit_length() - 1)
         self._capacity = tokens
@@ -120,8 +131,11 @@ class Packer:
         needs = self._needs[: len(self._waiting)]
         fits = (needs <= self._left).all(axis=1)
         worth = (needs / self._caps) @ (self._left / self._caps)
-        if fits.any():
-            i = int(np.argmax(np.where(fits, worth, -1.0)))
+        i = int(np.argmax(np.where(fits, worth, -1.0)))
+        whole = bool(fits[i])
+        if whole and self.cut and needs[i, 0] * self._left[1] < self._left[0] and self._left[2] >= self._left[0]:
+            whole = not (needs[:, 0] > self._left[0]).any()  # else segments run out before tokens do
+        if whole:
             e = self._take(i)
             length = e.length
         elif self.cut:
@@ -133,7 +147,8 @@ class Packer:
                 return
             e = self._take(i)
             length = min(length, e.length)
-            self._hold(Example(e.key, e.ids, e.start + length, e.length - length, e.loss, e.loss_before))
+            if length < e.length:
+                self._hold(Example(e.key, e.ids, e.start + length, e.length - length, e.loss, e.loss_before))
         else:
             self._left[0] = 0
             return
@@ -183,3 +198,66 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits()) -
         yield flush()
 
     return pick(docs, "doc_id", "text").mapInArrow(act, _PIECES)
+
+
+_TURNS = "conv_id long, first_turn long, start long, length long, loss_tokens long, ids_crc32 long, sequence_id long, offset long"
+_TURN_NAMES = [x.split()[0] for x in _TURNS.split(", ")]
+
+
+def pack_conversations(turns: DataFrame, tokenizer: str, limits: Limits = INSTRUCTIONS, bears_loss: str = "assistant") -> DataFrame:
+    """One row per piece of ``turns(conv_id, turn, role, text)``, under all three limits.
+
+    A conversation's ids are those of its turns in order, an end id after each; those of turns by ``bears_loss`` bear
+    loss. It is cut only where it exceeds a sequence by itself, or where the range of turns that one task reads ends, so
+    that one very long conversation needn't lie in one task; ``first_turn`` is the turn at which such a part begins and
+    ``start`` the place of the piece in it. Null texts are the end id alone, a null role bears no loss, turns of a null
+    conv_id are one conversation, turns with a null or repeated number follow each other by number, role and text. Other
+    columns are ignored.
+    """
+
+    def act(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, packer = word_tokens(tokenizer), Packer(limits, cut=False)
+        base = TaskContext.get().partitionId() << 40
+        out: list[tuple] = []
+        end = np.array([END_ID], dtype="<u4").tobytes()
+        part: list = [None, None, b"", np.zeros(0, bool), 0]  # conversation, first turn, ids, loss, place of the first id
+
+        def row(placed: Placed) -> tuple:
+            e, length, sequence, offset = placed
+            conversation, first, start = e.key
+            return conversation, first, start, length, e.loss_in(length), zlib.crc32(e.ids), base + sequence, offset
+
+        def cut(all_of_it: bool) -> None:
+            """Hands on what a sequence holds of the part, and its rest if ``all_of_it``."""
+            while part[2]:
+                e = Example((part[0], part[1], part[4]), part[2], 0, len(part[2]) // 4, part[3])
+                n = e.longest(limits.tokens, limits.loss)
+                if n == e.length and not all_of_it:
+                    return
+                out.extend(row(x) for x in packer.add(Example(e.key, e.ids[: 4 * n], 0, n, part[3][:n])))
+                part[2:] = e.ids[4 * n :], part[3][n:], part[4] + n
+
+        def flush() -> pa.RecordBatch:
+            columns = list(zip(*out, strict=True)) if out else [()] * len(_TURN_NAMES)
+            out.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], _TURN_NAMES)
+
+        for batch in batches:
+            conversations, numbers, roles, texts = (c.to_pylist() for c in batch.columns)
+            for conversation, number, role, ids in zip(conversations, numbers, roles, words.encode(texts), strict=True):
+                if not part[2] and not part[4] or conversation != part[0]:
+                    cut(all_of_it=True)
+                    part[:] = conversation, number, b"", np.zeros(0, bool), 0
+                ids += end
+                part[2] += ids
+                part[3] = np.append(part[3], np.full(len(ids) // 4, role == bears_loss))
+                cut(all_of_it=False)
+            if len(out) > 20_000:
+                yield flush()
+        cut(all_of_it=True)
+        out.extend(row(x) for x in packer.finish())
+        yield flush()
+
+    order = ("conv_id", "turn", "role", "text")
+    rows = pick(turns, *order)
+    return rows.repartitionByRange(*order[:2], F.xxhash64("role", "text")).sortWithinPartitions(*order).mapInArrow(act, _TURNS)

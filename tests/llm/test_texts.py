@@ -289,6 +289,50 @@ def test_packing_keeps_every_id(documents, odd_documents, no_documents):
     assert packing.pack_documents(no_documents, WORDS).count() == 0
 
 
+@pytest.mark.parametrize("shortest, longest", [(1, 1), (3, 3), (5, 5), (10, 10), (15, 15), (1, 40), (1, 4000)])
+def test_short_texts_are_packed_without_padding(shortest, longest):
+    rng = np.random.default_rng(4)
+    lengths = rng.integers(shortest, longest + 1, 6_000)
+    if longest == 4000:
+        lengths = np.where(rng.random(6_000) < 0.93, 1, lengths)
+    packer, used, segments = packing.Packer(), Counter(), Counter()
+    placed = [x for i, n in enumerate(lengths) for x in packer.add(packing.Example(i, b"", 0, int(n)))] + list(packer.finish())
+    for _, length, sequence, offset in placed:
+        assert offset == used[sequence]
+        used[sequence] += length
+        segments[sequence] += 1
+    assert sum(used.values()) == lengths.sum() and max(segments.values()) <= packing.SEQUENCE_SEGMENTS
+    assert all(n <= 2048 and n & (n - 1) == 0 for n in used.values())
+
+
+def test_conversations_are_packed_under_three_limits(spark, data):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(WORDS)
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{data}/conversations.parquet").collect()]
+    rows += [(900, 0, "user", None), (900, 1, "assistant", "word " * 5000), (901, None, None, "x y"), (None, 1, "assistant", "x"), (901, 3, "assistant", "")]
+    turns = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, length int")
+    out = packing.pack_conversations(turns, WORDS).collect()
+    sequences = defaultdict(list)
+    for r in out:
+        sequences[r.sequence_id].append(r)
+    for pieces in sequences.values():
+        pieces.sort(key=lambda r: r.offset)
+        assert [r.offset for r in pieces] == np.cumsum([0, *[r.length for r in pieces[:-1]]]).tolist()
+        assert sum(r.length for r in pieces) <= 2048 and len(pieces) <= 16 and sum(r.loss_tokens for r in pieces) <= 1024
+    want, loss = Counter(), Counter()
+    for conversation, _, role, text in rows:
+        n = len(t.encode(text or "", add_special_tokens=False).ids) + 1
+        want[conversation] += n
+        loss[conversation] += n * (role == "assistant")
+    got, got_loss = Counter(), Counter()
+    for r in out:
+        got[r.conv_id] += r.length
+        got_loss[r.conv_id] += r.loss_tokens
+    assert got == want and +got_loss == +loss and max(loss.values()) > 1024
+    assert packing.pack_conversations(turns.limit(0), WORDS).count() == 0
+
+
 def test_vector_limits_hold_for_instructions():
     rng = np.random.default_rng(3)
     limits = packing.Limits(tokens=100, segments=4, loss=30)
