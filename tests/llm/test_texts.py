@@ -1,6 +1,8 @@
 """Operators on single texts against plain Python, round trips and held-out rows."""
 
+import datetime
 import hashlib
+import ipaddress
 import math
 import re
 import struct
@@ -63,6 +65,89 @@ def test_equal_values_stay_linked():
     assert re.sub(r"\D", "", a) == re.sub(r"\D", "", b)
 
 
+def spellings(day):
+    """A date in every way of writing that is read as that date."""
+    y, m, d = day.year, day.month, day.day
+    out = [f"{y}-{m:02d}-{d:02d}", f"{y}/{m:02d}/{d:02d}", f"{d:02d}.{m:02d}.{y}", f"{d}.{m}.{y}", f"{d:02d}/{m:02d}/{y}", f"{d}/{m}/{y}", f"{y}-{m:02d}-{d:02d}T10:00:00Z", f"{d} {day:%B} {y}", f"{day:%B} {d}, {y}"]
+    return out + ([f"{m:02d}/{d:02d}/{y}", f"{m}/{d}/{y}"] if d > 12 else [])
+
+
+def test_every_day_of_a_century_in_all_spellings():
+    hide, show, seen = pii.Pseudonymiser(b"k"), pii.Pseudonymiser(b"k", undo=True), {}
+    first = datetime.date(1950, 1, 1)
+    for n in range(36525):
+        day = first + datetime.timedelta(n)
+        new = datetime.date.fromisoformat(hide.text(day.isoformat())[0])
+        assert seen.setdefault(new, day) == day
+        if n % 7 == 0:
+            for said, other in zip(spellings(day), spellings(new), strict=True):
+                text, counts = hide.text(f"on {said}.")
+                assert (text, counts) == (f"on {other}.", {"date": 1}) and show.text(text)[0] == f"on {said}."
+
+
+@pytest.mark.parametrize("same", [
+    ["2125550199", "(212) 555-0199", "212-555-0199", "212.555.0199", "+1 212 555 0199", "+12125550199", "1-212-555-0199"], ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+44-20-7946-0958"],
+    ["+33 1 42 68 53 00", "+33142685300"], ["+49 30 901820", "+4930901820"], ["123-45-6789", "123 45 6789"], ["(123) 456-7890", "+1 123 456 7890"],
+])
+def test_numbers_stay_linked_in_all_spellings(same):
+    hide, show, digits = pii.Pseudonymiser(b"k"), pii.Pseudonymiser(b"k", undo=True), set()
+    for text in same:
+        new, counts = hide.text(f"at {text}, or")
+        assert sum(counts.values()) == 1 and show.text(new)[0] == f"at {text}, or" and new != f"at {text}, or"
+        assert new[: 6] == f"at {text}"[: 6] if text.startswith("+4") or text.startswith("+3") else True
+        said = re.sub(r"\D", "", new.replace("(0)", ""))
+        digits.add(said[-10:] if text[0] != "+" or text[1] == "1" else said)
+    assert len(digits) == 1
+
+
+def test_addresses_stay_linked():
+    hide, show = pii.Pseudonymiser(b"k"), pii.Pseudonymiser(b"k", undo=True)
+    a, b = hide.text("A.Bc@x.com a.bc@x.com")[0].split()
+    assert a != b and a.lower() == b and show.text(f"{a} {b}")[0] == "A.Bc@x.com a.bc@x.com"
+    a, b = hide.text("2001:db8::1 2001:0db8:0:0::1")[0].split()
+    assert a == b and ipaddress.IPv6Address(a) and show.text(a)[0] == "2001:db8::1"
+    for text in ("12:30:45", "std::vector", "a::b", "10:20", "1234567890", "0000000000", "May 2021", "31/02/2020", "+123"):
+        assert hide.text(text) == (text, {})
+
+
+def test_two_kinds_of_ten_digits_change_places_among_themselves():
+    rng = np.random.default_rng(6)
+    p = pii.Feistel(b"k", "phone")
+    for x in rng.integers(0, 10**10, 3000).tolist():
+        digits = f"{x:010d}"
+        new = pii._north_american(p, digits, undo=False)
+        assert pii._north_american(p, new, undo=True) == digits and (min(new[0], new[3]) >= "2") == (min(digits[0], digits[3]) >= "2")
+
+
+def test_counts_equal_an_independent_reading(spark, data):
+    """Kinds that the documents hold, found by looking at words instead of patterns."""
+    docs = spark.read.parquet(f"{data.replace('0.001', '0.01')}/documents.parquet")
+    got = {r.doc_id: r for r in pii.pseudonymised_documents(docs).collect()}
+    for d in docs.collect():
+        words = [re.sub(r"^\W+|\W+$", "", w) for w in (d.text or "").split()]
+        emails = [w for w in words if w.count("@") == 1 and "." in w.partition("@")[2]]
+        addresses = 0
+        for w in words:
+            try:
+                addresses += isinstance(ipaddress.ip_address(w), ipaddress.IPv4Address)
+            except ValueError:
+                pass
+        cards = [w for w in (x.replace("-", "") for x in words) if w.isdigit() and 13 <= len(w) <= 19 and sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(w))) % 10 == 0]
+        r = got[d.doc_id]
+        assert (r.n_email, r.n_ipv4) == (len(emails), addresses) and r.n_card >= len(cards)
+        assert not any(w in r.text for w in {*emails, *cards} if len(w) > 8)
+
+
+def test_key_comes_from_the_configuration(spark):
+    df = spark.createDataFrame([("x 4111111111111111",)], "text string")
+    try:
+        spark.conf.set(pii.KEY_SETTING, "a secret")
+        assert pii.pseudonymise(df).first().text == pii.Pseudonymiser(b"a secret").text("x 4111111111111111")[0]
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert pii.pseudonymise(df).first().text == pii.Pseudonymiser(pii.DEMO_KEY).text("x 4111111111111111")[0]
+
+
 def test_pseudonyms_of_odd_rows(odd_documents, no_documents):
     out = pii.pseudonymise(odd_documents)
     assert out.columns == odd_documents.columns and out.count() == odd_documents.count()
