@@ -8,6 +8,10 @@ pairs in it are kept to matching size bands. In a tile, ``|A| - popcount(a & ~b)
 the overlap from above; what the bound leaves is brought together once per candidate group, where the bound is
 applied again on wider bitmaps before the exact intersection. Pairs whose ends are already connected are skipped,
 so a group of a million near copies isn't expanded into its pairs; components are the same with or without them.
+
+A key with more rows than a tile holds is first dealt by a hash into tiles of bounded size, twice, and what meets there is
+connected. Only rows that are still apart are then brought together in pairs of cells; the rows that most of the key has
+been connected to meet those others, but not each other.
 """
 
 from __future__ import annotations
@@ -19,10 +23,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import types as T
 
 from .components import connected_components
-from .shared import pick, row_chunks, stored
+from .shared import forget, pick, row_chunks, stored
 from .wordhash import mix, shingle_sets
 
 #: A pair links when NUM * intersection... : 100 * intersection >= 80 * union.
@@ -31,12 +35,14 @@ SIM_NUM, SIM_DEN = 80, 100
 HOT_SHINGLES = 65_536
 #: Elements of the first, cheap round of tiles.
 FIRST_ELEMENTS = 4
-#: Rows of a tile that one task compares; larger tiles are cut into pairs of blocks.
+#: Rows of a tile of signatures, and elements of a tile of whole sets (ROW_ELEMENTS for a row besides its own).
 TILE_ROWS = 4096
+TILE_ELEMENTS, ROW_ELEMENTS = 2_000_000, 256
 _HOT_BUFFER = 3_000_000
 
 _SET_SCHEMA = "doc_id long, n int, d1 long, d2 long, prefix array<long>, bits binary"
 _EDGE_SCHEMA = "a long, b long"
+_ITEMS = "cls long, d1 long, d2 long, items binary"
 
 
 def needed(n: np.ndarray | int, m: np.ndarray | int) -> np.ndarray | int:
@@ -84,6 +90,12 @@ def overlap(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.count_nonzero(b[at] == a))
 
 
+def set_digest(elements: np.ndarray) -> tuple[int, int]:
+    """128 bits that stand for a set."""
+    found = np.frombuffer(hashlib.blake2b(elements.tobytes(), digest_size=16).digest(), dtype=np.int64)
+    return int(found[0]), int(found[1])
+
+
 def _hot_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(h, c): shingles in three documents or more of a few thousand neighbouring ones."""
     held: list[np.ndarray] = []
@@ -132,9 +144,9 @@ def shingle_table(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                 n, d1, d2, prefix, bits = [], [], [], [], []
                 for s in shingle_sets(texts.slice(lo, hi - lo)):
                     n.append(len(s))
-                    digest = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), dtype=np.int64)
-                    d1.append(int(digest[0]))
-                    d2.append(int(digest[1]))
+                    one, two = set_digest(s)
+                    d1.append(one)
+                    d2.append(two)
                     if not len(s):
                         prefix.append(np.zeros(0, np.int64))
                         bits.append(b"")
@@ -211,12 +223,12 @@ def _edges(a: list[int], b: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-def _bound_tile(rep: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, bits: list[np.ndarray]) -> tuple[list, list]:
+def _bound_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, bits: list[np.ndarray]) -> tuple[list, list]:
     """Links of rows whose signatures leave the similarity possible, as a forest: one of several paths is enough."""
     order = np.argsort(n, kind="stable")
-    rep, n, label, side = rep[order], n[order], label[order], side[order]
+    cls, n, label, side = cls[order], n[order], label[order], side[order]
     bits = [bits[i] for i in order]
-    groups, a, b = _Groups(len(rep)), [], []
+    groups, a, b = _Groups(len(cls)), [], []
     first: dict[int, int] = {}
     for i, x in enumerate(label.tolist()):  # rows of one candidate group meet later in any case
         if (j := first.setdefault(x, i)) != i:
@@ -224,8 +236,8 @@ def _bound_tile(rep: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndar
     width = 64 * min(map(len, bits))
     flat = np.stack([fold(x, width) for x in bits])
     same = len(set(map(len, bits))) == 1
-    roots = np.array([groups.root(i) for i in range(len(rep))])
-    for i in range(1, len(rep)):
+    roots = np.array([groups.root(i) for i in range(len(cls))])
+    for i in range(1, len(cls)):
         lo = int(np.searchsorted(n, -((-SIM_NUM * int(n[i])) // SIM_DEN)))
         if lo >= i:
             continue
@@ -240,8 +252,8 @@ def _bound_tile(rep: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndar
                 w = 64 * min(len(bits[i]), len(bits[j]))
                 if overlap_bound(fold(bits[i], w), int(n[i]), fold(bits[j], w)[None], n[j : j + 1])[0] < needed(int(n[i]), int(n[j])):
                     continue
-            a.append(int(rep[i]))
-            b.append(int(rep[j]))
+            a.append(int(cls[i]))
+            b.append(int(cls[j]))
             low, high = sorted((roots[i], roots[j]))
             roots[roots == high] = low
     return a, b
@@ -253,7 +265,7 @@ def _tile_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for tile in by_key(batches, ["h", "block"]):
         if tile.num_rows > 1:
             x, y = _bound_tile(
-                *(tile.column(k).to_numpy() for k in ("rep", "n", "label", "side")), _binary_rows(tile.column("bits"), np.uint64)
+                *(tile.column(k).to_numpy() for k in ("cls", "n", "label", "side")), _binary_rows(tile.column("bits"), np.uint64)
             )
             a += x
             b += y
@@ -263,15 +275,15 @@ def _tile_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _edges(a, b)
 
 
-def _exact_tile(rep: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> tuple[list, list]:
-    """Links with the similarity, as a forest of the tile's components."""
+def _exact_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> tuple[list, list]:
+    """Links with the similarity, as a forest of the tile's components; rows of one label are connected already."""
     order = np.argsort(n, kind="stable")
-    rep, n, side = rep[order], n[order], side[order]
+    cls, n, side = cls[order], n[order], side[order]
     sets = [sets[i] for i in order]
     width = _width(int(np.median(n)), 8, 16384)
     bits = np.stack([signature(mix(s), width) for s in sets])
-    roots, a, b = np.arange(len(rep)), [], []
-    for i in range(1, len(rep)):
+    roots, a, b = np.unique(label[order], return_inverse=True)[1], [], []
+    for i in range(1, len(cls)):
         lo = int(np.searchsorted(n, -((-SIM_NUM * int(n[i])) // SIM_DEN)))
         js = lo + np.flatnonzero((roots[lo:i] != roots[i]) & ((side[lo:i] != side[i]) | (side[i] == 0)))
         if not len(js):
@@ -281,8 +293,8 @@ def _exact_tile(rep: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.
         likely = js[np.argsort(least - bound, kind="stable")][: int(np.count_nonzero(bound >= least))]
         for j in likely.tolist():
             if roots[i] != roots[j] and overlap(sets[i], sets[j]) >= needed(int(n[i]), int(n[j])):
-                a.append(int(rep[i]))
-                b.append(int(rep[j]))
+                a.append(int(cls[i]))
+                b.append(int(cls[j]))
                 low, high = sorted((roots[i], roots[j]))
                 roots[roots == high] = low
     return a, b
@@ -291,9 +303,9 @@ def _exact_tile(rep: np.ndarray, n: np.ndarray, side: np.ndarray, sets: list[np.
 def _exact_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     a: list[int] = []
     b: list[int] = []
-    for tile in by_key(batches, ["label", "block"]):
+    for tile in by_key(batches, ["g", "block"]):
         if tile.num_rows > 1:
-            x, y = _exact_tile(*(tile.column(k).to_numpy() for k in ("rep", "n", "side")), _binary_rows(tile.column("items"), np.uint64))
+            x, y = _exact_tile(*(tile.column(k).to_numpy() for k in ("cls", "n", "label", "side")), _binary_rows(tile.column("items"), np.uint64))
             a += x
             b += y
         if len(a) > 50_000:
@@ -302,110 +314,200 @@ def _exact_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield _edges(a, b)
 
 
-def _blocked(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """Adds (block, side): a key's rows, by size, in blocks of TILE_ROWS; of several blocks, every two whose sizes
-    can match meet. side is 0 where all rows of the tile are to be compared, else the block's place in the pair."""
-    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    large = counts.where(F.col("_rows") > TILE_ROWS).select(key)
-    spread = (
-        rows.join(large, key, "left_semi")
-        .withColumn("_at", F.row_number().over(Window.partitionBy(key).orderBy("n", order)) - 1)
-        .withColumn("_b", F.floor(F.col("_at") / TILE_ROWS))
-    )
-    bands = spread.groupBy(key, "_b").agg(F.min("n").alias("_low"), F.max("n").alias("_high"))
-    other = bands.select(key, *[F.col(c).alias(f"{c}2") for c in ("_b", "_low", "_high")])
-    meets = bands.join(other, key).where(
-        (F.col("_b") <= F.col("_b2")) & (F.col("_low2") * SIM_NUM <= F.col("_high") * SIM_DEN)
-    )
-    pairs = meets.select(key, "_b", F.concat_ws("-", "_b", "_b2").alias("block"), F.when(F.col("_b") == F.col("_b2"), 0).otherwise(1).alias("side"))
-    pairs = pairs.unionByName(
-        meets.where("_b < _b2").select(key, F.col("_b2").alias("_b"), F.concat_ws("-", "_b", "_b2").alias("block"), F.lit(2).alias("side"))
-    )
-    cut = spread.join(pairs, [key, "_b"]).drop("_at", "_b")
-    whole = rows.join(large, key, "left_anti").withColumns({"block": F.lit(""), "side": F.lit(0)})
-    return whole.unionByName(cut)
+def _sizes(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """(key, total) of the keys whose rows weigh more than a tile holds."""
+    return rows.groupBy(key).agg(F.sum("w").alias("total")).where(F.col("total") > most)
 
 
-def _tiled(rows: DataFrame, key: str, edges) -> DataFrame:
-    """``edges`` over the sorted tiles of ``rows``."""
-    return (
-        rows.repartition(F.col(key), F.col("block")).sortWithinPartitions(key, "block").mapInArrow(edges, _EDGE_SCHEMA)
-    )
+def _dealt(rows: DataFrame, key: str, large: DataFrame, most: int) -> DataFrame:
+    """Adds (block, side): a large key's rows are dealt into tiles by a hash, twice, so that similar rows meet; others stay whole."""
+    salt = F.explode(F.when(F.col("total").isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(1), F.lit(2))))
+    dealt = rows.join(large, key, "left").withColumn("salt", salt)
+    place = F.pmod(F.xxhash64("cls", "salt"), F.ceil(F.col("total") / most))
+    return dealt.select(key, "cls", "n", "label", F.coalesce(F.concat_ws("/", "salt", place), F.lit("")).alias("block"), F.lit(0).alias("side"))
 
 
-def jaccard_components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id): one row per input row, component_id the smallest linked doc_id.
+def _met(rows: DataFrame, key: str, most: int) -> DataFrame:
+    """(key, cls, n, label, block, side) that bring every two rows of a large key together, but for those of equal label
+    if it is the key's commonest, and for those whose sizes can't match.
 
-    Null and empty texts have no shingles and stay alone. Rows that share a doc_id count as one document and are
-    connected; repeated rows come out as often as they went in; rows with a null doc_id take part under the
-    smallest id of an equal text, else keep a null component_id; of several texts under one id, one is compared
-    with other documents. Other columns are ignored.
+    A cell holds rows of one size band, all or none of them with the commonest label, dealt by a hash; a tile is a pair of
+    cells. So a group of near copies, which shares a label by now, isn't compared again, and only travels as often as the
+    other rows of its key fill cells. side is 0 where a cell meets itself, else the cell's place in the pair.
     """
-    docs = pick(docs, "doc_id", "text")
-    table = stored(shingle_table(docs, hot_shingles(docs)), "shingles")
-    found = component_labels(docs, table)
-    classes = table.select("doc_id", "n", "d1", "d2")
-    return classes.join(found, ["d1", "d2"], "left").select(
-        "doc_id", F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.coalesce("component", "rep", "doc_id")).alias("component_id"),
+    common = rows.groupBy(key, "label").agg(F.sum("w").alias("total")).groupBy(key).agg(F.max_by("label", F.struct("total", "label")).alias("common"))
+    band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(SIM_DEN / SIM_NUM) + 1e-6)).cast("int")  # sizes that can match lie in one band or two neighbouring ones
+    rows = stored(rows, "large-rows").join(stored(common, "common"), key).withColumns({"band": band, "alike": F.col("label") == F.col("common")})
+    sizes = stored(rows.groupBy(key, "band", "alike").agg(F.ceil(F.sum("w") / most).alias("blocks")), "cells")
+    cells = sizes.select(key, "band", "alike", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"))
+    own = ("band", "alike", "at")
+    near = cells.withColumn("band2", F.explode(F.array(F.col("band"), F.col("band") + 1)))
+    other = cells.select(key, *[F.col(c).alias(f"{c}2") for c in own])
+    meets = near.join(other, [key, "band2"]).where("not (alike and alike2)")
+    meets = meets.where("band < band2 or struct(alike, at) <= struct(alike2, at2)")
+    itself = (F.col("band") == F.col("band2")) & (F.col("alike") == F.col("alike2")) & (F.col("at") == F.col("at2"))
+    meets = meets.withColumns({"block": F.concat_ws("/", *own, *[f"{c}2" for c in own]), "itself": itself})
+    places = meets.select(key, *own, "block", F.when(F.col("itself"), 0).otherwise(1).alias("side")).unionByName(
+        meets.where(~F.col("itself")).select(key, *[F.col(f"{c}2").alias(c) for c in own], "block", F.lit(2).alias("side"))
     )
+    placed = rows.join(sizes, [key, "band", "alike"]).withColumn("at", F.pmod(F.xxhash64("cls"), F.col("blocks")))
+    return placed.join(stored(places, "tiles"), [key, *own]).select(key, "cls", "n", "label", "block", "side")
 
 
-def component_labels(docs: DataFrame, table: DataFrame) -> DataFrame:
-    """(d1, d2, rep, component) of every class of equal sets; component is null where nothing links."""
-    reps = stored(
-        table.where("n > 0 and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")), "classes"
-    )
-    one = Window.partitionBy("rep").orderBy("d1", "d2")
-    index = (
-        table.where("n > 0").join(reps.select("d1", "d2", "rep"), ["d1", "d2"]).where("doc_id = rep")
-        .withColumn("_k", F.row_number().over(one)).where("_k = 1").select("rep", "n", "prefix", "bits")
-    )
-    index = stored(index, "index")
+def _tiled(places: DataFrame, key: str, payload: DataFrame, edges) -> DataFrame:
+    """``edges`` over the tiles, with each row's payload."""
+    rows = places.join(payload, "cls")
+    return rows.repartition(F.col(key), F.col("block")).sortWithinPartitions(key, "block").mapInArrow(edges, _EDGE_SCHEMA)
 
-    few = index.select("rep", "n", F.col("rep").alias("label"), F.explode(F.slice("prefix", 1, FIRST_ELEMENTS)).alias("h"))
-    few = stored(few.join(few.groupBy("h").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("h"), "h", "left_semi"), "postings")
-    few = _blocked(few, "h", "rep").join(index.select("rep", "bits"), "rep")
-    first = stored(_tiled(few, "h", _tile_edges).distinct(), "candidates")
-    label = stored(connected_components(first), "labels")
 
-    rest = (
-        index.join(label, F.col("rep") == F.col("node"), "left")
-        .select("rep", "n", F.coalesce("component", "rep").alias("label"), F.explode("prefix").alias("h"))
-    )
-    around = Window.partitionBy("h")
-    rest = (
-        rest.withColumns({"_low": F.min("label").over(around), "_high": F.max("label").over(around)})
-        .where("_low < _high").select("h", "rep", "n", "label")
+def set_classes(table: DataFrame) -> DataFrame:
+    """One row for each set that isn't empty: cls (a number given once), d1, d2, rep (its smallest doc_id), n, prefix, bits."""
+    found = table.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "prefix", "bits")])
+    return stored(found.withColumn("cls", F.monotonically_increasing_id()), "classes")
+
+
+def _candidates(classes: DataFrame) -> DataFrame:
+    """(node, component): classes joined by signatures that leave the similarity possible; linked ones are always together."""
+    bits = classes.select("cls", "bits")
+    few = classes.select("cls", "n", F.col("cls").alias("label"), F.explode(F.slice("prefix", 1, FIRST_ELEMENTS)).alias("h"))
+    shared = stored(few.groupBy("h").agg(F.count(F.lit(1)).alias("total")).where("total > 1"), "shared")
+    few = stored(few.join(shared.select("h"), "h"), "postings")
+    first = stored(_tiled(_dealt(few, "h", shared.where(F.col("total") > TILE_ROWS), TILE_ROWS), "h", bits, _tile_edges).distinct(), "candidates")
+    label = stored(connected_components(first), "labels")
+    forget(classes.sparkSession, few)
+
+    rest = classes.join(label, F.col("cls") == F.col("node"), "left").select("cls", "n", F.coalesce("component", "cls").alias("label"), F.explode("prefix").alias("h"))
+    still = rest.groupBy("h").agg(F.count(F.lit(1)).alias("total"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    still = stored(still.select("h", "total"), "open")
+    rest = stored(rest.join(still, "h"), "postings")
+    places = rest.where(F.col("total") <= TILE_ROWS).select("h", "cls", "n", "label", F.lit("").alias("block"), F.lit(0).alias("side"))
+    if not still.where(F.col("total") > TILE_ROWS).isEmpty():
+        large = rest.where(F.col("total") > TILE_ROWS).select("h", "cls", "n", "label", F.lit(1).cast("long").alias("w"))
+        places = places.unionByName(_met(large, "h", TILE_ROWS))
+    second = _tiled(places, "h", bits, _tile_edges).distinct()
+    found = stored(connected_components(first.unionByName(second)), "groups")
+    for x in (rest, first, label, shared, still):
+        forget(classes.sparkSession, x)
+    return found
+
+
+def _whole_sets(docs: DataFrame, members: DataFrame, repeated: bool) -> DataFrame:
+    """(cls, items): the sorted sets of ``members(cls, rep, d1, d2)``, from the text of a document that has the set."""
+    named = docs.join(members.where("rep is not null").select(F.col("rep").alias("doc_id"), "cls", F.col("d1").alias("c1"), F.col("d2").alias("c2")), "doc_id")
+    found = named.select("cls", "c1", "c2", "text").mapInArrow(_items, _ITEMS)
+    unnamed = members.where("rep is null").select("cls", "d1", "d2")
+    if not unnamed.isEmpty():
+        texts = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("cls"), F.lit(None).cast("long").alias("c1"), F.lit(None).cast("long").alias("c2"), "text")
+        found = found.unionByName(texts.mapInArrow(_items, _ITEMS).drop("cls").join(unnamed, ["d1", "d2"]).select("cls", "d1", "d2", "items"))
+        repeated = True
+    return (found.dropDuplicates(["cls"]) if repeated else found).select("cls", "items")
+
+
+def _exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, repeated: bool) -> DataFrame:
+    """(a, b) of classes with the similarity, as a forest of their components."""
+    members = groups.select(F.col("node").alias("cls"), F.col("component").alias("g")).join(classes.select("cls", "rep", "d1", "d2", "n"), "cls")
+    members = stored(members.withColumns({"label": F.col("cls"), "w": F.col("n") + F.lit(ROW_ELEMENTS)}), "members")
+    items = stored(_whole_sets(docs, members, repeated), "items")
+    large = stored(_sizes(members, "g", TILE_ELEMENTS), "large")
+    found = stored(_tiled(_dealt(members, "g", large, TILE_ELEMENTS), "g", items, _exact_edges).distinct(), "links")
+    if not large.isEmpty():
+        label = stored(connected_components(found), "labels")
+        rows = members.join(large.select("g"), "g").join(label, F.col("cls") == F.col("node"), "left")
+        rows = stored(rows.select("g", "cls", "n", F.coalesce("component", "cls").alias("label"), "w"), "members")
+        still = rows.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("g")
+        rows = rows.join(stored(still, "open"), "g")
+        found = stored(found.unionByName(_tiled(_met(rows, "g", TILE_ELEMENTS), "g", items, _exact_edges)).distinct(), "links")
+    forget(docs.sparkSession, items)
+    return found
+
+
+def component_names(docs: DataFrame, table: DataFrame) -> DataFrame:
+    """(d1, d2, component_id) of every set that isn't empty: the smallest doc_id reachable, null where none has an id."""
+    classes = set_classes(table)
+    ids = table.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{k}{c}") for c in ("d1", "d2") for k, f in (("low_", F.min), ("high_", F.max))]
     )
-    rest = _blocked(stored(rest, "postings"), "h", "rep").join(index.select("rep", "bits"), "rep")
-    second = _tiled(rest, "h", _tile_edges).distinct()
-    groups = stored(connected_components(first.unionByName(second)), "groups")
+    repeated = stored(ids.where("rows > 1").select("doc_id", (F.expr("low_d1 < high_d1 or low_d2 < high_d2")).alias("differ")), "repeated")
+    groups = _candidates(classes)
+    links = _exact_links(docs, classes, groups, not repeated.isEmpty())
+    differ = repeated.where("differ").select("doc_id")
+    if not differ.isEmpty():  # classes of one document's texts belong together
+        of_ids = stored(table.where("n > 0").join(differ, "doc_id").select("doc_id", "d1", "d2").distinct().join(classes.select("d1", "d2", "cls"), ["d1", "d2"]).select("doc_id", "cls"), "shared-ids")
+        lowest = stored(of_ids.groupBy("doc_id").agg(F.min("cls").alias("a")), "lowest")
+        links = links.unionByName(of_ids.join(lowest, "doc_id").select("a", F.col("cls").alias("b")))
+    component = stored(connected_components(links), "components")
+    named = classes.select("cls", "d1", "d2", "rep").join(component, F.col("cls") == F.col("node"), "left")
+    smallest = stored(named.where("component is not null").groupBy("component").agg(F.min("rep").alias("smallest")), "names")
+    out = stored(named.join(smallest, "component", "left").select("d1", "d2", F.coalesce("smallest", "rep").alias("component_id"), "component", "cls"), "named")
+    for x in (classes, groups, component, smallest):
+        forget(docs.sparkSession, x)
+    return out
 
-    texts = docs.join(groups.select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "doc_id")
-    items = texts.mapInArrow(_items, "label long, rep long, n int, items binary").dropDuplicates(["rep", "label", "n"])
-    exact = _tiled(_blocked(stored(items, "items"), "label", "rep"), "label", _exact_edges)
-    final = stored(connected_components(exact), "components")
-    return reps.join(final, F.col("rep") == F.col("node"), "left").select("d1", "d2", "rep", "component")
+
+def jaccard_components(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id): one row per input row, component_id the smallest linked doc_id.
+
+    Null and empty texts have no shingles and stay alone. Rows that share a doc_id are one document: what is linked with
+    any of its texts is linked with all. Repeated rows come out as often as they went in. Rows with a null doc_id take
+    part like all others, but never name a component; where no row of a component has an id, component_id is null.
+    Other columns are ignored.
+    """
+    docs = pick(docs, "doc_id", "text")
+    table = stored(shingle_table(docs, hot_shingles(docs)), "shingles")
+    found = component_names(docs, table).select("d1", "d2", "component_id")
+    out = table.select("doc_id", "n", "d1", "d2").join(found, ["d1", "d2"], "left")
+    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(label, rep, n, items): whole sorted sets of candidate documents."""
+    """(cls, d1, d2, items): whole sorted sets; of rows that name a class only those that have its very set."""
     for batch in batches:
-        names = batch.schema.names
-        ids, texts, labels = (batch.column(names.index(k)) for k in ("doc_id", "text", "label"))
+        classes, c1, c2, texts = batch.columns
         for lo, hi in row_chunks(texts):
-            sets = shingle_sets(texts.slice(lo, hi - lo))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    labels.slice(lo, hi - lo), ids.slice(lo, hi - lo), pa.array([len(s) for s in sets], pa.int32()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                ["label", "rep", "n", "items"],
-            )
+            rows = []
+            for cls, one, two, s in zip(*(c.slice(lo, hi - lo).to_pylist() for c in (classes, c1, c2)), shingle_sets(texts.slice(lo, hi - lo)), strict=True):
+                d1, d2 = set_digest(s)
+                if len(s) and (cls is None or (one, two) == (d1, d2)):
+                    rows.append((cls, d1, d2, s.tobytes()))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["cls", "d1", "d2", "items"])
+
+
+def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All columns, and the digest of the text's set, null where that is empty."""
+    for batch in batches:
+        texts = batch.column(batch.schema.get_field_index("text"))
+        for lo, hi in row_chunks(texts):
+            found = [set_digest(s) if len(s) else (None, None) for s in shingle_sets(texts.slice(lo, hi - lo))]
+            more = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*[c.slice(lo, hi - lo) for c in batch.columns], *more], [*batch.schema.names, "d1", "d2"])
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Whole rows of ``docs`` without those of a component other than its smallest doc_id."""
-    found = jaccard_components(docs).where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*[docs[f"`{c}`"] for c in docs.columns])
+    """Whole rows of ``docs``: of each component the document with the smallest doc_id.
+
+    Of rows with one id and one text one stays. Of a component in which no row has an id one row stays; other rows with
+    a null id go, unless their text has no shingle.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]  # columns of any name pass unchanged
+    names[docs.columns.index("doc_id")], names[docs.columns.index("text")] = "doc_id", "text"
+    rows = docs.toDF(*names)
+    texts = rows.select("doc_id", "text")
+    table = stored(shingle_table(texts, hot_shingles(texts)), "shingles")
+    named = component_names(texts, table)
+    ids = table.where("doc_id is not null").select("doc_id", "n", "d1", "d2").join(named.select("d1", "d2", "component_id"), ["d1", "d2"], "left")
+    lost = stored(ids.where("n > 0 and doc_id <> component_id").select("doc_id").distinct(), "lost")
+    kept = rows.where("doc_id is not null").join(lost, "doc_id", "left_anti")
+    repeated = stored(table.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "repeated")
+    if not repeated.isEmpty():
+        again = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.first(F.struct(*names)).alias("row")).select("row.*")
+        kept = kept.join(repeated, "doc_id", "left_anti").select(*names).unionByName(again.select(*names))
+    if not table.where("doc_id is null").isEmpty():
+        schema = T.StructType([*rows.schema.fields, T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])
+        without = rows.where("doc_id is null").mapInArrow(_digests, schema)
+        empty = without.where("d1 is null").select(*names)
+        alone = named.where("component_id is null").select("d1", "d2", F.coalesce("component", "cls").alias("component"))
+        one = without.join(alone, ["d1", "d2"]).groupBy("component").agg(F.first(F.struct(*names)).alias("row")).select("row.*")
+        kept = kept.select(*names).unionByName(one.select(*names)).unionByName(empty)
+    return kept.select(*names).toDF(*docs.columns)

@@ -56,10 +56,11 @@ def mutants():
     return texts
 
 
-@pytest.mark.parametrize("rows", [4096, 16])
-def test_join_equals_brute_force(spark, monkeypatch, rows):
-    """With small tiles too, so that large ones are cut into pairs of blocks."""
+@pytest.mark.parametrize("rows, elements", [(4096, 2_000_000), (16, 4_000), (8, 1_000)])
+def test_join_equals_brute_force(spark, monkeypatch, rows, elements):
+    """With small tiles too, so that large keys are dealt and cut into pairs of cells."""
     monkeypatch.setattr(ngram_join, "TILE_ROWS", rows)
+    monkeypatch.setattr(ngram_join, "TILE_ELEMENTS", elements)
     texts = mutants()
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()} == brute(texts)
@@ -70,6 +71,53 @@ def test_join_equals_brute_force_on_documents(documents):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(documents).collect()} == brute(texts)
 
 
+def linked_rows(rows):
+    """(n, component) of each row by links between rows, by definition; rows of one id are one document."""
+    sets = [shingles(t) for _, t in rows]
+    links, first = [], {}
+    for i, (k, _) in enumerate(rows):
+        for j in range(i):
+            o = len(sets[i] & sets[j])
+            if o and 100 * o >= 80 * len(sets[i] | sets[j]):
+                links.append((i, j))
+        if k is not None and sets[i]:
+            links.append((i, first.setdefault(k, i)))
+    component = reach(range(len(rows)), links)
+    least = {}
+    for i, (k, _) in enumerate(rows):
+        if k is not None:
+            least[component[i]] = min(k, least.get(component[i], k))
+    return [(len(sets[i]), least.get(component[i]) if sets[i] else rows[i][0]) for i in range(len(rows))]
+
+
+def test_join_with_repeated_and_null_ids(spark):
+    words = [f"w{i}" for i in range(30)]
+    a, b, b2 = " ".join(words), " ".join(f"x{i}" for i in range(40)), " ".join([f"x{i}" for i in range(40)] + ["end"])
+    c, c2 = " ".join(f"y{i}" for i in range(50)), " ".join([f"y{i}" for i in range(50)] + ["z"])
+    rows = [(5, a), (5, b), (9, b), (12, b2), (12, b2), (None, c), (None, c2), (None, c), (20, c + " more"), (None, "alone in the world it is"), (None, "alone in the world it is"), (None, None), (30, ""), (30, ""), (31, a + " q")]
+    docs = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, n int")
+    want = Counter((k, *x) for (k, _), x in zip(rows, linked_rows(rows)))
+    assert want[12, 37, 5] == 2 and want[9, 36, 5] == 1 and want[31, 27, 5] == 1
+    assert Counter(tuple(r) for r in ngram_join.jaccard_components(docs).collect()) == want
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(5, a), (5, b), (20, c + " more"), (None, "alone in the world it is"), (None, None), (30, "")])
+
+
+def test_links_between_two_rows_are_never_lost(spark):
+    """Pairs near the threshold among many unrelated rows that share their first words."""
+    rng, rows = random.Random(8), []
+    for k in range(120):
+        own = [f"a{k}x{i}" for i in range(rng.randrange(10, 60))]
+        other = list(own)
+        for _ in range(max(1, len(own) // 40)):
+            other[rng.randrange(3)] = "changed"
+        rows += [(2 * k, " ".join(["one common beginning of every single page", *own])), (2 * k + 1, " ".join(["one common beginning of every single page", *other]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
+    assert got == brute(dict(rows)) and 40 < sum(k != c for k, (_, c) in got.items())
+
+
 def test_join_odd_rows(odd_documents, no_documents):
     got = Counter((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(odd_documents).collect())
     assert got[(1, 5, 1)] == 1 and got[(2, 5, 1)] == 2 and got[(3, 0, 3)] == 1 and got[(4, 0, 4)] == 1 and got[(5, 0, 5)] == 1 and got[(None, 1, None)] == 1 and got[(7, 1, 7)] == 1
