@@ -109,6 +109,9 @@ def test_archive_round_trip(spark, tmp_path):
         assert r.payload_bytes == len(data) and r.payload_digest == base64.b32encode(hashlib.sha1(data).digest()).decode()
         head, _, body = bytes(r.record).partition(b"\r\n\r\n")
         assert head.startswith(b"WARC/1.1\r\n") and body == (data if r.record_type == "response" else b"") + b"\r\n\r\n"
+    heads = [bytes(r.record).partition(b"\r\n\r\n")[0].decode().split("\r\n") for r in out]
+    ids = [next(x for x in h if x.startswith("WARC-Record-ID: "))[16:] for h in heads]
+    assert len(set(ids)) == len(ids) and all(x[16:] in ids for h in heads for x in h if x.startswith("WARC-Refers-To: "))
     kinds = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in out)
     assert kinds == [(0, "response", None), (0, "revisit", 1), (1, "response", None), (2, "revisit", 1), (2, "revisit", 1), (3, "response", None), (4, "revisit", 3), (5, "response", None)]
     assert warc.archived_pages(df.limit(0)).count() == 0
