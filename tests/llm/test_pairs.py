@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quorumrank.llm import components, embed_dedup, ngram_join
 
@@ -144,9 +145,11 @@ def test_components_of_chains_and_stars(spark):
     assert components.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
-@pytest.mark.parametrize("rows", [1536, 20])
-def test_embeddings_equal_brute_force(spark, monkeypatch, rows):
-    monkeypatch.setattr(embed_dedup, "TILE_ROWS", rows)
+@pytest.mark.parametrize("rows, chunk", [(8192, 1024), (100, 7), (12, 5)])
+def test_embeddings_equal_brute_force(spark, monkeypatch, rows, chunk):
+    """With small cells too, so that labels are cut along the components and dealt by a hash."""
+    monkeypatch.setattr(embed_dedup, "CELL_ROWS", rows)
+    monkeypatch.setattr(embed_dedup, "CHUNK_ROWS", chunk)
     rng = np.random.default_rng(5)
     base = rng.normal(size=(25, 40))
     x = np.concatenate([base[rng.integers(0, 25, 260)] + rng.normal(scale=0.33, size=(260, 40)), np.repeat(base[:2], 20, axis=0), base[:1] * 2.5]).astype(np.float32)
@@ -168,4 +171,26 @@ def test_embeddings_odd_rows(spark):
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(df).collect()}
     assert got[1] == (2, 1, True) and got[2] == (2, 1, False) and got[3] == (2, 1, False)
     assert all(got[i] == (0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11)) and len(got) == 14 and got[12][1] == 12 and got[13][1] == 12
+    assert (got[None], got[12], got[13]) == ((2, 12, False), (2, 12, True), (2, 12, False))
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
+    assert embed_dedup.near_duplicates(df.select("vec_id", F.lit(None).cast("array<float>").alias("embedding"), "label")).where("n_links = 0 and kept").count() == 14
+
+
+def test_embeddings_with_labels_of_text_and_no_ids(spark):
+    rows = [(1, [1.0, 0.0], "a"), (2, [0.99, 0.02], "a"), (3, [1.0, 0.0], "b"), (None, [0.0, 1.0], "a"), (None, [0.01, 1.0], "a"), (7, [1.0, 0.0], "b"), (7, [0.0, 1.0], "b"), (4, [1.0, 0.01], None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
+    got = sorted(((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in embed_dedup.near_duplicates(df).collect()))
+    assert got == [(0, 1, 0, True), (0, 1, 0, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 0, 4, True), (7, 0, 7, True), (7, 1, 3, False)]
+
+
+def test_many_lengths_and_long_vectors(spark, monkeypatch):
+    monkeypatch.setattr(embed_dedup, "CELL_ROWS", 10)
+    monkeypatch.setattr(embed_dedup, "ROTATED_DIMS", 6)
+    rng = np.random.default_rng(9)
+    rows = [(100 * n + k, [float(v) for v in np.arange(1, n + 1) + rng.normal(scale=0.01, size=n)], 1) for n in range(2, 30) for k in range(2)]
+    rows += [(10_000 + k, [float(v) for v in rng.normal(size=40) + (5 * np.eye(40)[k % 4])], 1) for k in range(40)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert all(got[100 * n + k] == (1, 100 * n) for n in range(2, 30) for k in range(2))
+    x = np.array([v for i, v, _ in rows if i >= 10_000])
+    linked = (x @ x.T / np.outer(*[np.sqrt((x * x).sum(1))] * 2) >= 0.93).sum(1) - 1
+    assert [got[10_000 + k][0] for k in range(40)] == linked.tolist()
