@@ -2,14 +2,16 @@
 
 A paragraph (a line) hashes to a wide vector, and a document's fingerprint is the sum of its paragraphs' vectors,
 modulo powers of two lane by lane. So the order of paragraphs doesn't matter, and a paragraph is added to or taken
-from a fingerprint without the rest of the text. Two blocks of lanes: EQUAL_LANES pseudo-random lanes modulo 2**32
-tell whether two multisets are equal; SIGN_LANES lanes count, for each paragraph, the clauses in it whose hash has a
-given bit set, modulo 2**32, so that with the count of clauses they are sums of +1 and -1 and their scaled product
-estimates how much two texts share.
+from a fingerprint without the rest of the text. Two blocks of lanes: EQUAL_LANES lanes modulo 2**32, cut from the
+paragraph's SHA-512, tell whether two multisets are equal; SIGN_LANES lanes count, for each paragraph, the clauses in it
+whose hash has a given bit set, modulo 2**32, so that with the count of clauses they are sums of +1 and -1 and their
+scaled product estimates how much two texts share.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -24,8 +26,8 @@ _PAIR = (1 << 32) | 1
 BUCKET_ROWS, CELLS = 256, 1024
 
 
-def _random_lane(i: int):
-    return lambda total, x: total + F.xxhash64(x, F.lit(i)).bitwiseAND(F.lit(_LOW))
+def _strong_lane(i: int):
+    return lambda total, x: total + F.conv(F.substring(x, 8 * i + 1, 8), 16, 10).cast("long")
 
 
 def _sign_lanes(i: int):
@@ -35,12 +37,12 @@ def _sign_lanes(i: int):
 def fingerprint(text: Column) -> Column:
     """array<long> of EQUAL_LANES sums, SIGN_LANES / 2 pairs of counts and the count of clauses."""
     text = F.coalesce(text, F.lit(""))
-    lines = F.transform(F.split(text, "\n"), lambda p: F.xxhash64(p, F.length(p)))
+    lines = F.transform(F.split(text, "\n"), lambda p: F.sha2(p, 512))
     clauses = F.transform(F.filter(F.split(text, r"[.,;:!?|\n]+ *"), lambda c: c != ""), lambda c: F.xxhash64(c))
     return F.transform(  # the two arrays of hashes are made once for all lanes
         F.array(F.struct(lines.alias("lines"), clauses.alias("clauses"))),
         lambda h: F.array(
-            *[F.aggregate(h["lines"], F.lit(0).cast("long"), _random_lane(i)).bitwiseAND(F.lit(_LOW)) for i in range(EQUAL_LANES)],
+            *[F.aggregate(h["lines"], F.lit(0).cast("long"), _strong_lane(i)).bitwiseAND(F.lit(_LOW)) for i in range(EQUAL_LANES)],
             *[F.aggregate(h["clauses"], F.lit(0).cast("long"), _sign_lanes(i)) for i in range(SIGN_LANES // 2)],
             F.size(h["clauses"]).cast("long"),
         ),
@@ -92,36 +94,51 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), both(lanes(a), lanes(b)))))
 
 
-def _bucketed(docs: DataFrame) -> DataFrame:
-    """Adds (cell, sub): consecutive ids in groups of about BUCKET_ROWS rows, whatever their distribution."""
-    stats = docs.agg(F.count("doc_id").alias("n"), F.percentile_approx("doc_id", [i / 64 for i in range(65)], 10_000).alias("q")).first()
-    n = stats.n or 0
-    cells = max(1, min(CELLS, n // (8 * BUCKET_ROWS)))
+def _bucketed(docs: DataFrame) -> tuple[DataFrame, list[int]]:
+    """(docs with cell, sub; the cells of one id): consecutive places in groups of about BUCKET_ROWS rows, whatever the ids.
+
+    An id that fills a quantile cell or more, and the rows without an id, are cells of their own, cut by ``tie``, the hash
+    of the text that orders their rows.
+    """
+    stats = docs.agg(F.count(F.lit(1)).alias("all"), F.count("doc_id").alias("n"), F.percentile_approx("doc_id", [i / 64 for i in range(65)], 10_000).alias("q")).first()
+    n, without = stats.n or 0, (stats["all"] or 0) - (stats.n or 0)
+    cells = max(64, min(CELLS, n // (8 * BUCKET_ROWS)))
     if cells > 64:
         stats = docs.agg(F.percentile_approx("doc_id", [i / cells for i in range(cells + 1)], 10 * CELLS).alias("q")).first()
-    edges = sorted(set(stats.q or [0]))
+    found = Counter(stats.q or [0])
+    large = {e: k * n // cells for e, k in found.items() if k > 1 and k * n // cells > BUCKET_ROWS}
+    edges = sorted({*found, *[e + 1 for e in large if e < (1 << 63) - 1]})
     subs = max(1, n // (len(edges) * BUCKET_ROWS))
     widths = [max(1, -(-(b - a) // subs)) for a, b in zip(edges, [*edges[1:], edges[-1] + 1], strict=True)]
-    lows = F.split(F.lit(",".join(map(str, edges))), ",").cast("array<bigint>")
-    wide = F.split(F.lit(",".join(map(str, widths))), ",").cast("array<bigint>")
+    parts = [-(-rows // BUCKET_ROWS) for rows in (*[large.get(e, 0) for e in edges], max(1, without))]
+    lows, wide, by_tie = (F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>") for x in (edges, widths, parts))
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))])
     cell = F.aggregate(  # binary search of the last edge not above the id; below all of them, the first
         steps, F.lit(0), lambda at, s: F.when((at + s <= len(edges)) & (F.get(lows, at + s - 1) <= F.col("doc_id")), at + s).otherwise(at)
     )
     at = F.greatest(cell, F.lit(1)) - 1
-    sub = F.floor((F.col("doc_id") - F.get(lows, F.col("cell"))) / F.get(wide, F.col("cell")))
     placed = docs.withColumn("cell", F.when(F.col("doc_id").isNull(), F.lit(len(edges))).otherwise(at))
-    return placed.withColumn("sub", F.when(F.col("doc_id").isNull(), F.lit(0).cast("long")).otherwise(sub))
+    by_id = F.floor((F.col("doc_id") - F.get(lows, F.col("cell"))) / F.get(wide, F.col("cell")))
+    cut = F.get(by_tie, F.col("cell"))
+    placed = placed.withColumn("sub", F.when(cut > 0, F.floor(F.col("tie") / F.lit(2.0**63) * cut)).otherwise(by_id))
+    return placed, [i for i, e in enumerate(edges) if large.get(e)] + ([len(edges)] if without else [])
 
 
 def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, fp, next_text, next_fp): each row beside the one that follows by doc_id; after the last, the first.
 
     Null texts read as empty. Rows with one doc_id follow each other by a hash of their texts, null ids come last.
-    The first row of each group of neighbours is copied into the group before, so no sort is global.
+    The first row of each group of neighbours is copied into the group before, so no sort is global. Equal rows of an id
+    that very many rows have travel as one.
     """
-    placed = _bucketed(pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit(""))))
-    placed = placed.withColumn("tie", F.xxhash64("text"))
+    docs = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
+    placed, crowded = _bucketed(docs.withColumn("tie", F.xxhash64("text").bitwiseAND(F.lit((1 << 63) - 1))))
+    place = ["cell", "sub", "doc_id", "text", "tie"]
+    if crowded:
+        alike = placed.where(F.col("cell").isin(crowded)).groupBy(*place).agg(F.count(F.lit(1)).alias("copies"))
+        placed = placed.where(~F.col("cell").isin(crowded)).select(*place, F.lit(1).cast("long").alias("copies")).unionByName(alike)
+    else:
+        placed = placed.select(*place, F.lit(1).cast("long").alias("copies"))
     order = [F.col("doc_id").asc_nulls_last(), "tie"]
     key = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("tie").alias("c"))
     heads = placed.groupBy("cell", "sub").agg(F.min_by(F.struct("doc_id", "text", "tie"), key).alias("head"))
@@ -136,19 +153,24 @@ def with_next(docs: DataFrame) -> DataFrame:
     before = groups.select("cell", "sub", F.lag("sub").over(inside).alias("prev")).join(ends, "cell")
     ghosts = heads.join(before, ["cell", "sub"]).select(
         F.when(F.col("prev").isNull(), F.col("before_cell")).otherwise(F.col("cell")).alias("cell"),
-        F.coalesce("prev", "before_sub").alias("sub"), "head.doc_id", "head.text", "head.tie", F.lit(1).alias("ghost"),
+        F.coalesce("prev", "before_sub").alias("sub"), "head.doc_id", "head.text", "head.tie", F.lit(1).cast("long").alias("copies"), F.lit(1).alias("ghost"),
     )
-    rows = placed.select("cell", "sub", "doc_id", "text", "tie", F.lit(0).alias("ghost")).unionByName(ghosts)
+    rows = placed.withColumn("ghost", F.lit(0)).unionByName(ghosts)
     rows = rows.withColumn("fp", fingerprint(F.col("text")))
     along = Window.partitionBy("cell", "sub").orderBy("ghost", *order)
-    return (
-        rows.withColumns({"next_text": F.lead("text").over(along), "next_fp": F.lead("fp").over(along)})
-        .where("ghost = 0").select("doc_id", "text", "fp", "next_text", "next_fp")
-    )
+    out = rows.withColumns({"next_text": F.lead("text").over(along), "next_fp": F.lead("fp").over(along)}).where("ghost = 0")
+    if crowded:  # of equal rows all but the last are followed by their like
+        out = out.withColumn("left", F.explode(F.sequence(F.col("copies") - 1, F.lit(0).cast("long"))))
+        out = out.withColumns({f"next_{c}": F.when(F.col("left") > 0, F.col(c)).otherwise(F.col(f"next_{c}")) for c in ("text", "fp")})
+    return out.select("doc_id", "text", "fp", "next_text", "next_fp")
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next), one row per input row."""
+    """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next), one row per input row.
+
+    Null texts read as empty. ``near_next`` is the likeness to the next document. The order is that of ``with_next``, the
+    only row is its own next one. Other columns are ignored.
+    """
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))

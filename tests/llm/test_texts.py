@@ -13,6 +13,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from quorumrank.llm import context_tree, fingerprint, packing, piece_codec, pii, toxicity, wordhash
@@ -436,21 +437,65 @@ def test_vector_limits_hold_for_instructions():
         list(packer.add(packing.Example(0, b"", 0, 101)))
 
 
-def test_fingerprints_equal_definition(documents, odd_documents, no_documents):
-    rows = sorted(documents.collect(), key=lambda r: r.doc_id)
-    got = {r.doc_id: r for r in fingerprint.fingerprints(documents).collect()}
-    by_text = {}
-    for i, d in enumerate(rows):
-        text, after = d.text or "", rows[(i + 1) % len(rows)].text or ""
+def summed(text):
+    """The vector of a text by definition: 16 strong lanes, 64 counts of set bits and the number of clauses."""
+    strong, signs, n = [0] * 16, [0] * 64, 0
+    for line in text.split("\n"):
+        digest = hashlib.sha512(line.encode()).digest()
+        strong = [(a + int.from_bytes(digest[4 * i : 4 * i + 4], "big")) % 2**32 for i, a in enumerate(strong)]
+    for clause in filter(None, re.split(r"[.,;:!?|\n]+ *", text)):
+        h, n = xxhash.xxh64_intdigest(clause.encode(), seed=42), n + 1
+        signs = [a + (h >> i & 1) for i, a in enumerate(signs)]
+    return strong, signs, n
+
+
+def written(vector):
+    strong, signs, n = vector
+    return "".join(f"{x:016x}" for x in (*strong, *[signs[i] | signs[i + 32] << 32 for i in range(32)], n))
+
+
+def alike(a, b):
+    if a == b:
+        return 1.0
+    x, y = (2.0 * np.array(v[1]) - v[2] for v in (a, b))
+    norm = float(x @ x + y @ y)
+    return min(1.0, max(0.0, 2 * float(x @ y) / norm)) if norm else 0.0
+
+
+def by_definition(rows):
+    """What each row gets; rows are (doc_id, text) in their order."""
+    for i, (k, text) in enumerate(rows):
+        text, after = text or "", rows[(i + 1) % len(rows)][1] or ""
         half = len(text) // 2
-        r = got[d.doc_id]
-        assert r.n_chars == len(text) and r.edited_sha256 == hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()
-        assert by_text.setdefault(text, r.fingerprint) == r.fingerprint and 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
-    assert len(set(by_text.values())) == len(by_text)
-    assert np.mean([r.near_edited for r in got.values()]) > np.mean([r.near_next for r in got.values()]) + 0.2
+        edited = text[: len(text) - half] + after[:half]
+        own, other, following = summed(text), summed(edited), summed(after)
+        yield k, len(text), hashlib.sha256(edited.encode()).hexdigest(), written(own), written(other), round(alike(own, other), 9), round(alike(own, following), 9)
+
+
+def fingerprint_rows(docs):
+    return sorted(((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in fingerprint.fingerprints(docs).collect()), key=repr)
+
+
+def test_fingerprints_equal_definition(documents, odd_documents, no_documents):
+    rows = sorted((r.doc_id, r.text) for r in documents.collect())
+    got = fingerprint_rows(documents)
+    assert got == sorted(by_definition(rows), key=repr)
+    assert len({r[3] for r in got}) == len({t for _, t in rows}) and np.mean([r[5] for r in got]) > np.mean([r[6] for r in got]) + 0.2
     assert fingerprint.fingerprints(odd_documents).count() == odd_documents.count() and fingerprint.fingerprints(no_documents).count() == 0
 
 
+def test_fingerprints_of_crowded_ids(spark, monkeypatch):
+    """One id and null ids with many rows, equal ones among them, in small groups."""
+    monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 8)
+    rng = np.random.default_rng(7)
+    rows = [(int(i), f"own {i}. two, three {i % 7}\nx") for i in range(-50, 150)]
+    rows += [(77, f"crowd {int(k)}. a b") for k in rng.integers(0, 60, 300)] + [(None, f"none {int(k)}; c") for k in rng.integers(0, 40, 200)] + [(None, None)] * 30 + [(78, "same")] * 200
+    docs = spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id long, text string, cell int").repartition(7)
+    tie = lambda t: xxhash.xxh64_intdigest((t or "").encode(), seed=42) & (1 << 63) - 1
+    rows.sort(key=lambda r: (r[0] is None, r[0] or 0, tie(r[1])))
+    assert fingerprint_rows(docs) == sorted(by_definition(rows), key=repr)
+
+
 def test_fingerprint_is_homomorphic(spark):
     df = spark.createDataFrame([("a. b\nccc\nd e", "d e\na. b\nccc", "a. b\nccc", "d e")], "x string, y string, z string, w string")
     fp = {c: fingerprint.fingerprint(F.col(c)) for c in "xyzw"}
