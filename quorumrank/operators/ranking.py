@@ -3,11 +3,12 @@
 A window without a partition sorts every row in one task. Here values are cut at quantile edges (a few hundred
 numbers on the driver), counted in each range, and ranked within their range by a partitioned window; the rank is that
 plus what lies in the ranges before. Equal values fall in one range, so ties never straddle. The edges only spread
-the work: ranks are exact whatever they are.
+the work: ranks are exact whatever they are. Up to ONE_TASK_ROWS rows there are no edges, and one task sorts them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,8 @@ from pyspark.sql.window import Window
 
 #: Ranges of values at most.
 RANGES = 256
+#: Rows that a window without ranges may hold.
+ONE_TASK_ROWS = 1_000_000
 
 
 def percentile_window(value: str, direction: str = "asc") -> Column:
@@ -25,11 +28,11 @@ def percentile_window(value: str, direction: str = "asc") -> Column:
 
 
 def quantile_edges(columns: dict[str, tuple[DataFrame, str]], ranges: int = RANGES) -> dict[str, list[float]]:
-    """Range edges of several columns in one job; columns: name to (table, column)."""
+    """Range edges of several columns in one job, none for ONE_TASK_ROWS values or fewer; columns: name to (table, column)."""
     parts = [df.select(F.lit(name).alias("name"), F.col(c).cast("double").alias("v")) for name, (df, c) in columns.items()]
     shares = [i / ranges for i in range(1, ranges)]
-    rows = reduce(DataFrame.unionByName, parts).groupBy("name").agg(F.percentile_approx("v", shares, 20 * ranges).alias("e")).collect()
-    return {name: [] for name in columns} | {r.name: sorted(set(r.e or [])) for r in rows}
+    found = reduce(DataFrame.unionByName, parts).groupBy("name").agg(F.count("v").alias("n"), F.percentile_approx("v", shares, 20 * ranges).alias("e"))
+    return {name: [] for name in columns} | {r.name: sorted(set(r.e or [])) if r.n > ONE_TASK_ROWS else [] for r in found.collect()}
 
 
 def range_of(value: Column, edges: list[float], descending: bool = False) -> Column:
@@ -66,20 +69,51 @@ def value_ranks(df: DataFrame, value: str, direction: str = "asc", few: bool = F
 
 def with_percentile(df: DataFrame, value: str, out: str, direction: str = "asc", few: bool = False, edges: list[float] | None = None) -> DataFrame:
     """``df`` without null values and with ``out`` = 1 - (rank - 1) / (n - 1), ties sharing the best; 1.0 for one row."""
+    if edges is None and not few:
+        edges = quantile_edges({"v": (df, value)})["v"]
+    if not edges and not few:
+        return df.where(F.col(value).isNotNull()).withColumn(out, percentile_window(value, direction))
     ranks = value_ranks(df, value, direction, few, edges=edges)
     score = F.when(F.col("n") > 1, 1 - F.col("below") / (F.col("n") - 1)).otherwise(F.lit(1.0))
     return df.join(ranks, value).withColumn(out, score).drop("below", "n").select(*df.columns, out)
 
 
-def with_ordinal_rank(df: DataFrame, score: str, ties: list[Column], out: str = "rank", ranges: int = RANGES) -> DataFrame:
-    """Adds 1, 2, 3... by falling score and then ``ties``, which must tell all rows apart. Null scores get none."""
-    known = df.where(F.col(score).isNotNull())
-    edges = quantile_edges({"v": (known, score)}, ranges)["v"]
-    placed = known.withColumn("_r", range_of(F.col(score).cast("double"), edges, descending=True))
-    totals = placed.groupBy("_r").agg(F.count(F.lit(1)).alias("_t"))
-    along = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("_r", F.coalesce(F.sum("_t").over(along), F.lit(0)).alias("_o"))
-    inside = Window.partitionBy("_r").orderBy(F.col(score).desc(), *ties)
-    ranked = placed.withColumn("_k", F.row_number().over(inside)).join(F.broadcast(totals), "_r")
+def _placed(df: DataFrame, score: str, groups: Sequence[str], edges: list[float]) -> tuple[DataFrame, DataFrame]:
+    """(df with its range ``_r``, the best first; (groups, _r, _o): rows in better ranges)."""
+    placed = df.withColumn("_r", range_of(F.col(score).cast("double"), edges, descending=True))
+    totals = placed.groupBy(*groups, "_r").agg(F.count(F.lit(1)).alias("_t"))
+    along = Window.partitionBy(*groups).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    return placed, totals.select(*groups, "_r", F.coalesce(F.sum("_t").over(along), F.lit(0)).alias("_o"))
+
+
+def with_ordinal_rank(df: DataFrame, score: str, ties: list[Column], out: str = "rank", ranges: int = RANGES, groups: Sequence[str] = ()) -> DataFrame:
+    """Adds 1, 2, 3... by falling score and then ``ties``, which must tell all rows apart, in each of a few groups.
+
+    Null scores get none.
+    """
+    edges = quantile_edges({"v": (df, score)}, ranges)["v"]
+    order = [F.col(score).desc_nulls_last(), *ties]
+    if not edges:
+        rank = F.row_number().over(Window.partitionBy(*groups).orderBy(*order)).cast("long")
+        return df.withColumn(out, F.when(F.col(score).isNotNull(), rank))
+    placed, before = _placed(df.where(F.col(score).isNotNull()), score, groups, edges)
+    ranked = placed.withColumn("_k", F.row_number().over(Window.partitionBy(*groups, "_r").orderBy(*order)))
+    ranked = ranked.join(F.broadcast(before), [*groups, "_r"])  # a row for each range of a group
     ranked = ranked.select(*df.columns, (F.col("_o") + F.col("_k")).cast("long").alias(out))
     return ranked.unionByName(df.where(F.col(score).isNull()).withColumn(out, F.lit(None).cast("long")))
+
+
+def top_rows(df: DataFrame, score: str, ties: list[Column], most: int, groups: Sequence[str], out: str = "k") -> DataFrame:
+    """The first ``most`` rows of each group by falling score and then ``ties``, with their rank.
+
+    Ranges that lie beyond them are left out before anything is sorted. Null scores don't take part.
+    """
+    known = df.where(F.col(score).isNotNull())
+    edges = quantile_edges({"v": (known, score)})["v"]
+    order = [F.col(score).desc(), *ties]
+    if not edges:
+        return known.withColumn(out, F.row_number().over(Window.partitionBy(*groups).orderBy(*order))).where(F.col(out) <= most)
+    placed, before = _placed(known, score, groups, edges)
+    first = placed.join(F.broadcast(before.where(F.col("_o") < most)), [*groups, "_r"])
+    ranked = first.withColumn("_k", F.row_number().over(Window.partitionBy(*groups, "_r").orderBy(*order)))
+    return ranked.select(*df.columns, (F.col("_o") + F.col("_k")).alias(out)).where(F.col(out) <= most)

@@ -9,7 +9,7 @@ rank bands aggregate, and come back by a broadcast of five rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -158,20 +158,23 @@ def apply(df: DataFrame, stages: list[Stage]) -> DataFrame:
     return df
 
 
-def with_bands(df: DataFrame, last: int) -> DataFrame:
-    """Adds rank by the last slot's score (ties: more sources, then domain), band and cap."""
-    ranked = with_ordinal_rank(df, f"s{last}", [F.col(f"c{last}").desc_nulls_last(), F.col("registered_domain").asc()])
+def with_bands(df: DataFrame, last: int, groups: Sequence[str] = ()) -> DataFrame:
+    """Adds rank by the last slot's score (ties: more sources, then domain) in each group, band and cap."""
+    ties = [F.col(f"c{last}").desc_nulls_last(), F.col("registered_domain").asc()]
+    ranked = with_ordinal_rank(df, f"s{last}", ties, groups=groups)
     return ranked.withColumn("band", F.expr(band_of("rank"))).withColumn("cap", F.expr(cap_of("band")))
 
 
-def with_band_scales(df: DataFrame, prefix: str, noise: bool = True) -> DataFrame:
+def with_band_scales(df: DataFrame, prefix: str, noise: bool = True, groups: Sequence[str] = ()) -> DataFrame:
     """Adds ``<prefix>scale`` (1.4826 times the median absolute deviation) and, if asked, ``noise_scale``, by band."""
-    rows = df.where(F.col(f"{prefix}ok"))
-    centers = rows.groupBy("band").agg(F.percentile(f"{prefix}conf", 0.5).alias("_center"), F.greatest(F.percentile(f"{prefix}res", 0.5), F.lit(NOISE_FLOOR)).alias("noise_scale"))
-    around = rows.join(F.broadcast(centers), "band").groupBy("band").agg(
-        F.greatest(1.4826 * F.percentile(F.abs(F.col(f"{prefix}conf") - F.col("_center")), 0.5), F.lit(NOISE_FLOOR)).alias(f"{prefix}scale"), F.max("noise_scale").alias("noise_scale"),
+    rows, key = df.where(F.col(f"{prefix}ok")), [*groups, "band"]
+    center, spread = F.percentile(f"{prefix}conf", 0.5), F.percentile(f"{prefix}res", 0.5)
+    centers = rows.groupBy(*key).agg(center.alias("_center"), F.greatest(spread, F.lit(NOISE_FLOOR)).alias("noise_scale"))
+    away = F.percentile(F.abs(F.col(f"{prefix}conf") - F.col("_center")), 0.5)
+    around = rows.join(F.broadcast(centers), key).groupBy(*key).agg(
+        F.greatest(1.4826 * away, F.lit(NOISE_FLOOR)).alias(f"{prefix}scale"), F.max("noise_scale").alias("noise_scale"),
     )
-    return df.join(F.broadcast(around if noise else around.drop("noise_scale")), "band", "left")  # a row per band, five at most
+    return df.join(F.broadcast(around if noise else around.drop("noise_scale")), key, "left")  # a row per band of a group
 
 
 def components(hist: DataFrame, slots: int = HISTORY_WINDOW) -> DataFrame:

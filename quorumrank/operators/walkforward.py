@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import frozen
 from . import temporal as T
+from .ranking import top_rows
 
 TOP_N = (100, 1_000, 10_000, 100_000)
 
@@ -36,34 +34,41 @@ INDEX_CANDIDATES: dict[str, str] = {
 }
 
 
-def _long(df: DataFrame, slot: int, values: dict[str, str], keep: str = "false") -> DataFrame:
-    """(candidate, slot, registered_domain, value, shock) of the rows that have a value."""
+def rolled(hist: DataFrame, slots: int, window: int = T.HISTORY_WINDOW) -> DataFrame:
+    """A row for each domain and slot that ends a whole window and has a score, with the window's columns as s0, s1..."""
+    ends = [
+        F.struct(F.lit(last).alias("slot"), *[F.col(f"{k}{last - window + 1 + i}").alias(f"{k}{i}") for i in range(window) for k in "scmr"])
+        for last in range(window - 1, slots)
+    ]
+    return hist.select("registered_domain", F.inline(F.array(*ends))).where(f"s{window - 1} is not null")
+
+
+def _long(df: DataFrame, values: dict[str, str], keep: str = "false") -> DataFrame:
+    """(slot, registered_domain, shock, candidate, value) of the rows that have a value."""
     rows = F.array(*[F.struct(F.lit(c).alias("candidate"), F.expr(v).cast("double").alias("value")) for c, v in values.items()])
-    return df.select(F.lit(slot).alias("slot"), "registered_domain", F.expr(keep).alias("shock"), F.inline(rows)).where("value is not null")
+    return df.select("slot", "registered_domain", F.expr(keep).alias("shock"), F.inline(rows)).where("value is not null")
 
 
 def meta_candidates(hist: DataFrame, slots: int, windows: tuple[int, ...] = (4, 8)) -> DataFrame:
-    """Raw scores and every candidate of every window, from the first slot with a whole window."""
-    hist, parts = frozen(hist), []
-    for last in range(max(windows) - 1, slots):
-        parts.append(_long(hist, last, {"raw": f"s{last}"}))
-        df = T.with_bands(hist.where(f"s{last} is not null"), last)
-        for w in windows:
-            p = f"w{w}_"
-            rows = T.apply(T.with_band_scales(T.apply(df, T.rolling(p, last, w)), p, noise=False), [T.adjusted(p)])
-            parts.append(_long(rows, last, {f"{c}-w{w}": f"case when {p}ok then {v.format(p=p)} end" for c, v in META_CANDIDATES.items()}))
-    return reduce(DataFrame.unionByName, parts)
+    """Raw scores and every candidate of every window, from the first slot with a whole window. All slots are one plan."""
+    last = max(windows) - 1
+    df = T.with_bands(frozen(rolled(hist, slots, last + 1)), last, ["slot"])
+    values = {"raw": f"s{last}"}
+    for w in windows:
+        p = f"w{w}_"
+        df = T.apply(T.with_band_scales(T.apply(df, T.rolling(p, last, w)), p, noise=False, groups=["slot"]), [T.adjusted(p)])
+        values |= {f"{c}-w{w}": f"case when {p}ok then {v.format(p=p)} end" for c, v in META_CANDIDATES.items()}
+    return _long(df, values)
 
 
 def index_candidates(hist: DataFrame, slots: int) -> DataFrame:
-    """Raw scores and the index's candidates, with the slot's structural shocks."""
-    hist, parts = frozen(hist), []
-    for last in range(T.HISTORY_WINDOW - 1, slots):
-        now = hist.where(f"s{last} is not null")
-        df = T.apply(T.with_bands(now, last), [*T.rolling("l_", last, 4), *T.rolling("p_", last - 1, 4), *T.rolling("t_", last, 8)])
-        df = T.apply(T.with_band_scales(df, "t_"), [T.adjusted("t_"), *T.quality(last), {"base": f"case when l_ok then l_ewma else s{last} end"}])
-        parts.append(_long(df, last, {"raw": f"s{last}"} | INDEX_CANDIDATES, keep="shock"))
-    return reduce(DataFrame.unionByName, parts)
+    """Raw scores and the index's candidates, with the slot's structural shocks. All slots are one plan."""
+    last = T.HISTORY_WINDOW - 1
+    df = T.with_bands(frozen(rolled(hist, slots)), last, ["slot"])
+    df = T.apply(df, [*T.rolling("l_", last, 4), *T.rolling("p_", last - 1, 4), *T.rolling("t_", last, 8)])
+    level = {"base": f"case when l_ok then l_ewma else s{last} end"}
+    df = T.apply(T.with_band_scales(df, "t_", groups=["slot"]), [T.adjusted("t_"), *T.quality(last), level])
+    return _long(df, {"raw": f"s{last}"} | INDEX_CANDIDATES, keep="shock")
 
 
 def evaluate(values: DataFrame, first: int, last: int, shocks: bool = False) -> DataFrame:
@@ -72,8 +77,8 @@ def evaluate(values: DataFrame, first: int, last: int, shocks: bool = False) ->
     Top sets are by falling value and then domain. All shares are of N, however few domains there are.
     """
     values = frozen(values)  # read many times below, and its plan is wide
-    order = Window.partitionBy("candidate", "slot").orderBy(F.desc("value"), "registered_domain")
-    tops = values.withColumn("k", F.row_number().over(order)).where(F.col("k") <= max(TOP_N)).select("candidate", "slot", "registered_domain", "k")
+    tops = top_rows(values, "value", [F.col("registered_domain").asc()], max(TOP_N), ["candidate", "slot"])
+    tops = frozen(tops.select("candidate", "slot", "registered_domain", "k"))
     before = tops.select("candidate", (F.col("slot") + 1).alias("slot"), "registered_domain", F.col("k").alias("k0"))
     raw = tops.where("candidate = 'raw'").drop("candidate")
 

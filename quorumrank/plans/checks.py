@@ -84,7 +84,7 @@ def quality_index_frame(spark: SparkSession, d: str) -> DataFrame:
 
 def update_log(spark: SparkSession, d: str) -> DataFrame:
     """Events as an update log: users are sources, errors are failures."""
-    e = table(spark, d, "events").where("user_id <= 12")
+    e = table(spark, d, "events")
     status = F.when(F.col("event_type") == "error", "missing").when(F.col("event_type") == "view", "stale").otherwise("success")
     source = F.element_at(F.array(*[F.lit(s) for s in health.STALE_TTL_DAYS]), (F.col("user_id") % 8 + 1).cast("int"))
     ts = F.col("ts").cast("timestamp")
@@ -98,7 +98,7 @@ def update_log(spark: SparkSession, d: str) -> DataFrame:
 _NAMES = list(health.STALE_TTL_DAYS)
 _LOG = f"""log as (select ([{', '.join(map(repr, _NAMES))}])[user_id % 8 + 1] as source, ts as update_started_at, case when event_id % 17 <> 0 then ts + interval 60 second end as update_completed_at,
     case event_type when 'error' then 'missing' when 'view' then 'stale' else 'success' end as status, case when event_type <> 'error' then event_id else 0 end as row_count,
-    case when event_type = 'view' then event_id % 9 end as age_days, case when event_type = 'error' then 'failed' end as error_message from events where user_id <= 12),
+    case when event_type = 'view' then event_id % 9 end as age_days, case when event_type = 'error' then 'failed' end as error_message from events),
     newest as (select * replace (case status when 'success' then 'fresh' else status end as status) from log
         qualify row_number() over (partition by source order by update_completed_at desc nulls last, update_started_at desc) = 1)"""
 _EXPECTED = [*_NAMES[:5], "unknown_feed", "crux_extra"]

@@ -10,9 +10,9 @@ from ..operators import walkforward as W
 from ..session import table
 from .catalog import query
 
-INDEX_SLOTS, WALK_SLOTS = 8, 10
+INDEX_SLOTS, WALK_SLOTS = 8, 16
 #: (first year, months of a slot, slots) of the two histories.
-_GRIDS = {"index": (1998, 6, INDEX_SLOTS), "walk": (1999, 3, WALK_SLOTS)}
+_GRIDS = {"index": (1998, 6, INDEX_SLOTS), "walk": (1998, 3, WALK_SLOTS)}
 
 
 def releases(spark: SparkSession, d: str, grid: str) -> DataFrame:
