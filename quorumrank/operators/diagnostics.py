@@ -74,29 +74,46 @@ def safe_corr(x: Column, y: Column) -> Column:
     return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), F.corr(x, y))
 
 
-def _pair_ranks(rows: DataFrame, value: str) -> DataFrame:
-    """(source_a, source_b, value, rank): ranks within a pair by counting rows of smaller value, range by range.
+def _value_ranks(rows: DataFrame) -> DataFrame:
+    """(source_a, source_b, side, value, rank): minimum ranks within a pair and side by counting rows of smaller value.
 
     Percentiles lie in 0..1, so a thousand equal steps of that spread the values of each pair over many tasks.
     """
-    key = ["source_a", "source_b"]
-    counts = rows.groupBy(*key, value).agg(F.count(F.lit(1)).alias("_c")).withColumn("_r", F.floor(F.col(value) * 1000))
-    before = Window.partitionBy(*key, "_r").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    along = Window.partitionBy(*key).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.groupBy(*key, "_r").agg(F.sum("_c").alias("_t")).select(*key, "_r", F.coalesce(F.sum("_t").over(along), F.lit(0)).alias("_o"))
-    placed = counts.withColumn("_b", F.coalesce(F.sum("_c").over(before), F.lit(0))).join(offsets, [*key, "_r"])
-    return placed.select(*key, value, (F.col("_b") + F.col("_o") + 1).alias(f"{value}_rank"))
+    key = ["source_a", "source_b", "side"]
+    sides = F.array(*[F.struct(F.lit(c).alias("side"), F.col(c).alias("value")) for c in ("pa", "pb")])
+    counts = rows.select("source_a", "source_b", "n", F.inline(sides)).groupBy(*key, "value").agg(F.sum("n").alias("c"))
+    counts = counts.withColumn("r", F.floor(F.col("value") * 1000))
+    before = Window.partitionBy(*key, "r").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    along = Window.partitionBy(*key).orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    steps = counts.groupBy(*key, "r").agg(F.sum("c").alias("t")).select(*key, "r", F.coalesce(F.sum("t").over(along), F.lit(0)).alias("o"))
+    placed = counts.withColumn("b", F.coalesce(F.sum("c").over(before), F.lit(0))).join(F.broadcast(steps), [*key, "r"])  # 20,000 steps at most
+    return placed.select(*key, "value", (F.col("b") + F.col("o") + 1).cast("double").alias("rank"))
+
+
+def weighted_corr(x: Column, y: Column, n: Column) -> Column:
+    """Pearson correlation of values that occur n times, null where either side doesn't vary."""
+    total, sx, sy = F.sum(n), F.sum(n * x), F.sum(n * y)
+    cov = F.sum(n * x * y) - sx * sy / total
+    var = (F.sum(n * x * x) - sx * sx / total) * (F.sum(n * y * y) - sy * sy / total)
+    return F.when((F.min(x) < F.max(x)) & (F.min(y) < F.max(y)), cov / F.sqrt(var))
 
 
 def pairwise_correlation(mart: DataFrame) -> DataFrame:
-    """Pearson and Spearman (on minimum ranks) of two percentiles over the domains that both sources know."""
-    rows = _pairs(mart).where("pa is not null and pb is not null")
+    """Pearson and Spearman (on minimum ranks) of two percentiles over the domains that both sources know.
+
+    Domains with the same two percentiles are one row with a count from the first aggregate on.
+    """
     key = ["source_a", "source_b"]
-    ranked = rows.join(_pair_ranks(rows, "pa"), [*key, "pa"]).join(_pair_ranks(rows, "pb"), [*key, "pb"])
+    rows = _pairs(mart).where("pa is not null and pb is not null").groupBy(*key, "pa", "pb").agg(F.count(F.lit(1)).alias("n"))
+    ranks = _value_ranks(rows)
+    ranked = rows
+    for c in ("pa", "pb"):
+        ranked = ranked.join(ranks.where(F.col("side") == c).select(*key, F.col("value").alias(c), F.col("rank").alias(f"{c}_rank")), [*key, c])
+    n = F.col("n").cast("double")
     return ranked.groupBy(*key).agg(
-        F.count(F.lit(1)).alias("overlap_domains"), F.round(safe_corr(F.col("pa"), F.col("pb")), 6).alias("pearson_on_percentiles"),
-        F.round(safe_corr(F.col("pa_rank").cast("double"), F.col("pb_rank").cast("double")), 6).alias("spearman_correlation"),
-        F.round(F.avg(F.abs(F.col("pa") - F.col("pb"))), 6).alias("avg_abs_percentile_gap"),
+        F.sum("n").alias("overlap_domains"), F.round(weighted_corr(F.col("pa"), F.col("pb"), n), 6).alias("pearson_on_percentiles"),
+        F.round(weighted_corr(F.col("pa_rank"), F.col("pb_rank"), n), 6).alias("spearman_correlation"),
+        F.round(F.sum(F.abs(F.col("pa") - F.col("pb")) * n) / F.sum(n), 6).alias("avg_abs_percentile_gap"),
     ).orderBy(F.desc("overlap_domains"))
 
 

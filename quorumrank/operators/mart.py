@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import percentile_window, quantile_edges, with_percentile
+from .ranking import quantile_edges, with_percentile
 
 SOURCES = ("tranco", "majestic", "radar", "crux", "opr")
 RISK_SOURCES = ("urlhaus", "threatfox", "phishtank")
@@ -39,12 +39,10 @@ COLUMNS = (
 ).split()
 
 
-def scored_source(df: DataFrame, source: str, distributed: bool = True, edges: list[float] | None = None) -> DataFrame:
+def scored_source(df: DataFrame, source: str, edges: list[float]) -> DataFrame:
     """A staged source with its percentile; rows without the ranking value are gone before ranking."""
     signal = SIGNALS[source]
-    if distributed:
-        return with_percentile(df, signal.column, f"p_{source}", signal.direction, signal.few, edges)
-    return df.where(F.col(signal.column).isNotNull()).withColumn(f"p_{source}", percentile_window(signal.column, signal.direction))
+    return with_percentile(df, signal.column, f"p_{source}", signal.direction, signal.few and bool(edges), edges)
 
 
 def sources_count(sources: tuple[str, ...] = SOURCES) -> Column:
@@ -70,16 +68,17 @@ def coverage_tier(count: Column) -> Column:
     return F.when(count >= 5, "full").when(count == 4, "high").when(count == 3, "partial").otherwise("sparse")
 
 
-def consensus_mart(staged: dict[str, DataFrame], risk: DataFrame, snapshot_date: Column, distributed: bool = True, min_sources: int = MIN_SOURCES) -> DataFrame:
+def consensus_mart(staged: dict[str, DataFrame], risk: DataFrame, snapshot_date: Column, distributed: bool | None = None, min_sources: int = MIN_SOURCES) -> DataFrame:
     """Joins the scored sources over all their keys by one union and one aggregate, then adds the risk layer.
 
     Each source is unique by domain, so ``max`` picks its only value: the spine, its distinct and five joins cost one
-    shuffle by domain, which the join with the risk rollup shares.
+    shuffle by domain, which the join with the risk rollup shares. ``distributed`` says whether percentiles are computed
+    by value ranges or each in one task; by default the number of rows decides.
     """
     staged = {s: staged[s].drop("snapshot_date", "ingested_at") for s in SOURCES}
-    many = {s: (staged[s], SIGNALS[s].column) for s in SOURCES if not SIGNALS[s].few}
-    edges = quantile_edges(many) if distributed else {}
-    scored = {s: scored_source(staged[s], s, distributed, edges.get(s)) for s in SOURCES}
+    columns = {s: (staged[s], SIGNALS[s].column) for s in SOURCES}
+    edges = {} if distributed is False else quantile_edges(columns, one_task_rows=0 if distributed else None)
+    scored = {s: scored_source(staged[s], s, edges.get(s, [])) for s in SOURCES}
     columns = {c: f.dataType for df in scored.values() for c, f in ((f.name, f) for f in df.schema.fields) if c != "registered_domain"}
     aligned = [
         df.select("registered_domain", *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()])

@@ -27,12 +27,13 @@ def percentile_window(value: str, direction: str = "asc") -> Column:
     return 1 - F.percent_rank().over(Window.orderBy(order))
 
 
-def quantile_edges(columns: dict[str, tuple[DataFrame, str]], ranges: int = RANGES) -> dict[str, list[float]]:
-    """Range edges of several columns in one job, none for ONE_TASK_ROWS values or fewer; columns: name to (table, column)."""
+def quantile_edges(columns: dict[str, tuple[DataFrame, str]], ranges: int = RANGES, one_task_rows: int | None = None) -> dict[str, list[float]]:
+    """Range edges of several columns in one job, none for ``one_task_rows`` values or fewer; columns: name to (table, column)."""
+    most = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
     parts = [df.select(F.lit(name).alias("name"), F.col(c).cast("double").alias("v")) for name, (df, c) in columns.items()]
     shares = [i / ranges for i in range(1, ranges)]
     found = reduce(DataFrame.unionByName, parts).groupBy("name").agg(F.count("v").alias("n"), F.percentile_approx("v", shares, 20 * ranges).alias("e"))
-    return {name: [] for name in columns} | {r.name: sorted(set(r.e or [])) if r.n > ONE_TASK_ROWS else [] for r in found.collect()}
+    return {name: [] for name in columns} | {r.name: sorted(set(r.e or [])) if r.n > most else [] for r in found.collect()}
 
 
 def range_of(value: Column, edges: list[float], descending: bool = False) -> Column:

@@ -87,7 +87,7 @@ def risk(spark: SparkSession, d: str) -> DataFrame:
     return staging.risk_rollup(staged_risk(spark, d))
 
 
-def mart(spark: SparkSession, d: str, distributed: bool = True) -> DataFrame:
+def mart(spark: SparkSession, d: str, distributed: bool | None = None) -> DataFrame:
     return mart_ops.consensus_mart(staged_sources(spark, d), risk(spark, d), F.lit(SNAPSHOT).cast("date"), distributed)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import diagnostics, mart as mart_ops, staging
 from . import projections as P
-from .catalog import ORACLES, QUERIES, query
+from .catalog import ORACLES, query
 
 PLATFORMS = ["d3.example.com", "d17.example.com", "d42.example.com", "d64.example.com", "d99.example.com", "d120.example.com"]
 
@@ -30,7 +30,9 @@ def consensus_mart_window(spark: SparkSession, d: str) -> DataFrame:
     return _flat(P.mart(spark, d, distributed=False))
 
 
-QUERIES["consensus_mart_distributed"], ORACLES["consensus_mart_distributed"] = consensus_mart, ORACLES["consensus_mart"]
+@query("consensus_mart_distributed", ORACLES["consensus_mart"])
+def consensus_mart_distributed(spark: SparkSession, d: str) -> DataFrame:
+    return _flat(P.mart(spark, d, distributed=True))
 
 
 @query("stg_rank_dedup", P.with_projections("""
