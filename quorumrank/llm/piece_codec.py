@@ -161,7 +161,8 @@ class Codec:
         self._exact_sizes = proto.trainer_spec.byte_fallback
         self.end_id = self.processor.eos_id()
         self._beside = {p[i : i + 2] for p, k in zip(pieces, kinds, strict=True) if k != byte for i in range(len(p) - 1)}
-        self._parted = proto.trainer_spec.model_type == 2 and user not in kinds  # BPE without reserved strings
+        # BPE without reserved strings; without byte fallback a run of unknown characters is one id, which cuts would divide
+        self._parted = proto.trainer_spec.model_type == 2 and user not in kinds and proto.trainer_spec.byte_fallback
         self._spaced = not any(SPACE in p.lstrip(SPACE) for p in pieces)
         self._parts = Memory(self._segment)
         self._words = Memory(self._word)

@@ -2,7 +2,8 @@
 
 Only confirmed toxic documents count as labelled. Everything else is unlabelled text, so its risk as negatives is
 corrected by the class prior: ``prior * R_p(+) + max(0, R_u(-) - prior * R_p(-))``, with the logistic loss. Where the
-corrected negative risk falls below zero the step goes against it, which keeps the estimator from over-fitting.
+corrected negative risk falls below zero, a step goes up its gradient alone, as the estimator's authors have it, which
+keeps it from over-fitting.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from pyspark.sql import types as T
 from .shared import pick, row_chunks
 from .wordhash import buffers, mix, non_letters, span_hashes, spans
 
-#: Bound of the training sample: so many confirmed toxic and so many unlabelled documents, those of smallest hash.
-SAMPLE_ROWS = 4_000
+#: Bounds of the training sample: so many confirmed toxic and so many unlabelled documents, those of smallest hash.
+TOXIC_ROWS, UNLABELLED_ROWS = 4_000, 4_000
 BUCKET_BITS = 20
 MIN_Z = 5.0
 PREFIX_BYTES = (4, 5, 6, 7, 8)
@@ -98,7 +99,7 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
         corrected = as_negative[~is_p].mean() - prior * as_negative[is_p].mean()
         up = np.where(is_p, prior * (p - 1) / n_p, 0.0)
         down = np.where(is_p, -prior * p / n_p, p / n_u)
-        slope = up + down if corrected >= 0 else up - down
+        slope = up + down if corrected >= 0 else -down
         speed = 0.9 * speed - rate * (np.bincount(flat, weights=slope[row], minlength=len(used)) + decay * w)
         bias_speed = 0.9 * bias_speed - 0.2 * slope.sum()
         w, bias = w + speed, bias + bias_speed
@@ -115,7 +116,7 @@ def _document_counts(rows: list[np.ndarray], size: int) -> np.ndarray:
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Model:
     """Fits on documents outside fold 0: confirmed toxic ones, and a sample of all as unlabelled text.
 
     The prior is the share of toxic rows among the labelled ones. Repeated labels count once, toxic if any says so.
@@ -129,10 +130,10 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     share = marks.agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
     prior = min(0.5, max(0.005, share or 0.0))
     toxic = marks.where("toxic = 1").select("doc_id", F.lit(True).alias("positive"))
-    toxic = toxic.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    toxic = toxic.orderBy(F.xxhash64("doc_id"), "doc_id").limit(toxic_rows)
     others = docs.where(fold_of() != 0).select("doc_id", F.lit(False).alias("positive"))
-    others = others.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = docs.join(F.broadcast(toxic.unionByName(others).distinct()), "doc_id")  # 2 * sample_rows ids at most
+    others = others.orderBy(F.xxhash64("doc_id"), "doc_id").limit(unlabelled_rows)
+    sample = docs.join(F.broadcast(toxic.unionByName(others).distinct()), "doc_id")  # toxic_rows + unlabelled_rows ids at most
     table = sample.select("positive", "text").mapInArrow(_encode, "positive boolean, buckets binary").toArrow()
     rows: dict[bool, list[np.ndarray]] = {True: [], False: []}
     for batch in table.to_batches():  # views of the table's own memory

@@ -240,7 +240,7 @@ def compiled(pairs):
 
     place(tree, 0)
     size = (max(units) | 255) + 1
-    array = struct.pack(f"<{size}I", *[units.get(i, 1 << 31 | 255) for i in range(size)])
+    array = struct.pack(f"<{size}I", *[units.get(i, 1 << 31) for i in range(size)])
     return struct.pack("<I", len(array)) + array + texts
 
 
@@ -258,6 +258,43 @@ def test_character_map_longest_prefix_and_offsets():
     assert n(b"") == (b"", pytest.approx([0])) and n(b"   ")[0] == b""
 
 
+@pytest.mark.parametrize("changes", [{}, {"add_dummy_prefix": False}, {"remove_extra_whitespaces": True}, {"escape_whitespaces": True, "remove_extra_whitespaces": True, "add_dummy_prefix": False}, {"byte_fallback": False}])
+def test_compiled_map_equals_the_library(tmp_path, changes):
+    """Ids and the original bytes of each piece, with a character map that the library applies itself."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    proto = sentencepiece_model_pb2.ModelProto()
+    with open(PIECES, "rb") as f:
+        proto.ParseFromString(f.read())
+    proto.normalizer_spec.precompiled_charsmap = compiled({"\ufb01".encode(): b"fi", b"ab": b"x", b"abc": b"yz", "\u3000".encode(): b" ", b"Q": b"q", "e\u0301".encode(): "\u00e9".encode(), "\u2026".encode(): b"..."})
+    for k, v in changes.items():
+        setattr(proto.trainer_spec if k == "byte_fallback" else proto.normalizer_spec, k, v)
+    if not proto.trainer_spec.byte_fallback:
+        for p in proto.pieces:
+            p.type = 5 if p.type == 6 else p.type  # a byte's piece becomes unused
+    path = str(tmp_path / "m.model")
+    with open(path, "wb") as f:
+        f.write(proto.SerializeToString())
+    c = piece_codec.Codec(path)
+    for t in ["", " ", "  abcab\u3000 \ufb01Q\u00e9 ", "e\u0301 caf\u00e9 ab abc abcabc", "wait\u2026 no\u2026", "a  b   c", "plain words here", "\u65e5\u672c\u8a9e\u3000x \U0001f600\U0001f600", "Qabc " * 50]:
+        ids, spans = c.encode(t)
+        found = c.processor.encode(t, return_type="proto").pieces
+        assert ids[:-1].tolist() == [p.id for p in found] and c.decode(ids) == c.processor.decode(ids.tolist())
+        data = t.encode()
+        assert [data[a:b] for a, b in spans] == [p.surface_as_bytes if hasattr(p, "surface_as_bytes") else p.surface.encode() for p in found]
+
+
+def test_whole_table_equals_the_library(documents):
+    import sentencepiece
+
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    for r in piece_codec.round_trip(documents, PIECES).collect():
+        ids = library.encode(texts[r.doc_id] or "", add_eos=True)
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+
+
 def test_context_tree_base_and_probability(documents):
     docs = [(r.doc_id, r.text) for r in documents.collect()]
     got = {r.doc_id: r for r in context_tree.scores(documents).collect()}
