@@ -34,8 +34,9 @@ def main(args: list[str] | None = None) -> int:
         parser.error(f"no releases in {asked.root}")
     tag_query(spark, asked.command, found[-1].methodology_version)
     if asked.command == "index":
-        found = found[-temporal.HISTORY_WINDOW :]
+        found = archive.within_window(found, temporal.HISTORY_WINDOW)
         slots = archive.validate_history(found, temporal.HISTORY_WINDOW)
+        archive.check_rows(spark, found)
         history = temporal.history(archive.history_rows(spark, found, slots), temporal.HISTORY_WINDOW)
         index = temporal.temporal_index(history, F.lit(found[-1].snapshot_date))
         print(archive.write_deterministic_csv(index, asked.output or f"index_{found[-1].snapshot_date}.csv.gz"), "rows")

@@ -100,16 +100,19 @@ def with_registered_domain(df: DataFrame, column: str, out: str, rules: Sequence
 
     The rules become one map constant in the plan (the public list is some ten thousand entries), so each host is
     matched against the suffixes of itself without a join; of those the longest rule holds, an exception above all.
-    Only names with other letters than ASCII leave for Python, and only where ``idna`` is on.
+    Only rows whose name has other letters than ASCII leave for Python, and only where ``idna`` is on: they are a branch
+    of their own, as a Python function beside others would be given every row.
     """
+    if idna:
+        plain = F.coalesce(clean_name(F.col(column)).rlike(r"^[\x00-\x7f]*$"), F.lit(True))
+        other = df.where(~plain)
+        encoded = other.withColumn("_idna", _to_ascii(clean_name(F.col(column))))
+        encoded = with_registered_domain(encoded, "_idna", out, rules, private, idna=False).select(*df.columns, out)
+        return with_registered_domain(df.where(plain), column, out, rules, private, idna=False).unionByName(encoded)
     table = {r.suffix: r.kind for r in rules if private or r.section == "icann"}
     kinds = F.from_json(F.lit(json.dumps(table)), "map<string,string>")  # folds to one constant
-    plain = F.col("_n").rlike(r"^[\x00-\x7f]*$")
     work = df.withColumn("_n", clean_name(F.col(column)))
-    if idna:
-        name = F.coalesce(F.when(plain, F.col("_n")), _to_ascii(F.when(~plain, F.col("_n"))))
-    else:
-        name = F.when(plain, F.col("_n"))
+    name = F.when(F.col("_n").rlike(r"^[\x00-\x7f]*$"), F.col("_n"))
 
     def suffix_labels(tail: Column, i: Column) -> Column:
         """How many labels the suffix has by the rule at the last i labels; negative for an exception; null for no rule."""

@@ -146,9 +146,9 @@ _EXAMPLES = [domains.SuffixRule(f"example.{t}", section="private") for t in ("co
     from (select page_id, lower(regexp_extract(url, '^[a-z]+://([^/?#:]*)', 1)) as host from pages)""")
 def registered_domain(spark: SparkSession, d: str) -> DataFrame:
     hosts = table(spark, d, "pages").select("page_id", domains.url_host(F.col("url")).alias("host"))
-    out = domains.with_registered_domain(hosts, "host", "icann_domain", idna=False)
+    out = domains.with_registered_domain(hosts, "host", "icann_domain")
     rules = [*domains.DEFAULT_RULES, *_EXAMPLES]
-    return domains.with_registered_domain(out, "host", "private_domain", rules, private=True, idna=False).drop("host")
+    return domains.with_registered_domain(out, "host", "private_domain", rules, private=True).drop("host")
 
 
 @query("iso_week_grid", """select o_orderdate::date as day, strftime(o_orderdate, 'data-%G-W%V') as tag, strftime((o_orderdate::date - ((isodow(o_orderdate) - 1) || ' days')::interval - interval 49 day)::date, '%Y-%m-%d') as first_monday

@@ -7,17 +7,19 @@ import datetime
 import gzip
 import hashlib
 import io
+import itertools
 import json
 import re
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, fields
+from functools import reduce
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.values import week_grid, week_of_tag
+from ..functions.values import select_history, week_grid, week_of_tag, week_tag
 from ..operators.mart import PUBLIC_COLUMNS
 from ..operators.releases import parse_bool
 
@@ -28,7 +30,9 @@ PUBLIC_SCHEMA = T.StructType([
     T.StructField("is_spam_prone_tld", T.BooleanType()), T.StructField("security_flags_observed", T.BooleanType()), T.StructField("risk_sources_count", T.IntegerType()),
     T.StructField("threat_types", T.StringType()), T.StructField("snapshot_date", T.DateType()), T.StructField("methodology_version", T.StringType()),
 ])
-_CSV, _META = re.compile(r"domains_(\d{4}-\d\d-\d\d)\.csv\.gz"), re.compile(r"meta_(\d{4}-\d\d-\d\d)\.json")
+#: Archives of any name that ends in their date are read; this one is written.
+FILE_PREFIX = "domains"
+_CSV, _META = re.compile(r"[a-z]+(?:_[a-z]+)*_(\d{4}-\d\d-\d\d)\.csv\.gz"), re.compile(r"meta_(\d{4}-\d\d-\d\d)\.json")
 
 
 @dataclass(frozen=True)
@@ -64,7 +68,7 @@ def discover(root: str) -> list[Release]:
         meta = json.loads(meta_path.read_text())
         if day != meta_day or meta.get("snapshot_date") != day.isoformat():
             raise ValueError(f"{folder}: dates differ")
-        if (meta.get("release") or {}).get("tag") != folder.name:
+        if (meta.get("release") or {}).get("tag", folder.name) != folder.name:
             raise ValueError(f"{folder}: tag differs")
         if not meta.get("methodology_version"):
             raise ValueError(f"{folder}: no methodology version")
@@ -72,8 +76,20 @@ def discover(root: str) -> list[Release]:
     return out
 
 
-def validate_history(releases: Sequence[Release], window: int = 8, needed: int = 6) -> list[str]:
-    """The tags of the window's slots; raises unless the releases fit them, a day's drift allowed."""
+def within_window(releases: Sequence[Release], window: int = 8) -> list[Release]:
+    """Those of the ``window`` weeks up to the newest release's, oldest first; weeks may be missing."""
+    ordered = sorted(releases, key=lambda r: week_of_tag(r.tag))
+    kept = set(select_history([r.tag for r in ordered], ordered[-1].tag, window)) if ordered else set()
+    return [r for r in ordered if r.tag in kept]
+
+
+def validate_history(releases: Sequence[Release], window: int = 8, needed: int = 6, recent: int = 4, recent_needed: int = 3) -> list[str]:
+    """The tags of the window's slots; raises unless the releases fill them well enough.
+
+    ``needed`` of all weeks and ``recent_needed`` of the last ``recent`` must exist, every snapshot's date must lie in the
+    week of its tag, consecutive ones must be as far apart as their weeks (a day's drift allowed), and all must be of one
+    methodology.
+    """
     if not releases:
         raise ValueError("no releases")
     slots = week_grid(releases[-1].tag, window)
@@ -82,16 +98,41 @@ def validate_history(releases: Sequence[Release], window: int = 8, needed: int =
         raise ValueError("releases repeat or lie outside the window")
     if len(tags) < needed:
         raise ValueError(f"{len(tags)} of {window} releases; {needed} are needed")
+    if (found := len(set(tags) & set(slots[-recent:]))) < recent_needed:
+        raise ValueError(f"{found} of the last {recent} releases; {recent_needed} are needed")
     if len({r.methodology_version for r in releases}) != 1:
         raise ValueError("methodology versions differ")
-    last = releases[-1]
     for r in releases:
-        due = last.snapshot_date - (week_of_tag(last.tag) - week_of_tag(r.tag))
-        if abs((r.snapshot_date - due).days) > SNAPSHOT_TOLERANCE_DAYS:
-            raise ValueError(f"{r.tag}: snapshot {r.snapshot_date} is off its week")
+        if week_tag(r.snapshot_date) != r.tag:
+            raise ValueError(f"{r.tag}: snapshot {r.snapshot_date} is of {week_tag(r.snapshot_date)}")
+    for before, after in itertools.pairwise(releases):
+        drift = (after.snapshot_date - before.snapshot_date) - (week_of_tag(after.tag) - week_of_tag(before.tag))
+        if abs(drift.days) > SNAPSHOT_TOLERANCE_DAYS:
+            raise ValueError(f"{before.tag} to {after.tag}: {drift.days} days off their weeks")
     return slots
 
 
+def check_rows(spark: SparkSession, releases: Sequence[Release]) -> None:
+    """Raises unless the rows of every archive have a domain of their own, scores of 0 to 100 and its date and version."""
+    parts = [
+        read_release(spark, r.csv_path, ["registered_domain", "consensus_score", "snapshot_date", "methodology_version"])
+        .withColumns({"tag": F.lit(r.tag), "day": F.lit(r.snapshot_date), "version": F.lit(r.methodology_version)}) for r in releases
+    ]
+    rows, score = reduce(DataFrame.unionByName, parts), F.col("consensus_score")
+    keyed = rows.groupBy("tag", "registered_domain").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(score.isNotNull() & ~score.between(0, 100)).alias("scores"),
+        F.count_if(~F.col("snapshot_date").eqNullSafe(F.col("day"))).alias("days"), F.count_if(~F.col("methodology_version").eqNullSafe(F.col("version"))).alias("versions"),
+    )
+    counts = keyed.groupBy("tag").agg(
+        F.sum(F.when(F.col("registered_domain").isNull(), F.col("n")).otherwise(0)).alias("rows without a domain"),
+        F.count_if(F.col("registered_domain").isNotNull() & (F.col("n") > 1)).alias("repeated domains"),
+        F.sum("scores").alias("scores out of range"), F.sum("days").alias("rows of another date"), F.sum("versions").alias("rows of another version"),
+    )
+    wrong = [f"{r.tag}: {v} {k}" for r in counts.orderBy("tag").collect() for k, v in r.asDict().items() if k != "tag" and v]  # a row for each release
+    if wrong:
+        raise ValueError("; ".join(wrong))
+
+
 def read_release(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Typed scan of an archive; only ``columns`` are parsed. Scores pass through 32-bit floats, as published ones do."""
     df = spark.read.schema(PUBLIC_SCHEMA).option("header", True).option("enforceSchema", False).csv(path)
@@ -123,10 +164,7 @@ def history_rows(spark: SparkSession, releases: Sequence[Release], slots: Sequen
 
     columns = ["registered_domain", "consensus_score", "sources_count", "ranking_sources_present", "risk_sources_count"]
     parts = [read_release(spark, r.csv_path, columns).withColumn("slot", F.lit(list(slots).index(r.tag))) for r in releases]
-    rows = parts[0]
-    for p in parts[1:]:
-        rows = rows.unionByName(p)
-    return rows.select(
+    return reduce(DataFrame.unionByName, parts).select(
         "registered_domain", "slot", F.col("consensus_score").alias("score"), F.col("sources_count").alias("sources"),
         source_mask("ranking_sources_present").alias("mask"), F.coalesce("risk_sources_count", F.lit(0)).alias("risks"),
     )
@@ -159,7 +197,7 @@ def write_deterministic_csv(df: DataFrame, path: str) -> int:
     return n
 
 
-def export_archive(archive: DataFrame, folder: str, tag: str, sources: dict[str, dict], created_at: datetime.datetime) -> Release:
+def export_archive(archive: DataFrame, folder: str, tag: str, sources: dict[str, dict], created_at: datetime.datetime, prefix: str = FILE_PREFIX) -> Release:
     """Writes a release: the ordered archive and its lineage. Refuses no rows and several dates or versions."""
     facts = archive.agg(F.count(F.lit(1)).alias("n"), F.collect_set("snapshot_date").alias("days"), F.collect_set("methodology_version").alias("versions")).first()
     if not facts.n or len(facts.days) != 1 or len(facts.versions) != 1:
@@ -167,7 +205,7 @@ def export_archive(archive: DataFrame, folder: str, tag: str, sources: dict[str,
     day, version = facts.days[0], facts.versions[0]
     target = Path(folder) / tag
     target.mkdir(parents=True, exist_ok=True)
-    data, meta = target / f"domains_{day}.csv.gz", target / f"meta_{day}.json"
+    data, meta = target / f"{prefix}_{day}.csv.gz", target / f"meta_{day}.json"
     rows = write_deterministic_csv(archive, str(data))
     write_lineage(str(meta), {
         "created_at": created_at.isoformat(), "snapshot_date": day.isoformat(), "methodology_version": version, "release": {"tag": tag}, "row_count": rows,
@@ -207,6 +245,13 @@ class IngestRecord:
     skipped_rows: int = 0
     normalized_path: str | None = None
     error: str | None = None
+    downloaded_at: str | None = None
+
+    @staticmethod
+    def of(facts: dict) -> IngestRecord:
+        """From a record of any version: unknown keys are left out."""
+        known = {f.name for f in fields(IngestRecord)}
+        return IngestRecord(**{k: v for k, v in facts.items() if k in known})
 
 
 def write_ingest(folder: str, record: IngestRecord) -> None:
@@ -216,32 +261,53 @@ def write_ingest(folder: str, record: IngestRecord) -> None:
 
 
 def read_ingest(folder: str, source: str, snapshot_date: str) -> IngestRecord:
-    return IngestRecord(**json.loads((Path(folder) / source / snapshot_date / "_meta.json").read_text()))
+    return IngestRecord.of(json.loads((Path(folder) / source / snapshot_date / "_meta.json").read_text()))
 
 
 def cached_ingest(folder: str, source: str, today: datetime.date, max_age_days: int = 14) -> IngestRecord:
-    """The newest usable local ingest as ``stale``, else ``missing``; for development only."""
-    root = Path(folder) / source
-    for meta in sorted(root.glob("*/_meta.json"), reverse=True) if root.exists() else []:
-        record = IngestRecord(**json.loads(meta.read_text()))
-        age = (today - datetime.date.fromisoformat(record.snapshot_date)).days
-        if record.status in ("fresh", "stale") and 0 <= age <= max_age_days and record.normalized_path and Path(record.normalized_path).exists():
-            record.status = "stale"
-            return record
-    return IngestRecord(source, "missing", today.isoformat())
+    """The last downloaded usable local ingest as ``stale``, else ``missing``; for development only.
+
+    Records that can't be read are passed over. Those without a time of download count from their snapshot's date.
+    """
+    usable: list[tuple[datetime.datetime, IngestRecord]] = []
+    for meta in (Path(folder) / source).glob("*/_meta.json"):
+        try:
+            record = IngestRecord.of(json.loads(meta.read_text()))
+            loaded = datetime.datetime.fromisoformat(record.downloaded_at or record.snapshot_date).replace(tzinfo=None)
+        except (ValueError, TypeError, AttributeError):
+            continue
+        fits = record.status in ("fresh", "stale") and 0 <= (today - loaded.date()).days <= max_age_days
+        if fits and record.normalized_path and Path(record.normalized_path).exists():
+            usable.append((loaded, record))
+    if not usable:
+        return IngestRecord(source, "missing", today.isoformat())
+    newest = max(usable, key=lambda x: x[0])[1]
+    newest.status = "stale"
+    return newest
 
 
 def swap_table(df: DataFrame, path: str, snapshot_date: datetime.date) -> int:
-    """Replaces a raw table: written beside it first, then moved into its place, so a failed load changes nothing."""
-    spark, staging = df.sparkSession, f"{path.rstrip('/')}__staging"
-    rows = df.withColumns({"snapshot_date": F.lit(snapshot_date), "ingested_at": F.current_timestamp()})
-    rows.write.mode("overwrite").parquet(staging)
-    n = spark.read.parquet(staging).count()
+    """Replaces a raw table: written beside it first, then moved into its place.
+
+    The old table is moved aside and deleted last, and moved back if the new one can't take its place; after a crash
+    between the two moves it lies under ``__before``, from where the next call takes it back first.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
     make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(make(path), True)
-    if not fs.rename(make(staging), make(path)):
-        raise OSError(f"could not move {staging} to {path}")
+    here, staging, before = make(path), make(f"{path}__staging"), make(f"{path}__before")
+    fs = here.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(before) and not fs.exists(here):
+        fs.rename(before, here)
+    rows = df.withColumns({"snapshot_date": F.lit(snapshot_date), "ingested_at": F.current_timestamp()})
+    rows.write.mode("overwrite").parquet(f"{path}__staging")
+    n = spark.read.parquet(f"{path}__staging").count()
+    fs.delete(before, True)
+    if fs.exists(here) and not fs.rename(here, before):
+        raise OSError(f"could not move {path} aside")
+    if not fs.rename(staging, here):
+        fs.rename(before, here)
+        raise OSError(f"could not move {path}__staging to {path}")
+    fs.delete(before, True)
     return n
 
 

@@ -74,15 +74,23 @@ def read_commented(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_threats(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV with or without a header. A leading ``#`` is taken off a line, not the line off: such lines count as rows."""
-    lines = spark.read.text(path).select(F.trim(F.regexp_replace(F.regexp_replace("value", "^﻿", ""), "^#+", "")).alias("line")).where("line <> ''")
-    first = lines.first()
-    key = header_key(first.line) if first else ""
+    """A CSV with or without a header. A leading ``#`` is taken off a line, not the line off: such lines count as rows.
+
+    The header is the first line alone. Fields beyond the named ones are kept in the array ``_extra``.
+    """
+    line = F.trim(F.regexp_replace(F.regexp_replace("value", "^\ufeff", ""), "^#+", ""))
+    lines = spark.read.text(path).select(line.alias("line"), F.monotonically_increasing_id().alias("at")).where("line <> ''")
+    fields = F.size(F.split("line", ","))  # quoted commas make it more than there are
+    known = lines.agg(F.min_by("line", "at").alias("first"), F.min("at").alias("at"), F.max(fields).alias("fields")).first()
+    key = header_key(known.first) if known.first else ""
     named = "ioc" in key and "ioctype" in key
-    names = [header_key(x.strip().strip('"')) for x in first.line.split(",")] if named else [header_key(c) for c in THREAT_COLUMNS]
-    rows = lines.where(F.col("line") != F.lit(first.line)) if named else lines
+    names = [header_key(x.strip().strip('"')) for x in known.first.split(",")] if named else [header_key(c) for c in THREAT_COLUMNS]
+    rows = lines.where(F.col("at") > known.at) if named else lines
+    more = [f"_more{i}" for i in range(max(0, (known.fields or 0) - len(names)))]
     options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "mode": "PERMISSIVE"}
-    return rows.select(F.from_csv("line", F.lit(", ".join(f"`{n}` string" for n in names)), options).alias("r")).select("r.*")
+    parsed = rows.select(F.from_csv("line", F.lit(", ".join(f"`{n}` string" for n in [*names, *more])), options).alias("r"))
+    extra = F.array_compact(F.array(*[F.col(f"r.{n}") for n in more])) if more else F.array().cast("array<string>")
+    return parsed.select(*[F.col(f"r.`{n}`").alias(n) for n in names], extra.alias("_extra"))
 
 
 def first_of(df: DataFrame, candidates: Sequence[str]) -> Column:

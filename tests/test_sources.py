@@ -38,6 +38,9 @@ def test_risk_feeds(spark, tmp_path):
     df = feeds.read_threats(spark, str(tmp_path / "t.csv"))
     assert {(r.registered_domain, r.threat_type) for r in feeds.normalise_risk(df, "threatfox").collect()} == {("a.com", "botnet_cc"), ("b.org", "payload")}
     assert feeds.risk_profile(df, "threatfox").first().row_count == 4
+    (tmp_path / "h.csv").write_text('ioc, ioc_type, first_seen\na.com, domain, 2024-01-02, more, "and, more"\nioc, ioc_type, first_seen\nb.org, domain, 2024-01-03\n')
+    rows = feeds.read_threats(spark, str(tmp_path / "h.csv")).collect()
+    assert [(r.ioc, r._extra) for r in rows] == [("a.com", ["more", "and, more"]), ("ioc", []), ("b.org", [])]
     with gzip.open(tmp_path / "p.csv.gz", "wt") as f:
         f.write("url,submission_time,verification_time\nhttp://c.net/a,2024-02-01T00:00:00+00:00,\n")
     got = feeds.normalise_risk(feeds.read_with_header(spark, str(tmp_path / "p.csv.gz")), "phishtank").collect()
@@ -68,6 +71,17 @@ def test_release_round_trip(spark, tmp_path):
         archive.discover(str(tmp_path / "one"))
 
 
+def test_rows_of_every_archive_are_checked(spark, tmp_path):
+    now = datetime.datetime(2026, 7, 20, 12)
+    good = archive.export_archive(published(spark, datetime.date(2026, 7, 20)), str(tmp_path), "data-2026-W30", {}, now, prefix="some_name")
+    assert archive.discover(str(tmp_path)) == [good] and good.csv_path.endswith("some_name_2026-07-20.csv.gz")
+    archive.check_rows(spark, [good])
+    other = archive.export_archive(published(spark, datetime.date(2026, 7, 13)).unionByName(published(spark, datetime.date(2026, 7, 13)).limit(2)), str(tmp_path), "data-2026-W29", {}, now)
+    wrong = archive.Release(other.tag, datetime.date(2026, 7, 14), "v2", other.csv_path, other.meta_path)
+    with pytest.raises(ValueError, match="data-2026-W29: 2 repeated domains; data-2026-W29: 12 rows of another date; data-2026-W29: 12 rows of another version"):
+        archive.check_rows(spark, [wrong, good])
+
+
 def test_history_validation():
     def rel(week, day, version="v"):
         return archive.Release(f"data-2026-W{week:02d}", day, version, "", "")
@@ -76,7 +90,14 @@ def test_history_validation():
     assert len(archive.validate_history(good)) == 8
     archive.validate_history(good[:3] + good[4:])
     archive.validate_history([*good[:3], rel(26, good[3].snapshot_date + datetime.timedelta(days=1)), *good[4:]])
-    for bad in (good[3:], [*good[:3], rel(26, good[3].snapshot_date + datetime.timedelta(days=2)), *good[4:]], [*good[:-1], rel(30, good[-1].snapshot_date, "w")], []):
+    late = [rel(23 + k, monday + datetime.timedelta(weeks=k)) for k in range(-1, 8)]
+    assert archive.within_window([*late[:4], *late[5:]]) == [*good[:3], *good[4:]] and archive.within_window([]) == []
+    archive.validate_history(archive.within_window([*late[:4], *late[5:]]))
+    drifting = [rel(23 + k, monday + datetime.timedelta(weeks=k, days=min(k, 6))) for k in range(8)]
+    assert len(archive.validate_history(drifting)) == 8
+    with pytest.raises(ValueError, match="2 of the last 4"):
+        archive.validate_history([*good[:4], *good[6:]])
+    for bad in (good[3:], [*good[:6], rel(29, monday + datetime.timedelta(weeks=5, days=6)), good[7]], [*good[:3], rel(26, good[3].snapshot_date + datetime.timedelta(days=2)), *good[4:]], [*good[:-1], rel(30, good[-1].snapshot_date, "w")], []):
         with pytest.raises(ValueError):
             archive.validate_history(bad)
 
@@ -88,8 +109,16 @@ def test_ingest_records_and_tables(spark, tmp_path):
     assert archive.read_ingest(str(tmp_path), "tranco", "2026-07-10").row_count == 3
     assert archive.cached_ingest(str(tmp_path), "tranco", datetime.date(2026, 7, 20)).status == "stale"
     assert archive.cached_ingest(str(tmp_path), "tranco", datetime.date(2026, 8, 20)).status == "missing"
+    for day, text in (("2026-07-11", "no json"), ("2026-07-12", "[]"), ("2026-07-13", json.dumps({"source": "tranco", "status": "fresh", "snapshot_date": "2026-07-01", "downloaded_at": "2026-07-19T08:00:00", "row_count": 4, "normalized_path": str(data), "list_id": "x"}))):
+        (tmp_path / "tranco" / day).mkdir()
+        (tmp_path / "tranco" / day / "_meta.json").write_text(text)
+    assert archive.cached_ingest(str(tmp_path), "tranco", datetime.date(2026, 7, 20)).row_count == 4
     for n in (3, 5):
         assert archive.swap_table(spark.range(n).toDF("x"), str(tmp_path / "raw"), datetime.date(2026, 7, 20)) == n
+    (tmp_path / "raw").rename(tmp_path / "raw__before")  # as after a crash between the two moves
+    with pytest.raises(Exception, match="broken"):
+        archive.swap_table(spark.range(1).select(F.raise_error(F.lit("broken")).alias("x")), str(tmp_path / "raw"), datetime.date(2026, 7, 21))
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 5
     assert spark.read.parquet(str(tmp_path / "raw")).columns == ["x", "snapshot_date", "ingested_at"]
     assert archive.empty_table(spark, health.LOG_SCHEMA).count() == 0
     assert archive.markdown_table(["a"], [["x|y"]]).splitlines()[-1] == "| x\\|y |"
