@@ -24,9 +24,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from .components import connected_components
-from .shared import forget, pick, row_chunks, stored
+from .shared import forget, if_small, pick, row_chunks, stored
 from .wordhash import mix, shingle_sets
 
 #: A pair links when NUM * intersection... : 100 * intersection >= 80 * union.
@@ -40,9 +41,9 @@ TILE_ROWS = 4096
 TILE_ELEMENTS, ROW_ELEMENTS = 2_000_000, 256
 _HOT_BUFFER = 3_000_000
 
-_SET_SCHEMA = "doc_id long, n int, d1 long, d2 long, prefix array<long>, bits binary"
+_SET_SCHEMA = "doc_id long, n int, d1 long, d2 long, prefix array<long>, rare int, bits binary"
 _EDGE_SCHEMA = "a long, b long"
-_ITEMS = "cls long, d1 long, d2 long, items binary"
+_ITEMS = "g long, cls long, d1 long, d2 long, n int, items binary"
 
 
 def needed(n: np.ndarray | int, m: np.ndarray | int) -> np.ndarray | int:
@@ -133,7 +134,8 @@ def hot_shingles(docs: DataFrame, keep: int = HOT_SHINGLES) -> np.ndarray:
 
 
 def shingle_table(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """One row per document: size of its set, digest of the set, indexed elements, bitmap signature."""
+    """One row per document: size of its set, digest of the set, indexed elements, how many of these aren't frequent
+    (they come first), bitmap signature."""
     rank = np.arange(len(hot))[np.argsort(hot, kind="stable")]
     by_hash = np.sort(hot)
 
@@ -141,7 +143,7 @@ def shingle_table(docs: DataFrame, hot: np.ndarray) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for lo, hi in row_chunks(texts):
-                n, d1, d2, prefix, bits = [], [], [], [], []
+                n, d1, d2, prefix, few, bits = [], [], [], [], [], []
                 for s in shingle_sets(texts.slice(lo, hi - lo)):
                     n.append(len(s))
                     one, two = set_digest(s)
@@ -149,47 +151,33 @@ def shingle_table(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                     d2.append(two)
                     if not len(s):
                         prefix.append(np.zeros(0, np.int64))
+                        few.append(0)
                         bits.append(b"")
                         continue
-                    order = s
+                    order, often = s, 0
                     if len(by_hash):
                         at = np.searchsorted(by_hash, s)
                         at[at == len(by_hash)] = 0
                         is_hot = by_hash[at] == s
-                        if is_hot.any():
+                        often = int(is_hot.sum())
+                        if often:
                             order = np.concatenate([s[~is_hot], s[is_hot][np.argsort(rank[at[is_hot]], kind="stable")]])
                     prefix.append(order[: prefix_length(len(s))].view(np.int64))
+                    few.append(min(len(s) - often, len(prefix[-1])))
                     bits.append(signature(mix(s), _width(len(s), 2, 4096)).tobytes())
                 ends = np.cumsum([0, *map(len, prefix)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(lo, hi - lo), pa.array(n, pa.int32()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(prefix), pa.int64())),
-                        pa.array(bits, pa.binary()),
+                        pa.array(few, pa.int32()), pa.array(bits, pa.binary()),
                     ],
-                    ["doc_id", "n", "d1", "d2", "prefix", "bits"],
+                    ["doc_id", "n", "d1", "d2", "prefix", "rare", "bits"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(sets, _SET_SCHEMA)
 
 
-class _Groups:
-    """Union-find over row numbers."""
-
-    def __init__(self, n: int) -> None:
-        self.up = np.arange(n)
-
-    def root(self, i: int) -> int:
-        up = self.up
-        while up[i] != i:
-            up[i] = up[up[i]]
-            i = int(up[i])
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self.up[max(i, j)] = min(i, j)
-
-
 def by_key(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Rows with equal keys from a sorted stream, one group at a time."""
     held: list[pa.Table] = []
@@ -224,55 +212,52 @@ def _edges(a: list[int], b: list[int]) -> pa.RecordBatch:
 
 
 def _bound_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, bits: list[np.ndarray]) -> tuple[list, list]:
-    """Links of rows whose signatures leave the similarity possible, as a forest: one of several paths is enough."""
+    """Links of rows whose signatures leave the similarity possible, as a forest: one of several paths is enough.
+
+    Rows are in order of size and so of width; a row meets those of its own width, and narrower ones after folding.
+    """
     order = np.argsort(n, kind="stable")
-    cls, n, label, side = cls[order], n[order], label[order], side[order]
-    bits = [bits[i] for i in order]
-    groups, a, b = _Groups(len(cls)), [], []
-    first: dict[int, int] = {}
-    for i, x in enumerate(label.tolist()):  # rows of one candidate group meet later in any case
-        if (j := first.setdefault(x, i)) != i:
-            groups.join(groups.root(i), groups.root(j))
-    width = 64 * min(map(len, bits))
-    flat = np.stack([fold(x, width) for x in bits])
-    same = len(set(map(len, bits))) == 1
-    roots = np.array([groups.root(i) for i in range(len(cls))])
+    cls, n, side = cls[order], n[order], side[order]
+    roots, a, b = np.unique(label[order], return_inverse=True)[1], [], []  # rows of one label are together in any case
+    widths = np.array([64 * len(bits[i]) for i in order])
+    parts = [(int(w), *(int(x) for x in np.flatnonzero(widths == w)[[0, -1]] + [0, 1])) for w in np.unique(widths)]
+    flat = {w: np.stack([bits[i] for i in order[lo:hi]]) for w, lo, hi in parts}
     for i in range(1, len(cls)):
-        lo = int(np.searchsorted(n, -((-SIM_NUM * int(n[i])) // SIM_DEN)))
-        if lo >= i:
-            continue
-        js = lo + np.flatnonzero((roots[lo:i] != roots[i]) & ((side[lo:i] != side[i]) | (side[i] == 0)))
-        if not len(js):
-            continue
-        js = js[overlap_bound(flat[i], int(n[i]), flat[js], n[js]) >= needed(int(n[i]), n[js])]
-        for j in js.tolist():
-            if roots[i] == roots[j]:
+        least = int(np.searchsorted(n, -((-SIM_NUM * int(n[i])) // SIM_DEN)))
+        own = bits[order[i]]
+        for w, lo, hi in parts:
+            lo_j, hi_j = max(lo, least), min(hi, i)
+            if lo_j >= hi_j:
                 continue
-            if not same:
-                w = 64 * min(len(bits[i]), len(bits[j]))
-                if overlap_bound(fold(bits[i], w), int(n[i]), fold(bits[j], w)[None], n[j : j + 1])[0] < needed(int(n[i]), int(n[j])):
-                    continue
-            a.append(int(cls[i]))
-            b.append(int(cls[j]))
-            low, high = sorted((roots[i], roots[j]))
-            roots[roots == high] = low
+            js = lo_j + np.flatnonzero((roots[lo_j:hi_j] != roots[i]) & ((side[lo_j:hi_j] != side[i]) | (side[i] == 0)))
+            if not len(js):
+                continue
+            for j in js[overlap_bound(fold(own, w), int(n[i]), flat[w][js - lo], n[js]) >= needed(int(n[i]), n[js])].tolist():
+                if roots[i] != roots[j]:
+                    a.append(int(cls[i]))
+                    b.append(int(cls[j]))
+                    low, high = sorted((roots[i], roots[j]))
+                    roots[roots == high] = low
     return a, b
 
 
-def _tile_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    a: list[int] = []
-    b: list[int] = []
-    for tile in by_key(batches, ["h", "block"]):
-        if tile.num_rows > 1:
-            x, y = _bound_tile(
-                *(tile.column(k).to_numpy() for k in ("cls", "n", "label", "side")), _binary_rows(tile.column("bits"), np.uint64)
-            )
-            a += x
-            b += y
-        if len(a) > 50_000:
-            yield _edges(a, b)
-            a, b = [], []
-    yield _edges(a, b)
+def _edges_of_tiles(key: str, payload: str, act):
+    """Edges of every tile of a sorted stream; ``act`` finds those of one."""
+
+    def edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a: list[int] = []
+        b: list[int] = []
+        for tile in by_key(batches, [key, "block"]):
+            if tile.num_rows > 1:
+                x, y = act(*(tile.column(k).to_numpy() for k in ("cls", "n", "label", "side")), _binary_rows(tile.column(payload), np.uint64))
+                a += x
+                b += y
+            if len(a) > 50_000:
+                yield _edges(a, b)
+                a, b = [], []
+        yield _edges(a, b)
+
+    return edges
 
 
 def _exact_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> tuple[list, list]:
@@ -300,31 +285,13 @@ def _exact_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndar
     return a, b
 
 
-def _exact_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    a: list[int] = []
-    b: list[int] = []
-    for tile in by_key(batches, ["g", "block"]):
-        if tile.num_rows > 1:
-            x, y = _exact_tile(*(tile.column(k).to_numpy() for k in ("cls", "n", "label", "side")), _binary_rows(tile.column("items"), np.uint64))
-            a += x
-            b += y
-        if len(a) > 50_000:
-            yield _edges(a, b)
-            a, b = [], []
-    yield _edges(a, b)
-
-
-def _sizes(rows: DataFrame, key: str, most: int) -> DataFrame:
-    """(key, total) of the keys whose rows weigh more than a tile holds."""
-    return rows.groupBy(key).agg(F.sum("w").alias("total")).where(F.col("total") > most)
-
-
-def _dealt(rows: DataFrame, key: str, large: DataFrame, most: int) -> DataFrame:
+def _dealt(rows: DataFrame, key: str, large: DataFrame, most: int, *payload: str) -> DataFrame:
     """Adds (block, side): a large key's rows are dealt into tiles by a hash, twice, so that similar rows meet; others stay whole."""
     salt = F.explode(F.when(F.col("total").isNull(), F.array(F.lit(0))).otherwise(F.array(F.lit(1), F.lit(2))))
-    dealt = rows.join(large, key, "left").withColumn("salt", salt)
+    dealt = rows.join(if_small(large), key, "left").withColumn("salt", salt)
     place = F.pmod(F.xxhash64("cls", "salt"), F.ceil(F.col("total") / most))
-    return dealt.select(key, "cls", "n", "label", F.coalesce(F.concat_ws("/", "salt", place), F.lit("")).alias("block"), F.lit(0).alias("side"))
+    block = F.when(F.col("total").isNull(), F.lit("")).otherwise(F.concat_ws("/", "salt", place))
+    return dealt.select(key, "cls", "n", "label", block.alias("block"), F.lit(0).alias("side"), *payload)
 
 
 def _met(rows: DataFrame, key: str, most: int) -> DataFrame:
@@ -354,15 +321,14 @@ def _met(rows: DataFrame, key: str, most: int) -> DataFrame:
     return placed.join(stored(places, "tiles"), [key, *own]).select(key, "cls", "n", "label", "block", "side")
 
 
-def _tiled(places: DataFrame, key: str, payload: DataFrame, edges) -> DataFrame:
-    """``edges`` over the tiles, with each row's payload."""
-    rows = places.join(payload, "cls")
-    return rows.repartition(F.col(key), F.col("block")).sortWithinPartitions(key, "block").mapInArrow(edges, _EDGE_SCHEMA)
+def _tiled(places: DataFrame, key: str, payload: str, act) -> DataFrame:
+    """Edges found in the tiles of rows that carry their payload."""
+    return places.repartition(F.col(key), F.col("block")).sortWithinPartitions(key, "block").mapInArrow(_edges_of_tiles(key, payload, act), _EDGE_SCHEMA)
 
 
 def set_classes(table: DataFrame) -> DataFrame:
     """One row for each set that isn't empty: cls (a number given once), d1, d2, rep (its smallest doc_id), n, prefix, bits."""
-    found = table.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "prefix", "bits")])
+    found = table.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "prefix", "rare", "bits")])
     return stored(found.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
 
@@ -372,52 +338,81 @@ def _candidates(classes: DataFrame) -> DataFrame:
     few = classes.select("cls", "n", F.col("cls").alias("label"), F.explode(F.slice("prefix", 1, FIRST_ELEMENTS)).alias("h"))
     shared = stored(few.groupBy("h").agg(F.count(F.lit(1)).alias("total")).where("total > 1"), "shared")
     few = stored(few.join(shared.select("h"), "h"), "postings")
-    first = stored(_tiled(_dealt(few, "h", shared.where(F.col("total") > TILE_ROWS), TILE_ROWS), "h", bits, _tile_edges).distinct(), "candidates")
+    crowded = stored(shared.where(F.col("total") > TILE_ROWS), "crowded")
+    first = stored(_tiled(_dealt(few, "h", crowded, TILE_ROWS).join(bits, "cls"), "h", "bits", _bound_tile).distinct(), "candidates")
     label = stored(connected_components(first), "labels")
     forget(classes.sparkSession, few)
 
-    rest = classes.join(label, F.col("cls") == F.col("node"), "left").select("cls", "n", F.coalesce("component", "cls").alias("label"), F.explode("prefix").alias("h"))
-    still = rest.groupBy("h").agg(F.count(F.lit(1)).alias("total"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    still = stored(still.select("h", "total"), "open")
-    rest = stored(rest.join(still, "h"), "postings")
+    # Keys that aren't frequent hold few rows each and are counted in a window: one shuffle. The frequent ones are counted
+    # by an aggregate, whose map side leaves a row for each key and task.
+    rest = classes.join(label, F.col("cls") == F.col("node"), "left").select("cls", "n", F.coalesce("component", "cls").alias("label"), "prefix", "rare")
+    of_key = Window.partitionBy("h")
+    rare = rest.select("cls", "n", "label", F.explode(F.slice("prefix", F.lit(1), F.col("rare"))).alias("h"))
+    rare = rare.withColumns({"total": F.count(F.lit(1)).over(of_key), "low": F.min("label").over(of_key), "high": F.max("label").over(of_key)}).where("low < high")
+    often = rest.select("cls", "n", "label", F.explode(F.slice("prefix", F.col("rare") + 1, F.size("prefix"))).alias("h"))
+    still = often.groupBy("h").agg(F.count(F.lit(1)).alias("total"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    often = often.join(stored(still.select("h", "total"), "open"), "h")
+    columns = ("h", "cls", "n", "label", "total")
+    rest = stored(rare.select(*columns).unionByName(often.select(*columns)), "postings")
     places = rest.where(F.col("total") <= TILE_ROWS).select("h", "cls", "n", "label", F.lit("").alias("block"), F.lit(0).alias("side"))
-    if not still.where(F.col("total") > TILE_ROWS).isEmpty():
+    if not rest.where(F.col("total") > TILE_ROWS).isEmpty():
         large = rest.where(F.col("total") > TILE_ROWS).select("h", "cls", "n", "label", F.lit(1).cast("long").alias("w"))
         places = places.unionByName(_met(large, "h", TILE_ROWS))
-    second = _tiled(places, "h", bits, _tile_edges).distinct()
+    second = _tiled(places.join(bits, "cls"), "h", "bits", _bound_tile).distinct()
     found = stored(connected_components(first.unionByName(second)), "groups")
-    for x in (rest, first, label, shared, still):
+    for x in (rest, first, label, shared):
         forget(classes.sparkSession, x)
     return found
 
 
 def _whole_sets(docs: DataFrame, members: DataFrame, repeated: bool) -> DataFrame:
-    """(cls, items): the sorted sets of ``members(cls, rep, d1, d2)``, from the text of a document that has the set."""
-    named = docs.join(members.where("rep is not null").select(F.col("rep").alias("doc_id"), "cls", F.col("d1").alias("c1"), F.col("d2").alias("c2")), "doc_id")
-    found = named.select("cls", "c1", "c2", "text").mapInArrow(_items, _ITEMS)
-    unnamed = members.where("rep is null").select("cls", "d1", "d2")
+    """``members(g, cls, rep, d1, d2)`` with their sorted sets, from the text of a document that has the set."""
+    named = members.where("rep is not null").select(F.col("rep").alias("doc_id"), "g", "cls", F.col("d1").alias("c1"), F.col("d2").alias("c2"))
+    found = docs.join(if_small(stored(named, "named-members")), "doc_id").select("g", "cls", "c1", "c2", "text").mapInArrow(_items, _ITEMS)
+    unnamed = members.where("rep is null").select("g", "cls", "d1", "d2")
     if not unnamed.isEmpty():
-        texts = docs.where("doc_id is null").select(F.lit(None).cast("long").alias("cls"), F.lit(None).cast("long").alias("c1"), F.lit(None).cast("long").alias("c2"), "text")
-        found = found.unionByName(texts.mapInArrow(_items, _ITEMS).drop("cls").join(unnamed, ["d1", "d2"]).select("cls", "d1", "d2", "items"))
+        none = [F.lit(None).cast("long").alias(c) for c in ("g", "cls", "c1", "c2")]
+        texts = docs.where("doc_id is null").select(*none, "text").mapInArrow(_items, _ITEMS).drop("g", "cls")
+        found = found.unionByName(texts.join(unnamed, ["d1", "d2"]))
         repeated = True
-    return (found.dropDuplicates(["cls"]) if repeated else found).select("cls", "items")
+    return found.dropDuplicates(["cls"]) if repeated else found
+
+
+def _links_in_groups(rows: DataFrame, most: int, payload: str, act) -> DataFrame:
+    """(a, b) of rows (g, cls, n, label, w, payload): every two rows of a group that ``act`` links are connected."""
+    large = stored(rows.groupBy("g").agg(F.sum("w").alias("total")).where(F.col("total") > most), "large")
+    found = stored(_tiled(_dealt(rows, "g", large, most, payload), "g", payload, act).distinct(), "links")
+    if large.isEmpty():
+        return found
+    label = stored(connected_components(found), "labels")
+    apart = rows.select("g", "cls", "n", "w").join(if_small(large.select("g")), "g").join(label, F.col("cls") == F.col("node"), "left")
+    apart = stored(apart.select("g", "cls", "n", F.coalesce("component", "cls").alias("label"), "w"), "apart")
+    still = stored(apart.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("g"), "open")
+    if still.isEmpty():
+        return found
+    places = _met(apart.join(if_small(still), "g"), "g", most)
+    more = _tiled(places.join(rows.select("cls", payload), "cls"), "g", payload, act)
+    return stored(found.unionByName(more).distinct(), "links")
 
 
 def _exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, repeated: bool) -> DataFrame:
-    """(a, b) of classes with the similarity, as a forest of their components."""
-    members = groups.select(F.col("node").alias("cls"), F.col("component").alias("g")).join(classes.select("cls", "rep", "d1", "d2", "n"), "cls")
-    members = stored(members.withColumns({"label": F.col("cls"), "w": F.col("n") + F.lit(ROW_ELEMENTS)}), "members")
-    items = stored(_whole_sets(docs, members, repeated), "items")
-    large = stored(_sizes(members, "g", TILE_ELEMENTS), "large")
-    found = stored(_tiled(_dealt(members, "g", large, TILE_ELEMENTS), "g", items, _exact_edges).distinct(), "links")
-    if not large.isEmpty():
-        label = stored(connected_components(found), "labels")
-        rows = members.join(large.select("g"), "g").join(label, F.col("cls") == F.col("node"), "left")
-        rows = stored(rows.select("g", "cls", "n", F.coalesce("component", "cls").alias("label"), "w"), "members")
-        still = rows.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("g")
-        rows = rows.join(stored(still, "open"), "g")
-        found = stored(found.unionByName(_tiled(_met(rows, "g", TILE_ELEMENTS), "g", items, _exact_edges)).distinct(), "links")
-    forget(docs.sparkSession, items)
+    """(a, b) of classes with the similarity, as a forest of their components.
+
+    Long sets fill the signatures of the index, so groups are first divided by signatures as wide as the sets are large;
+    whole sets are only brought together in what is left.
+    """
+    spark = docs.sparkSession
+    members = groups.select(F.col("node").alias("cls"), F.col("component").alias("g")).join(classes.select("cls", "rep", "d1", "d2"), "cls")
+    members = stored(members, "members")
+    items = stored(_whole_sets(docs, members, repeated).withColumn("label", F.col("cls")), "items")
+    wide = stored(items.select("g", "cls", "n", "items").mapInArrow(_wide, "g long, cls long, n int, bits binary"), "wide")
+    wide = wide.withColumns({"label": F.col("cls"), "w": F.octet_length("bits") / 8 + F.lit(ROW_ELEMENTS)})
+    nearer = stored(connected_components(_links_in_groups(wide, TILE_ELEMENTS, "bits", _bound_tile)), "groups")
+    rows = items.drop("g").join(if_small(nearer.select(F.col("node").alias("cls"), F.col("component").alias("g"))), "cls")
+    rows = stored(rows.select("g", "cls", "n", "label", (F.col("n") + F.lit(ROW_ELEMENTS)).alias("w"), "items"), "items")
+    found = _links_in_groups(rows, TILE_ELEMENTS, "items", _exact_tile)
+    for x in (members, items, wide, nearer, rows):
+        forget(spark, x)
     return found
 
 
@@ -460,18 +455,26 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cls, d1, d2, items): whole sorted sets; of rows that name a class only those that have its very set."""
+    """(g, cls, d1, d2, n, items): whole sorted sets; of rows that name a class only those that have its very set."""
     for batch in batches:
-        classes, c1, c2, texts = batch.columns
+        *keys, texts = batch.columns
         for lo, hi in row_chunks(texts):
             rows = []
-            for cls, one, two, s in zip(*(c.slice(lo, hi - lo).to_pylist() for c in (classes, c1, c2)), shingle_sets(texts.slice(lo, hi - lo)), strict=True):
+            for g, cls, one, two, s in zip(*(c.slice(lo, hi - lo).to_pylist() for c in keys), shingle_sets(texts.slice(lo, hi - lo)), strict=True):
                 d1, d2 = set_digest(s)
                 if len(s) and (cls is None or (one, two) == (d1, d2)):
-                    rows.append((cls, d1, d2, s.tobytes()))
-            columns = list(zip(*rows, strict=True)) or [()] * 4
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["cls", "d1", "d2", "items"])
+                    rows.append((g, cls, d1, d2, len(s), s.tobytes()))
+            columns = list(zip(*rows, strict=True)) or [()] * 6
+            kinds = (*[pa.int64()] * 4, pa.int32(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["g", "cls", "d1", "d2", "n", "items"])
+
+
+def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(g, cls, n, bits): signatures of two bits or more for each element."""
+    for batch in batches:
+        sets = _binary_rows(batch.column(3), np.uint64)
+        bits = pa.array([signature(mix(s), _width(len(s), 2, 1 << 62)).tobytes() for s in sets], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], bits], ["g", "cls", "n", "bits"])
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

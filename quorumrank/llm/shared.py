@@ -8,9 +8,12 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Text bytes that a Python worker expands into numpy arrays at once.
 CHUNK_BYTES = 1 << 20
+#: Rows of a few numbers each that are broadcast at most.
+BROADCAST_ROWS = 500_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -47,6 +50,11 @@ def forget(spark: SparkSession, df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A ``stored`` table, marked for broadcast where it has so few rows; else joins shuffle it."""
+    return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if rows is None else rows) else df
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so further columns of the input, whatever their names, can't clash."""
     return df.select(*[df[f"`{n}`"] for n in names])
