@@ -38,7 +38,7 @@ DEFAULT_RULES: tuple[SuffixRule, ...] = (
 def url_host(url: Column) -> Column:
     """Host of a URL, with http:// where it has no scheme; null for blank, broken and .onion ones.
 
-    User, password, port and a trailing dot of the path's side are no part of it; the host keeps its letters' case.
+    User, password and port are no part of it; letters come out in lower case.
     """
     text = F.trim(url)
     scheme = F.regexp_replace(text, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//", "")

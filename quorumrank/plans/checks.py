@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,19 +35,67 @@ _mart_test("score_direction", Q.wrong_direction, "best <= worst", "(" + " union
 _mart_test("unique_domain", lambda m: Q.duplicates(m, ["registered_domain"]), "true", "(select registered_domain from mart group by 1 having count(*) > 1)")
 _mart_test("accepted_tier", lambda m: Q.not_accepted(m, "coverage_tier", ["full", "high", "partial"]), "coverage_tier not in ('full', 'high', 'partial')")
 
-_REQUIRED = ("registered_domain", "coverage_tier", "sources_count", "ranking_sources_present", "security_flags_observed", "consensus_score", "p_tranco", "last_threat_seen")
+_RISK = "registered_domain threat_type first_seen last_seen threat_count observed_hosts_count"
+#: Columns that must not be null, by table; a risk table stands for its three feeds.
+_REQUIRED = {t: c.split() for t, c in {
+    "raw_tranco": "registered_domain tranco_rank", "raw_majestic": "registered_domain ref_subnets subdomains_seen", "raw_radar": "registered_domain rank_bucket buckets_seen",
+    "raw_crux": "yyyymm origin registered_domain", "raw_opr": "registered_domain openpagerank_decimal openpagerank_integer openpagerank_rank", "raw_risk": _RISK,
+    "stg_tranco": "registered_domain tranco_rank", "stg_majestic": "registered_domain majestic_ref_subnets majestic_subdomains_seen", "stg_radar": "registered_domain radar_rank_bucket radar_buckets_seen",
+    "stg_crux": "registered_domain crux_rank_bucket crux_origins_seen crux_snapshot_date", "stg_opr": "registered_domain opr_subdomains_seen", "stg_risk": _RISK,
+    "risk": "registered_domain risk_sources_count threat_types first_threat_seen last_threat_seen threat_count observed_hosts_count",
+    "mart": "registered_domain coverage_tier sources_count ranking_sources_present security_flags_observed risk_sources_count threat_types snapshot_date methodology_version consensus_score p_tranco last_threat_seen",
+}.items()}
+_RANKING = ("tranco", "majestic", "radar", "crux", "opr")
+_FEEDS = ("urlhaus", "threatfox", "phishtank")
+
+
+def _suite(spark: SparkSession, d: str) -> dict[str, list[DataFrame]]:
+    """Tables of the suite by name, the risk feeds one by one."""
+    raw = {"tranco": P.raw_tranco, "majestic": P.raw_majestic, "radar": P.raw_radar, "crux": P.raw_crux, "opr": P.raw_opr}
+    staged, risk = P.staged_sources(spark, d), P.staged_risk(spark, d)
+    return {
+        **{f"raw_{s}": [raw[s](spark, d)] for s in _RANKING}, "raw_risk": [P.raw_risk(spark, d, s) for s in _FEEDS], **{f"stg_{s}": [staged[s]] for s in _RANKING},
+        "stg_risk": [risk[s] for s in _FEEDS], "risk": [P.risk(spark, d)], "mart": [P.mart(spark, d)],
+    }
+
+
+@query("quality_not_null", P.with_projections(" union all ".join(
+    f"select '{t}' as \"table\", '{c}' as \"column\", count(*) filter ({c} is null) as violations from {t}" for t, columns in _REQUIRED.items() for c in columns)))
+def quality_not_null(spark: SparkSession, d: str) -> DataFrame:
+    tables = _suite(spark, d)
+    parts = [Q.null_counts(reduce(DataFrame.unionByName, tables[t]), c).withColumn("table", F.lit(t)) for t, c in _REQUIRED.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
-@query("quality_not_null", P.with_projections(" union all ".join(f"select '{c}' as \"column\", count(*) filter ({c} is null) as violations from mart" for c in _REQUIRED)))
-def quality_not_null(spark: SparkSession, d: str) -> DataFrame:
-    return Q.null_counts(P.mart(spark, d), _REQUIRED)
+_UNIQUE = ("stg_tranco", "stg_majestic", "stg_radar", "stg_crux", "stg_opr", "risk", "mart", "raw_majestic", "raw_opr")
+
+
+@query("quality_unique", P.with_projections(" union all ".join(
+    f"select '{t}' as \"table\", count(*) as violations from (select registered_domain from {t} group by 1 having count(*) > 1)" for t in _UNIQUE)))
+def quality_unique(spark: SparkSession, d: str) -> DataFrame:
+    """On two raw feeds too, where domains do repeat."""
+    tables = _suite(spark, d)
+    return reduce(DataFrame.unionByName, [Q.violations(Q.duplicates(tables[t][0], ["registered_domain"])).withColumn("table", F.lit(t)) for t in _UNIQUE])
+
+
+@query("quality_unique_combination", P.with_projections(" union all ".join(
+    f"select '{s}' as source, '{t}' as \"table\", count(*) as violations from (select 1 from {t} where source_name = '{s}' group by registered_domain, threat_type having count(*) > 1)"
+    for t in ("raw_risk", "stg_risk") for s in _FEEDS)))
+def quality_unique_combination(spark: SparkSession, d: str) -> DataFrame:
+    """On the raw feeds too, where keys do repeat."""
+    tables = _suite(spark, d)
+    parts = [
+        Q.violations(Q.duplicates(df, ["registered_domain", "threat_type"])).withColumns({"source": F.lit(s), "table": F.lit(t)})
+        for t in ("raw_risk", "stg_risk") for s, df in zip(_FEEDS, tables[t], strict=True)
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("quality_unique_risk_key", P.with_projections("select count(*) as violations from (select registered_domain, threat_type from raw_risk group by 1, 2 having count(*) > 1)"))
 def quality_unique_risk_key(spark: SparkSession, d: str) -> DataFrame:
     """On the raw feeds together, where keys do repeat."""
     rows = [P.raw_risk(spark, d, s).select("registered_domain", "threat_type") for s in ("urlhaus", "threatfox", "phishtank")]
-    return Q.violations(Q.duplicates(rows[0].unionByName(rows[1]).unionByName(rows[2]), ["registered_domain", "threat_type"]))
+    return Q.violations(Q.duplicates(reduce(DataFrame.unionByName, rows), ["registered_domain", "threat_type"]))
 
 
 @query("quality_freshness", """select kind, latest, datediff('day', latest, date '2024-02-08') as age_days, case when datediff('day', latest, date '2024-02-08') > error then 'error'
@@ -58,12 +107,7 @@ def quality_freshness(spark: SparkSession, d: str) -> DataFrame:
     kinds = ["click", "error", "purchase", "signup", "view"]  # the fixed event types of the test data
     now = F.lit("2024-02-08").cast("date")
     parts = [Q.freshness(events.where(F.col("event_type") == k), "day", now, warn, error).withColumn("kind", F.lit(k)) for k in kinds]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("quality_release_frame", publication._sql("""select count(*) filter (registered_domain is null) as null_domains, count(registered_domain) - count(distinct registered_domain) as repeated_domains,

@@ -28,20 +28,25 @@ def tag_query(spark: SparkSession, node: str, methodology_version: str, run_id:
     spark.sparkContext.setJobDescription(json.dumps(said, sort_keys=True))
 
 
-def frozen(df: DataFrame) -> DataFrame:
-    """``df`` computed once into the reliable folder of ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``.
 
     Where that is unset, local mode takes a temporary folder; on a cluster it must be set, as no machine's own folder will do.
     """
+    found, master = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext.master
+    if not found:
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="quorumrank-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found.rstrip("/")
+
+
+def frozen(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the reliable shared folder."""
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if context.master != "local" and not context.master.startswith("local["):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = "file://" + tempfile.mkdtemp(prefix="quorumrank-")
-        context.setCheckpointDir(folder)
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
 
 
