@@ -197,6 +197,15 @@ def top_entrants(current: DataFrame, previous: DataFrame, n: int = 100, show: in
     return new.orderBy(*_release_order()).limit(show).select("registered_domain", F.round("consensus_score", 4).alias("consensus_score"), "coverage_tier", "sources_count", "ranking_sources_present")
 
 
+def source_combinations(release: DataFrame, show: int = 20) -> DataFrame:
+    """The commonest combinations of sources with their scores and flags."""
+    s = "consensus_score"
+    rows = release.groupBy("ranking_sources_present").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(s).alias("scored_rows"), F.round(F.avg(s), 4).alias("score_mean"), F.count_if("security_flags_observed").alias("security_flagged_rows")
+    )
+    return rows.orderBy(F.desc("rows"), "ranking_sources_present").limit(show)
+
+
 def summary(release: DataFrame) -> DataFrame:
     """One row of counts and scores of a release."""
     s = "consensus_score"

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..functions.values import fmt_float, fmt_int
 from ..sources.archive import markdown_table
 from . import releases as R
+from . import temporal as T
+from . import walkforward as W
 
 #: Rows of a table that a report shows; its inputs are aggregates or top-k lists of no more.
 SHOWN = 200
@@ -49,9 +52,39 @@ def release_report(release: DataFrame, previous: DataFrame | None = None, title:
     return "\n".join(parts)
 
 
-def stability_report(history: list[tuple[str, DataFrame]], schemas: int = 1, non_fresh: int = 0) -> str:
-    pairs = R.stability(history)
-    return "\n".join(["# Stability\n", section("Readiness", R.readiness(pairs, schemas, non_fresh)), section("Adjacent releases", pairs)])
+def stability_report(history: list[tuple[str, DataFrame]], schemas: int = 1, stale: Sequence[str] = (), sources: Sequence[Sequence[object]] = ()) -> str:
+    """Readiness and the change between adjacent releases; ``sources`` are (release, source, status, rows) from their metadata."""
+    pairs, latest = R.stability(history), history[-1][1]
+    return "\n".join([
+        "# Stability\n", section("Readiness", R.readiness(pairs, schemas, len(stale))), f"Variants of the published columns: {schemas}. Sources that were not fresh: {'; '.join(stale) or 'none'}.\n",
+        section("Adjacent releases", pairs), section("Source combinations of the latest release", R.source_combinations(latest)), section("Risk sources of the latest release", R.risk_distribution(latest)),
+        "## Sources\n", markdown_table(["release", "source", "status", "rows"], [[_cell(v) for v in r] for r in sources]), "",
+    ])
+
+
+def component_report(parts: DataFrame, title: str = "Index components") -> str:
+    """Levels, confidence, trend labels, noise scales and risk states of an index, by rank band."""
+    known = parts.withColumns({"reputation_score": F.expr("case when l_ok then l_ewma end"), "reputation_confidence": F.expr("case when t_ok then confidence end")})
+    whole = known.agg(F.count(F.lit(1)).alias("domains"), *[F.round(F.percentile(c, q), 4).alias(f"{c}_p{int(100 * q)}") for c in ("reputation_score", "reputation_confidence") for q in (0.1, 0.5, 0.9)])
+    labels = F.element_at(F.array(*[F.lit(x) for x in T.BAND_LABELS]), F.col("band") + 1)
+    shares = [F.round(F.avg((F.col("trend") == t).cast("double")), 4).alias(t) for t in ("rising", "falling", "stable", "uncertain")]
+    bands = known.groupBy("band").agg(
+        F.count(F.lit(1)).alias("domains"), F.round(F.percentile("reputation_score", 0.5), 4).alias("median_score"), F.round(F.percentile("reputation_confidence", 0.5), 4).alias("median_confidence"),
+        *shares, F.round(F.avg((F.col("steady_share") < 1).cast("double")), 4).alias("source_set_changed"), F.round(F.max("noise_scale"), 4).alias("noise_scale"),
+    ).orderBy("band").select(labels.alias("rank_band"), "*").drop("band")
+    risks = known.groupBy("risk_state").agg(F.count(F.lit(1)).alias("domains")).orderBy(F.desc("domains"), "risk_state")
+    return "\n".join([
+        f"# {title}\n", "Confidence is a heuristic between 0 and 1, not a probability; no observed risk does not mean that a domain is safe.\n",
+        section("Summary", whole), section("Rank bands", bands), section("Observed risk", risks),
+    ])
+
+
+def walkforward_report(rows: DataFrame, title: str = "Walk-forward evaluation") -> str:
+    """The candidates of an evaluation: agreement with the raw ranking, retention, forecast and drift, by size of the top."""
+    rows = rows.orderBy("candidate")
+    parts = [section(f"Top {n:,}", rows, ["candidate", f"latest_{n}", f"retention_{n}", f"forecast_{n}"]) for n in W.TOP_N]
+    drift = [c for c in ("drift_p95", "shock_median", "shock_p95") if c in rows.columns]
+    return "\n".join([f"# {title}\n", section("Drift", rows, ["candidate", "latest_eligible", *drift]), *parts])
 
 
 def health_summary(health: DataFrame) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bz2
+import contextlib
 import csv
 import datetime
 import gzip
@@ -9,6 +11,7 @@ import hashlib
 import io
 import itertools
 import json
+import lzma
 import re
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, fields
@@ -185,10 +188,22 @@ def csv_cell(value: object) -> str:
     return str(value)
 
 
+def _packed(path: str, out: io.BufferedWriter):
+    """A writer that compresses by the ending of a name: .gz, .bz2, .xz or none."""
+    if path.endswith(".gz"):
+        return gzip.GzipFile(filename="", mode="wb", fileobj=out, mtime=0)
+    if path.endswith(".bz2"):
+        return bz2.BZ2File(out, "wb")
+    return lzma.LZMAFile(out, "wb") if path.endswith(".xz") else contextlib.nullcontext(out)
+
+
 def write_deterministic_csv(df: DataFrame, path: str) -> int:
-    """A gzipped CSV whose bytes depend on the rows and their order alone; rows stream through the driver. Returns the count."""
+    """A CSV, compressed as its name says, whose bytes depend on the rows and their order alone. Returns the count.
+
+    Rows stream through the driver: a published file is one file.
+    """
     n = 0
-    with open(path, "wb") as out, gzip.GzipFile(filename="", mode="wb", fileobj=out, mtime=0) as packed, io.TextIOWrapper(packed, "utf-8", newline="") as text:
+    with open(path, "wb") as out, _packed(path, out) as packed, io.TextIOWrapper(packed, "utf-8", newline="") as text:
         writer = csv.writer(text, lineterminator="\n")
         writer.writerow(df.columns)
         for row in df.toLocalIterator():
@@ -215,6 +230,46 @@ def export_archive(archive: DataFrame, folder: str, tag: str, sources: dict[str,
     return Release(tag, day, version, str(data), str(meta))
 
 
+def index_lineage(path: str, csv_path: str, releases: Sequence[Release], slots: Sequence[str], index: DataFrame, rows: int, bands: DataFrame, created_at: datetime.datetime) -> None:
+    """What a temporal index was made of and what it holds: its inputs with their digests, weeks that are missing, and statistics."""
+    from ..operators import temporal as T
+
+    def counts(column: str) -> dict[str, int]:
+        return {r[column]: r["count"] for r in index.groupBy(column).count().orderBy(column).collect()}  # a few labels
+
+    newest = releases[-1]
+    write_lineage(path, {
+        "created_at": created_at.isoformat(), "status": "experimental", "snapshot_date": newest.snapshot_date, "index_methodology_version": T.METHODOLOGY,
+        "consensus_methodology_version": newest.methodology_version, "row_count": rows, "public_columns": index.columns, "release": {"tag": newest.tag, "prerelease": True},
+        "sort_order": ["score_candidate desc nulls last", "reputation_score desc nulls last", "registered_domain asc"],
+        "methodology": {
+            "history_window_weeks": T.HISTORY_WINDOW, "level_window_weeks": T.LEVEL_WINDOW, "minimum_history_share": T.MIN_HISTORY_SHARE, "trend_slope_clip": T.SLOPE_CLIP,
+            "trend_confirmation_standard_errors": T.KAPPA, "structural_shock_damping": T.SHOCK_DAMPING, "rank_band_labels": T.BAND_LABELS, "rank_band_trend_caps": T.BAND_CAPS,
+            "snapshot_date_tolerance_days": SNAPSHOT_TOLERANCE_DAYS, "missing_releases_preserve_calendar_slots": True,
+        },
+        "inputs": [
+            {"release_tag": r.tag, "snapshot_date": r.snapshot_date, "methodology_version": r.methodology_version, "csv_asset": Path(r.csv_path).name, "csv_sha256": sha256_file(r.csv_path),
+             "metadata_asset": Path(r.meta_path).name, "metadata_sha256": sha256_file(r.meta_path)} for r in releases
+        ],
+        "history_calendar": {"release_tags": list(slots), "missing_release_tags": sorted(set(slots) - {r.tag for r in releases})},
+        "statistics": T.index_statistics(index).first().asDict() | {"trend_counts": counts("reputation_trend"), "risk_counts": counts("observed_risk")}
+        | {"rank_band_noise_scales": {r["rank_band"]: r["noise_scale"] for r in bands.collect()}},
+        "files": {"csv": Path(csv_path).name, "csv_sha256": sha256_file(csv_path), "metadata": Path(path).name},
+    })
+
+
+def read_meta(release: Release) -> dict:
+    return json.loads(Path(release.meta_path).read_text())
+
+
+def published_facts(releases: Sequence[Release]) -> tuple[int, list[str], list[tuple[str, str, str | None, int | None]]]:
+    """(variants of the published columns, sources that weren't fresh, (tag, source, status, rows) of every source)."""
+    metas = [(r.tag, read_meta(r)) for r in releases]
+    rows = [(tag, name, s.get("status"), s.get("row_count")) for tag, m in metas for name, s in sorted((m.get("sources") or {}).items())]
+    stale = sorted({f"{name} in {tag}: {status}" for tag, name, status, _ in rows if status not in (None, "", "fresh")})
+    return len({tuple(m.get("public_columns") or ()) for _, m in metas}), stale, rows
+
+
 def json_safe(value: object) -> object:
     if isinstance(value, float) and value != value:
         return None
