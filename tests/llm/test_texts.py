@@ -318,17 +318,35 @@ def test_head_and_tail_counts_agree(documents, monkeypatch):
     assert {r.doc_id: (r.n_known, round(r.base_score, 6)) for r in context_tree.scores(documents).collect()} == whole
 
 
-@pytest.mark.parametrize("most", [0, 300])
-def test_scores_do_not_depend_on_the_broadcast_strings(documents, monkeypatch, most):
+@pytest.mark.parametrize("most, shard", [(0, 16_384), (300, 16_384), (1_000_000, 500), (300, 20)])
+def test_scores_do_not_depend_on_what_is_broadcast_or_cut(documents, monkeypatch, most, shard):
     rows = documents.select("doc_id", "text").collect()
     keys, counts = np.unique(np.concatenate([context_tree.grams(context_tree.tokens(r.text)) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2]), return_counts=True)
     tree = context_tree.build_tree(keys, counts)
     monkeypatch.setattr(context_tree, "MAX_GRAMS", most)
-    monkeypatch.setattr(context_tree, "_SHARD_ROWS", 5_000, raising=False)
+    monkeypatch.setattr(context_tree, "_SHARD_ROWS", 5_000)
+    monkeypatch.setattr(context_tree, "SHARD_LEAST", shard)
+    monkeypatch.setattr(context_tree, "SHARD_MOST", shard)
     got = {r.doc_id: r.score for r in context_tree.scores(documents).collect()}
     assert got == {r.doc_id: pytest.approx(tree.log2(context_tree.grams(context_tree.tokens(r.text))).sum() * math.log10(2), rel=1e-6) for r in rows}
 
 
+def test_scores_equal_the_recursive_definition(spark, monkeypatch):
+    """Of a whole table, with no string broadcast and contexts cut at every depth."""
+    monkeypatch.setattr(context_tree, "MAX_GRAMS", 5)
+    monkeypatch.setattr(context_tree, "SHARD_LEAST", 2)
+    monkeypatch.setattr(context_tree, "SHARD_MOST", 2)
+    texts = {i: t for i, t in enumerate(["abracadabra abra cad", "Abra kadabra", "abracadabra", "zz top", "", None, "the abbey \u00e9t\u00e9", "abra abra abra"])}
+    depth, padded = context_tree.DEPTH, {}
+    for k, t in texts.items():
+        padded[k] = b"\n" * depth + b" ".join((t or "").encode().lower().split()) + b"\n"
+    strings = lambda k: [padded[k][i : i + depth + 1] for i in range(len(padded[k]) - depth)]
+    trained = [k for k in texts if zlib.crc32(str(k).encode()) % 7 != 2]
+    want = reference_bits([s for k in trained for s in strings(k)], depth)
+    got = {r.doc_id: r.score for r in context_tree.scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert 0 < len(trained) < len(texts) and got == {k: pytest.approx(sum(map(want, strings(k))) * math.log10(2), rel=1e-5) for k in texts}
+
+
 def reference_bits(strings, depth):
     """log2 P of each string's last byte by the recursive definition."""
     tables = [defaultdict(lambda: [0, 0]) for _ in range(depth + 1)]
