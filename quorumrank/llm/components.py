@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from .shared import forget, stored
@@ -16,16 +16,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     is written to the shared folder, so a lost executor costs one round. Self links, repeated and reversed
     links and null ends are allowed; nodes without a link don't appear. Labels need only ``min`` and ``<``.
     """
-    links = stored(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where("u is not null and v is not null and u <> v").distinct(),
-        "links",
-    )
-    before = _checksum(links)
+    pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u is not null and v is not null and u <> v").distinct()
+    links, before = _written(pairs)
     for _ in range(max_rounds):
-        moved = stored(_star(_star(links, larger=True), larger=False), "links")
+        if not before[0]:
+            break
+        moved, after = _written(_star(_star(links, larger=True), larger=False))
         forget(links.sparkSession, links)
-        links, after = moved, _checksum(moved)
+        links = moved
         if before == after:
             break
         before = after
@@ -35,8 +33,11 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
 
-def _checksum(links: DataFrame) -> tuple:
-    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
+def _written(links: DataFrame) -> tuple[DataFrame, tuple]:
+    """The links as a written table, and their number and checksum, which are taken while they are written."""
+    seen = Observation()
+    observed = links.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"))
+    return stored(observed, "links"), (seen.get["n"], seen.get["x"])
 
 
 def _star(links: DataFrame, larger: bool) -> DataFrame:
