@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quorumrank.llm import ngram_join, packing, pii, toxicity
-from quorumrank.llm.shared import stored
+from quorumrank.llm.shared import forget, stored
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,12 +18,12 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents linked by word shingles, the one with the smallest id stays."""
+    """Of documents linked by word shingles, the one with the smallest id stays; of repeated rows one."""
     return ngram_join.keep_one(docs)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal values become pseudonyms, and n_chars counts the new text."""
+    """Personal values become pseudonyms, by the key in the session's configuration, and n_chars counts the new text."""
     out = pii.pseudonymise(docs)
     return out.withColumn("n_chars", F.when(F.col("n_chars").isNotNull(), F.char_length("text").cast("long"))).select(*docs.columns)
 
@@ -46,7 +46,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in order, each written and reread."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, written = spark.read.parquet(f"{sf_dir}/documents.parquet"), False
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        kept = stored(stage(spark, docs, sf_dir), name)
+        if written:
+            forget(spark, docs)
+        docs, written = kept, True
     return STAGES[-1][1](spark, docs, sf_dir)
