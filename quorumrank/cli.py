@@ -133,7 +133,7 @@ def main(args: list[str] | None = None) -> int:
         return _walk(spark, asked, found)
     read = [(r.tag, archive.read_tolerant(spark, r.csv_path)) for r in found]
     if asked.command == "release":
-        text = reports.release_report(read[-1][1], read[-2][1] if len(read) > 1 else None, read[-1][0])
+        text = reports.release_report(read[-1][1], read[-2][1] if len(read) > 1 else None, read[-1][0], archive.published_facts(found[-1:])[2])
     else:
         text = reports.stability_report(read, *archive.published_facts(found))
     return _put(text, asked.output)

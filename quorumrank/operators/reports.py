@@ -34,14 +34,16 @@ def section(title: str, df: DataFrame, columns: Sequence[str] | None = None) ->
     return f"## {title}\n\n{markdown_table(names, rows)}\n"
 
 
-def release_report(release: DataFrame, previous: DataFrame | None = None, title: str = "Release") -> str:
-    """Shape of a release and, beside an earlier one, what changed."""
+def release_report(release: DataFrame, previous: DataFrame | None = None, title: str = "Release", sources: Sequence[Sequence[object]] = ()) -> str:
+    """Shape of a release, the sources as its metadata has them and, beside an earlier one, what changed."""
     parts = [
         f"# {title}\n", section("Coverage", R.coverage_rows(release)), section("Sources per domain", R.coverage_rows(release, "sources_count")),
         section("Score quantiles", R.score_quantiles(release)), section("Score bands", R.score_bands(release)), section("Source presence", R.source_presence(release)),
         section("Risk sources", R.risk_distribution(release)), section("Risk by tier", R.risk_by_tier(release)), section("Threat types", R.threat_type_counts(release)),
         section("Flagged domains", R.top_flagged(release)), section("Rightmost labels", R.rightmost_labels(release)),
     ]
+    if sources:
+        parts += ["## Sources\n", markdown_table(["release", "source", "status", "rows"], [[_cell(v) for v in r] for r in sources]), ""]
     if previous is not None:
         merged = R.both(release, previous)
         parts += [

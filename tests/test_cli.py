@@ -16,7 +16,9 @@ def test_reports_and_index(spark, tmp_path, capsys):
         sources = {"tranco": {"status": "stale" if k == 2 else "fresh", "row_count": 10 + k}}
         archive.export_archive(published(spark, day, 0.1 * k), str(tmp_path / "r"), f"data-2026-W{23 + k}", sources, datetime.datetime(2026, 7, 20))
     root = str(tmp_path / "r")
-    assert cli.main(["release", root]) == 0 and "## Tier transitions" in capsys.readouterr().out
+    assert cli.main(["release", root]) == 0
+    said = capsys.readouterr().out
+    assert "## Tier transitions" in said and "| data-2026-W30 | tranco | fresh | 17 |" in said
     assert cli.main(["stability", root, "--output", str(tmp_path / "s.md")]) == 0 and "| red |" in (tmp_path / "s.md").read_text()
     assert cli.main(["index", root, "--output", str(tmp_path / "a.gz")]) == 0 and cli.main(["index", root, "--output", str(tmp_path / "b.gz")]) == 0
     assert (tmp_path / "a.gz").read_bytes() == (tmp_path / "b.gz").read_bytes()
