@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from .components import connected_components
+from .components import connected_components, forest
 from .ngram_join import by_key
 from .shared import forget, pick, stored
 
@@ -133,19 +133,6 @@ def close_pairs(a: np.ndarray, b: np.ndarray, axes: np.ndarray, threshold: float
     return (np.concatenate([x for x, _ in out]), np.concatenate([y for _, y in out])) if out else (none, none)
 
 
-def _forest(i: np.ndarray, j: np.ndarray, n: int) -> np.ndarray:
-    """Smallest row reachable by the pairs, for each of n rows."""
-    low = np.arange(n)
-    while True:
-        new = low.copy()
-        np.minimum.at(new, i, low[j])
-        np.minimum.at(new, j, low[i])
-        new = new[new]
-        if (new == low).all():
-            return low
-        low = new
-
-
 def _tile_links(axes: np.ndarray, threshold: float, dtype: type):
     def act(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tile in by_key(batches, ["label", "tile"]):
@@ -165,7 +152,7 @@ def _tile_links(axes: np.ndarray, threshold: float, dtype: type):
             if not len(i):
                 continue
             links = np.bincount(i, weights=copies[j], minlength=len(cls)) + np.bincount(j, weights=copies[i], minlength=len(cls))
-            low = _forest(i, j, len(cls))
+            low = forest(i, j, len(cls))
             touched = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cls[touched]), pa.array(cls[low[touched]]), pa.array(links[touched].astype(np.int64))], ["a", "b", "links"]

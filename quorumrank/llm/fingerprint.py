@@ -23,7 +23,7 @@ SIGN_LANES = 64
 _LOW = (1 << 32) - 1
 _PAIR = (1 << 32) | 1
 #: Documents that one window group of neighbours holds, about; ids are cut into so many quantile cells at most.
-BUCKET_ROWS, CELLS = 256, 1024
+BUCKET_ROWS, CELLS = 256, 4096
 
 
 def _strong_lane(i: int):

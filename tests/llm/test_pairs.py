@@ -59,7 +59,8 @@ def mutants():
 
 @pytest.mark.parametrize("rows, elements", [(4096, 2_000_000), (16, 4_000), (8, 1_000)])
 def test_join_equals_brute_force(spark, monkeypatch, rows, elements):
-    """With small tiles too, so that large keys are dealt and cut into pairs of cells."""
+    """With small tiles too, so that large keys are dealt and cut into pairs of cells, and with links beyond one task."""
+    monkeypatch.setattr(components, "ONE_TASK_LINKS", 10_000 if rows == 4096 else 0)
     monkeypatch.setattr(ngram_join, "TILE_ROWS", rows)
     monkeypatch.setattr(ngram_join, "TILE_ELEMENTS", elements)
     texts = mutants()
@@ -138,7 +139,9 @@ def test_bound_is_never_below_the_overlap():
         assert ngram_join.overlap(a, b) == exact <= ngram_join.overlap_bound(bits[0][0], len(a), bits[1], np.array([len(b)]))[0]
 
 
-def test_components_of_chains_and_stars(spark):
+@pytest.mark.parametrize("one_task", [0, 10_000])
+def test_components_of_chains_and_stars(spark, monkeypatch, one_task):
+    monkeypatch.setattr(components, "ONE_TASK_LINKS", one_task)
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(5, 5), (None, 3), (7, 6)]
     got = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 160)}}
@@ -147,7 +150,8 @@ def test_components_of_chains_and_stars(spark):
 
 @pytest.mark.parametrize("rows, chunk", [(8192, 1024), (100, 7), (12, 5)])
 def test_embeddings_equal_brute_force(spark, monkeypatch, rows, chunk):
-    """With small cells too, so that labels are cut along the components and dealt by a hash."""
+    """With small cells too, so that labels are cut along the components and dealt by a hash, and with links beyond one task."""
+    monkeypatch.setattr(components, "ONE_TASK_LINKS", 10_000 if rows == 8192 else 0)
     monkeypatch.setattr(embed_dedup, "CELL_ROWS", rows)
     monkeypatch.setattr(embed_dedup, "CHUNK_ROWS", chunk)
     rng = np.random.default_rng(5)
