@@ -211,14 +211,21 @@ def _edges(a: list[int], b: list[int]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
+def _stars(cls: np.ndarray, first: np.ndarray, roots: np.ndarray) -> tuple[list, list]:
+    """Links from a row of every label to one of the smallest label that it has been connected with."""
+    root = roots[first]
+    joined = np.flatnonzero(root != np.arange(len(root)))
+    return cls[first[joined]].tolist(), cls[first[root[joined]]].tolist()
+
+
 def _bound_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, bits: list[np.ndarray]) -> tuple[list, list]:
-    """Links of rows whose signatures leave the similarity possible, as a forest: one of several paths is enough.
+    """Links of rows whose signatures leave the similarity possible, as stars: one of several paths is enough.
 
     Rows are in order of size and so of width; a row meets those of its own width, and narrower ones after folding.
     """
     order = np.argsort(n, kind="stable")
     cls, n, side = cls[order], n[order], side[order]
-    roots, a, b = np.unique(label[order], return_inverse=True)[1], [], []  # rows of one label are together in any case
+    _, first, roots = np.unique(label[order], return_index=True, return_inverse=True)  # rows of one label are together in any case
     widths = np.array([64 * len(bits[i]) for i in order])
     parts = [(int(w), *(int(x) for x in np.flatnonzero(widths == w)[[0, -1]] + [0, 1])) for w in np.unique(widths)]
     flat = {w: np.stack([bits[i] for i in order[lo:hi]]) for w, lo, hi in parts}
@@ -234,11 +241,9 @@ def _bound_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndar
                 continue
             for j in js[overlap_bound(fold(own, w), int(n[i]), flat[w][js - lo], n[js]) >= needed(int(n[i]), n[js])].tolist():
                 if roots[i] != roots[j]:
-                    a.append(int(cls[i]))
-                    b.append(int(cls[j]))
                     low, high = sorted((roots[i], roots[j]))
                     roots[roots == high] = low
-    return a, b
+    return _stars(cls, first, roots)
 
 
 def _edges_of_tiles(key: str, payload: str, act):
@@ -261,13 +266,13 @@ def _edges_of_tiles(key: str, payload: str, act):
 
 
 def _exact_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndarray, sets: list[np.ndarray]) -> tuple[list, list]:
-    """Links with the similarity, as a forest of the tile's components; rows of one label are connected already."""
+    """Links with the similarity, as stars of the tile's components; rows of one label are connected already."""
     order = np.argsort(n, kind="stable")
     cls, n, side = cls[order], n[order], side[order]
     sets = [sets[i] for i in order]
     width = _width(int(np.median(n)), 8, 16384)
     bits = np.stack([signature(mix(s), width) for s in sets])
-    roots, a, b = np.unique(label[order], return_inverse=True)[1], [], []
+    _, first, roots = np.unique(label[order], return_index=True, return_inverse=True)
     for i in range(1, len(cls)):
         lo = int(np.searchsorted(n, -((-SIM_NUM * int(n[i])) // SIM_DEN)))
         js = lo + np.flatnonzero((roots[lo:i] != roots[i]) & ((side[lo:i] != side[i]) | (side[i] == 0)))
@@ -278,11 +283,9 @@ def _exact_tile(cls: np.ndarray, n: np.ndarray, label: np.ndarray, side: np.ndar
         likely = js[np.argsort(least - bound, kind="stable")][: int(np.count_nonzero(bound >= least))]
         for j in likely.tolist():
             if roots[i] != roots[j] and overlap(sets[i], sets[j]) >= needed(int(n[i]), int(n[j])):
-                a.append(int(cls[i]))
-                b.append(int(cls[j]))
                 low, high = sorted((roots[i], roots[j]))
                 roots[roots == high] = low
-    return a, b
+    return _stars(cls, first, roots)
 
 
 def _dealt(rows: DataFrame, key: str, large: DataFrame, most: int, *payload: str) -> DataFrame:
