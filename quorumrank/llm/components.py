@@ -25,10 +25,14 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     links and null ends are allowed; nodes without a link don't appear. Nodes are whole numbers. Up to ONE_TASK_LINKS
     links are connected in one task, with the same result.
     """
-    pairs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u is not null and v is not null and u <> v").distinct()
+    pairs = edges.select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
+    ).where("u is not null and v is not null and u <> v").distinct()
     links, before = _written(pairs)
     if before[0] <= ONE_TASK_LINKS:
-        return links.select(F.col("u").cast("long"), F.col("v").cast("long")).repartition(1).mapInArrow(_in_one_task, "node long, component long")
+        return links.select(
+            F.col("u").cast("long"), F.col("v").cast("long")
+        ).repartition(1).mapInArrow(_in_one_task, "node long, component long")
     for _ in range(max_rounds):
         moved, after = _written(_star(_star(links, larger=True), larger=False))
         forget(links.sparkSession, links)

@@ -53,8 +53,13 @@ def _keys(dtype: type):
                         key = x.tobytes()
                 keys.append(key)
             size = np.dtype(dtype).itemsize
-            digests = [np.frombuffer(hashlib.blake2b(k, digest_size=16).digest(), np.int64).tolist() if k else (None, None) for k in keys]
-            more = [pa.array([len(k) // size if k else None for k in keys], pa.int32()), *[pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)], pa.array(keys, pa.binary())]
+            digests = [
+                np.frombuffer(hashlib.blake2b(k, digest_size=16).digest(), np.int64).tolist() if k else (None, None) for k in keys
+            ]
+            more = [
+                pa.array([len(k) // size if k else None for k in keys], pa.int32()),
+                *[pa.array([d[i] for d in digests], pa.int64()) for i in (0, 1)], pa.array(keys, pa.binary())
+            ]
             yield pa.RecordBatch.from_arrays([ids, labels, *more], ["vec_id", "label", "dims", "d1", "d2", "key"])
 
     return act
@@ -91,7 +96,9 @@ def _moments(dims: int, dtype: type):
 def principal_axes(rows: DataFrame, dims: int, dtype: type) -> np.ndarray:
     """Orthonormal axes of the unit vectors by falling second moment, over all rows and the first ROTATED_DIMS dimensions."""
     dims = min(dims, ROTATED_DIMS)
-    sums = rows.select("key").mapInArrow(_moments(dims, dtype), "at long, s double").groupBy("at").agg(F.sum("s").alias("s")).toArrow()
+    sums = rows.select("key").mapInArrow(
+        _moments(dims, dtype), "at long, s double"
+    ).groupBy("at").agg(F.sum("s").alias("s")).toArrow()
     moment = np.zeros(dims * dims)
     moment[sums.column("at").to_numpy()] = sums.column("s").to_numpy()
     moment = moment.reshape(dims, dims)
@@ -155,7 +162,8 @@ def _tile_links(axes: np.ndarray, threshold: float, dtype: type):
             low = forest(i, j, len(cls))
             touched = np.flatnonzero(links)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cls[touched]), pa.array(cls[low[touched]]), pa.array(links[touched].astype(np.int64))], ["a", "b", "links"]
+                [pa.array(cls[touched]), pa.array(cls[low[touched]]), pa.array(links[touched].astype(np.int64))],
+                ["a", "b", "links"]
             )
 
     return act
@@ -163,7 +171,9 @@ def _tile_links(axes: np.ndarray, threshold: float, dtype: type):
 
 def _tiled(tiles: DataFrame, axes: np.ndarray, threshold: float, dtype: type) -> DataFrame:
     """(a, b, links): links found by a tile, and a member of the component there."""
-    return tiles.repartition("label", "tile").sortWithinPartitions("label", "tile").mapInArrow(_tile_links(axes, threshold, dtype), "a long, b long, links long")
+    return tiles.repartition("label", "tile").sortWithinPartitions("label", "tile").mapInArrow(
+        _tile_links(axes, threshold, dtype), "a long, b long, links long"
+    )
 
 
 def _cells(rows: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
@@ -174,25 +184,39 @@ def _cells(rows: DataFrame, reach: float) -> tuple[DataFrame, DataFrame]:
     counts = stored(rows.groupBy("label", *_BANDS).agg(F.count(F.lit(1)).alias("n")), "grid")
     sums = [F.sum("n").over(Window.partitionBy("label", *_BANDS[:k])) for k in range(AXES + 1)]  # over places, 11 ** AXES for a label at most
     grid = counts.withColumn("sums", F.array(*sums))
-    depth = functools.reduce(lambda rest, k: F.when(F.col("sums")[k] <= CELL_ROWS, k).otherwise(rest), reversed(range(AXES)), F.lit(AXES))
+    depth = functools.reduce(
+        lambda rest, k: F.when(F.col("sums")[k] <= CELL_ROWS, k).otherwise(rest), reversed(range(AXES)), F.lit(AXES)
+    )
     grid = grid.withColumn("depth", depth).withColumns({
-        "cell": F.concat_ws(",", F.slice(F.array(*_BANDS), F.lit(1), F.col("depth"))), "blocks": F.ceil(F.element_at("sums", F.col("depth") + 1) / CELL_ROWS),
+        "cell": F.concat_ws(",", F.slice(F.array(*_BANDS), F.lit(1), F.col("depth"))),
+        "blocks": F.ceil(F.element_at("sums", F.col("depth") + 1) / CELL_ROWS),
     })
     grid = stored(grid.drop("n", "sums"), "cells")
     every = grid.groupBy("label", "cell", "depth", "blocks").agg(*[F.first(b).alias(b) for b in _BANDS])
     every = stored(every.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))), "blocks")
     one, two = every.alias("x"), every.alias("y")
     gap = functools.reduce(operator.add, [  # bands are half as wide as the cosine reaches
-        F.when((F.col("x.depth") > k) & (F.col("y.depth") > k), F.pow(F.greatest(F.abs(F.col(f"x.{b}") - F.col(f"y.{b}")) - 1, F.lit(0)) * (reach / 2), F.lit(2))).otherwise(F.lit(0.0))
+        F.when(
+            (F.col("x.depth") > k) & (F.col("y.depth") > k),
+            F.pow(F.greatest(F.abs(F.col(f"x.{b}") - F.col(f"y.{b}")) - 1, F.lit(0)) * (reach / 2), F.lit(2))
+        ).otherwise(F.lit(0.0))
         for k, b in enumerate(_BANDS)
     ])
     order = [F.struct(*[F.col(f"{s}.{c}") for c in ("cell", "at")]) for s in "xy"]
     meets = one.join(two, F.col("x.label") == F.col("y.label")).where((order[0] <= order[1]) & (gap <= reach * reach))
     tile = F.concat_ws("/", "x.cell", "x.at", "y.cell", "y.at")
-    meets = meets.select(F.col("x.label").alias("label"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("cell", "at")], tile.alias("tile"), (order[0] == order[1]).alias("itself"))
+    meets = meets.select(
+        F.col("x.label").alias("label"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "xy" for c in ("cell", "at")],
+        tile.alias("tile"), (order[0] == order[1]).alias("itself")
+    )
     meets = stored(meets, "meets")
-    sides = meets.select("label", F.col("x_cell").alias("cell"), F.col("x_at").alias("at"), "tile", F.when(F.col("itself"), 0).otherwise(1).alias("side")).unionByName(
-        meets.where(~F.col("itself")).select("label", F.col("y_cell").alias("cell"), F.col("y_at").alias("at"), "tile", F.lit(2).alias("side"))
+    sides = meets.select(
+        "label", F.col("x_cell").alias("cell"), F.col("x_at").alias("at"), "tile",
+        F.when(F.col("itself"), 0).otherwise(1).alias("side")
+    ).unionByName(
+        meets.where(~F.col("itself")).select(
+            "label", F.col("y_cell").alias("cell"), F.col("y_at").alias("at"), "tile", F.lit(2).alias("side")
+        )
     )
     return grid.select("label", *_BANDS, "cell", "blocks"), sides
 
@@ -204,15 +228,25 @@ def _class_links(rows: DataFrame, dims: int, threshold: float, dtype: type) -> D
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = _rotated(_matrix(batch.column(batch.schema.get_field_index("key")), dtype), axes) if batch.num_rows else np.zeros((0, dims))
-            bands = [np.floor(x[:, k] / reach * 2).astype(np.int32) if k < x.shape[1] else np.zeros(len(x), np.int32) for k in range(AXES)]
+            x = _rotated(
+                _matrix(batch.column(batch.schema.get_field_index("key")), dtype), axes
+            ) if batch.num_rows else np.zeros((0, dims))
+            bands = [
+                np.floor(x[:, k] / reach * 2).astype(np.int32) if k < x.shape[1] else np.zeros(len(x), np.int32)
+                for k in range(AXES)
+            ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *map(pa.array, bands)], [*batch.schema.names, *_BANDS])
 
     rows = rows.select("label", "cls", "copies", "key")
-    rows = stored(rows.mapInArrow(placed, T.StructType([*rows.schema.fields, *[T.StructField(b, T.IntegerType()) for b in _BANDS]])), "placed")
+    rows = stored(
+        rows.mapInArrow(placed, T.StructType([*rows.schema.fields, *[T.StructField(b, T.IntegerType()) for b in _BANDS]])),
+        "placed"
+    )
     grid, sides = _cells(rows, reach)
     at = rows.join(grid, ["label", *_BANDS]).withColumn("at", F.pmod(F.xxhash64("cls"), F.col("blocks")))
-    return _tiled(at.join(sides, ["label", "cell", "at"]).select("label", "tile", "side", "cls", "copies", "key"), axes, threshold, dtype)
+    return _tiled(
+        at.join(sides, ["label", "cell", "at"]).select("label", "tile", "side", "cls", "copies", "key"), axes, threshold, dtype
+    )
 
 
 def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -228,7 +262,8 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     rows = pick(vectors, "vec_id", "embedding", "label").withColumn("label", F.col("label").cast("string"))
     table = stored(rows.mapInArrow(_keys(dtype), "vec_id long, label string, dims int, d1 long, d2 long, key binary"), "vectors")
     classes = table.where("key is not null").groupBy("label", "d1", "d2").agg(
-        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("dims").alias("dims"), F.first("key").alias("key")
+        F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("dims").alias("dims"),
+        F.first("key").alias("key")
     )
     classes = stored(classes.withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
     # Of lengths with more vectors than a cell holds there are few; all others are compared as they are, in one go.
@@ -242,11 +277,18 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     found = stored(found, "links")
     links = found.groupBy("a").agg(F.sum("links").alias("links")).withColumnRenamed("a", "cls")
     components = stored(connected_components(found.select("a", "b")), "components")
-    named = classes.select("label", "d1", "d2", "cls", "rep", "copies").join(components, F.col("cls") == F.col("node"), "left").join(links, "cls", "left")
+    named = classes.select("label", "d1", "d2", "cls", "rep", "copies").join(
+        components, F.col("cls") == F.col("node"), "left"
+    ).join(links, "cls", "left")
     smallest = stored(named.where("component is not null").groupBy("component").agg(F.min("rep").alias("smallest")), "names")
-    named = named.join(smallest, "component", "left").select("label", "d1", "d2", "copies", "links", F.coalesce("smallest", "rep").alias("name"), F.lit(True).alias("valid"))
+    named = named.join(smallest, "component", "left").select(
+        "label", "d1", "d2", "copies", "links", F.coalesce("smallest", "rep").alias("name"), F.lit(True).alias("valid")
+    )
     out = table.select("vec_id", "label", "d1", "d2").join(stored(named, "named"), ["label", "d1", "d2"], "left")
     n = F.coalesce(F.col("copies") - 1, F.lit(0)) + F.coalesce("links", F.lit(0))
     component = F.when(F.col("valid"), F.col("name")).otherwise(F.col("vec_id"))
     forget(vectors.sparkSession, found)
-    return out.select("vec_id", n.cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept"))
+    return out.select(
+        "vec_id", n.cast("long").alias("n_links"), component.alias("component_id"),
+        F.coalesce(F.col("vec_id") == component, component.isNull()).alias("kept")
+    )

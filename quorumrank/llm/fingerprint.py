@@ -42,7 +42,10 @@ def fingerprint(text: Column) -> Column:
     return F.transform(  # the two arrays of hashes are made once for all lanes
         F.array(F.struct(lines.alias("lines"), clauses.alias("clauses"))),
         lambda h: F.array(
-            *[F.aggregate(h["lines"], F.lit(0).cast("long"), _strong_lane(i)).bitwiseAND(F.lit(_LOW)) for i in range(EQUAL_LANES)],
+            *[
+                F.aggregate(h["lines"], F.lit(0).cast("long"), _strong_lane(i)).bitwiseAND(F.lit(_LOW))
+                for i in range(EQUAL_LANES)
+            ],
             *[F.aggregate(h["clauses"], F.lit(0).cast("long"), _sign_lanes(i)) for i in range(SIGN_LANES // 2)],
             F.size(h["clauses"]).cast("long"),
         ),
@@ -80,7 +83,8 @@ def likeness(a: Column, b: Column) -> Column:
         n = F.element_at(fp, -1).cast("double")
         packed = F.slice(fp, EQUAL_LANES + 1, SIGN_LANES // 2)
         return F.concat(
-            F.transform(packed, lambda x: 2.0 * x.bitwiseAND(F.lit(_LOW)) - n), F.transform(packed, lambda x: 2.0 * F.shiftrightunsigned(x, 32) - n)
+            F.transform(packed, lambda x: 2.0 * x.bitwiseAND(F.lit(_LOW)) - n),
+            F.transform(packed, lambda x: 2.0 * F.shiftrightunsigned(x, 32) - n)
         )
 
     def both(x: Column, y: Column) -> Column:
@@ -100,7 +104,10 @@ def _bucketed(docs: DataFrame) -> tuple[DataFrame, list[int]]:
     An id that fills a quantile cell or more, and the rows without an id, are cells of their own, cut by ``tie``, the hash
     of the text that orders their rows.
     """
-    stats = docs.agg(F.count(F.lit(1)).alias("all"), F.count("doc_id").alias("n"), F.percentile_approx("doc_id", [i / 64 for i in range(65)], 10_000).alias("q")).first()
+    stats = docs.agg(
+        F.count(F.lit(1)).alias("all"), F.count("doc_id").alias("n"),
+        F.percentile_approx("doc_id", [i / 64 for i in range(65)], 10_000).alias("q")
+    ).first()
     n, without = stats.n or 0, (stats["all"] or 0) - (stats.n or 0)
     cells = max(64, min(CELLS, n // (8 * BUCKET_ROWS)))
     if cells > 64:
@@ -114,7 +121,8 @@ def _bucketed(docs: DataFrame) -> tuple[DataFrame, list[int]]:
     lows, wide, by_tie = (F.split(F.lit(",".join(map(str, x))), ",").cast("array<bigint>") for x in (edges, widths, parts))
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))])
     cell = F.aggregate(  # binary search of the last edge not above the id; below all of them, the first
-        steps, F.lit(0), lambda at, s: F.when((at + s <= len(edges)) & (F.get(lows, at + s - 1) <= F.col("doc_id")), at + s).otherwise(at)
+        steps, F.lit(0),
+        lambda at, s: F.when((at + s <= len(edges)) & (F.get(lows, at + s - 1) <= F.col("doc_id")), at + s).otherwise(at)
     )
     at = F.greatest(cell, F.lit(1)) - 1
     placed = docs.withColumn("cell", F.when(F.col("doc_id").isNull(), F.lit(len(edges))).otherwise(at))
@@ -136,7 +144,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     place = ["cell", "sub", "doc_id", "text", "tie"]
     if crowded:
         alike = placed.where(F.col("cell").isin(crowded)).groupBy(*place).agg(F.count(F.lit(1)).alias("copies"))
-        placed = placed.where(~F.col("cell").isin(crowded)).select(*place, F.lit(1).cast("long").alias("copies")).unionByName(alike)
+        placed = placed.where(~F.col("cell").isin(crowded)).select(
+            *place, F.lit(1).cast("long").alias("copies")
+        ).unionByName(alike)
     else:
         placed = placed.select(*place, F.lit(1).cast("long").alias("copies"))
     order = [F.col("doc_id").asc_nulls_last(), "tie"]
@@ -147,13 +157,17 @@ def with_next(docs: DataFrame) -> DataFrame:
     every = Window.partitionBy(F.lit(0)).orderBy("cell")  # one row for each cell, CELLS + 1 at most
     ends = ends.withColumns({
         "before_cell": F.coalesce(F.lag("cell").over(every), F.max("cell").over(Window.partitionBy(F.lit(0)))),
-        "before_sub": F.coalesce(F.lag("last").over(every), F.last("last").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))),
+        "before_sub": F.coalesce(
+            F.lag("last").over(every),
+            F.last("last").over(every.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        ),
     })
     inside = Window.partitionBy("cell").orderBy("sub")
     before = groups.select("cell", "sub", F.lag("sub").over(inside).alias("prev")).join(ends, "cell")
     ghosts = heads.join(before, ["cell", "sub"]).select(
         F.when(F.col("prev").isNull(), F.col("before_cell")).otherwise(F.col("cell")).alias("cell"),
-        F.coalesce("prev", "before_sub").alias("sub"), "head.doc_id", "head.text", "head.tie", F.lit(1).cast("long").alias("copies"), F.lit(1).alias("ghost"),
+        F.coalesce("prev", "before_sub").alias("sub"), "head.doc_id", "head.text", "head.tie",
+        F.lit(1).cast("long").alias("copies"), F.lit(1).alias("ghost"),
     )
     rows = placed.withColumn("ghost", F.lit(0)).unionByName(ghosts)
     rows = rows.withColumn("fp", fingerprint(F.col("text")))
@@ -161,7 +175,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     out = rows.withColumns({"next_text": F.lead("text").over(along), "next_fp": F.lead("fp").over(along)}).where("ghost = 0")
     if crowded:  # of equal rows all but the last are followed by their like
         out = out.withColumn("left", F.explode(F.sequence(F.col("copies") - 1, F.lit(0).cast("long"))))
-        out = out.withColumns({f"next_{c}": F.when(F.col("left") > 0, F.col(c)).otherwise(F.col(f"next_{c}")) for c in ("text", "fp")})
+        out = out.withColumns(
+            {f"next_{c}": F.when(F.col("left") > 0, F.col(c)).otherwise(F.col(f"next_{c}")) for c in ("text", "fp")}
+        )
     return out.select("doc_id", "text", "fp", "next_text", "next_fp")
 
 
@@ -179,5 +195,6 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return rows.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         as_text(F.col("fp")).alias("fingerprint"), as_text(F.col("edited_fp")).alias("edited_fingerprint"),
-        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"), likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
+        likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        likeness(F.col("fp"), F.col("next_fp")).alias("near_next"),
     )

@@ -254,7 +254,10 @@ def _edges_of_tiles(key: str, payload: str, act):
         b: list[int] = []
         for tile in by_key(batches, [key, "block"]):
             if tile.num_rows > 1:
-                x, y = act(*(tile.column(k).to_numpy() for k in ("cls", "n", "label", "side")), _binary_rows(tile.column(payload), np.uint64))
+                x, y = act(
+                    *(tile.column(k).to_numpy() for k in ("cls", "n", "label", "side")),
+                    _binary_rows(tile.column(payload), np.uint64)
+                )
                 a += x
                 b += y
             if len(a) > 50_000:
@@ -305,9 +308,13 @@ def _met(rows: DataFrame, key: str, most: int) -> DataFrame:
     cells. So a group of near copies, which shares a label by now, isn't compared again, and only travels as often as the
     other rows of its key fill cells. side is 0 where a cell meets itself, else the cell's place in the pair.
     """
-    common = rows.groupBy(key, "label").agg(F.sum("w").alias("total")).groupBy(key).agg(F.max_by("label", F.struct("total", "label")).alias("common"))
+    common = rows.groupBy(key, "label").agg(F.sum("w").alias("total")).groupBy(key).agg(
+        F.max_by("label", F.struct("total", "label")).alias("common")
+    )
     band = F.floor(F.log(F.col("n").cast("double")) / float(np.log(SIM_DEN / SIM_NUM) + 1e-6)).cast("int")  # sizes that can match lie in one band or two neighbouring ones
-    rows = stored(rows, "large-rows").join(stored(common, "common"), key).withColumns({"band": band, "alike": F.col("label") == F.col("common")})
+    rows = stored(rows, "large-rows").join(stored(common, "common"), key).withColumns(
+        {"band": band, "alike": F.col("label") == F.col("common")}
+    )
     sizes = stored(rows.groupBy(key, "band", "alike").agg(F.ceil(F.sum("w") / most).alias("blocks")), "cells")
     cells = sizes.select(key, "band", "alike", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"))
     own = ("band", "alike", "at")
@@ -326,12 +333,16 @@ def _met(rows: DataFrame, key: str, most: int) -> DataFrame:
 
 def _tiled(places: DataFrame, key: str, payload: str, act) -> DataFrame:
     """Edges found in the tiles of rows that carry their payload."""
-    return places.repartition(F.col(key), F.col("block")).sortWithinPartitions(key, "block").mapInArrow(_edges_of_tiles(key, payload, act), _EDGE_SCHEMA)
+    return places.repartition(F.col(key), F.col("block")).sortWithinPartitions(key, "block").mapInArrow(
+        _edges_of_tiles(key, payload, act), _EDGE_SCHEMA
+    )
 
 
 def set_classes(table: DataFrame) -> DataFrame:
     """One row for each set that isn't empty: cls (a number given once), d1, d2, rep (its smallest doc_id), n, prefix, bits."""
-    found = table.where("n > 0").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "prefix", "rare", "bits")])
+    found = table.where("n > 0").groupBy("d1", "d2").agg(
+        F.min("doc_id").alias("rep"), *[F.first(c).alias(c) for c in ("n", "prefix", "rare", "bits")]
+    )
     return stored(found.withColumn("cls", F.monotonically_increasing_id()), "classes")
 
 
@@ -342,22 +353,32 @@ def _candidates(classes: DataFrame) -> DataFrame:
     shared = stored(few.groupBy("h").agg(F.count(F.lit(1)).alias("total")).where("total > 1"), "shared")
     few = stored(few.join(shared.select("h"), "h"), "postings")
     crowded = stored(shared.where(F.col("total") > TILE_ROWS), "crowded")
-    first = stored(_tiled(_dealt(few, "h", crowded, TILE_ROWS).join(bits, "cls"), "h", "bits", _bound_tile).distinct(), "candidates")
+    first = stored(
+        _tiled(_dealt(few, "h", crowded, TILE_ROWS).join(bits, "cls"), "h", "bits", _bound_tile).distinct(), "candidates"
+    )
     label = stored(connected_components(first), "labels")
     forget(classes.sparkSession, few)
 
     # Keys that aren't frequent hold few rows each and are counted in a window: one shuffle. The frequent ones are counted
     # by an aggregate, whose map side leaves a row for each key and task.
-    rest = classes.join(label, F.col("cls") == F.col("node"), "left").select("cls", "n", F.coalesce("component", "cls").alias("label"), "prefix", "rare")
+    rest = classes.join(label, F.col("cls") == F.col("node"), "left").select(
+        "cls", "n", F.coalesce("component", "cls").alias("label"), "prefix", "rare"
+    )
     of_key = Window.partitionBy("h")
     rare = rest.select("cls", "n", "label", F.explode(F.slice("prefix", F.lit(1), F.col("rare"))).alias("h"))
-    rare = rare.withColumns({"total": F.count(F.lit(1)).over(of_key), "low": F.min("label").over(of_key), "high": F.max("label").over(of_key)}).where("low < high")
+    rare = rare.withColumns(
+        {"total": F.count(F.lit(1)).over(of_key), "low": F.min("label").over(of_key), "high": F.max("label").over(of_key)}
+    ).where("low < high")
     often = rest.select("cls", "n", "label", F.explode(F.slice("prefix", F.col("rare") + 1, F.size("prefix"))).alias("h"))
-    still = often.groupBy("h").agg(F.count(F.lit(1)).alias("total"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+    still = often.groupBy("h").agg(
+        F.count(F.lit(1)).alias("total"), F.min("label").alias("low"), F.max("label").alias("high")
+    ).where("low < high")
     often = often.join(stored(still.select("h", "total"), "open"), "h")
     columns = ("h", "cls", "n", "label", "total")
     rest = stored(rare.select(*columns).unionByName(often.select(*columns)), "postings")
-    places = rest.where(F.col("total") <= TILE_ROWS).select("h", "cls", "n", "label", F.lit("").alias("block"), F.lit(0).alias("side"))
+    places = rest.where(F.col("total") <= TILE_ROWS).select(
+        "h", "cls", "n", "label", F.lit("").alias("block"), F.lit(0).alias("side")
+    )
     if not rest.where(F.col("total") > TILE_ROWS).isEmpty():
         large = rest.where(F.col("total") > TILE_ROWS).select("h", "cls", "n", "label", F.lit(1).cast("long").alias("w"))
         places = places.unionByName(_met(large, "h", TILE_ROWS))
@@ -370,8 +391,12 @@ def _candidates(classes: DataFrame) -> DataFrame:
 
 def _whole_sets(docs: DataFrame, members: DataFrame, repeated: bool) -> DataFrame:
     """``members(g, cls, rep, d1, d2)`` with their sorted sets, from the text of a document that has the set."""
-    named = members.where("rep is not null").select(F.col("rep").alias("doc_id"), "g", "cls", F.col("d1").alias("c1"), F.col("d2").alias("c2"))
-    found = docs.join(if_small(stored(named, "named-members")), "doc_id").select("g", "cls", "c1", "c2", "text").mapInArrow(_items, _ITEMS)
+    named = members.where("rep is not null").select(
+        F.col("rep").alias("doc_id"), "g", "cls", F.col("d1").alias("c1"), F.col("d2").alias("c2")
+    )
+    found = docs.join(
+        if_small(stored(named, "named-members")), "doc_id"
+    ).select("g", "cls", "c1", "c2", "text").mapInArrow(_items, _ITEMS)
     unnamed = members.where("rep is null").select("g", "cls", "d1", "d2")
     if not unnamed.isEmpty():
         none = [F.lit(None).cast("long").alias(c) for c in ("g", "cls", "c1", "c2")]
@@ -388,9 +413,13 @@ def _links_in_groups(rows: DataFrame, most: int, payload: str, act) -> DataFrame
     if large.isEmpty():
         return found
     label = stored(connected_components(found), "labels")
-    apart = rows.select("g", "cls", "n", "w").join(if_small(large.select("g")), "g").join(label, F.col("cls") == F.col("node"), "left")
+    apart = rows.select("g", "cls", "n", "w").join(if_small(large.select("g")), "g").join(
+        label, F.col("cls") == F.col("node"), "left"
+    )
     apart = stored(apart.select("g", "cls", "n", F.coalesce("component", "cls").alias("label"), "w"), "apart")
-    still = stored(apart.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("g"), "open")
+    still = stored(
+        apart.groupBy("g").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("g"), "open"
+    )
     if still.isEmpty():
         return found
     places = _met(apart.join(if_small(still), "g"), "g", most)
@@ -405,7 +434,9 @@ def _exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, repeate
     whole sets are only brought together in what is left.
     """
     spark = docs.sparkSession
-    members = groups.select(F.col("node").alias("cls"), F.col("component").alias("g")).join(classes.select("cls", "rep", "d1", "d2"), "cls")
+    members = groups.select(
+        F.col("node").alias("cls"), F.col("component").alias("g")
+    ).join(classes.select("cls", "rep", "d1", "d2"), "cls")
     members = stored(members, "members")
     items = stored(_whole_sets(docs, members, repeated).withColumn("label", F.col("cls")), "items")
     wide = stored(items.select("g", "cls", "n", "items").mapInArrow(_wide, "g long, cls long, n int, bits binary"), "wide")
@@ -423,20 +454,33 @@ def component_names(docs: DataFrame, table: DataFrame) -> DataFrame:
     """(d1, d2, component_id) of every set that isn't empty: the smallest doc_id reachable, null where none has an id."""
     classes = set_classes(table)
     ids = table.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{k}{c}") for c in ("d1", "d2") for k, f in (("low_", F.min), ("high_", F.max))]
+        F.count(F.lit(1)).alias("rows"),
+        *[f(c).alias(f"{k}{c}") for c in ("d1", "d2") for k, f in (("low_", F.min), ("high_", F.max))]
+    )
+    repeated = stored(
+        ids.where("rows > 1").select("doc_id", (F.expr("low_d1 < high_d1 or low_d2 < high_d2")).alias("differ")), "repeated"
     )
-    repeated = stored(ids.where("rows > 1").select("doc_id", (F.expr("low_d1 < high_d1 or low_d2 < high_d2")).alias("differ")), "repeated")
     groups = _candidates(classes)
     links = _exact_links(docs, classes, groups, not repeated.isEmpty())
     differ = repeated.where("differ").select("doc_id")
     if not differ.isEmpty():  # classes of one document's texts belong together
-        of_ids = stored(table.where("n > 0").join(differ, "doc_id").select("doc_id", "d1", "d2").distinct().join(classes.select("d1", "d2", "cls"), ["d1", "d2"]).select("doc_id", "cls"), "shared-ids")
+        of_ids = stored(
+            table.where("n > 0").join(differ, "doc_id").select("doc_id", "d1", "d2").distinct().join(
+                classes.select("d1", "d2", "cls"), ["d1", "d2"]
+            ).select("doc_id", "cls"),
+            "shared-ids"
+        )
         lowest = stored(of_ids.groupBy("doc_id").agg(F.min("cls").alias("a")), "lowest")
         links = links.unionByName(of_ids.join(lowest, "doc_id").select("a", F.col("cls").alias("b")))
     component = stored(connected_components(links), "components")
     named = classes.select("cls", "d1", "d2", "rep").join(component, F.col("cls") == F.col("node"), "left")
     smallest = stored(named.where("component is not null").groupBy("component").agg(F.min("rep").alias("smallest")), "names")
-    out = stored(named.join(smallest, "component", "left").select("d1", "d2", F.coalesce("smallest", "rep").alias("component_id"), "component", "cls"), "named")
+    out = stored(
+        named.join(smallest, "component", "left").select(
+            "d1", "d2", F.coalesce("smallest", "rep").alias("component_id"), "component", "cls"
+        ),
+        "named"
+    )
     for x in (classes, groups, component, smallest):
         forget(docs.sparkSession, x)
     return out
@@ -454,7 +498,10 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     table = stored(shingle_table(docs, hot_shingles(docs)), "shingles")
     found = component_names(docs, table).select("d1", "d2", "component_id")
     out = table.select("doc_id", "n", "d1", "d2").join(found, ["d1", "d2"], "left")
-    return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select(
+        "doc_id", F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    )
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -463,13 +510,17 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         *keys, texts = batch.columns
         for lo, hi in row_chunks(texts):
             rows = []
-            for g, cls, one, two, s in zip(*(c.slice(lo, hi - lo).to_pylist() for c in keys), shingle_sets(texts.slice(lo, hi - lo)), strict=True):
+            for g, cls, one, two, s in zip(
+                *(c.slice(lo, hi - lo).to_pylist() for c in keys), shingle_sets(texts.slice(lo, hi - lo)), strict=True
+            ):
                 d1, d2 = set_digest(s)
                 if len(s) and (cls is None or (one, two) == (d1, d2)):
                     rows.append((g, cls, d1, d2, len(s), s.tobytes()))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             kinds = (*[pa.int64()] * 4, pa.int32(), pa.binary())
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["g", "cls", "d1", "d2", "n", "items"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["g", "cls", "d1", "d2", "n", "items"]
+            )
 
 
 def _wide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -487,7 +538,9 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in row_chunks(texts):
             found = [set_digest(s) if len(s) else (None, None) for s in shingle_sets(texts.slice(lo, hi - lo))]
             more = [pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([*[c.slice(lo, hi - lo) for c in batch.columns], *more], [*batch.schema.names, "d1", "d2"])
+            yield pa.RecordBatch.from_arrays(
+                [*[c.slice(lo, hi - lo) for c in batch.columns], *more], [*batch.schema.names, "d1", "d2"]
+            )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -502,12 +555,21 @@ def keep_one(docs: DataFrame) -> DataFrame:
     texts = rows.select("doc_id", "text")
     table = stored(shingle_table(texts, hot_shingles(texts)), "shingles")
     named = component_names(texts, table)
-    ids = table.where("doc_id is not null").select("doc_id", "n", "d1", "d2").join(named.select("d1", "d2", "component_id"), ["d1", "d2"], "left")
+    ids = table.where("doc_id is not null").select("doc_id", "n", "d1", "d2").join(
+        named.select("d1", "d2", "component_id"), ["d1", "d2"], "left"
+    )
     lost = stored(ids.where("n > 0 and doc_id <> component_id").select("doc_id").distinct(), "lost")
     kept = rows.where("doc_id is not null").join(lost, "doc_id", "left_anti")
-    repeated = stored(table.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id"), "repeated")
+    repeated = stored(
+        table.where("doc_id is not null").groupBy("doc_id").agg(
+            F.count(F.lit(1)).alias("rows")
+        ).where("rows > 1").select("doc_id"),
+        "repeated"
+    )
     if not repeated.isEmpty():
-        again = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.first(F.struct(*names)).alias("row")).select("row.*")
+        again = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(
+            F.first(F.struct(*names)).alias("row")
+        ).select("row.*")
         kept = kept.join(repeated, "doc_id", "left_anti").select(*names).unionByName(again.select(*names))
     if not table.where("doc_id is null").isEmpty():
         schema = T.StructType([*rows.schema.fields, T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])

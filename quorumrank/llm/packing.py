@@ -139,7 +139,9 @@ class Packer:
             e = self._take(i)
             length = e.length
         elif self.cut:
-            lengths = np.array([e.longest(int(self._left[0]), int(self._left[2])) for e in self._waiting]) if self._left[2] < self._left[0] else None
+            lengths = np.array(
+                [e.longest(int(self._left[0]), int(self._left[2])) for e in self._waiting]
+            ) if self._left[2] < self._left[0] else None
             i = int(np.argmax(worth)) if lengths is None else int(np.argmax(lengths))
             length = int(self._left[0]) if lengths is None else int(lengths[i])
             if not length:
@@ -204,7 +206,9 @@ _TURNS = "conv_id long, first_turn long, start long, length long, loss_tokens lo
 _TURN_NAMES = [x.split()[0] for x in _TURNS.split(", ")]
 
 
-def pack_conversations(turns: DataFrame, tokenizer: str, limits: Limits = INSTRUCTIONS, bears_loss: str = "assistant") -> DataFrame:
+def pack_conversations(
+    turns: DataFrame, tokenizer: str, limits: Limits = INSTRUCTIONS, bears_loss: str = "assistant"
+) -> DataFrame:
     """One row per piece of ``turns(conv_id, turn, role, text)``, under all three limits.
 
     A conversation's ids are those of its turns in order, an end id after each; those of turns by ``bears_loss`` bear

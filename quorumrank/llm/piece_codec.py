@@ -235,7 +235,10 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                 found = [c.encode(t) for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
                 starts, ends = ([s[:, k].astype(np.int64) for _, s in found] for k in (0, 1))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), _lists([i.astype(np.int32) for i, _ in found], pa.int32()), _lists(starts, pa.int64()), _lists(ends, pa.int64())],
+                    [
+                        batch.column(0).slice(lo, hi - lo), _lists([i.astype(np.int32) for i, _ in found], pa.int32()),
+                        _lists(starts, pa.int64()), _lists(ends, pa.int64())
+                    ],
                     ["doc_id", "ids", "starts", "ends"],
                 )
 
@@ -275,8 +278,13 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
                     rows.append((len(ids), c.digest(ids), decoded, zlib.crc32(np.ascontiguousarray(spans, dtype="<i8"))))
             columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())],
+                [
+                    batch.column(0), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.string()),
+                    pa.array(columns[2], pa.string()), pa.array(columns[3], pa.int64())
+                ],
                 ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "spans_crc32"],
             )
 
-    return pick(docs, "doc_id", "text").mapInArrow(act, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_crc32 long")
+    return pick(docs, "doc_id", "text").mapInArrow(
+        act, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_crc32 long"
+    )

@@ -293,21 +293,27 @@ _READINGS = [(k, re.compile(p, re.ASCII)) for k, p in (
     ("ssn", rf"\d{{3}}([- ])\d\d\1\d{{4}}{_NO_MORE}"),
     ("phone", rf"(?:\+?1[ .-]?)?(?:\(\d{{3}}\)[ ]?|\d{{3}}[ .-])\d{{3}}[ .-]\d{{4}}{_NO_MORE}"),
     ("phone", rf"\+\d{{7,15}}{_NO_MORE}"),
-    *(("phone", rf"\+\d{{1,3}}(?:[ .-]?\(\d{{1,5}}\)|[ .-]\d{{1,9}})(?:[ .-]?\d{{2,9}}){{{n}}}{_NO_MORE}") for n in range(6, -1, -1)),
+    *(
+        ("phone", rf"\+\d{{1,3}}(?:[ .-]?\(\d{{1,5}}\)|[ .-]\d{{1,9}})(?:[ .-]?\d{{2,9}}){{{n}}}{_NO_MORE}")
+        for n in range(6, -1, -1)
+    ),
     ("card", rf"\d{{4}}(?:([ -])\d{{4}}\1\d{{4}}\1\d{{4}}|([ -])\d{{6}}\2\d{{5}}){_NO_MORE}"),
     *(("card", rf"\d(?:[ -]?\d){{{n - 1}}}{_NO_MORE}") for n in range(19, 12, -1)),
     ("phone", rf"\d{{10}}{_NO_MORE}"),
 )]
 #: Times that the values of a stretch are permuted until it reads like the original; beyond, hiding goes before undoing.
 _WALKS = 1_000
-_EMAIL = re.compile(r"(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+_EMAIL = re.compile(
+    r"(?<![\w.%+-])[\w%+-]+(?:\.[\w%+-]+)*@[A-Za-z0-9](?:[A-Za-z0-9-]*[A-Za-z0-9])?(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+)
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d\d(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", re.ASCII)
 _IPV6 = re.compile(r"(?<![\w:.])[0-9A-Fa-f]{0,4}(?::[0-9A-Fa-f]{0,4}){2,7}(?![\w:])", re.ASCII)
 _NAME = rf"(?:{'|'.join(f'{m[:3]}(?:{m[3:]})?' for m in _MONTHS)})"
 _NAMED_DATE = re.compile(rf"(?<![\w-])(?:\d{{1,2}}\.? {_NAME}|{_NAME} \d{{1,2}}),? \d{{4}}(?!\w|-\d)", re.ASCII | re.IGNORECASE)
 _DIGIT = re.compile(r"[0-9]")
 _ACTS: dict[str, Callable[[Feistel, str, bool], str | None]] = {
-    "ipv4": _ipv4, "ipv6": _ipv6, "date": _date, "named date": _named_date, "ssn": _ssn, "card": _card, "phone": _phone, "email": _email, "iban": _iban,
+    "ipv4": _ipv4, "ipv6": _ipv6, "date": _date, "named date": _named_date, "ssn": _ssn, "card": _card, "phone": _phone,
+    "email": _email, "iban": _iban,
 }
 KINDS = ("ipv4", "ipv6", "date", "ssn", "card", "phone", "email", "iban")
 

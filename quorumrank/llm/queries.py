@@ -73,15 +73,18 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _ARCHIVED = """
 with p as (select page_id, coalesce(html, '') as payload from pages),
 d as (
-    select page_id, payload, strlen(payload) as bytes, list_transform(split(sha1(payload), ''), lambda c: strpos('0123456789abcdef', c) - 1) as x,
+    select page_id, payload, strlen(payload) as bytes, list_transform(split(sha1(payload), ''),
+    lambda c: strpos('0123456789abcdef', c) - 1) as x,
         min(page_id) over (partition by payload) as first
     from p
 ),
 v as (
-    select *, list_transform(range(0, 8), lambda i: (((x[5 * i + 1] * 16 + x[5 * i + 2]) * 16 + x[5 * i + 3]) * 16 + x[5 * i + 4]) * 16 + x[5 * i + 5]) as parts from d
+    select *, list_transform(range(0, 8),
+    lambda i: (((x[5 * i + 1] * 16 + x[5 * i + 2]) * 16 + x[5 * i + 3]) * 16 + x[5 * i + 4]) * 16 + x[5 * i + 5]) as parts from d
 )
 select page_id, bytes as payload_bytes,
-    array_to_string(list_transform(flatten(list_transform(parts, lambda n: [n // 32768, n // 1024 % 32, n // 32 % 32, n % 32])), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(k + 1 as bigint), 1)), '') as payload_digest,
+    array_to_string(list_transform(flatten(list_transform(parts, lambda n: [n // 32768, n // 1024 % 32, n // 32 % 32, n % 32])),
+    lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(k + 1 as bigint), 1)), '') as payload_digest,
     case when page_id = first then 'response' else 'revisit' end as record_type,
     case when page_id <> first then first end as refers_to
 from v
@@ -89,7 +92,8 @@ from v
 
 _JACCARD = f"""
 with recursive w as (
-    select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') as w from documents
+    select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') as w
+    from documents
 ),
 sets as (
     select doc_id, case
@@ -99,7 +103,8 @@ sets as (
     from w
 ),
 items as (select doc_id, len(s) as n, unnest(s) as x from sets),
-shared as (select a.doc_id as a, b.doc_id as b, a.n as n, b.n as m, count(*) as i from items a join items b on a.x = b.x and a.doc_id < b.doc_id group by all),
+shared as (select a.doc_id as a, b.doc_id as b, a.n as n, b.n as m, count(*) as i from items a join items b on a.x = b.x
+and a.doc_id < b.doc_id group by all),
 links as (select a, b from shared where 100 * i >= 80 * (n + m - i)),
 ways as (select a, b from links union all select b, a from links),
 reach as (select doc_id as node, doc_id as seen from documents union select r.node, w.b from reach r join ways w on r.seen = w.a)
@@ -120,7 +125,8 @@ links as (
     select a.vec_id as a, b.vec_id as b from u a join u b on a.label = b.label and len(a.e) = len(b.e) and a.vec_id <> b.vec_id
     where list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
 ),
-reach as (select vec_id as node, vec_id as seen from embeddings union select r.node, l.b from reach r join links l on r.seen = l.a),
+reach as (select vec_id as node, vec_id as seen from embeddings union select r.node, l.b from reach r
+join links l on r.seen = l.a),
 counts as (select a, count(*) as n from links group by a),
 least as (select node, min(seen) as low from reach group by node)
 select e.vec_id, coalesce(c.n, 0) as n_links, l.low as component_id, e.vec_id = l.low as kept

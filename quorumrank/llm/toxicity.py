@@ -56,7 +56,9 @@ def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         longer = ends - starts > k
         keys.append(row[longer] | (mix(h[longer] + np.uint64(k)) >> shift).astype(np.int64))
     keys = np.unique(np.concatenate(keys))
-    return (keys & ((1 << BUCKET_BITS) - 1)).astype(np.int32), np.searchsorted(keys, np.arange(len(texts) + 1, dtype=np.int64) << BUCKET_BITS)
+    return (keys & ((1 << BUCKET_BITS) - 1)).astype(np.int32), np.searchsorted(
+        keys, np.arange(len(texts) + 1, dtype=np.int64) << BUCKET_BITS
+    )
 
 
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,12 +66,18 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lo, hi in row_chunks(batch.column(1)):
             found, at = _features(batch.column(1).slice(lo, hi - lo))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(lo, hi - lo), pa.array([found[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())],
+                [
+                    batch.column(0).slice(lo, hi - lo),
+                    pa.array([found[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
+                ],
                 ["positive", "buckets"],
             )
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300, rate: float = 2.0, decay: float = 1e-3) -> Model:
+def fit_nnpu(
+    positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = 300, rate: float = 2.0,
+    decay: float = 1e-3
+) -> Model:
     """Minimises the non-negative risk by gradient descent with momentum; deterministic.
 
     Only words whose document shares differ by MIN_Z standard errors between the two samples get a weight, so long

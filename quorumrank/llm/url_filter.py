@@ -54,7 +54,9 @@ def labelled_hosts() -> list[tuple[str, int]]:
     out = []
     for text, label in ((_BLOCKED, 1), (_ALLOWED, 0)):
         for i, word in enumerate(text.split()):
-            out += [(form.format(word=word, beside=_BESIDE[(i * 7 + k * 3) % len(_BESIDE)]), label) for k, form in enumerate(_HOSTS)]
+            out += [
+                (form.format(word=word, beside=_BESIDE[(i * 7 + k * 3) % len(_BESIDE)]), label) for k, form in enumerate(_HOSTS)
+            ]
     return out
 
 
@@ -142,7 +144,9 @@ def score_of(model: Model, host: Column, path: Column) -> Column:
     def bucket(kind: str):
         return lambda gram: F.crc32(F.concat(F.lit(kind), gram).cast("binary")) % BUCKETS
 
-    grams = F.concat(*[F.transform(F.regexp_extract_all(of[k], F.lit(f"(?s)(?=({'.' * n}))"), F.lit(1)), bucket(k)) for k, n in GRAMS])
+    grams = F.concat(
+        *[F.transform(F.regexp_extract_all(of[k], F.lit(f"(?s)(?=({'.' * n}))"), F.lit(1)), bucket(k)) for k, n in GRAMS]
+    )
     ordered = F.array_sort(grams)
     total = F.aggregate(ordered, F.lit(0.0), lambda a, b: a + F.element_at(weights, (b + 1).cast("int")))
     run = F.struct(F.lit(-1).cast("long").alias("last"), F.lit(0.0).alias("run"), F.lit(0.0).alias("squares"))
@@ -174,7 +178,9 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, model: Model | None =
     null ids are kept; other columns are ignored. ``rules`` is a short list held in the plan.
     """
     model = model or fit(labelled_urls())
-    parts = pick(pages, "page_id", "url").select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    parts = pick(pages, "page_id", "url").select(
+        "page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path")
+    )
     host, path = F.col("host"), F.col("path")
     scored = parts.withColumn("score", score_of(model, host, path))
     text, verdict = rule_of(rules, host, path)

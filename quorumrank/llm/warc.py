@@ -24,7 +24,9 @@ RECORD_DATE = "2000-01-01T00:00:00Z"
 def base32_sha1(data: Column) -> Column:
     """Upper-case base32 of the SHA-1 of binary data: five hex digits are four of base 32."""
     digest = F.sha1(data)
-    return F.concat(*[F.translate(F.lpad(F.conv(F.substring(digest, 5 * i + 1, 5), 16, 32), 4, "0"), _HEX32, _BASE32) for i in range(8)])
+    return F.concat(
+        *[F.translate(F.lpad(F.conv(F.substring(digest, 5 * i + 1, 5), 16, 32), 4, "0"), _HEX32, _BASE32) for i in range(8)]
+    )
 
 
 @dataclass(frozen=True)
@@ -52,7 +54,9 @@ def _one_line(value: Column) -> Column:
 
 
 def _record_id(page_id: Column, row: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(":"), row.cast("string"), F.lit(">"))
+    return F.concat(
+        F.lit("<urn:page:"), F.coalesce(page_id.cast("string"), F.lit("none")), F.lit(":"), row.cast("string"), F.lit(">")
+    )
 
 
 def write_archive(pages: DataFrame, path: str | None = None, revisit_from: int = 0) -> Archive:
@@ -64,7 +68,9 @@ def write_archive(pages: DataFrame, path: str | None = None, revisit_from: int =
     """
     spark = pages.sparkSession
     archive = Archive(path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}")
-    rows = pick(pages, "page_id", "url", "html").select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
+    rows = pick(pages, "page_id", "url", "html").select(
+        "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload")
+    )
     digest = F.sha2("payload", 256)
     # A map-side aggregate keeps one payload per digest and task, so copies never travel.
     (
@@ -72,10 +78,18 @@ def write_archive(pages: DataFrame, path: str | None = None, revisit_from: int =
         .withColumn("bytes", F.octet_length("payload").cast("long")).write.parquet(f"{archive.path}/payloads")
     )
     # Rows are numbered once, in a written table: what is said of a row holds for it however often a task is run.
-    index = rows.select("page_id", "url", digest.alias("digest"), F.octet_length("payload").cast("long").alias("bytes"), base32_sha1(F.col("payload")).alias("sha1"))
+    index = rows.select(
+        "page_id", "url", digest.alias("digest"), F.octet_length("payload").cast("long").alias("bytes"),
+        base32_sha1(F.col("payload")).alias("sha1")
+    )
     index = stored(index.withColumn("row", F.monotonically_increasing_id()), "warc-index")
-    row_key = F.struct(F.col("page_id").isNull().alias("n"), F.col("page_id").alias("p"), F.coalesce("url", F.lit("")).alias("u"), F.col("row").alias("r"))
-    shared = index.where(F.col("bytes") >= revisit_from).groupBy("digest").agg(F.min(row_key).alias("first"), F.count(F.lit(1)).alias("rows"))
+    row_key = F.struct(
+        F.col("page_id").isNull().alias("n"), F.col("page_id").alias("p"), F.coalesce("url", F.lit("")).alias("u"),
+        F.col("row").alias("r")
+    )
+    shared = index.where(F.col("bytes") >= revisit_from).groupBy("digest").agg(
+        F.min(row_key).alias("first"), F.count(F.lit(1)).alias("rows")
+    )
     shared = stored(shared.where("rows > 1").select("digest", "first"), "warc-shared")
     joined = index.join(shared, "digest", "left")
     response = (F.col("bytes") < revisit_from) | F.col("first").isNull() | (F.col("row") == F.col("first.r"))
@@ -105,7 +119,9 @@ def verified(spark: SparkSession, archive: Archive) -> DataFrame:
     """(digest, payload, bytes, sha1) of the payloads; one that doesn't match its digest or length fails the job."""
     rows = archive.payloads(spark)
     right = (F.sha2("payload", 256) == F.col("digest")) & (F.octet_length("payload") == F.col("bytes"))
-    payload = F.when(right, F.col("payload")).otherwise(F.raise_error(F.concat(F.lit("corrupt payload "), F.col("digest"))).cast("binary"))
+    payload = F.when(right, F.col("payload")).otherwise(
+        F.raise_error(F.concat(F.lit("corrupt payload "), F.col("digest"))).cast("binary")
+    )
     return rows.select("digest", payload.alias("payload"), "bytes").withColumn("sha1", base32_sha1(F.col("payload")))
 
 
@@ -119,15 +135,21 @@ def read_records(spark: SparkSession, archive: Archive) -> DataFrame:
     rows = archive.records(spark).join(verified(spark, archive), "digest", "left")
     of_type = header_value(header, "WARC-Type")
     own = F.when(of_type == "response", F.col("bytes")).otherwise(F.lit(0)).cast("string")
-    same = (header_value(header, "WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("sha1"))) & (header_value(header, "Content-Length") == own)
-    kind = F.when(F.coalesce(same, F.lit(False)), of_type).otherwise(F.raise_error(F.concat(F.lit("record without its payload "), F.col("digest"))))
+    same = (
+        header_value(header, "WARC-Payload-Digest") == F.concat(F.lit("sha1:"), F.col("sha1"))
+    ) & (header_value(header, "Content-Length") == own)
+    kind = F.when(F.coalesce(same, F.lit(False)), of_type).otherwise(
+        F.raise_error(F.concat(F.lit("record without its payload "), F.col("digest")))
+    )
     target = header_value(header, "WARC-Target-URI")
     for char, code in (("\n", "%0A"), ("\r", "%0D"), ("%", "%25")):
         target = F.replace(target, F.lit(code), F.lit(char))
     body = F.when(of_type == "response", F.col("payload")).otherwise(F.lit("").cast("binary"))
     return rows.select(
         "page_id", target.alias("url"), kind.alias("record_type"),
-        F.regexp_extract(header_value(header, "WARC-Refers-To"), "<urn:page:(-?[0-9]+):[0-9]+>", 1).try_cast("long").alias("refers_to"),
+        F.regexp_extract(
+            header_value(header, "WARC-Refers-To"), "<urn:page:(-?[0-9]+):[0-9]+>", 1
+        ).try_cast("long").alias("refers_to"),
         F.col("bytes").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), "payload",
         F.concat("header", body, F.lit("\r\n\r\n").cast("binary")).alias("record"),
     )
@@ -153,6 +175,8 @@ def archived_pages(pages: DataFrame) -> DataFrame:
     digest = F.when(response, base32_sha1(F.col("body"))).otherwise(F.col("payload_digest"))
     return records.select(
         "page_id", F.when(response, F.octet_length("body").cast("long")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(F.coalesce(right, F.lit(False)), digest).otherwise(F.raise_error(F.lit("a record's bytes are not its payload"))).alias("payload_digest"),
+        F.when(F.coalesce(right, F.lit(False)), digest).otherwise(
+            F.raise_error(F.lit("a record's bytes are not its payload"))
+        ).alias("payload_digest"),
         "record_type", "refers_to",
     )

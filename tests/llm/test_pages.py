@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from quorumrank.llm import url_filter, warc
 
 URLS = [
-    "https://WWW.A.example.com/en/12?x#y", "http://example.com/en/7", "http://notexample.com/en/7", "https://b.example.net/de/8.html", "http://b.example.net/de/9", "http://x.org/es/", "http://x.org/ES/", "nothing", None, "",
-    "http://h?/en/", "a://b://c/en/1", "http://ÄÖ.example.com/ü", "http://casino-win.example.org/fr/1", "http://x.com/" + "a" * 20_000,
+    "https://WWW.A.example.com/en/12?x#y", "http://example.com/en/7", "http://notexample.com/en/7",
+    "https://b.example.net/de/8.html", "http://b.example.net/de/9", "http://x.org/es/", "http://x.org/ES/", "nothing", None, "",
+    "http://h?/en/", "a://b://c/en/1", "http://ÄÖ.example.com/ü", "http://casino-win.example.org/fr/1",
+    "http://x.com/" + "a" * 20_000,
 ]
 
 
@@ -23,7 +25,10 @@ def model():
     return url_filter.fit(url_filter.labelled_urls())
 
 
-RULES = {("com", "/en/"): "block", ("example.com", "/en/7"): "allow", ("net", "/de/"): "allow", ("example.net", "/de/8"): "block", ("org", "/es/"): "block"}
+RULES = {
+    ("com", "/en/"): "block", ("example.com", "/en/7"): "allow", ("net", "/de/"): "allow", ("example.net", "/de/8"): "block",
+    ("org", "/es/"): "block"
+}
 
 
 def parted(url):
@@ -56,7 +61,9 @@ def probability(model, url):
 
 def verdict(model, url):
     host, path = parted(url)
-    fits = [(h + p, v) for (h, p), v in RULES.items() if host.split(".")[-len(h.split(".")) :] == h.split(".") and path[: len(p)] == p]
+    fits = [
+        (h + p, v) for (h, p), v in RULES.items() if host.split(".")[-len(h.split(".")) :] == h.split(".") and path[: len(p)] == p
+    ]
     p = probability(model, url)
     rule, said = max(fits, key=lambda x: len(x[0])) if fits else (None, "block" if p >= 0.5 else "allow")
     return host, path, rule, said, p
@@ -89,20 +96,30 @@ def test_filter_on_hosts_kept_back():
 
 def test_table_holds_no_host_of_the_pages(spark, data):
     """Neither as a host nor as the part of one that stands before its registered ending."""
-    of_pages = {parted(r.url)[0].split(".")[-3] for r in spark.read.parquet(f"{data.replace('0.001', '0.1')}/pages.parquet").collect() if parted(r.url)[0].count(".") > 1}
+    of_pages = {
+        parted(r.url)[0].split(".")[-3]
+        for r in spark.read.parquet(f"{data.replace('0.001', '0.1')}/pages.parquet").collect() if parted(r.url)[0].count(".") > 1
+    }
     assert len(of_pages) > 50 and not of_pages & {h for h, _ in url_filter.labelled_hosts()}
 
 
 def test_known_hosts(model):
-    assert verdict(model, "http://m.online-casino.example.org/x")[3] == "block" and verdict(model, "http://library.example.org/x")[3] == "allow" and verdict(model, "")[3] == "allow"
+    assert verdict(
+        model, "http://m.online-casino.example.org/x"
+    )[3] == "block" and verdict(model, "http://library.example.org/x")[3] == "allow" and verdict(model, "")[3] == "allow"
 
 
 def test_archive_round_trip(spark, tmp_path):
-    pages = [(1, "http://a/%0A", "x"), (2, "http://b/", "x"), (2, "http://b/", "x"), (3, None, None), (4, "http://c/\nd", ""), (5, "u", "é" * 50_000), (None, "v", "x"), (None, "v", "unique")]
+    pages = [
+        (1, "http://a/%0A", "x"), (2, "http://b/", "x"), (2, "http://b/", "x"), (3, None, None), (4, "http://c/\nd", ""),
+        (5, "u", "é" * 50_000), (None, "v", "x"), (None, "v", "unique")
+    ]
     df = spark.createDataFrame([(*p, 9) for p in pages], "page_id long, url string, html string, digest int")
     archive = warc.write_archive(df, str(tmp_path / "a"))
     out = warc.read_records(spark, archive).collect()
-    assert len(out) == len(pages) and sorted((r.url or "", r.page_id or 0) for r in out) == sorted((u or "", p or 0) for p, u, _ in pages)
+    assert len(out) == len(pages) and sorted(
+        (r.url or "", r.page_id or 0) for r in out
+    ) == sorted((u or "", p or 0) for p, u, _ in pages)
     assert spark.read.parquet(str(tmp_path / "a" / "payloads")).count() == 4
     for r in out:
         data = bytes(r.payload)
@@ -113,14 +130,19 @@ def test_archive_round_trip(spark, tmp_path):
     ids = [next(x for x in h if x.startswith("WARC-Record-ID: "))[16:] for h in heads]
     assert len(set(ids)) == len(ids) and all(x[16:] in ids for h in heads for x in h if x.startswith("WARC-Refers-To: "))
     kinds = sorted((r.page_id or 0, r.record_type, r.refers_to) for r in out)
-    assert kinds == [(0, "response", None), (0, "revisit", 1), (1, "response", None), (2, "revisit", 1), (2, "revisit", 1), (3, "response", None), (4, "revisit", 3), (5, "response", None)]
+    assert kinds == [
+        (0, "response", None), (0, "revisit", 1), (1, "response", None), (2, "revisit", 1), (2, "revisit", 1),
+        (3, "response", None), (4, "revisit", 3), (5, "response", None)
+    ]
     assert warc.archived_pages(df.limit(0)).count() == 0
     short = warc.read_records(spark, warc.write_archive(df, str(tmp_path / "b"), revisit_from=2))
     assert short.where("record_type = 'revisit'").count() == 0
 
 
 def test_corrupt_payload_fails(spark, tmp_path):
-    archive = warc.write_archive(spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string"), str(tmp_path / "a"))
+    archive = warc.write_archive(
+        spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string"), str(tmp_path / "a")
+    )
     broken = archive.payloads(spark).withColumn("payload", F.lit("y").cast("binary"))
     broken.write.parquet(str(tmp_path / "c" / "payloads"))
     os.symlink(tmp_path / "a" / "records", tmp_path / "c" / "records")

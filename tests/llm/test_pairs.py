@@ -96,14 +96,19 @@ def test_join_with_repeated_and_null_ids(spark):
     words = [f"w{i}" for i in range(30)]
     a, b, b2 = " ".join(words), " ".join(f"x{i}" for i in range(40)), " ".join([f"x{i}" for i in range(40)] + ["end"])
     c, c2 = " ".join(f"y{i}" for i in range(50)), " ".join([f"y{i}" for i in range(50)] + ["z"])
-    rows = [(5, a), (5, b), (9, b), (12, b2), (12, b2), (None, c), (None, c2), (None, c), (20, c + " more"), (None, "alone in the world it is"), (None, "alone in the world it is"), (None, None), (30, ""), (30, ""), (31, a + " q")]
+    rows = [
+        (5, a), (5, b), (9, b), (12, b2), (12, b2), (None, c), (None, c2), (None, c), (20, c + " more"),
+        (None, "alone in the world it is"), (None, "alone in the world it is"), (None, None), (30, ""), (30, ""), (31, a + " q")
+    ]
     docs = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "doc_id long, text string, n int")
     want = Counter((k, *x) for (k, _), x in zip(rows, linked_rows(rows)))
     assert want[12, 37, 5] == 2 and want[9, 36, 5] == 1 and want[31, 27, 5] == 1
     assert Counter(tuple(r) for r in ngram_join.jaccard_components(docs).collect()) == want
     kept = ngram_join.keep_one(docs)
     assert kept.columns == docs.columns
-    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(5, a), (5, b), (20, c + " more"), (None, "alone in the world it is"), (None, None), (30, "")])
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(
+        [(5, a), (5, b), (20, c + " more"), (None, "alone in the world it is"), (None, None), (30, "")]
+    )
 
 
 def test_links_between_two_rows_are_never_lost(spark):
@@ -114,7 +119,10 @@ def test_links_between_two_rows_are_never_lost(spark):
         other = list(own)
         for _ in range(max(1, len(own) // 40)):
             other[rng.randrange(3)] = "changed"
-        rows += [(2 * k, " ".join(["one common beginning of every single page", *own])), (2 * k + 1, " ".join(["one common beginning of every single page", *other]))]
+        rows += [
+            (2 * k, " ".join(["one common beginning of every single page", *own])),
+            (2 * k + 1, " ".join(["one common beginning of every single page", *other]))
+        ]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()}
     assert got == brute(dict(rows)) and 40 < sum(k != c for k, (_, c) in got.items())
@@ -126,7 +134,9 @@ def test_join_odd_rows(odd_documents, no_documents):
     assert sum(got.values()) == odd_documents.count()
     assert ngram_join.jaccard_components(no_documents).count() == 0
     kept = ngram_join.keep_one(odd_documents)
-    assert kept.columns == odd_documents.columns and sorted(r.doc_id for r in kept.collect() if r.doc_id) == [1, 3, 4, 5, 6, 7, 8, 9]
+    assert kept.columns == odd_documents.columns and sorted(
+        r.doc_id for r in kept.collect() if r.doc_id
+    ) == [1, 3, 4, 5, 6, 7, 8, 9]
 
 
 def test_bound_is_never_below_the_overlap():
@@ -156,16 +166,23 @@ def test_embeddings_equal_brute_force(spark, monkeypatch, rows, chunk):
     monkeypatch.setattr(embed_dedup, "CHUNK_ROWS", chunk)
     rng = np.random.default_rng(5)
     base = rng.normal(size=(25, 40))
-    x = np.concatenate([base[rng.integers(0, 25, 260)] + rng.normal(scale=0.33, size=(260, 40)), np.repeat(base[:2], 20, axis=0), base[:1] * 2.5]).astype(np.float32)
+    x = np.concatenate(
+        [base[rng.integers(0, 25, 260)] + rng.normal(scale=0.33, size=(260, 40)), np.repeat(base[:2], 20, axis=0), base[:1] * 2.5]
+    ).astype(np.float32)
     label = rng.integers(0, 2, len(x))
-    vectors = spark.createDataFrame([(int(i * 3), [float(v) for v in x[i]], int(label[i])) for i in range(len(x))], "vec_id long, embedding array<float>, label int")
+    vectors = spark.createDataFrame(
+        [(int(i * 3), [float(v) for v in x[i]], int(label[i])) for i in range(len(x))],
+        "vec_id long, embedding array<float>, label int"
+    )
     y = x.astype(float)
     norm = np.sqrt((y * y).sum(1))
     linked = ((y @ y.T) / np.outer(norm, norm) >= 0.93) & (label[:, None] == label[None])
     np.fill_diagonal(linked, False)
     component = reach(range(len(x)), zip(*np.nonzero(linked)))
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(vectors).collect()}
-    assert got == {3 * i: (int(linked[i].sum()), 3 * component[i], component[i] == i) for i in range(len(x))} and linked.sum() > 500
+    assert got == {
+        3 * i: (int(linked[i].sum()), 3 * component[i], component[i] == i) for i in range(len(x))
+    } and linked.sum() > 500
 
 
 def test_embeddings_odd_rows(spark):
@@ -174,26 +191,44 @@ def test_embeddings_odd_rows(spark):
     df = spark.createDataFrame([(*r, 5) for r in rows], "vec_id long, embedding array<double>, label int, copies int")
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_duplicates(df).collect()}
     assert got[1] == (2, 1, True) and got[2] == (2, 1, False) and got[3] == (2, 1, False)
-    assert all(got[i] == (0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11)) and len(got) == 14 and got[12][1] == 12 and got[13][1] == 12
+    assert all(
+        got[i] == (0, i, True) for i in (4, 5, 6, 7, 8, 9, 10, 11)
+    ) and len(got) == 14 and got[12][1] == 12 and got[13][1] == 12
     assert (got[None], got[12], got[13]) == ((2, 12, False), (2, 12, True), (2, 12, False))
     assert embed_dedup.near_duplicates(df.limit(0)).count() == 0
-    assert embed_dedup.near_duplicates(df.select("vec_id", F.lit(None).cast("array<float>").alias("embedding"), "label")).where("n_links = 0 and kept").count() == 14
+    assert embed_dedup.near_duplicates(
+        df.select("vec_id", F.lit(None).cast("array<float>").alias("embedding"), "label")
+    ).where("n_links = 0 and kept").count() == 14
 
 
 def test_embeddings_with_labels_of_text_and_no_ids(spark):
-    rows = [(1, [1.0, 0.0], "a"), (2, [0.99, 0.02], "a"), (3, [1.0, 0.0], "b"), (None, [0.0, 1.0], "a"), (None, [0.01, 1.0], "a"), (7, [1.0, 0.0], "b"), (7, [0.0, 1.0], "b"), (4, [1.0, 0.01], None)]
+    rows = [
+        (1, [1.0, 0.0], "a"), (2, [0.99, 0.02], "a"), (3, [1.0, 0.0], "b"), (None, [0.0, 1.0], "a"), (None, [0.01, 1.0], "a"),
+        (7, [1.0, 0.0], "b"), (7, [0.0, 1.0], "b"), (4, [1.0, 0.01], None)
+    ]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string")
     got = sorted(((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in embed_dedup.near_duplicates(df).collect()))
-    assert got == [(0, 1, 0, True), (0, 1, 0, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 0, 4, True), (7, 0, 7, True), (7, 1, 3, False)]
+    assert got == [
+        (0, 1, 0, True), (0, 1, 0, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 3, True), (4, 0, 4, True), (7, 0, 7, True),
+        (7, 1, 3, False)
+    ]
 
 
 def test_many_lengths_and_long_vectors(spark, monkeypatch):
     monkeypatch.setattr(embed_dedup, "CELL_ROWS", 10)
     monkeypatch.setattr(embed_dedup, "ROTATED_DIMS", 6)
     rng = np.random.default_rng(9)
-    rows = [(100 * n + k, [float(v) for v in np.arange(1, n + 1) + rng.normal(scale=0.01, size=n)], 1) for n in range(2, 30) for k in range(2)]
+    rows = [
+        (100 * n + k, [float(v) for v in np.arange(1, n + 1) + rng.normal(scale=0.01, size=n)], 1)
+        for n in range(2, 30) for k in range(2)
+    ]
     rows += [(10_000 + k, [float(v) for v in rng.normal(size=40) + (5 * np.eye(40)[k % 4])], 1) for k in range(40)]
-    got = {r.vec_id: (r.n_links, r.component_id) for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    got = {
+        r.vec_id: (r.n_links, r.component_id)
+        for r in embed_dedup.near_duplicates(
+            spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+        ).collect()
+    }
     assert all(got[100 * n + k] == (1, 100 * n) for n in range(2, 30) for k in range(2))
     x = np.array([v for i, v, _ in rows if i >= 10_000])
     linked = (x @ x.T / np.outer(*[np.sqrt((x * x).sum(1))] * 2) >= 0.93).sum(1) - 1

@@ -38,8 +38,11 @@ def test_feistel_is_a_permutation(n):
 
 
 @pytest.mark.parametrize("text, kinds", [
-    ("call +1 (788) 555-0037 now", {"phone": 1}), ("4111 1111 1111 1111 and 4111111111111111", {"card": 2}), ("order 4111111111111112", {}), ("ip 65.95.187.82, v1.2.3.4.5", {"ipv4": 1}), ("999.1.1.1", {}),
-    ("born 1980-02-29 or 31/12/1999 or 02/28/2001 or 05.06.1970", {"date": 4}), ("1981-02-29", {}), ("123-45-6789 000-12-3456", {"ssn": 1}), ("élan.47@mail4.example.com", {"email": 1}), ("DE89 3704 0044 0532 0130 00 end", {"iban": 1}),
+    ("call +1 (788) 555-0037 now", {"phone": 1}), ("4111 1111 1111 1111 and 4111111111111111", {"card": 2}),
+    ("order 4111111111111112", {}), ("ip 65.95.187.82, v1.2.3.4.5", {"ipv4": 1}), ("999.1.1.1", {}),
+    ("born 1980-02-29 or 31/12/1999 or 02/28/2001 or 05.06.1970", {"date": 4}), ("1981-02-29", {}),
+    ("123-45-6789 000-12-3456", {"ssn": 1}), ("élan.47@mail4.example.com", {"email": 1}),
+    ("DE89 3704 0044 0532 0130 00 end", {"iban": 1}),
     ("DE88 3704 0044 0532 0130 00 end", {}), ("plain words", {}), ("", {}), (None, {}),
 ])
 def test_pseudonyms(text, kinds):
@@ -51,8 +54,10 @@ def test_pseudonyms(text, kinds):
 
 
 @pytest.mark.parametrize("text, kinds", [
-    ("4111 1111 1111 1111 12/25", {"card": 1}), ("2 4111 1111 1111 1111", {"card": 1}), ("4111 1111 1111 1111 123", {"card": 1}), ("555 123 4567 555 123 4567", {"phone": 2}),
-    ("3782 822463 10005 4111-1111-1111-1111 7", {"card": 2}), ("7 555 123 4567 1980-02-29 12 4111111111111111", {"phone": 1, "date": 1, "card": 1}),
+    ("4111 1111 1111 1111 12/25", {"card": 1}), ("2 4111 1111 1111 1111", {"card": 1}), ("4111 1111 1111 1111 123", {"card": 1}),
+    ("555 123 4567 555 123 4567", {"phone": 2}),
+    ("3782 822463 10005 4111-1111-1111-1111 7", {"card": 2}),
+    ("7 555 123 4567 1980-02-29 12 4111111111111111", {"phone": 1, "date": 1, "card": 1}),
 ])
 def test_pseudonyms_beside_other_numbers(text, kinds):
     for n in range(60):
@@ -69,7 +74,10 @@ def test_equal_values_stay_linked():
 def spellings(day):
     """A date in every way of writing that is read as that date."""
     y, m, d = day.year, day.month, day.day
-    out = [f"{y}-{m:02d}-{d:02d}", f"{y}/{m:02d}/{d:02d}", f"{d:02d}.{m:02d}.{y}", f"{d}.{m}.{y}", f"{d:02d}/{m:02d}/{y}", f"{d}/{m}/{y}", f"{y}-{m:02d}-{d:02d}T10:00:00Z", f"{d} {day:%B} {y}", f"{day:%B} {d}, {y}"]
+    out = [
+        f"{y}-{m:02d}-{d:02d}", f"{y}/{m:02d}/{d:02d}", f"{d:02d}.{m:02d}.{y}", f"{d}.{m}.{y}", f"{d:02d}/{m:02d}/{y}",
+        f"{d}/{m}/{y}", f"{y}-{m:02d}-{d:02d}T10:00:00Z", f"{d} {day:%B} {y}", f"{day:%B} {d}, {y}"
+    ]
     return out + ([f"{m:02d}/{d:02d}/{y}", f"{m}/{d}/{y}"] if d > 12 else [])
 
 
@@ -87,8 +95,10 @@ def test_every_day_of_a_century_in_all_spellings():
 
 
 @pytest.mark.parametrize("same", [
-    ["2125550199", "(212) 555-0199", "212-555-0199", "212.555.0199", "+1 212 555 0199", "+12125550199", "1-212-555-0199"], ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+44-20-7946-0958"],
-    ["+33 1 42 68 53 00", "+33142685300"], ["+49 30 901820", "+4930901820"], ["123-45-6789", "123 45 6789"], ["(123) 456-7890", "+1 123 456 7890"],
+    ["2125550199", "(212) 555-0199", "212-555-0199", "212.555.0199", "+1 212 555 0199", "+12125550199", "1-212-555-0199"],
+    ["+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+44-20-7946-0958"],
+    ["+33 1 42 68 53 00", "+33142685300"], ["+49 30 901820", "+4930901820"], ["123-45-6789", "123 45 6789"],
+    ["(123) 456-7890", "+1 123 456 7890"],
 ])
 def test_numbers_stay_linked_in_all_spellings(same):
     hide, show, digits = pii.Pseudonymiser(b"k"), pii.Pseudonymiser(b"k", undo=True), set()
@@ -117,7 +127,9 @@ def test_two_kinds_of_ten_digits_change_places_among_themselves():
     for x in rng.integers(0, 10**10, 3000).tolist():
         digits = f"{x:010d}"
         new = pii._north_american(p, digits, undo=False)
-        assert pii._north_american(p, new, undo=True) == digits and (min(new[0], new[3]) >= "2") == (min(digits[0], digits[3]) >= "2")
+        assert pii._north_american(p, new, undo=True) == digits and (min(new[0], new[3]) >= "2") == (
+            min(digits[0], digits[3]) >= "2"
+        )
 
 
 def test_counts_equal_an_independent_reading(spark, data):
@@ -133,7 +145,12 @@ def test_counts_equal_an_independent_reading(spark, data):
                 addresses += isinstance(ipaddress.ip_address(w), ipaddress.IPv4Address)
             except ValueError:
                 pass
-        cards = [w for w in (x.replace("-", "") for x in words) if w.isdigit() and 13 <= len(w) <= 19 and sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(w))) % 10 == 0]
+        cards = [
+            w
+            for w in (x.replace("-", "") for x in words) if w.isdigit() and 13 <= len(w) <= 19 and sum(
+                sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(w))
+            ) % 10 == 0
+        ]
         r = got[d.doc_id]
         assert (r.n_email, r.n_ipv4) == (len(emails), addresses) and r.n_card >= len(cards)
         assert not any(w in r.text for w in {*emails, *cards} if len(w) > 8)
@@ -159,7 +176,9 @@ def test_pseudonyms_of_odd_rows(odd_documents, no_documents):
 
 
 def test_toxicity_held_out(spark):
-    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    docs, labels = spark.read.parquet(
+        "/root/testdata/sf0.1/documents.parquet"
+    ), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     out = toxicity.toxicity_scores(docs, labels)
     assert out.count() == docs.count()
     rows = out.where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").collect()
@@ -170,7 +189,10 @@ def test_toxicity_held_out(spark):
 
 
 def test_toxicity_odd_rows(spark, odd_documents, no_documents):
-    labels = spark.createDataFrame([(1, 1, 1, "x"), (1, 0, 0, "x"), (None, 1, 1, "x"), (4, None, None, "x")], "doc_id long, quality int, toxic int, text string")
+    labels = spark.createDataFrame(
+        [(1, 1, 1, "x"), (1, 0, 0, "x"), (None, 1, 1, "x"), (4, None, None, "x")],
+        "doc_id long, quality int, toxic int, text string"
+    )
     out = toxicity.toxicity_scores(odd_documents, labels).collect()
     assert len(out) == odd_documents.count() and all(0 <= r.score <= 1 for r in out)
     assert toxicity.drop_toxic(odd_documents, labels).columns == odd_documents.columns
@@ -189,7 +211,9 @@ def test_non_negative_risk_learns_from_positives_alone():
 
 def test_pieces_equal_the_library(documents):
     c = piece_codec.Codec(PIECES)
-    texts = [r.text for r in documents.limit(60).collect()] + ["", " ", "  a  b", "a\n\nb  c▁d", "日本語 x😀", "é́ \t z   ", "▁▁x", "\x00a", "x" * 5000]
+    texts = [r.text for r in documents.limit(60).collect()] + [
+        "", " ", "  a  b", "a\n\nb  c▁d", "日本語 x😀", "é́ \t z   ", "▁▁x", "\x00a", "x" * 5000
+    ]
     for t in texts:
         ids, spans = c.encode(t)
         found = c.processor.encode(t, return_type="proto").pieces
@@ -203,10 +227,14 @@ def test_round_trip_digests(odd_documents, no_documents):
     got = piece_codec.round_trip(odd_documents, PIECES).collect()
     for r, d in zip(got, odd_documents.collect(), strict=True):
         ids = c.processor.encode(d.text or "", add_eos=True)
-        assert (r.doc_id, r.n_tokens) == (d.doc_id, len(ids)) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert (r.doc_id, r.n_tokens) == (d.doc_id, len(ids)) and r.ids_sha256 == hashlib.sha256(
+            " ".join(map(str, ids)).encode()
+        ).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(c.processor.decode(ids).encode()).hexdigest()
     encoded = piece_codec.encode(odd_documents, PIECES)
-    assert {r.doc_id: r.text for r in piece_codec.decode(encoded, PIECES).collect()}[1].strip() == "the quick brown fox jumps over the lazy dog"
+    assert {
+        r.doc_id: r.text for r in piece_codec.decode(encoded, PIECES).collect()
+    }[1].strip() == "the quick brown fox jumps over the lazy dog"
     assert piece_codec.round_trip(no_documents, PIECES).count() == 0
 
 
@@ -250,7 +278,9 @@ class Spec:
 
 
 def test_character_map_longest_prefix_and_offsets():
-    n = piece_codec.Normaliser(Spec(compiled({"ﬁ".encode(): b"fi", b"ab": b"X", b"abc": b"YZ", "\u3000".encode(): b" ", b"q": b""})))
+    n = piece_codec.Normaliser(
+        Spec(compiled({"ﬁ".encode(): b"fi", b"ab": b"X", b"abc": b"YZ", "\u3000".encode(): b" ", b"q": b""}))
+    )
     text = "  abcab\u3000 ﬁqé ".encode()
     out, where = n(text)
     assert out.decode() == "▁YZX▁fié"
@@ -258,7 +288,13 @@ def test_character_map_longest_prefix_and_offsets():
     assert n(b"") == (b"", pytest.approx([0])) and n(b"   ")[0] == b""
 
 
-@pytest.mark.parametrize("changes", [{}, {"add_dummy_prefix": False}, {"remove_extra_whitespaces": True}, {"escape_whitespaces": True, "remove_extra_whitespaces": True, "add_dummy_prefix": False}, {"byte_fallback": False}])
+@pytest.mark.parametrize(
+    "changes",
+    [
+        {}, {"add_dummy_prefix": False}, {"remove_extra_whitespaces": True},
+        {"escape_whitespaces": True, "remove_extra_whitespaces": True, "add_dummy_prefix": False}, {"byte_fallback": False}
+    ]
+)
 def test_compiled_map_equals_the_library(tmp_path, changes):
     """Ids and the original bytes of each piece, with a character map that the library applies itself."""
     from sentencepiece import sentencepiece_model_pb2
@@ -266,7 +302,12 @@ def test_compiled_map_equals_the_library(tmp_path, changes):
     proto = sentencepiece_model_pb2.ModelProto()
     with open(PIECES, "rb") as f:
         proto.ParseFromString(f.read())
-    proto.normalizer_spec.precompiled_charsmap = compiled({"\ufb01".encode(): b"fi", b"ab": b"x", b"abc": b"yz", "\u3000".encode(): b" ", b"Q": b"q", "e\u0301".encode(): "\u00e9".encode(), "\u2026".encode(): b"..."})
+    proto.normalizer_spec.precompiled_charsmap = compiled(
+        {
+            "\ufb01".encode(): b"fi", b"ab": b"x", b"abc": b"yz", "\u3000".encode(): b" ", b"Q": b"q",
+            "e\u0301".encode(): "\u00e9".encode(), "\u2026".encode(): b"..."
+        }
+    )
     for k, v in changes.items():
         setattr(proto.trainer_spec if k == "byte_fallback" else proto.normalizer_spec, k, v)
     if not proto.trainer_spec.byte_fallback:
@@ -276,12 +317,17 @@ def test_compiled_map_equals_the_library(tmp_path, changes):
     with open(path, "wb") as f:
         f.write(proto.SerializeToString())
     c = piece_codec.Codec(path)
-    for t in ["", " ", "  abcab\u3000 \ufb01Q\u00e9 ", "e\u0301 caf\u00e9 ab abc abcabc", "wait\u2026 no\u2026", "a  b   c", "plain words here", "\u65e5\u672c\u8a9e\u3000x \U0001f600\U0001f600", "Qabc " * 50]:
+    for t in [
+        "", " ", "  abcab\u3000 \ufb01Q\u00e9 ", "e\u0301 caf\u00e9 ab abc abcabc", "wait\u2026 no\u2026", "a  b   c",
+        "plain words here", "\u65e5\u672c\u8a9e\u3000x \U0001f600\U0001f600", "Qabc " * 50
+    ]:
         ids, spans = c.encode(t)
         found = c.processor.encode(t, return_type="proto").pieces
         assert ids[:-1].tolist() == [p.id for p in found] and c.decode(ids) == c.processor.decode(ids.tolist())
         data = t.encode()
-        assert [data[a:b] for a, b in spans] == [p.surface_as_bytes if hasattr(p, "surface_as_bytes") else p.surface.encode() for p in found]
+        assert [data[a:b] for a, b in spans] == [
+            p.surface_as_bytes if hasattr(p, "surface_as_bytes") else p.surface.encode() for p in found
+        ]
 
 
 def test_whole_table_equals_the_library(documents):
@@ -308,7 +354,9 @@ def test_context_tree_base_and_probability(documents):
         words = [*(t or "").encode().lower().split(), b""]
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in words)
         r = got[k]
-        assert r.base_score == pytest.approx(base) and (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(w in counts for w in words), n) and r.score < 0
+        assert r.base_score == pytest.approx(base) and (r.n_tokens, r.n_known, r.train_tokens) == (
+            len(words), sum(w in counts for w in words), n
+        ) and r.score < 0
         assert r.held_out == (zlib.crc32(str(k).encode()) % 7 == 2)
 
 
@@ -321,14 +369,22 @@ def test_head_and_tail_counts_agree(documents, monkeypatch):
 @pytest.mark.parametrize("most, shard", [(0, 16_384), (300, 16_384), (1_000_000, 500), (300, 20)])
 def test_scores_do_not_depend_on_what_is_broadcast_or_cut(documents, monkeypatch, most, shard):
     rows = documents.select("doc_id", "text").collect()
-    keys, counts = np.unique(np.concatenate([context_tree.grams(context_tree.tokens(r.text)) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2]), return_counts=True)
+    keys, counts = np.unique(
+        np.concatenate(
+            [context_tree.grams(context_tree.tokens(r.text)) for r in rows if zlib.crc32(str(r.doc_id).encode()) % 7 != 2]
+        ),
+        return_counts=True
+    )
     tree = context_tree.build_tree(keys, counts)
     monkeypatch.setattr(context_tree, "MAX_GRAMS", most)
     monkeypatch.setattr(context_tree, "_SHARD_ROWS", 5_000)
     monkeypatch.setattr(context_tree, "SHARD_LEAST", shard)
     monkeypatch.setattr(context_tree, "SHARD_MOST", shard)
     got = {r.doc_id: r.score for r in context_tree.scores(documents).collect()}
-    assert got == {r.doc_id: pytest.approx(tree.log2(context_tree.grams(context_tree.tokens(r.text))).sum() * math.log10(2), rel=1e-6) for r in rows}
+    assert got == {
+        r.doc_id: pytest.approx(tree.log2(context_tree.grams(context_tree.tokens(r.text))).sum() * math.log10(2), rel=1e-6)
+        for r in rows
+    }
 
 
 def test_scores_equal_the_recursive_definition(spark, monkeypatch):
@@ -336,15 +392,29 @@ def test_scores_equal_the_recursive_definition(spark, monkeypatch):
     monkeypatch.setattr(context_tree, "MAX_GRAMS", 5)
     monkeypatch.setattr(context_tree, "SHARD_LEAST", 2)
     monkeypatch.setattr(context_tree, "SHARD_MOST", 2)
-    texts = {i: t for i, t in enumerate(["abracadabra abra cad", "Abra kadabra", "abracadabra", "zz top", "", None, "the abbey \u00e9t\u00e9", "abra abra abra"])}
+    texts = {
+        i: t
+        for i,
+        t in enumerate(
+            [
+                "abracadabra abra cad", "Abra kadabra", "abracadabra", "zz top", "", None, "the abbey \u00e9t\u00e9",
+                "abra abra abra"
+            ]
+        )
+    }
     depth, padded = context_tree.DEPTH, {}
     for k, t in texts.items():
         padded[k] = b"\n" * depth + b" ".join((t or "").encode().lower().split()) + b"\n"
     strings = lambda k: [padded[k][i : i + depth + 1] for i in range(len(padded[k]) - depth)]
     trained = [k for k in texts if zlib.crc32(str(k).encode()) % 7 != 2]
     want = reference_bits([s for k in trained for s in strings(k)], depth)
-    got = {r.doc_id: r.score for r in context_tree.scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
-    assert 0 < len(trained) < len(texts) and got == {k: pytest.approx(sum(map(want, strings(k))) * math.log10(2), rel=1e-5) for k in texts}
+    got = {
+        r.doc_id: r.score
+        for r in context_tree.scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    }
+    assert 0 < len(trained) < len(texts) and got == {
+        k: pytest.approx(sum(map(want, strings(k))) * math.log10(2), rel=1e-5) for k in texts
+    }
 
 
 def reference_bits(strings, depth):
@@ -395,7 +465,9 @@ def test_tree_equals_definition():
 
 def test_context_tree_odd_rows(odd_documents, no_documents):
     out = context_tree.scores(odd_documents).collect()
-    assert len(out) == odd_documents.count() and {r.n_tokens for r in out if r.doc_id in (3, 4, 5)} == {1} and all(r.score < 0 for r in out)
+    assert len(out) == odd_documents.count() and {
+        r.n_tokens for r in out if r.doc_id in (3, 4, 5)
+    } == {1} and all(r.score < 0 for r in out)
     assert context_tree.scores(no_documents).count() == 0
 
 
@@ -422,10 +494,14 @@ def test_packing_keeps_every_id(documents, odd_documents, no_documents):
     for d in documents.collect():
         ids, at = [*t.encode(d.text or "", add_special_tokens=False).ids, 1], 0
         for r in sorted(pieces[d.doc_id], key=lambda r: r.start):
-            assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+            assert r.start == at and r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(
+                np.array(ids[at : at + r.length], "<u4").tobytes()
+            )
             at += r.length
         assert at == len(ids)
-    odd = packing.pack_documents(odd_documents, WORDS).groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("t"), F.count_if(F.col("start") == 0).alias("k")).collect()
+    odd = packing.pack_documents(odd_documents, WORDS).groupBy("doc_id").agg(
+        F.sum("length").alias("n"), F.max("doc_tokens").alias("t"), F.count_if(F.col("start") == 0).alias("k")
+    ).collect()
     assert all(r.n == r.t * r.k for r in odd) and {r.doc_id for r in odd if r.t == 1} == {3, 4, 5}
     assert packing.pack_documents(no_documents, WORDS).count() == 0
 
@@ -451,7 +527,10 @@ def test_conversations_are_packed_under_three_limits(spark, data):
 
     t = Tokenizer.from_file(WORDS)
     rows = [(r.conv_id, r.turn, r.role, r.text) for r in spark.read.parquet(f"{data}/conversations.parquet").collect()]
-    rows += [(900, 0, "user", None), (900, 1, "assistant", "word " * 5000), (901, None, None, "x y"), (None, 1, "assistant", "x"), (901, 3, "assistant", "")]
+    rows += [
+        (900, 0, "user", None), (900, 1, "assistant", "word " * 5000), (901, None, None, "x y"), (None, 1, "assistant", "x"),
+        (901, 3, "assistant", "")
+    ]
     turns = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, length int")
     out = packing.pack_conversations(turns, WORDS).collect()
     sequences = defaultdict(list)
@@ -528,7 +607,16 @@ def by_definition(rows):
 
 
 def fingerprint_rows(docs):
-    return sorted(((r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9), round(r.near_next, 9)) for r in fingerprint.fingerprints(docs).collect()), key=repr)
+    return sorted(
+        (
+            (
+                r.doc_id, r.n_chars, r.edited_sha256, r.fingerprint, r.edited_fingerprint, round(r.near_edited, 9),
+                round(r.near_next, 9)
+            )
+            for r in fingerprint.fingerprints(docs).collect()
+        ),
+        key=repr
+    )
 
 
 def test_fingerprints_equal_definition(documents, odd_documents, no_documents):
@@ -544,7 +632,9 @@ def test_fingerprints_of_crowded_ids(spark, monkeypatch):
     monkeypatch.setattr(fingerprint, "BUCKET_ROWS", 8)
     rng = np.random.default_rng(7)
     rows = [(int(i), f"own {i}. two, three {i % 7}\nx") for i in range(-50, 150)]
-    rows += [(77, f"crowd {int(k)}. a b") for k in rng.integers(0, 60, 300)] + [(None, f"none {int(k)}; c") for k in rng.integers(0, 40, 200)] + [(None, None)] * 30 + [(78, "same")] * 200
+    rows += [
+        (77, f"crowd {int(k)}. a b") for k in rng.integers(0, 60, 300)
+    ] + [(None, f"none {int(k)}; c") for k in rng.integers(0, 40, 200)] + [(None, None)] * 30 + [(78, "same")] * 200
     docs = spark.createDataFrame([(k, t, 1) for k, t in rows], "doc_id long, text string, cell int").repartition(7)
     tie = lambda t: xxhash.xxh64_intdigest((t or "").encode(), seed=42) & (1 << 63) - 1
     rows.sort(key=lambda r: (r[0] is None, r[0] or 0, tie(r[1])))
@@ -552,7 +642,12 @@ def test_fingerprints_of_crowded_ids(spark, monkeypatch):
 
 
 def test_fingerprint_is_homomorphic(spark):
-    df = spark.createDataFrame([("a. b\nccc\nd e", "d e\na. b\nccc", "a. b\nccc", "d e")], "x string, y string, z string, w string")
+    df = spark.createDataFrame(
+        [("a. b\nccc\nd e", "d e\na. b\nccc", "a. b\nccc", "d e")], "x string, y string, z string, w string"
+    )
     fp = {c: fingerprint.fingerprint(F.col(c)) for c in "xyzw"}
-    row = df.select((fp["x"] == fp["y"]).alias("order"), (fingerprint.insert(fp["z"], fp["w"]) == fp["x"]).alias("added"), (fingerprint.remove(fp["x"], fp["w"]) == fp["z"]).alias("taken"), (fp["z"] == fp["w"]).alias("other")).first()
+    row = df.select(
+        (fp["x"] == fp["y"]).alias("order"), (fingerprint.insert(fp["z"], fp["w"]) == fp["x"]).alias("added"),
+        (fingerprint.remove(fp["x"], fp["w"]) == fp["z"]).alias("taken"), (fp["z"] == fp["w"]).alias("other")
+    ).first()
     assert (row.order, row.added, row.taken, row.other) == (True, True, True, False)
