@@ -53,7 +53,10 @@ def _load(spark: SparkSession, asked: argparse.Namespace) -> int:
     def rows():
         return load.normalised_rows(spark, archive.read_ingest(asked.ingests, asked.source, asked.date.isoformat()))
 
-    state = load.load_source(spark, asked.source, rows, f"{asked.tables}/{asked.source}", asked.log, asked.date, secrets=[os.environ.get(n, "") for n in asked.secret])
+    state = load.load_source(
+        spark, asked.source, rows, f"{asked.tables}/{asked.source}", asked.log, asked.date,
+        secrets=[os.environ.get(n, "") for n in asked.secret]
+    )
     print(json.dumps(asdict(state)))
     return 0
 
@@ -65,7 +68,9 @@ def _export(spark: SparkSession, asked: argparse.Namespace) -> int:
     if asked.log:
         status = health.source_status(spark.read.schema(health.LOG_SCHEMA).parquet(asked.log), F.lit(day))
         sources = {r.source: {"status": r.status, "row_count": r.row_count, "age_days": r.age_days} for r in status.collect()}  # a row for each source
-    release = archive.export_archive(rows, asked.output, asked.tag or week_tag(day), sources, datetime.datetime.now(datetime.UTC), asked.prefix)
+    release = archive.export_archive(
+        rows, asked.output, asked.tag or week_tag(day), sources, datetime.datetime.now(datetime.UTC), asked.prefix
+    )
     print(release.csv_path)
     return 0
 
@@ -83,7 +88,9 @@ def _index(spark: SparkSession, asked: argparse.Namespace, found: list[archive.R
         return _put(reports.component_report(parts, f"Index components of {day}"), asked.output)
     index, path = temporal.temporal_index(history, F.lit(day)), asked.output or f"index_{day}.csv.gz"
     rows = archive.write_deterministic_csv(index, path)
-    archive.index_lineage(f"{path}.json", path, found, slots, index, rows, temporal.band_summary(parts), datetime.datetime.now(datetime.UTC))
+    archive.index_lineage(
+        f"{path}.json", path, found, slots, index, rows, temporal.band_summary(parts), datetime.datetime.now(datetime.UTC)
+    )
     print(rows, "rows")
     return 0
 
@@ -99,7 +106,9 @@ def _walk(spark: SparkSession, asked: argparse.Namespace, found: list[archive.Re
     meta = asked.command == "meta-index"
     values = (walkforward.meta_candidates if meta else walkforward.index_candidates)(history, len(slots))
     rows = walkforward.evaluate(values, temporal.HISTORY_WINDOW - 1, len(slots) - 1, shocks=not meta)
-    return _put(reports.walkforward_report(rows, f"{'Meta-index' if meta else 'Index candidates'} up to {found[-1].tag}"), asked.output)
+    return _put(
+        reports.walkforward_report(rows, f"{'Meta-index' if meta else 'Index candidates'} up to {found[-1].tag}"), asked.output
+    )
 
 
 def _put(text: str, output: str | None) -> int:
@@ -133,7 +142,9 @@ def main(args: list[str] | None = None) -> int:
         return _walk(spark, asked, found)
     read = [(r.tag, archive.read_tolerant(spark, r.csv_path)) for r in found]
     if asked.command == "release":
-        text = reports.release_report(read[-1][1], read[-2][1] if len(read) > 1 else None, read[-1][0], archive.published_facts(found[-1:])[2])
+        text = reports.release_report(
+            read[-1][1], read[-2][1] if len(read) > 1 else None, read[-1][0], archive.published_facts(found[-1:])[2]
+        )
     else:
         text = reports.stability_report(read, *archive.published_facts(found))
     return _put(text, asked.output)

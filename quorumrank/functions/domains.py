@@ -27,10 +27,13 @@ class SuffixRule:
 # A small set of rules that stands in where no list is given; deployments pass the public list.
 DEFAULT_RULES: tuple[SuffixRule, ...] = (
     *[SuffixRule(s) for s in (
-        "com", "net", "org", "edu", "gov", "mil", "int", "info", "biz", "io", "dev", "app", "de", "fr", "es", "it", "nl", "be", "ch", "at", "pl", "eu", "us", "ca", "ru", "cn", "in", "br", "jp",
-        "co.jp", "ne.jp", "or.jp", "ac.jp", "uk", "co.uk", "org.uk", "ac.uk", "gov.uk", "au", "com.au", "net.au", "org.au", "com.br", "com.cn", "co.in", "nz", "co.nz", "co.za", "za", "se", "no", "dk", "fi",
+        "com", "net", "org", "edu", "gov", "mil", "int", "info", "biz", "io", "dev", "app", "de", "fr", "es", "it", "nl", "be",
+        "ch", "at", "pl", "eu", "us", "ca", "ru", "cn", "in", "br", "jp",
+        "co.jp", "ne.jp", "or.jp", "ac.jp", "uk", "co.uk", "org.uk", "ac.uk", "gov.uk", "au", "com.au", "net.au", "org.au",
+        "com.br", "com.cn", "co.in", "nz", "co.nz", "co.za", "za", "se", "no", "dk", "fi",
     )],
-    SuffixRule("ck", "wildcard"), SuffixRule("www.ck", "exception"), SuffixRule("kawasaki.jp", "wildcard"), SuffixRule("city.kawasaki.jp", "exception"),
+    SuffixRule("ck", "wildcard"), SuffixRule("www.ck", "exception"), SuffixRule("kawasaki.jp", "wildcard"),
+    SuffixRule("city.kawasaki.jp", "exception"),
     *[SuffixRule(s, section="private") for s in ("github.io", "blogspot.com", "pages.dev")],
 )
 
@@ -95,7 +98,9 @@ def suffix_table(spark, rules: Sequence[SuffixRule] = DEFAULT_RULES, private: bo
     return spark.createDataFrame(rows, "suffix string, kind string")
 
 
-def with_registered_domain(df: DataFrame, column: str, out: str, rules: Sequence[SuffixRule] = DEFAULT_RULES, private: bool = False, idna: bool = True) -> DataFrame:
+def with_registered_domain(
+    df: DataFrame, column: str, out: str, rules: Sequence[SuffixRule] = DEFAULT_RULES, private: bool = False, idna: bool = True
+) -> DataFrame:
     """Adds the registered domain of a host: its public suffix and one label more; null where it has none.
 
     The rules become one map constant in the plan (the public list is some ten thousand entries), so each host is
@@ -116,14 +121,19 @@ def with_registered_domain(df: DataFrame, column: str, out: str, rules: Sequence
 
     def suffix_labels(tail: Column, i: Column) -> Column:
         """How many labels the suffix has by the rule at the last i labels; negative for an exception; null for no rule."""
-        return _let(kinds[tail], lambda kind: F.when(kind == "normal", i).when(kind == "wildcard", i + 1).when(kind == "exception", 1 - i))
+        return _let(
+            kinds[tail], lambda kind: F.when(kind == "normal", i).when(kind == "wildcard", i + 1).when(kind == "exception", 1 - i)
+        )
 
     def of_labels(labels: Column) -> Column:
         n = F.size(labels)
-        rules_at = F.transform(F.sequence(F.lit(1), n), lambda i: suffix_labels(F.array_join(F.slice(labels, n - i + 1, i), "."), i))
+        rules_at = F.transform(
+            F.sequence(F.lit(1), n), lambda i: suffix_labels(F.array_join(F.slice(labels, n - i + 1, i), "."), i)
+        )
         longest = _let(F.array_compact(rules_at), lambda k: F.when(F.array_min(k) < 0, -F.array_min(k)).otherwise(F.array_max(k)))
         return _let(longest, lambda k: F.when(
-            (k >= 1) & (n > k) & ~F.element_at(labels, -1).isin(*RESERVED_SUFFIXES), F.array_join(F.slice(labels, n - k, k + 1), ".")
+            (k >= 1) & (n > k) & ~F.element_at(labels, -1).isin(*RESERVED_SUFFIXES),
+            F.array_join(F.slice(labels, n - k, k + 1), ".")
         ))
 
     work = work.withColumn(out, _let(name, lambda a: F.when(ascii_label_ok(a), _let(F.split(a, r"\."), of_labels))))

@@ -52,7 +52,14 @@ def inclusion_impact(mart: DataFrame) -> DataFrame:
 
 def _pairs(mart: DataFrame, *extra: str) -> DataFrame:
     """One scan of the mart to a row per pair of sources."""
-    rows = F.array(*[F.struct(F.lit(a).alias("source_a"), F.lit(b).alias("source_b"), F.col(f"p_{a}").alias("pa"), F.col(f"p_{b}").alias("pb")) for a, b in PAIRS])
+    rows = F.array(
+        *[
+            F.struct(
+                F.lit(a).alias("source_a"), F.lit(b).alias("source_b"), F.col(f"p_{a}").alias("pa"), F.col(f"p_{b}").alias("pb")
+            )
+            for a, b in PAIRS
+        ]
+    )
     return mart.select(*extra, F.inline(rows))
 
 
@@ -64,7 +71,8 @@ def pairwise_overlap(mart: DataFrame) -> DataFrame:
     )
     both = F.col("overlap_domains")
     return counts.withColumns({
-        "jaccard_similarity": ratio(both, F.col("union_domains")), "pct_source_a_covered_by_b": ratio(both, F.col("source_a_domains")),
+        "jaccard_similarity": ratio(both, F.col("union_domains")),
+        "pct_source_a_covered_by_b": ratio(both, F.col("source_a_domains")),
         "pct_source_b_covered_by_a": ratio(both, F.col("source_b_domains")),
     }).orderBy(F.desc("overlap_domains"))
 
@@ -85,7 +93,9 @@ def _value_ranks(rows: DataFrame) -> DataFrame:
     counts = counts.withColumn("r", F.floor(F.col("value") * 1000))
     before = Window.partitionBy(*key, "r").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     along = Window.partitionBy(*key).orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
-    steps = counts.groupBy(*key, "r").agg(F.sum("c").alias("t")).select(*key, "r", F.coalesce(F.sum("t").over(along), F.lit(0)).alias("o"))
+    steps = counts.groupBy(*key, "r").agg(F.sum("c").alias("t")).select(
+        *key, "r", F.coalesce(F.sum("t").over(along), F.lit(0)).alias("o")
+    )
     placed = counts.withColumn("b", F.coalesce(F.sum("c").over(before), F.lit(0))).join(F.broadcast(steps), [*key, "r"])  # 20,000 steps at most
     return placed.select(*key, "value", (F.col("b") + F.col("o") + 1).cast("double").alias("rank"))
 
@@ -108,10 +118,13 @@ def pairwise_correlation(mart: DataFrame) -> DataFrame:
     ranks = _value_ranks(rows)
     ranked = rows
     for c in ("pa", "pb"):
-        ranked = ranked.join(ranks.where(F.col("side") == c).select(*key, F.col("value").alias(c), F.col("rank").alias(f"{c}_rank")), [*key, c])
+        ranked = ranked.join(
+            ranks.where(F.col("side") == c).select(*key, F.col("value").alias(c), F.col("rank").alias(f"{c}_rank")), [*key, c]
+        )
     n = F.col("n").cast("double")
     return ranked.groupBy(*key).agg(
-        F.sum("n").alias("overlap_domains"), F.round(weighted_corr(F.col("pa"), F.col("pb"), n), 6).alias("pearson_on_percentiles"),
+        F.sum("n").alias("overlap_domains"),
+        F.round(weighted_corr(F.col("pa"), F.col("pb"), n), 6).alias("pearson_on_percentiles"),
         F.round(weighted_corr(F.col("pa_rank"), F.col("pb_rank"), n), 6).alias("spearman_correlation"),
         F.round(F.sum(F.abs(F.col("pa") - F.col("pb")) * n) / F.sum(n), 6).alias("avg_abs_percentile_gap"),
     ).orderBy(F.desc("overlap_domains"))
@@ -120,7 +133,9 @@ def pairwise_correlation(mart: DataFrame) -> DataFrame:
 def source_scores() -> Column:
     """Array of (source_name, score) of the sources that know the domain."""
     return F.array_compact(F.array(*[
-        F.when(F.col(f"p_{s}").isNotNull(), F.struct(F.lit(s).alias("source_name"), F.col(f"p_{s}").alias("score"))) for s in SOURCES
+        F.when(
+            F.col(f"p_{s}").isNotNull(), F.struct(F.lit(s).alias("source_name"), F.col(f"p_{s}").alias("score"))
+        ) for s in SOURCES
     ]))
 
 
@@ -149,7 +164,8 @@ def agreement_distribution(mart: DataFrame) -> DataFrame:
     )
     return rows.groupBy("sources_count", agreement_bucket(F.col("spread")).alias("agreement_bucket")).agg(
         F.count(F.lit(1)).alias("domains"), F.round(F.avg("consensus_score"), 4).alias("avg_consensus_score"),
-        F.round(F.avg("spread"), 6).alias("avg_source_score_range"), F.round(F.avg("deviation"), 6).alias("avg_source_score_stddev"),
+        F.round(F.avg("spread"), 6).alias("avg_source_score_range"),
+        F.round(F.avg("deviation"), 6).alias("avg_source_score_stddev"),
     ).orderBy(F.desc("sources_count"), "avg_source_score_range")
 
 
@@ -158,28 +174,42 @@ def disagreement_outliers(mart: DataFrame) -> DataFrame:
     rows = mart.where("sources_count >= 2").withColumn("scores", source_scores())
     falling = F.array_sort(
         F.col("scores"),
-        lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).when(a["source_name"] < b["source_name"], -1).otherwise(1),
+        lambda a, b: F.when(a["score"] > b["score"], -1).when(a["score"] < b["score"], 1).when(
+            a["source_name"] < b["source_name"], -1
+        ).otherwise(1),
+    )
+    weakest = F.array_min(
+        F.transform("scores", lambda s: F.struct(s["score"].alias("score"), s["source_name"].alias("source_name")))
     )
-    weakest = F.array_min(F.transform("scores", lambda s: F.struct(s["score"].alias("score"), s["source_name"].alias("source_name"))))
     rows = rows.select("*", falling.alias("falling"), weakest.alias("weak"), _score_range().alias("spread"))
-    said = F.array_join(F.transform("falling", lambda s: F.concat(s["source_name"], F.lit(":"), F.format_string("%.4f", s["score"]))), ",")
+    said = F.array_join(
+        F.transform("falling", lambda s: F.concat(s["source_name"], F.lit(":"), F.format_string("%.4f", s["score"]))), ","
+    )
     return rows.select(
-        "registered_domain", "sources_count", F.col("falling")[0]["source_name"].alias("strongest_source"), F.col("weak.source_name").alias("weakest_source"),
-        said.alias("source_score_summary"), F.round("consensus_score", 4).alias("consensus_score"), F.round("spread", 6).alias("source_score_range"),
-        F.round(F.col("falling")[0]["score"], 6).alias("strongest_source_score"), F.round("weak.score", 6).alias("weakest_source_score"),
+        "registered_domain", "sources_count", F.col("falling")[0]["source_name"].alias("strongest_source"),
+        F.col("weak.source_name").alias("weakest_source"),
+        said.alias("source_score_summary"), F.round("consensus_score", 4).alias("consensus_score"),
+        F.round("spread", 6).alias("source_score_range"),
+        F.round(F.col("falling")[0]["score"], 6).alias("strongest_source_score"),
+        F.round("weak.score", 6).alias("weakest_source_score"),
     ).orderBy(F.desc("source_score_range"), F.col("consensus_score").desc_nulls_last())
 
 
 def jackknife_influence(mart: DataFrame) -> DataFrame:
     """How far the score moves when a source is left out; exact quantiles."""
     total = reduce(lambda a, b: a + b, [F.coalesce(F.col(f"p_{s}"), F.lit(0.0)) for s in SOURCES])
-    rows = mart.where("consensus_score is not null and sources_count >= 3").select("consensus_score", "sources_count", total.alias("total"), F.inline(source_scores()))
+    rows = mart.where("consensus_score is not null and sources_count >= 3").select(
+        "consensus_score", "sources_count", total.alias("total"), F.inline(source_scores())
+    )
     rows = rows.withColumn("without", (F.col("total") - F.col("score")) / (F.col("sources_count") - 1) * 100)
     rows = rows.withColumn("moved", F.abs(F.col("consensus_score") - F.col("without")))
     return rows.groupBy("source_name").agg(
-        F.count(F.lit(1)).alias("scored_domains"), F.round(safe_corr(F.col("consensus_score"), F.col("without")), 6).alias("full_vs_without_source_correlation"),
-        F.round(F.avg("moved"), 6).alias("avg_absolute_influence_points"), F.round(F.percentile("moved", 0.5), 6).alias("median_absolute_influence_points"),
-        F.round(F.percentile("moved", 0.95), 6).alias("p95_absolute_influence_points"), F.round(F.max("moved"), 6).alias("max_absolute_influence_points"),
+        F.count(F.lit(1)).alias("scored_domains"),
+        F.round(safe_corr(F.col("consensus_score"), F.col("without")), 6).alias("full_vs_without_source_correlation"),
+        F.round(F.avg("moved"), 6).alias("avg_absolute_influence_points"),
+        F.round(F.percentile("moved", 0.5), 6).alias("median_absolute_influence_points"),
+        F.round(F.percentile("moved", 0.95), 6).alias("p95_absolute_influence_points"),
+        F.round(F.max("moved"), 6).alias("max_absolute_influence_points"),
     ).orderBy(F.desc("avg_absolute_influence_points"))
 
 
@@ -189,47 +219,74 @@ def risk_source_overlap(feeds: dict[str, DataFrame]) -> DataFrame:
     flags = rows.groupBy("registered_domain").agg(*[F.bool_or(F.col("source_name") == s).alias(s) for s in RISK_SOURCES])
     count = reduce(lambda a, b: a + b, [F.col(s).cast("int") for s in RISK_SOURCES])
     metrics = [
-        *[F.when(F.col(s), F.struct(F.lit("source").alias("t"), F.lit(s).alias("n"), F.lit(1).alias("d"), F.lit(0).alias("u"))) for s in RISK_SOURCES],
-        F.struct(F.lit("risk_sources_count").alias("t"), count.cast("string").alias("n"), F.lit(1).alias("d"), F.lit(0).alias("u")),
         *[
-            F.struct(F.lit("pair").alias("t"), F.lit(f"{a}_{b}").alias("n"), (F.col(a) & F.col(b)).cast("int").alias("d"), (F.col(a) | F.col(b)).cast("int").alias("u"))
+            F.when(F.col(s), F.struct(F.lit("source").alias("t"), F.lit(s).alias("n"), F.lit(1).alias("d"), F.lit(0).alias("u")))
+            for s in RISK_SOURCES
+        ],
+        F.struct(
+            F.lit("risk_sources_count").alias("t"), count.cast("string").alias("n"), F.lit(1).alias("d"), F.lit(0).alias("u")
+        ),
+        *[
+            F.struct(
+                F.lit("pair").alias("t"), F.lit(f"{a}_{b}").alias("n"), (F.col(a) & F.col(b)).cast("int").alias("d"),
+                (F.col(a) | F.col(b)).cast("int").alias("u")
+            )
             for a, b in combinations(RISK_SOURCES, 2)
         ],
     ]
-    long = flags.select(F.inline(F.array_compact(F.array(*metrics)))).groupBy(F.col("t").alias("metric_type"), F.col("n").alias("metric_name"))
+    long = flags.select(F.inline(F.array_compact(F.array(*metrics)))).groupBy(
+        F.col("t").alias("metric_type"), F.col("n").alias("metric_name")
+    )
     sums = long.agg(F.sum("d").alias("domains"), F.sum("u").alias("u"))
     pair = F.col("metric_type") == "pair"
     return sums.select(
-        "metric_type", "metric_name", "domains", F.when(pair, F.col("u")).alias("union_domains"), F.when(pair, ratio(F.col("domains"), F.col("u"))).alias("jaccard_similarity"),
+        "metric_type", "metric_name", "domains", F.when(pair, F.col("u")).alias("union_domains"),
+        F.when(pair, ratio(F.col("domains"), F.col("u"))).alias("jaccard_similarity"),
     ).orderBy("metric_type", F.desc("domains"))
 
 
 def risk_mart_coverage(risk: DataFrame, mart: DataFrame) -> DataFrame:
     known = mart.select("registered_domain", "consensus_score", in_public_archive().alias("public"), F.lit(True).alias("ranked"))
-    rows = risk.join(known, "registered_domain", "left").withColumns({"ranked": F.coalesce("ranked", F.lit(False)), "public": F.coalesce("public", F.lit(False))})
+    rows = risk.join(known, "registered_domain", "left").withColumns(
+        {"ranked": F.coalesce("ranked", F.lit(False)), "public": F.coalesce("public", F.lit(False))}
+    )
     several = F.col("risk_sources_count") >= 2
     groups = rows.groupBy("risk_sources_count").agg(
-        F.count(F.lit(1)).alias("risk_domains"), F.count_if("ranked").alias("domains_in_ranking_mart"), F.count_if("public").alias("domains_in_public_archive"),
-        F.count_if(several & F.col("ranked")).alias("mart_domains_with_security_flag"), F.count_if(several & F.col("public")).alias("public_rows_with_security_flag"),
-        F.round(F.avg("consensus_score"), 4).alias("avg_consensus_score"), F.sum("threat_count").alias("threat_observations"), F.sum("observed_hosts_count").alias("observed_hosts"),
+        F.count(F.lit(1)).alias("risk_domains"), F.count_if("ranked").alias("domains_in_ranking_mart"),
+        F.count_if("public").alias("domains_in_public_archive"),
+        F.count_if(several & F.col("ranked")).alias("mart_domains_with_security_flag"),
+        F.count_if(several & F.col("public")).alias("public_rows_with_security_flag"),
+        F.round(F.avg("consensus_score"), 4).alias("avg_consensus_score"), F.sum("threat_count").alias("threat_observations"),
+        F.sum("observed_hosts_count").alias("observed_hosts"),
     )
     return groups.withColumns({
-        "pct_in_ranking_mart": ratio(F.col("domains_in_ranking_mart"), F.col("risk_domains")), "pct_in_public_archive": ratio(F.col("domains_in_public_archive"), F.col("risk_domains")),
+        "pct_in_ranking_mart": ratio(F.col("domains_in_ranking_mart"), F.col("risk_domains")),
+        "pct_in_public_archive": ratio(F.col("domains_in_public_archive"), F.col("risk_domains")),
     }).orderBy(F.desc("risk_sources_count"))
 
 
-def shared_platform_candidates(risk: DataFrame, mart: DataFrame, platforms: list[str], many_hosts: int = 10, many_observations: int = 20) -> DataFrame:
+def shared_platform_candidates(
+    risk: DataFrame, mart: DataFrame, platforms: list[str], many_hosts: int = 10, many_observations: int = 20
+) -> DataFrame:
     """Domains of several risk sources that may be platforms shared by strangers. ``platforms`` is a short list."""
-    ranked = mart.select("registered_domain", F.col("sources_count").alias("ranking_sources_count"), "coverage_tier", "consensus_score")
+    ranked = mart.select(
+        "registered_domain", F.col("sources_count").alias("ranking_sources_count"), "coverage_tier", "consensus_score"
+    )
     flags = {
-        "in_known_platform_seed": F.col("registered_domain").isin(platforms), "has_many_observed_hosts": F.col("observed_hosts_count") >= many_hosts,
+        "in_known_platform_seed": F.col("registered_domain").isin(platforms),
+        "has_many_observed_hosts": F.col("observed_hosts_count") >= many_hosts,
         "has_many_observations": F.col("threat_count") >= many_observations,
     }
-    reasons = {"in_known_platform_seed": "known_platform_seed", "has_many_observed_hosts": "many_observed_hosts", "has_many_observations": "many_observations"}
+    reasons = {
+        "in_known_platform_seed": "known_platform_seed", "has_many_observed_hosts": "many_observed_hosts",
+        "has_many_observations": "many_observations"
+    }
     rows = risk.where("risk_sources_count >= 2").withColumns(flags)
     rows = rows.where(reduce(lambda a, b: a | b, [F.col(c) for c in flags])).join(ranked, "registered_domain", "left")
     return rows.select(
-        "registered_domain", "risk_sources_count", "threat_types", "first_threat_seen", "last_threat_seen", "threat_count", "observed_hosts_count",
+        "registered_domain", "risk_sources_count", "threat_types", "first_threat_seen", "last_threat_seen", "threat_count",
+        "observed_hosts_count",
         "ranking_sources_count", "coverage_tier", "consensus_score", *flags,
         F.concat_ws(",", *[F.when(F.col(c), F.lit(said)) for c, said in reasons.items()]).alias("candidate_reasons"),
-    ).orderBy(F.desc("risk_sources_count"), F.desc("in_known_platform_seed"), F.desc("observed_hosts_count"), F.desc("threat_count"), "registered_domain")
+    ).orderBy(F.desc("risk_sources_count"), F.desc("in_known_platform_seed"), F.desc("observed_hosts_count"),
+    F.desc("threat_count"), "registered_domain")

@@ -11,12 +11,16 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 LOG_SCHEMA = T.StructType([
-    T.StructField("source", T.StringType(), False), T.StructField("update_started_at", T.TimestampType(), False), T.StructField("update_completed_at", T.TimestampType()),
-    T.StructField("status", T.StringType(), False), T.StructField("row_count", T.LongType()), T.StructField("age_days", T.LongType()),
+    T.StructField("source", T.StringType(), False), T.StructField("update_started_at", T.TimestampType(), False),
+    T.StructField("update_completed_at", T.TimestampType()),
+    T.StructField("status", T.StringType(), False), T.StructField("row_count", T.LongType()),
+    T.StructField("age_days", T.LongType()),
     T.StructField("source_metadata", T.StringType()), T.StructField("error_message", T.StringType()),
 ])
 #: Days for which the last good load of a source may stand in.
-STALE_TTL_DAYS = {"tranco": 30, "majestic": 30, "cloudflare": 30, "opr": 120, "crux": 75, "urlhaus": 15, "threatfox": 15, "phishtank": 15}
+STALE_TTL_DAYS = {
+    "tranco": 30, "majestic": 30, "cloudflare": 30, "opr": 120, "crux": 75, "urlhaus": 15, "threatfox": 15, "phishtank": 15
+}
 EXPECTED_BUCKETS = (1_000, 5_000, 10_000, 50_000, 100_000, 500_000, 1_000_000, 5_000_000, 10_000_000, 50_000_000)
 
 
@@ -28,14 +32,18 @@ def latest_updates(log: DataFrame, since: datetime.datetime | None = None) -> Da
     """The last completed update of each source (of equals the last started)."""
     rows = log if since is None else log.where(F.col("update_started_at") >= F.lit(since))
     newest = Window.partitionBy("source").orderBy(F.col("update_completed_at").desc_nulls_last(), F.desc("update_started_at"))
-    return rows.withColumn("_k", F.row_number().over(newest)).where("_k = 1").drop("_k").withColumn("status", load_status(F.col("status")))
+    return rows.withColumn("_k", F.row_number().over(newest)).where("_k = 1").drop("_k").withColumn(
+        "status", load_status(F.col("status"))
+    )
 
 
 def source_health(log: DataFrame, sources: list[str], since: datetime.datetime | None = None) -> DataFrame:
     """A row per expected source, ``not_logged`` where the log has none."""
     expected = log.sparkSession.range(1).select(F.explode(F.array(*[F.lit(s) for s in sources])).alias("source"))
     latest = latest_updates(log.where(F.col("source").isin(sources)), since)
-    rows = expected.join(latest, "source", "left").select("source", F.coalesce("status", F.lit("not_logged")).alias("status"), "row_count", "age_days", "error_message")
+    rows = expected.join(latest, "source", "left").select(
+        "source", F.coalesce("status", F.lit("not_logged")).alias("status"), "row_count", "age_days", "error_message"
+    )
     sick = F.col("status").isin("missing", "not_logged") | F.coalesce(F.col("row_count") == 0, F.lit(False))
     return rows.withColumn("unhealthy", sick).orderBy("source")
 
@@ -62,7 +70,10 @@ class Fallback:
     age_days: int | None
 
 
-def fall_back(source: str, loaded_rows: int | None, last_success: tuple[datetime.datetime, int | None] | None, table_exists: bool, now: datetime.datetime) -> Fallback:
+def fall_back(
+    source: str, loaded_rows: int | None, last_success: tuple[datetime.datetime, int | None] | None, table_exists: bool,
+    now: datetime.datetime
+) -> Fallback:
     """``loaded_rows`` is None where the load failed. A last success within its days stands in, else the source is missing."""
     if loaded_rows is not None:
         return Fallback(source, "fresh", loaded_rows, 0)
@@ -75,13 +86,20 @@ def fall_back(source: str, loaded_rows: int | None, last_success: tuple[datetime
 
 def fallback_states(log: DataFrame, now: Column) -> DataFrame:
     """The same decision for all sources at once: their latest update, or the last success before it."""
-    good = log.where(F.col("status") == "success").groupBy("source").agg(F.max_by(F.struct("update_completed_at", "row_count"), "update_completed_at").alias("g"))
-    rows = latest_updates(log).select("source", F.col("status").alias("latest"), F.col("row_count").alias("latest_rows")).join(good, "source", "left")
+    good = log.where(F.col("status") == "success").groupBy("source").agg(
+        F.max_by(F.struct("update_completed_at", "row_count"), "update_completed_at").alias("g")
+    )
+    rows = latest_updates(log).select(
+        "source", F.col("status").alias("latest"), F.col("row_count").alias("latest_rows")
+    ).join(good, "source", "left")
     days = F.floor((F.unix_timestamp(now) - F.unix_timestamp("g.update_completed_at")) / 86400)
     limit = F.coalesce(*[F.when(F.col("source") == s, d) for s, d in STALE_TTL_DAYS.items()])
     status = F.when(F.col("latest") == "fresh", "fresh").when(days <= limit, "stale").otherwise("missing")
     return rows.select(
-        "source", status.alias("status"), F.when(F.col("latest") == "fresh", F.col("latest_rows")).when(days <= limit, F.col("g.row_count")).otherwise(0).alias("row_count"),
+        "source", status.alias("status"),
+        F.when(
+            F.col("latest") == "fresh", F.col("latest_rows")
+        ).when(days <= limit, F.col("g.row_count")).otherwise(0).alias("row_count"),
         F.when(F.col("latest") == "fresh", 0).when(days <= limit, days).alias("age_days"),
     )
 
@@ -89,8 +107,13 @@ def fallback_states(log: DataFrame, now: Column) -> DataFrame:
 def rank_profile(origins: DataFrame, yyyymm: int, domain: Column) -> DataFrame:
     """One row over a month of the external table: rows, domains and its rank buckets."""
     rank = F.col("experimental.popularity.rank")
-    rows = origins.where((F.col("yyyymm") == yyyymm) & rank.isNotNull()).select(domain.alias("d"), rank.alias("r")).where("d is not null")
-    return rows.agg(F.count(F.lit(1)).alias("origin_rows"), F.count_distinct("d").alias("registered_domains"), F.array_sort(F.collect_set("r")).alias("buckets"))
+    rows = origins.where(
+        (F.col("yyyymm") == yyyymm) & rank.isNotNull()
+    ).select(domain.alias("d"), rank.alias("r")).where("d is not null")
+    return rows.agg(
+        F.count(F.lit(1)).alias("origin_rows"), F.count_distinct("d").alias("registered_domains"),
+        F.array_sort(F.collect_set("r")).alias("buckets")
+    )
 
 
 def has_field(schema: T.StructType, path: tuple[str, ...]) -> bool:

@@ -68,7 +68,10 @@ def coverage_tier(count: Column) -> Column:
     return F.when(count >= 5, "full").when(count == 4, "high").when(count == 3, "partial").otherwise("sparse")
 
 
-def consensus_mart(staged: dict[str, DataFrame], risk: DataFrame, snapshot_date: Column, distributed: bool | None = None, min_sources: int = MIN_SOURCES) -> DataFrame:
+def consensus_mart(
+    staged: dict[str, DataFrame], risk: DataFrame, snapshot_date: Column, distributed: bool | None = None,
+    min_sources: int = MIN_SOURCES
+) -> DataFrame:
     """Joins the scored sources over all their keys by one union and one aggregate, then adds the risk layer.
 
     Each source is unique by domain, so ``max`` picks its only value: the spine, its distinct and five joins cost one
@@ -79,18 +82,26 @@ def consensus_mart(staged: dict[str, DataFrame], risk: DataFrame, snapshot_date:
     columns = {s: (staged[s], SIGNALS[s].column) for s in SOURCES}
     edges = {} if distributed is False else quantile_edges(columns, one_task_rows=0 if distributed else None)
     scored = {s: scored_source(staged[s], s, edges.get(s, [])) for s in SOURCES}
-    columns = {c: f.dataType for df in scored.values() for c, f in ((f.name, f) for f in df.schema.fields) if c != "registered_domain"}
+    columns = {
+        c: f.dataType for df in scored.values() for c, f in ((f.name, f) for f in df.schema.fields) if c != "registered_domain"
+    }
     aligned = [
-        df.select("registered_domain", *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()])
+        df.select(
+            "registered_domain", *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in columns.items()]
+        )
         for df in scored.values()
     ]
     spine = reduce(DataFrame.unionByName, aligned).groupBy("registered_domain").agg(*[F.max(c).alias(c) for c in columns])
-    joined = spine.join(risk.select("registered_domain", "risk_sources_count", "threat_types", "last_threat_seen"), "registered_domain", "left")
+    joined = spine.join(
+        risk.select("registered_domain", "risk_sources_count", "threat_types", "last_threat_seen"), "registered_domain", "left"
+    )
     n = F.col("sources_count")
     flags = F.coalesce("risk_sources_count", F.lit(0).cast("long"))
     out = joined.withColumn("sources_count", sources_count()).withColumns({
-        "consensus_score": consensus_score(n, min_sources), "coverage_tier": coverage_tier(n), "ranking_sources_present": present_sources(),
-        "tld_category": F.lit(None).cast("string"), "is_spam_prone_tld": F.lit(None).cast("boolean"), "security_flags_observed": flags >= 2,
+        "consensus_score": consensus_score(n, min_sources), "coverage_tier": coverage_tier(n),
+        "ranking_sources_present": present_sources(),
+        "tld_category": F.lit(None).cast("string"), "is_spam_prone_tld": F.lit(None).cast("boolean"),
+        "security_flags_observed": flags >= 2,
         "risk_sources_count": flags, "threat_types": F.coalesce("threat_types", F.array().cast("array<string>")),
         "snapshot_date": snapshot_date, "methodology_version": F.lit(METHODOLOGY_VERSION),
     })
@@ -111,4 +122,6 @@ PUBLIC_COLUMNS = (
 def public_archive(mart: DataFrame) -> DataFrame:
     """Rows and columns that a release publishes, in its total order."""
     rows = mart.where(in_public_archive()).withColumn("threat_types", F.array_join("threat_types", "|")).select(*PUBLIC_COLUMNS)
-    return rows.orderBy(F.col("consensus_score").desc_nulls_last(), F.col("sources_count").desc(), F.col("registered_domain").asc())
+    return rows.orderBy(
+        F.col("consensus_score").desc_nulls_last(), F.col("sources_count").desc(), F.col("registered_domain").asc()
+    )

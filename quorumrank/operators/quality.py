@@ -39,19 +39,28 @@ FRESHNESS = {"ranking": (8, 14), "crux": (60, 90), "risk": (8, 15)}
 def freshness(df: DataFrame, loaded: str, now: Column, warn: int, error: int) -> DataFrame:
     """One row: the latest load, its age in days, and pass, warn or error; no rows are an error."""
     row = df.agg(F.max(loaded).alias("latest")).withColumn("age_days", F.datediff(now, "latest").cast("long"))
-    return row.withColumn("status", F.when(F.col("age_days").isNull() | (F.col("age_days") > error), "error").when(F.col("age_days") > warn, "warn").otherwise("pass"))
+    return row.withColumn(
+        "status",
+        F.when(
+            F.col("age_days").isNull() | (F.col("age_days") > error), "error"
+        ).when(F.col("age_days") > warn, "warn").otherwise("pass")
+    )
 
 
 def tier_inconsistent(mart: DataFrame, min_sources: int = MIN_SOURCES) -> DataFrame:
     sparse, scored = F.col("coverage_tier") == "sparse", F.col("consensus_score").isNotNull()
     enough = F.col("sources_count") >= min_sources
-    return mart.where((sparse & scored) | (~sparse & ~scored) | (~enough & ~sparse) | (enough & sparse)).select("registered_domain", "consensus_score", "coverage_tier", "sources_count")
+    return mart.where(
+        (sparse & scored) | (~sparse & ~scored) | (~enough & ~sparse) | (enough & sparse)
+    ).select("registered_domain", "consensus_score", "coverage_tier", "sources_count")
 
 
 def silent_sources(mart: DataFrame) -> DataFrame:
     """Sources that no row has."""
     counts = mart.agg(*[F.count(f"p_{s}").alias(s) for s in SOURCES])
-    return counts.select(F.inline(F.array(*[F.struct(F.lit(s).alias("source_name"), F.col(s).alias("populated_rows")) for s in SOURCES]))).where("populated_rows = 0")
+    return counts.select(
+        F.inline(F.array(*[F.struct(F.lit(s).alias("source_name"), F.col(s).alias("populated_rows")) for s in SOURCES]))
+    ).where("populated_rows = 0")
 
 
 def wrong_direction(mart: DataFrame) -> DataFrame:
@@ -63,7 +72,19 @@ def wrong_direction(mart: DataFrame) -> DataFrame:
         return [best.alias(f"{s}_best"), worst.alias(f"{s}_worst")]
 
     row = mart.agg(*reduce(lambda a, b: a + b, map(ends, SOURCES)))
-    rows = row.select(F.inline(F.array(*[F.struct(F.lit(s).alias("source_name"), F.col(f"{s}_best").alias("best_score"), F.col(f"{s}_worst").alias("worst_score")) for s in SOURCES])))
+    rows = row.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(s).alias("source_name"), F.col(f"{s}_best").alias("best_score"),
+                        F.col(f"{s}_worst").alias("worst_score")
+                    )
+                    for s in SOURCES
+                ]
+            )
+        )
+    )
     return rows.where("best_score <= worst_score")
 
 
@@ -72,7 +93,9 @@ def score_out_of_range(mart: DataFrame) -> DataFrame:
 
 
 def flag_without_sources(mart: DataFrame) -> DataFrame:
-    return mart.where(F.col("security_flags_observed") & (F.col("risk_sources_count") < 2)).select("registered_domain", "security_flags_observed", "risk_sources_count")
+    return mart.where(
+        F.col("security_flags_observed") & (F.col("risk_sources_count") < 2)
+    ).select("registered_domain", "security_flags_observed", "risk_sources_count")
 
 
 def several_snapshots(mart: DataFrame) -> DataFrame:
@@ -81,7 +104,9 @@ def several_snapshots(mart: DataFrame) -> DataFrame:
 
 def unscored_signals(mart: DataFrame) -> DataFrame:
     """Rows that have a source's value but not its percentile."""
-    flags = F.array_compact(F.array(*[F.when(F.col(SIGNALS[s].column).isNotNull() & F.col(f"p_{s}").isNull(), F.lit(s)) for s in SOURCES]))
+    flags = F.array_compact(
+        F.array(*[F.when(F.col(SIGNALS[s].column).isNotNull() & F.col(f"p_{s}").isNull(), F.lit(s)) for s in SOURCES])
+    )
     return mart.select("registered_domain", F.explode(flags).alias("source_name"))
 
 
@@ -96,7 +121,8 @@ def invalid_release(release: DataFrame, snapshot_date: Column, version: str) ->
     return release.agg(
         F.count_if(key.isNull()).alias("null_domains"), (F.count(key) - F.count_distinct(key)).alias("repeated_domains"),
         F.count_if(~F.col("consensus_score").between(0, 100)).alias("scores_out_of_range"),
-        F.count_if(~F.col("snapshot_date").eqNullSafe(snapshot_date)).alias("other_dates"), F.count_if(~F.col("methodology_version").eqNullSafe(F.lit(version))).alias("other_versions"),
+        F.count_if(~F.col("snapshot_date").eqNullSafe(snapshot_date)).alias("other_dates"),
+        F.count_if(~F.col("methodology_version").eqNullSafe(F.lit(version))).alias("other_versions"),
     )
 
 
@@ -104,8 +130,12 @@ def invalid_index(index: DataFrame) -> DataFrame:
     """One row of counts over a temporal index: what a publishable one has none of, and its rows."""
     key = F.col("registered_domain")
     return index.agg(
-        F.count(F.lit(1)).alias("rows"), F.count_if(key.isNull()).alias("null_domains"), (F.count(key) - F.count_distinct(key)).alias("repeated_domains"),
-        F.count_if(~F.col("reputation_score").between(0, 100) | ~F.col("score_candidate").between(0, 100)).alias("scores_out_of_range"),
+        F.count(F.lit(1)).alias("rows"), F.count_if(key.isNull()).alias("null_domains"),
+        (F.count(key) - F.count_distinct(key)).alias("repeated_domains"),
+        F.count_if(
+            ~F.col("reputation_score").between(0, 100) | ~F.col("score_candidate").between(0, 100)
+        ).alias("scores_out_of_range"),
         F.count_if(~F.col("reputation_confidence").between(0, 1)).alias("confidence_out_of_range"),
-        F.count_if(~F.col("reputation_trend").isin("rising", "falling", "stable", "uncertain")).alias("unknown_trends"), F.count_if(~F.col("structural_shock").isin("true", "false")).alias("unknown_shocks"),
+        F.count_if(~F.col("reputation_trend").isin("rising", "falling", "stable", "uncertain")).alias("unknown_trends"),
+        F.count_if(~F.col("structural_shock").isin("true", "false")).alias("unknown_shocks"),
     )

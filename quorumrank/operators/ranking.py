@@ -27,12 +27,16 @@ def percentile_window(value: str, direction: str = "asc") -> Column:
     return 1 - F.percent_rank().over(Window.orderBy(order))
 
 
-def quantile_edges(columns: dict[str, tuple[DataFrame, str]], ranges: int = RANGES, one_task_rows: int | None = None) -> dict[str, list[float]]:
+def quantile_edges(
+    columns: dict[str, tuple[DataFrame, str]], ranges: int = RANGES, one_task_rows: int | None = None
+) -> dict[str, list[float]]:
     """Range edges of several columns in one job, none for ``one_task_rows`` values or fewer; columns: name to (table, column)."""
     most = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
     parts = [df.select(F.lit(name).alias("name"), F.col(c).cast("double").alias("v")) for name, (df, c) in columns.items()]
     shares = [i / ranges for i in range(1, ranges)]
-    found = reduce(DataFrame.unionByName, parts).groupBy("name").agg(F.count("v").alias("n"), F.percentile_approx("v", shares, 20 * ranges).alias("e"))
+    found = reduce(DataFrame.unionByName, parts).groupBy("name").agg(
+        F.count("v").alias("n"), F.percentile_approx("v", shares, 20 * ranges).alias("e")
+    )
     return {name: [] for name in columns} | {r.name: sorted(set(r.e or [])) if r.n > most else [] for r in found.collect()}
 
 
@@ -44,10 +48,14 @@ def range_of(value: Column, edges: list[float], descending: bool = False) -> Col
         value, edges = -value, sorted(-e for e in edges)
     places = F.split(F.lit(",".join(map(repr, edges))), ",").cast("array<double>")
     steps = F.array(*[F.lit(1 << i) for i in reversed(range(len(edges).bit_length()))])
-    return F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= len(edges)) & (F.get(places, at + s - 1) < value), at + s).otherwise(at))
+    return F.aggregate(
+        steps, F.lit(0), lambda at, s: F.when((at + s <= len(edges)) & (F.get(places, at + s - 1) < value), at + s).otherwise(at)
+    )
 
 
-def value_ranks(df: DataFrame, value: str, direction: str = "asc", few: bool = False, ranges: int = RANGES, edges: list[float] | None = None) -> DataFrame:
+def value_ranks(
+    df: DataFrame, value: str, direction: str = "asc", few: bool = False, ranges: int = RANGES, edges: list[float] | None = None
+) -> DataFrame:
     """(value, below, n): rows with a better value than each distinct one, and all rows; nulls don't take part.
 
     ``few`` says that the values are a short fixed list (rank buckets), which need no ranges; ``edges`` are computed
@@ -63,12 +71,16 @@ def value_ranks(df: DataFrame, value: str, direction: str = "asc", few: bool = F
     before = Window.partitionBy("_r").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     totals = counts.groupBy("_r").agg(F.sum("_c").alias("_t"))  # one row for each range, RANGES at most
     along = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select("_r", F.coalesce(F.sum("_t").over(along), F.lit(0)).alias("_o"), F.sum("_t").over(Window.partitionBy()).alias("n"))
+    totals = totals.select(
+        "_r", F.coalesce(F.sum("_t").over(along), F.lit(0)).alias("_o"), F.sum("_t").over(Window.partitionBy()).alias("n")
+    )
     placed = counts.withColumn("_b", F.coalesce(F.sum("_c").over(before), F.lit(0))).join(F.broadcast(totals), "_r")
     return placed.select(value, (F.col("_o") + F.col("_b")).alias("below"), "n")
 
 
-def with_percentile(df: DataFrame, value: str, out: str, direction: str = "asc", few: bool = False, edges: list[float] | None = None) -> DataFrame:
+def with_percentile(
+    df: DataFrame, value: str, out: str, direction: str = "asc", few: bool = False, edges: list[float] | None = None
+) -> DataFrame:
     """``df`` without null values and with ``out`` = 1 - (rank - 1) / (n - 1), ties sharing the best; 1.0 for one row."""
     if edges is None and not few:
         edges = quantile_edges({"v": (df, value)})["v"]
@@ -87,7 +99,9 @@ def _placed(df: DataFrame, score: str, groups: Sequence[str], edges: list[float]
     return placed, totals.select(*groups, "_r", F.coalesce(F.sum("_t").over(along), F.lit(0)).alias("_o"))
 
 
-def with_ordinal_rank(df: DataFrame, score: str, ties: list[Column], out: str = "rank", ranges: int = RANGES, groups: Sequence[str] = ()) -> DataFrame:
+def with_ordinal_rank(
+    df: DataFrame, score: str, ties: list[Column], out: str = "rank", ranges: int = RANGES, groups: Sequence[str] = ()
+) -> DataFrame:
     """Adds 1, 2, 3... by falling score and then ``ties``, which must tell all rows apart, in each of a few groups.
 
     Null scores get none.

@@ -14,13 +14,18 @@ def _dates(raw: DataFrame) -> list:
 
 
 def stage_tranco(raw: DataFrame) -> DataFrame:
-    return raw.where("registered_domain is not null and tranco_rank is not null").groupBy("registered_domain").agg(F.min("tranco_rank").alias("tranco_rank"), *_dates(raw))
+    return raw.where(
+        "registered_domain is not null and tranco_rank is not null"
+    ).groupBy("registered_domain").agg(F.min("tranco_rank").alias("tranco_rank"), *_dates(raw))
 
 
 def stage_majestic(raw: DataFrame) -> DataFrame:
     return (
         raw.where("registered_domain is not null and ref_subnets is not null").groupBy("registered_domain")
-        .agg(F.max("ref_subnets").alias("majestic_ref_subnets"), F.sum("subdomains_seen").alias("majestic_subdomains_seen"), *_dates(raw))
+        .agg(
+            F.max("ref_subnets").alias("majestic_ref_subnets"), F.sum("subdomains_seen").alias("majestic_subdomains_seen"),
+            *_dates(raw)
+        )
     )
 
 
@@ -34,7 +39,9 @@ def stage_radar(raw: DataFrame) -> DataFrame:
 def stage_crux(raw: DataFrame, yyyymm: int, domain: str = "registered_domain") -> DataFrame:
     """Origins of one month to domains; the month filter prunes partitions where the table is partitioned by it."""
     rank = F.col("experimental.popularity.rank")
-    rows = raw.where((F.col("yyyymm") == yyyymm) & rank.isNotNull()).select(F.col(domain).alias("registered_domain"), "origin", "yyyymm", rank.alias("rank"))
+    rows = raw.where((F.col("yyyymm") == yyyymm) & rank.isNotNull()).select(
+        F.col(domain).alias("registered_domain"), "origin", "yyyymm", rank.alias("rank")
+    )
     return rows.where("registered_domain is not null").groupBy("registered_domain").agg(
         F.min("rank").alias("crux_rank_bucket"), F.count_distinct("origin").alias("crux_origins_seen"),
         F.to_date(F.max("yyyymm").cast("string"), "yyyyMM").alias("crux_snapshot_date"),
@@ -51,7 +58,9 @@ def stage_opr(raw: DataFrame) -> DataFrame:
 
 def stage_risk(raw: DataFrame) -> DataFrame:
     """One row per domain and threat type."""
-    return raw.dropna(subset=["registered_domain", "threat_type", "first_seen", "last_seen"]).groupBy("registered_domain", "threat_type").agg(
+    return raw.dropna(
+        subset=["registered_domain", "threat_type", "first_seen", "last_seen"]
+    ).groupBy("registered_domain", "threat_type").agg(
         F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
         F.sum("threat_count").alias("threat_count"), F.max("observed_hosts_count").alias("observed_hosts_count"), *_dates(raw),
     )
@@ -61,7 +70,8 @@ def risk_rollup(feeds: dict[str, DataFrame]) -> DataFrame:
     """One row per domain over all staged risk feeds."""
     rows = reduce(DataFrame.unionByName, [df.withColumn("source_name", F.lit(s)) for s, df in feeds.items()])
     return rows.where("registered_domain is not null").groupBy("registered_domain").agg(
-        F.count_distinct("source_name").alias("risk_sources_count"), F.array_sort(F.collect_set("threat_type")).alias("threat_types"),
+        F.count_distinct("source_name").alias("risk_sources_count"),
+        F.array_sort(F.collect_set("threat_type")).alias("threat_types"),
         F.min("first_seen").alias("first_threat_seen"), F.max("last_seen").alias("last_threat_seen"),
         F.sum("threat_count").alias("threat_count"), F.sum("observed_hosts_count").alias("observed_hosts_count"),
     )

@@ -70,8 +70,10 @@ def rolling(prefix: str, last: int, window: int) -> list[Stage]:
     y = {i: f"coalesce(s{i}, 0.0E0)" for i in slots}
     p = prefix
     sums = {
-        f"{p}n": _plus(seen.values()), f"{p}sx": _plus(f"{seen[i]} * {x[i]}E0" for i in slots), f"{p}sxx": _plus(f"{seen[i]} * {x[i] * x[i]}E0" for i in slots),
-        f"{p}sy": _plus(y.values()), f"{p}sxy": _plus(f"{y[i]} * {x[i]}E0" for i in slots), f"{p}syy": _plus(f"{y[i]} * {y[i]}" for i in slots),
+        f"{p}n": _plus(seen.values()), f"{p}sx": _plus(f"{seen[i]} * {x[i]}E0" for i in slots),
+        f"{p}sxx": _plus(f"{seen[i]} * {x[i] * x[i]}E0" for i in slots),
+        f"{p}sy": _plus(y.values()), f"{p}sxy": _plus(f"{y[i]} * {x[i]}E0" for i in slots),
+        f"{p}syy": _plus(f"{y[i]} * {y[i]}" for i in slots),
         f"{p}wy": _plus(f"{y[i]} * {w[i]!r}E0" for i in slots), f"{p}w": _plus(f"{seen[i]} * {w[i]!r}E0" for i in slots),
     }
     det = f"({p}n * {p}sxx - {p}sx * {p}sx)"
@@ -82,7 +84,8 @@ def rolling(prefix: str, last: int, window: int) -> list[Stage]:
     spread = {
         f"{p}res": f"case when {p}n > 2 then sqrt(greatest({error}, 0.0E0) / ({p}n - 2)) else 0.0E0 end",
         f"{p}cxx": f"case when {p}n > 0 then {p}sxx - {p}sx * {p}sx / {p}n else 0.0E0 end",
-        f"{p}ewma": f"case when {p}w > 0 then {p}wy / {p}w else 0.0E0 end", f"{p}mean": f"case when {p}n > 0 then {p}sy / {p}n else 0.0E0 end",
+        f"{p}ewma": f"case when {p}w > 0 then {p}wy / {p}w else 0.0E0 end",
+        f"{p}mean": f"case when {p}n > 0 then {p}sy / {p}n else 0.0E0 end",
         f"{p}fit": f"{a} + {b} * {window - 1}.0E0", f"{p}ok": f"({p}n >= {needed_observations(window)})",
         f"{p}clip": f"greatest(-{SLOPE_CLIP}E0, least({SLOPE_CLIP}E0, {b}))",
     }
@@ -93,7 +96,9 @@ def rolling(prefix: str, last: int, window: int) -> list[Stage]:
 
 
 def band_of(rank: str) -> str:
-    return "case " + " ".join(f"when {rank} <= {limit} then {k}" for k, limit in enumerate(BAND_LIMITS)) + f" else {len(BAND_LIMITS)} end"
+    return "case " + " ".join(
+        f"when {rank} <= {limit} then {k}" for k, limit in enumerate(BAND_LIMITS)
+    ) + f" else {len(BAND_LIMITS)} end"
 
 
 def cap_of(band: str) -> str:
@@ -111,15 +116,20 @@ def quality(last: int, prefix: str = "t_", window: int = HISTORY_WINDOW) -> list
     seen = [f"(case when s{i} is not null then 1.0E0 else 0.0E0 end)" for i in slots]
     counted = [f"(case when s{i} is not null then coalesce(c{i}, 0) else 0 end)" for i in slots]
     pairs = [f"(s{i} is not null and s{i + 1} is not null)" for i in slots[:-1]]
-    steady = [f"(case when s{i} is not null and s{i + 1} is not null and coalesce(m{i}, 0) = coalesce(m{i + 1}, 0) then 1.0E0 else 0.0E0 end)" for i in slots[:-1]]
+    steady = [
+        f"(case when s{i} is not null and s{i + 1} is not null and coalesce(m{i}, 0) = coalesce(m{i + 1}, 0) then 1.0E0 else 0.0E0 end)"
+        for i in slots[:-1]
+    ]
     return [
         {
-            "q_n": _plus(seen), "q_sources": _plus(counted), "q_pairs": _plus(f"(case when {p} then 1.0E0 else 0.0E0 end)" for p in pairs), "q_steady": _plus(steady),
+            "q_n": _plus(seen), "q_sources": _plus(counted),
+            "q_pairs": _plus(f"(case when {p} then 1.0E0 else 0.0E0 end)" for p in pairs), "q_steady": _plus(steady),
             "noise": f"case when {prefix}ok then 1.0E0 / (1.0E0 + {prefix}res / noise_scale) else 0.0E0 end",
             "shock": f"(s{last - 1} is not null and coalesce(m{last - 1}, 0) <> coalesce(m{last}, 0))",
         },
         {
-            "history_share": f"q_n / {window}.0E0", "coverage_share": f"case when q_n > 0 then q_sources / (q_n * {MAX_SOURCES}.0E0) else 0.0E0 end",
+            "history_share": f"q_n / {window}.0E0",
+            "coverage_share": f"case when q_n > 0 then q_sources / (q_n * {MAX_SOURCES}.0E0) else 0.0E0 end",
             "steady_share": "case when q_pairs > 0 then q_steady / q_pairs else 0.0E0 end",
         },
         {"confidence": "power(history_share * coverage_share * steady_share * noise, 0.25E0)"},
@@ -146,9 +156,12 @@ def index_stages(last: int) -> list[Stage]:
 
 #: Columns of the published index: name to expression.
 INDEX_COLUMNS: Stage = {
-    "registered_domain": "registered_domain", "reputation_score": "case when l_ok then l_ewma end", "reputation_confidence": "case when t_ok then confidence end",
-    "reputation_trend": "trend", "trend_strength": "case when t_ok then t_conf end", "history_observations": "cast(q_n as bigint)",
-    "structural_shock": "case when shock then 'true' else 'false' end", "score_candidate": "case when l_ok then candidate end", "observed_risk": "risk_state",
+    "registered_domain": "registered_domain", "reputation_score": "case when l_ok then l_ewma end",
+    "reputation_confidence": "case when t_ok then confidence end",
+    "reputation_trend": "trend", "trend_strength": "case when t_ok then t_conf end",
+    "history_observations": "cast(q_n as bigint)",
+    "structural_shock": "case when shock then 'true' else 'false' end", "score_candidate": "case when l_ok then candidate end",
+    "observed_risk": "risk_state",
 }
 
 
@@ -180,7 +193,10 @@ def with_band_scales(df: DataFrame, prefix: str, noise: bool = True, groups: Seq
 def components(hist: DataFrame, slots: int = HISTORY_WINDOW) -> DataFrame:
     """Every working column of the index for the last of ``slots`` slots."""
     last = slots - 1
-    df = apply(with_bands(hist, last), [*rolling("l_", last, LEVEL_WINDOW), *rolling("p_", last - 1, LEVEL_WINDOW), *rolling("t_", last, HISTORY_WINDOW)])
+    df = apply(
+        with_bands(hist, last),
+        [*rolling("l_", last, LEVEL_WINDOW), *rolling("p_", last - 1, LEVEL_WINDOW), *rolling("t_", last, HISTORY_WINDOW)]
+    )
     return apply(with_band_scales(df, "t_"), [adjusted("t_"), *quality(last), *index_stages(last)])
 
 
@@ -188,18 +204,22 @@ def temporal_index(hist: DataFrame, snapshot_date: F.Column, slots: int = HISTOR
     """The published index in its order: candidate, level, domain."""
     out = components(hist, slots).select(*[F.expr(text).alias(name) for name, text in INDEX_COLUMNS.items()])
     out = out.withColumns({"snapshot_date": snapshot_date, "index_methodology_version": F.lit(METHODOLOGY)})
-    return out.orderBy(F.col("score_candidate").desc_nulls_last(), F.col("reputation_score").desc_nulls_last(), "registered_domain")
+    return out.orderBy(
+        F.col("score_candidate").desc_nulls_last(), F.col("reputation_score").desc_nulls_last(), "registered_domain"
+    )
 
 
 def index_statistics(index: DataFrame) -> DataFrame:
     """One row: counts, and quantiles of candidate and confidence."""
     quantiles = [
         F.percentile(c, q).alias(f"{k}_p{int(q * 100):02d}")
-        for c, k in (("score_candidate", "candidate"), ("reputation_confidence", "confidence")) for q in (0.05, 0.25, 0.5, 0.75, 0.95)
+        for c,
+        k in (("score_candidate", "candidate"), ("reputation_confidence", "confidence")) for q in (0.05, 0.25, 0.5, 0.75, 0.95)
     ]
     return index.agg(
         F.count(F.lit(1)).alias("row_count"), F.count("score_candidate").alias("eligible_score_count"),
-        F.count_if(F.col("history_observations") == HISTORY_WINDOW).alias("full_history_count"), F.count_if(F.col("structural_shock") == "true").alias("structural_shock_count"), *quantiles,
+        F.count_if(F.col("history_observations") == HISTORY_WINDOW).alias("full_history_count"),
+        F.count_if(F.col("structural_shock") == "true").alias("structural_shock_count"), *quantiles,
     )
 
 
@@ -209,5 +229,6 @@ def band_summary(parts: DataFrame) -> DataFrame:
     return parts.groupBy("band").agg(
         F.count(F.lit(1)).alias("domains"), F.count_if("t_ok").alias("eligible"), F.max("noise_scale").alias("noise_scale"),
         F.percentile(F.when(F.col("t_ok"), F.col("confidence")), 0.5).alias("median_confidence"),
-        *[F.count_if(F.col("trend") == t).alias(t) for t in ("rising", "falling", "stable", "uncertain")], F.count_if("shock").alias("shocks"),
+        *[F.count_if(F.col("trend") == t).alias(t) for t in ("rising", "falling", "stable", "uncertain")],
+        F.count_if("shock").alias("shocks"),
     ).withColumn("rank_band", label)

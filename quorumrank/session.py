@@ -11,7 +11,9 @@ from pyspark.sql.types import StructType
 
 def session(app: str = "quorumrank", **conf: str) -> SparkSession:
     """A session with adaptive execution and UTC; further settings by keyword, dots written as double underscores."""
-    builder = SparkSession.builder.appName(app).config("spark.sql.adaptive.enabled", "true").config("spark.sql.session.timeZone", "UTC")
+    builder = SparkSession.builder.appName(app).config(
+        "spark.sql.adaptive.enabled", "true"
+    ).config("spark.sql.session.timeZone", "UTC")
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

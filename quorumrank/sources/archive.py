@@ -28,10 +28,14 @@ from ..operators.releases import parse_bool
 
 SNAPSHOT_TOLERANCE_DAYS = 1
 PUBLIC_SCHEMA = T.StructType([
-    T.StructField("registered_domain", T.StringType()), T.StructField("consensus_score", T.DoubleType()), T.StructField("coverage_tier", T.StringType()),
-    T.StructField("sources_count", T.IntegerType()), T.StructField("ranking_sources_present", T.StringType()), T.StructField("tld_category", T.StringType()),
-    T.StructField("is_spam_prone_tld", T.BooleanType()), T.StructField("security_flags_observed", T.BooleanType()), T.StructField("risk_sources_count", T.IntegerType()),
-    T.StructField("threat_types", T.StringType()), T.StructField("snapshot_date", T.DateType()), T.StructField("methodology_version", T.StringType()),
+    T.StructField("registered_domain", T.StringType()), T.StructField("consensus_score", T.DoubleType()),
+    T.StructField("coverage_tier", T.StringType()),
+    T.StructField("sources_count", T.IntegerType()), T.StructField("ranking_sources_present", T.StringType()),
+    T.StructField("tld_category", T.StringType()),
+    T.StructField("is_spam_prone_tld", T.BooleanType()), T.StructField("security_flags_observed", T.BooleanType()),
+    T.StructField("risk_sources_count", T.IntegerType()),
+    T.StructField("threat_types", T.StringType()), T.StructField("snapshot_date", T.DateType()),
+    T.StructField("methodology_version", T.StringType()),
 ])
 #: Archives of any name that ends in their date are read; this one is written.
 FILE_PREFIX = "domains"
@@ -86,7 +90,9 @@ def within_window(releases: Sequence[Release], window: int = 8) -> list[Release]
     return [r for r in ordered if r.tag in kept]
 
 
-def validate_history(releases: Sequence[Release], window: int = 8, needed: int = 6, recent: int = 4, recent_needed: int = 3) -> list[str]:
+def validate_history(
+    releases: Sequence[Release], window: int = 8, needed: int = 6, recent: int = 4, recent_needed: int = 3
+) -> list[str]:
     """The tags of the window's slots; raises unless the releases fill them well enough.
 
     ``needed`` of all weeks and ``recent_needed`` of the last ``recent`` must exist, every snapshot's date must lie in the
@@ -119,17 +125,21 @@ def check_rows(spark: SparkSession, releases: Sequence[Release]) -> None:
     """Raises unless the rows of every archive have a domain of their own, scores of 0 to 100 and its date and version."""
     parts = [
         read_release(spark, r.csv_path, ["registered_domain", "consensus_score", "snapshot_date", "methodology_version"])
-        .withColumns({"tag": F.lit(r.tag), "day": F.lit(r.snapshot_date), "version": F.lit(r.methodology_version)}) for r in releases
+        .withColumns(
+            {"tag": F.lit(r.tag), "day": F.lit(r.snapshot_date), "version": F.lit(r.methodology_version)}
+        ) for r in releases
     ]
     rows, score = reduce(DataFrame.unionByName, parts), F.col("consensus_score")
     keyed = rows.groupBy("tag", "registered_domain").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(score.isNotNull() & ~score.between(0, 100)).alias("scores"),
-        F.count_if(~F.col("snapshot_date").eqNullSafe(F.col("day"))).alias("days"), F.count_if(~F.col("methodology_version").eqNullSafe(F.col("version"))).alias("versions"),
+        F.count_if(~F.col("snapshot_date").eqNullSafe(F.col("day"))).alias("days"),
+        F.count_if(~F.col("methodology_version").eqNullSafe(F.col("version"))).alias("versions"),
     )
     counts = keyed.groupBy("tag").agg(
         F.sum(F.when(F.col("registered_domain").isNull(), F.col("n")).otherwise(0)).alias("rows without a domain"),
         F.count_if(F.col("registered_domain").isNotNull() & (F.col("n") > 1)).alias("repeated domains"),
-        F.sum("scores").alias("scores out of range"), F.sum("days").alias("rows of another date"), F.sum("versions").alias("rows of another version"),
+        F.sum("scores").alias("scores out of range"), F.sum("days").alias("rows of another date"),
+        F.sum("versions").alias("rows of another version"),
     )
     wrong = [f"{r.tag}: {v} {k}" for r in counts.orderBy("tag").collect() for k, v in r.asDict().items() if k != "tag" and v]  # a row for each release
     if wrong:
@@ -212,9 +222,14 @@ def write_deterministic_csv(df: DataFrame, path: str) -> int:
     return n
 
 
-def export_archive(archive: DataFrame, folder: str, tag: str, sources: dict[str, dict], created_at: datetime.datetime, prefix: str = FILE_PREFIX) -> Release:
+def export_archive(
+    archive: DataFrame, folder: str, tag: str, sources: dict[str, dict], created_at: datetime.datetime, prefix: str = FILE_PREFIX
+) -> Release:
     """Writes a release: the ordered archive and its lineage. Refuses no rows and several dates or versions."""
-    facts = archive.agg(F.count(F.lit(1)).alias("n"), F.collect_set("snapshot_date").alias("days"), F.collect_set("methodology_version").alias("versions")).first()
+    facts = archive.agg(
+        F.count(F.lit(1)).alias("n"), F.collect_set("snapshot_date").alias("days"),
+        F.collect_set("methodology_version").alias("versions")
+    ).first()
     if not facts.n or len(facts.days) != 1 or len(facts.versions) != 1:
         raise ValueError(f"not a release: {facts.n} rows, {len(facts.days)} dates, {len(facts.versions)} versions")
     day, version = facts.days[0], facts.versions[0]
@@ -223,14 +238,19 @@ def export_archive(archive: DataFrame, folder: str, tag: str, sources: dict[str,
     data, meta = target / f"{prefix}_{day}.csv.gz", target / f"meta_{day}.json"
     rows = write_deterministic_csv(archive, str(data))
     write_lineage(str(meta), {
-        "created_at": created_at.isoformat(), "snapshot_date": day.isoformat(), "methodology_version": version, "release": {"tag": tag}, "row_count": rows,
-        "public_columns": archive.columns, "sort_order": ["consensus_score desc nulls last", "sources_count desc", "registered_domain asc"],
+        "created_at": created_at.isoformat(), "snapshot_date": day.isoformat(), "methodology_version": version,
+        "release": {"tag": tag}, "row_count": rows,
+        "public_columns": archive.columns,
+        "sort_order": ["consensus_score desc nulls last", "sources_count desc", "registered_domain asc"],
         "inclusion": "consensus_score is not null or sources_count >= 2", "sources": sources, "sha256": sha256_file(str(data)),
     })
     return Release(tag, day, version, str(data), str(meta))
 
 
-def index_lineage(path: str, csv_path: str, releases: Sequence[Release], slots: Sequence[str], index: DataFrame, rows: int, bands: DataFrame, created_at: datetime.datetime) -> None:
+def index_lineage(
+    path: str, csv_path: str, releases: Sequence[Release], slots: Sequence[str], index: DataFrame, rows: int, bands: DataFrame,
+    created_at: datetime.datetime
+) -> None:
     """What a temporal index was made of and what it holds: its inputs with their digests, weeks that are missing, and statistics."""
     from ..operators import temporal as T
 
@@ -239,12 +259,16 @@ def index_lineage(path: str, csv_path: str, releases: Sequence[Release], slots:
 
     newest = releases[-1]
     write_lineage(path, {
-        "created_at": created_at.isoformat(), "status": "experimental", "snapshot_date": newest.snapshot_date, "index_methodology_version": T.METHODOLOGY,
-        "consensus_methodology_version": newest.methodology_version, "row_count": rows, "public_columns": index.columns, "release": {"tag": newest.tag, "prerelease": True},
+        "created_at": created_at.isoformat(), "status": "experimental", "snapshot_date": newest.snapshot_date,
+        "index_methodology_version": T.METHODOLOGY,
+        "consensus_methodology_version": newest.methodology_version, "row_count": rows, "public_columns": index.columns,
+        "release": {"tag": newest.tag, "prerelease": True},
         "sort_order": ["score_candidate desc nulls last", "reputation_score desc nulls last", "registered_domain asc"],
         "methodology": {
-            "history_window_weeks": T.HISTORY_WINDOW, "level_window_weeks": T.LEVEL_WINDOW, "minimum_history_share": T.MIN_HISTORY_SHARE, "trend_slope_clip": T.SLOPE_CLIP,
-            "trend_confirmation_standard_errors": T.KAPPA, "structural_shock_damping": T.SHOCK_DAMPING, "rank_band_labels": T.BAND_LABELS, "rank_band_trend_caps": T.BAND_CAPS,
+            "history_window_weeks": T.HISTORY_WINDOW, "level_window_weeks": T.LEVEL_WINDOW,
+            "minimum_history_share": T.MIN_HISTORY_SHARE, "trend_slope_clip": T.SLOPE_CLIP,
+            "trend_confirmation_standard_errors": T.KAPPA, "structural_shock_damping": T.SHOCK_DAMPING,
+            "rank_band_labels": T.BAND_LABELS, "rank_band_trend_caps": T.BAND_CAPS,
             "snapshot_date_tolerance_days": SNAPSHOT_TOLERANCE_DAYS, "missing_releases_preserve_calendar_slots": True,
         },
         "inputs": [
@@ -252,7 +276,9 @@ def index_lineage(path: str, csv_path: str, releases: Sequence[Release], slots:
              "metadata_asset": Path(r.meta_path).name, "metadata_sha256": sha256_file(r.meta_path)} for r in releases
         ],
         "history_calendar": {"release_tags": list(slots), "missing_release_tags": sorted(set(slots) - {r.tag for r in releases})},
-        "statistics": T.index_statistics(index).first().asDict() | {"trend_counts": counts("reputation_trend"), "risk_counts": counts("observed_risk")}
+        "statistics": T.index_statistics(index).first().asDict() | {
+            "trend_counts": counts("reputation_trend"), "risk_counts": counts("observed_risk")
+        }
         | {"rank_band_noise_scales": {r["rank_band"]: r["noise_scale"] for r in bands.collect()}},
         "files": {"csv": Path(csv_path).name, "csv_sha256": sha256_file(csv_path), "metadata": Path(path).name},
     })
@@ -265,7 +291,10 @@ def read_meta(release: Release) -> dict:
 def published_facts(releases: Sequence[Release]) -> tuple[int, list[str], list[tuple[str, str, str | None, int | None]]]:
     """(variants of the published columns, sources that weren't fresh, (tag, source, status, rows) of every source)."""
     metas = [(r.tag, read_meta(r)) for r in releases]
-    rows = [(tag, name, s.get("status"), s.get("row_count")) for tag, m in metas for name, s in sorted((m.get("sources") or {}).items())]
+    rows = [
+        (tag, name, s.get("status"), s.get("row_count"))
+        for tag, m in metas for name, s in sorted((m.get("sources") or {}).items())
+    ]
     stale = sorted({f"{name} in {tag}: {status}" for tag, name, status, _ in rows if status not in (None, "", "fresh")})
     return len({tuple(m.get("public_columns") or ()) for _, m in metas}), stale, rows
 

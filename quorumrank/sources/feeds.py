@@ -70,7 +70,9 @@ def read_commented(spark: SparkSession, path: str) -> DataFrame:
         raise ValueError(f"no header in {path}")
     names = [header_key(x) for x in header.line.lstrip("#").strip().split(",")]
     rows = lines.where(~F.col("line").startswith("#") & (F.col("line") != ""))
-    return rows.select(F.from_csv("line", F.lit(", ".join(f"{n} string" for n in names)), {"quote": '"', "escape": '"'}).alias("r")).select("r.*")
+    return rows.select(
+        F.from_csv("line", F.lit(", ".join(f"{n} string" for n in names)), {"quote": '"', "escape": '"'}).alias("r")
+    ).select("r.*")
 
 
 def read_threats(spark: SparkSession, path: str) -> DataFrame:
@@ -84,7 +86,9 @@ def read_threats(spark: SparkSession, path: str) -> DataFrame:
     known = lines.agg(F.min_by("line", "at").alias("first"), F.min("at").alias("at"), F.max(fields).alias("fields")).first()
     key = header_key(known.first) if known.first else ""
     named = "ioc" in key and "ioctype" in key
-    names = [header_key(x.strip().strip('"')) for x in known.first.split(",")] if named else [header_key(c) for c in THREAT_COLUMNS]
+    names = [
+        header_key(x.strip().strip('"')) for x in known.first.split(",")
+    ] if named else [header_key(c) for c in THREAT_COLUMNS]
     rows = lines.where(F.col("at") > known.at) if named else lines
     more = [f"_more{i}" for i in range(max(0, (known.fields or 0) - len(names)))]
     options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "true", "mode": "PERMISSIVE"}
@@ -95,7 +99,10 @@ def read_threats(spark: SparkSession, path: str) -> DataFrame:
 
 def first_of(df: DataFrame, candidates: Sequence[str]) -> Column:
     """The first non-blank of the columns that exist, by letters and digits of their names."""
-    known = [F.when(F.trim(F.col(f"`{c}`")) != "", F.col(f"`{c}`")) for k in candidates for c in df.columns if header_key(c) == header_key(k)]
+    known = [
+        F.when(F.trim(F.col(f"`{c}`")) != "", F.col(f"`{c}`"))
+        for k in candidates for c in df.columns if header_key(c) == header_key(k)
+    ]
     return F.coalesce(*known) if known else F.lit(None).cast("string")
 
 
@@ -104,7 +111,10 @@ def _ranked(df: DataFrame, domain: Column, value: Column, rules: Sequence[Suffix
     return with_registered_domain(rows, "_raw", "registered_domain", rules)
 
 
-def normalise_ranks(df: DataFrame, domain: Column, value: Column, name: str, best: str = "min", seen: tuple[str, str] | None = None, rules: Sequence[SuffixRule] = DEFAULT_RULES) -> DataFrame:
+def normalise_ranks(
+    df: DataFrame, domain: Column, value: Column, name: str, best: str = "min", seen: tuple[str, str] | None = None,
+    rules: Sequence[SuffixRule] = DEFAULT_RULES
+) -> DataFrame:
     """One row per registered domain with its best value; ``seen`` counts distinct raw values or names beside it.
 
     seen is (column name, "raw" or "value").
@@ -117,8 +127,13 @@ def normalise_ranks(df: DataFrame, domain: Column, value: Column, name: str, bes
 def rank_profile(df: DataFrame, domain: Column, value: Column, rules: Sequence[SuffixRule] = DEFAULT_RULES) -> DataFrame:
     """One row: rows that parse, distinct domains, and rows that repeat one."""
     rows = _ranked(df, domain, value, rules)
-    one = rows.agg(F.count(F.lit(1)).alias("row_count"), F.count("registered_domain").alias("_known"), F.count_distinct("registered_domain").alias("valid_row_count"))
-    return one.select("row_count", "valid_row_count", (F.col("_known") - F.col("valid_row_count")).alias("duplicate_registered_domains"))
+    one = rows.agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("registered_domain").alias("_known"),
+        F.count_distinct("registered_domain").alias("valid_row_count")
+    )
+    return one.select(
+        "row_count", "valid_row_count", (F.col("_known") - F.col("valid_row_count")).alias("duplicate_registered_domains")
+    )
 
 
 def normalise_tranco(df: DataFrame, rules: Sequence[SuffixRule] = DEFAULT_RULES) -> DataFrame:
@@ -127,24 +142,39 @@ def normalise_tranco(df: DataFrame, rules: Sequence[SuffixRule] = DEFAULT_RULES)
 
 
 def normalise_majestic(df: DataFrame, rules: Sequence[SuffixRule] = DEFAULT_RULES) -> DataFrame:
-    return normalise_ranks(df, first_of(df, ["Domain"]), lenient_int(first_of(df, ["RefSubNets", "ref_subnets"])), "ref_subnets", "max", ("subdomains_seen", "raw"), rules)
+    return normalise_ranks(
+        df, first_of(df, ["Domain"]), lenient_int(first_of(df, ["RefSubNets", "ref_subnets"])), "ref_subnets", "max",
+        ("subdomains_seen", "raw"), rules
+    )
 
 
 def normalise_radar(df: DataFrame, rules: Sequence[SuffixRule] = DEFAULT_RULES) -> DataFrame:
-    return normalise_ranks(df, first_of(df, ["domain"]), lenient_int(first_of(df, ["rank_bucket"])), "rank_bucket", "min", ("buckets_seen", "value"), rules)
+    return normalise_ranks(
+        df, first_of(df, ["domain"]), lenient_int(first_of(df, ["rank_bucket"])), "rank_bucket", "min", ("buckets_seen", "value"),
+        rules
+    )
 
 
 def normalise_openpagerank(df: DataFrame, rules: Sequence[SuffixRule] = DEFAULT_RULES) -> DataFrame:
     """Every row that has any of the three values; domains may repeat."""
     out = with_registered_domain(
         df.select(
-            first_of(df, ["domain"]).alias("_raw"), lenient_double(first_of(df, ["open page rank", "page rank value", "page_rank_decimal"])).alias("openpagerank_decimal"),
-            lenient_int(first_of(df, ["open page rank rounded", "page rank value rounded", "page_rank_integer"])).alias("openpagerank_integer"),
+            first_of(df, ["domain"]).alias("_raw"),
+            lenient_double(
+                first_of(df, ["open page rank", "page rank value", "page_rank_decimal"])
+            ).alias("openpagerank_decimal"),
+            lenient_int(
+                first_of(df, ["open page rank rounded", "page rank value rounded", "page_rank_integer"])
+            ).alias("openpagerank_integer"),
             lenient_int(first_of(df, ["rank", "global rank", "openpagerank_rank"])).alias("openpagerank_rank"),
         ), "_raw", "registered_domain", rules,
     )
-    known = F.coalesce(F.col("openpagerank_decimal"), F.col("openpagerank_integer").cast("double"), F.col("openpagerank_rank").cast("double")).isNotNull()
-    return out.where(F.col("registered_domain").isNotNull() & known).select("registered_domain", "openpagerank_decimal", "openpagerank_integer", "openpagerank_rank")
+    known = F.coalesce(
+        F.col("openpagerank_decimal"), F.col("openpagerank_integer").cast("double"), F.col("openpagerank_rank").cast("double")
+    ).isNotNull()
+    return out.where(F.col("registered_domain").isNotNull() & known).select(
+        "registered_domain", "openpagerank_decimal", "openpagerank_integer", "openpagerank_rank"
+    )
 
 
 def _observed(df: DataFrame, kind: str) -> DataFrame:
@@ -153,24 +183,34 @@ def _observed(df: DataFrame, kind: str) -> DataFrame:
         host, threat = url_host(first_of(df, ["url"])), F.coalesce(first_of(df, ["threat", "threat_type"]), F.lit("malware"))
         first, last = first_of(df, ["dateadded", "date_added", "first_seen"]), first_of(df, ["last_online", "last_seen"])
     elif kind == "threatfox":
-        ioc, sort = first_of(df, ["ioc", "ioc_value", "indicator", "value"]), F.lower(F.trim(first_of(df, ["ioc_type", "indicator_type", "type"])))
+        ioc, sort = first_of(df, ["ioc", "ioc_value", "indicator", "value"]), F.lower(
+            F.trim(first_of(df, ["ioc_type", "indicator_type", "type"]))
+        )
         host = F.when(sort == "url", url_host(ioc)).when(sort.isin("domain", "hostname"), F.trim(ioc))
         threat = F.coalesce(first_of(df, ["threat_type", "threat"]), F.lit("malware"))
-        first, last = first_of(df, ["first_seen", "first_seen_utc", "date_added", "dateadded"]), first_of(df, ["last_seen", "last_seen_utc"])
+        first, last = first_of(
+            df, ["first_seen", "first_seen_utc", "date_added", "dateadded"]
+        ), first_of(df, ["last_seen", "last_seen_utc"])
     elif kind == "phishtank":
         host, threat = url_host(first_of(df, ["url"])), F.lit("phishing")
         first, last = first_of(df, ["submission_time", "first_seen"]), first_of(df, ["verification_time", "last_seen"])
     else:
         raise ValueError(kind)
-    rows = df.select(host.alias("host"), F.lower(F.trim(threat)).alias("threat_type"), lenient_date(first).alias("first"), lenient_date(last).alias("last"))
+    rows = df.select(
+        host.alias("host"), F.lower(F.trim(threat)).alias("threat_type"), lenient_date(first).alias("first"),
+        lenient_date(last).alias("last")
+    )
     return rows.withColumn("last", F.coalesce("last", "first"))
 
 
 def normalise_risk(df: DataFrame, kind: str, rules: Sequence[SuffixRule] = DEFAULT_RULES) -> DataFrame:
     """One row per registered domain and threat type."""
-    rows = with_registered_domain(_observed(df, kind), "host", "registered_domain", rules).where("registered_domain is not null and first is not null")
+    rows = with_registered_domain(
+        _observed(df, kind), "host", "registered_domain", rules
+    ).where("registered_domain is not null and first is not null")
     return rows.groupBy("registered_domain", "threat_type").agg(
-        F.min("first").alias("first_seen"), F.max("last").alias("last_seen"), F.count(F.lit(1)).alias("threat_count"), F.count_distinct(F.lower("host")).alias("observed_hosts_count")
+        F.min("first").alias("first_seen"), F.max("last").alias("last_seen"), F.count(F.lit(1)).alias("threat_count"),
+        F.count_distinct(F.lower("host")).alias("observed_hosts_count")
     )
 
 
@@ -178,5 +218,12 @@ def risk_profile(df: DataFrame, kind: str, rules: Sequence[SuffixRule] = DEFAULT
     """One row: all rows, distinct keys, repeats of a key and rows left out."""
     rows = with_registered_domain(_observed(df, kind), "host", "registered_domain", rules)
     good = F.col("registered_domain").isNotNull() & F.col("first").isNotNull()
-    one = rows.agg(F.count(F.lit(1)).alias("row_count"), F.count_distinct(F.when(good, F.struct("registered_domain", "threat_type"))).alias("valid_row_count"), F.count_if(good).alias("_good"))
-    return one.select("row_count", "valid_row_count", (F.col("_good") - F.col("valid_row_count")).alias("duplicate_registered_domains"), (F.col("row_count") - F.col("_good")).alias("skipped_rows"))
+    one = rows.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct(F.when(good, F.struct("registered_domain", "threat_type"))).alias("valid_row_count"),
+        F.count_if(good).alias("_good")
+    )
+    return one.select(
+        "row_count", "valid_row_count", (F.col("_good") - F.col("valid_row_count")).alias("duplicate_registered_domains"),
+        (F.col("row_count") - F.col("_good")).alias("skipped_rows")
+    )

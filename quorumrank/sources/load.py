@@ -16,8 +16,10 @@ from . import archive
 _RISK = "threat_type string, first_seen date, last_seen date, threat_count long, observed_hosts_count long"
 #: Columns of a source's normalised rows after the domain.
 NORMALISED = {
-    "tranco": "tranco_rank long", "majestic": "ref_subnets long, subdomains_seen long", "cloudflare": "rank_bucket long, buckets_seen long",
-    "opr": "openpagerank_decimal double, openpagerank_integer long, openpagerank_rank long", "urlhaus": _RISK, "threatfox": _RISK, "phishtank": _RISK,
+    "tranco": "tranco_rank long", "majestic": "ref_subnets long, subdomains_seen long",
+    "cloudflare": "rank_bucket long, buckets_seen long",
+    "opr": "openpagerank_decimal double, openpagerank_integer long, openpagerank_rank long", "urlhaus": _RISK, "threatfox": _RISK,
+    "phishtank": _RISK,
 }
 
 

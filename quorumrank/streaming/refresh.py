@@ -11,7 +11,9 @@ from ..operators.health import LOG_SCHEMA, latest_updates
 def follow_updates(spark: SparkSession, incoming: str, log_path: str, checkpoint: str) -> StreamingQuery:
     """Appends newline-JSON log records that appear under ``incoming`` to the Parquet log, each file once, then stops."""
     rows = spark.readStream.schema(LOG_SCHEMA).json(incoming)
-    return rows.writeStream.format("parquet").option("path", log_path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    return rows.writeStream.format("parquet").option("path", log_path).option(
+        "checkpointLocation", checkpoint
+    ).trigger(availableNow=True).start()
 
 
 def current_status(spark: SparkSession, log_path: str) -> DataFrame:

@@ -11,8 +11,12 @@ DATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     s = (
-        SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC").config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "6g")
+        SparkSession.builder.master("local[8]").appName("tests").config(
+            "spark.sql.shuffle.partitions", "4"
+        ).config("spark.ui.enabled", "false")
+        .config("spark.sql.session.timeZone", "UTC").config(
+            "spark.ui.showConsoleProgress", "false"
+        ).config("spark.driver.memory", "6g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse"))).getOrCreate()
     )
     s.sparkContext.setLogLevel("ERROR")

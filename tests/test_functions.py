@@ -11,8 +11,10 @@ def one(spark, column, value, kind="string"):
 
 
 @pytest.mark.parametrize("raw, domain", [
-    ("www.Example.com", "example.com"), (" a.b.co.uk. ", "b.co.uk"), ("co.uk", None), ("com", None), ("localhost", None), ("x.internal", None), ("192.168.0.1", None), ("::1", None), ("", None), (None, None),
-    ("a" * 254 + ".com", None), ("bad\x01.com", None), ("foo.github.io", "github.io"), ("a.b.ck", "a.b.ck"), ("b.ck", None), ("www.ck", "www.ck"), ("x.www.ck", "www.ck"), ("x.city.kawasaki.jp", "city.kawasaki.jp"),
+    ("www.Example.com", "example.com"), (" a.b.co.uk. ", "b.co.uk"), ("co.uk", None), ("com", None), ("localhost", None),
+    ("x.internal", None), ("192.168.0.1", None), ("::1", None), ("", None), (None, None),
+    ("a" * 254 + ".com", None), ("bad\x01.com", None), ("foo.github.io", "github.io"), ("a.b.ck", "a.b.ck"), ("b.ck", None),
+    ("www.ck", "www.ck"), ("x.www.ck", "www.ck"), ("x.city.kawasaki.jp", "city.kawasaki.jp"),
     ("a.b.kawasaki.jp", "a.b.kawasaki.jp"), ("münchen.de", "xn--mnchen-3ya.de"), ("x.unknowntld", None), ("-a.com", None),
 ])
 def test_registered_domain(spark, raw, domain):
@@ -26,14 +28,17 @@ def test_private_suffixes(spark):
 
 
 @pytest.mark.parametrize("url, host", [
-    ("https://www.A.com/x?y#z", "www.a.com"), ("a.com/path", "a.com"), ("http://u:p@a.com:80/", "a.com"), ("  ", None), (None, None), ("http://x.onion/a", None), ("//a.com/b", "a.com"), ("http://a b.com/", None),
+    ("https://www.A.com/x?y#z", "www.a.com"), ("a.com/path", "a.com"), ("http://u:p@a.com:80/", "a.com"), ("  ", None),
+    (None, None), ("http://x.onion/a", None), ("//a.com/b", "a.com"), ("http://a b.com/", None),
 ])
 def test_url_host(spark, url, host):
     assert one(spark, domains.url_host, url) == host
 
 
 @pytest.mark.parametrize("text, day", [
-    ("2024-05-06", datetime.date(2024, 5, 6)), ("2024-05-06T10:00:00Z", datetime.date(2024, 5, 6)), ("2024-05-06 10:00:00 UTC", datetime.date(2024, 5, 6)), ("None", None), ("", None), ("null", None), ("x", None), ("2024-13-01", None),
+    ("2024-05-06", datetime.date(2024, 5, 6)), ("2024-05-06T10:00:00Z", datetime.date(2024, 5, 6)),
+    ("2024-05-06 10:00:00 UTC", datetime.date(2024, 5, 6)), ("None", None), ("", None), ("null", None), ("x", None),
+    ("2024-13-01", None),
 ])
 def test_lenient_date(spark, text, day):
     assert one(spark, values.lenient_date, text) == day
@@ -44,7 +49,9 @@ def test_lenient_int(spark, text, n):
     assert one(spark, values.lenient_int, text) == n
 
 
-@pytest.mark.parametrize("text, out", [('{"a":1}', '{"a":1}'), ("[1]", '{"raw":"[1]"}'), ("oops", '{"raw":"oops"}'), ("", None), (None, None)])
+@pytest.mark.parametrize(
+    "text, out", [('{"a":1}', '{"a":1}'), ("[1]", '{"raw":"[1]"}'), ("oops", '{"raw":"oops"}'), ("", None), (None, None)]
+)
 def test_lenient_json(spark, text, out):
     assert one(spark, values.lenient_json, text) == out
 
@@ -62,6 +69,8 @@ def test_weeks(spark):
 
 
 def test_formatting():
-    assert (values.fmt_int(1234567), values.fmt_float(None), values.fmt_pct(1, 4), values.fmt_pct(1, 0)) == ("1,234,567", "", "25.00%", "")
+    assert (
+        values.fmt_int(1234567), values.fmt_float(None), values.fmt_pct(1, 4), values.fmt_pct(1, 0)
+    ) == ("1,234,567", "", "25.00%", "")
     assert values.redact("key=abc", ["abc", ""]) == "key=<redacted>"
     assert values.header_key(" Open Page-Rank ") == "openpagerank"

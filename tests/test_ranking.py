@@ -25,7 +25,9 @@ def test_distributed_percentile_equals_window(spark, direction):
 
 @pytest.mark.usefixtures("one_task_rows")
 def test_one_row_and_all_ties_score_one(spark):
-    assert [r.p for r in ranking.with_percentile(spark.createDataFrame([(1, 5.0)], "id long, v double"), "v", "p").collect()] == [1.0]
+    assert [
+        r.p for r in ranking.with_percentile(spark.createDataFrame([(1, 5.0)], "id long, v double"), "v", "p").collect()
+    ] == [1.0]
     ties = spark.createDataFrame([(i, 5.0) for i in range(4)], "id long, v double")
     assert {r.p for r in ranking.with_percentile(ties, "v", "p", few=True).collect()} == {1.0}
     assert ranking.with_percentile(ties.limit(0), "v", "p").count() == 0

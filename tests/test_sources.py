@@ -30,15 +30,25 @@ def test_ranking_feeds(spark, tmp_path):
 
 
 def test_risk_feeds(spark, tmp_path):
-    (tmp_path / "u.csv").write_text('# note\n# id,dateadded,url,threat,last_online\n"1","2024-01-02 10:00:00","http://x.a.com/y","Malware","2024-01-05"\n"2","2024-01-01","http://y.a.com/","malware",""\n"3","bad","http://b.org/","",""\n')
+    (tmp_path / "u.csv").write_text(
+        '# note\n# id,dateadded,url,threat,last_online\n"1","2024-01-02 10:00:00","http://x.a.com/y","Malware","2024-01-05"\n"2","2024-01-01","http://y.a.com/","malware",""\n"3","bad","http://b.org/","",""\n'
+    )
     df = feeds.read_commented(spark, str(tmp_path / "u.csv"))
-    assert [tuple(r) for r in feeds.normalise_risk(df, "urlhaus").collect()] == [("a.com", "malware", datetime.date(2024, 1, 1), datetime.date(2024, 1, 5), 2, 2)]
+    assert [tuple(r) for r in feeds.normalise_risk(df, "urlhaus").collect()] == [
+        ("a.com", "malware", datetime.date(2024, 1, 1), datetime.date(2024, 1, 5), 2, 2)
+    ]
     assert tuple(feeds.risk_profile(df, "urlhaus").first()) == (3, 1, 1, 1)
-    (tmp_path / "t.csv").write_text('# preamble\n"2024-01-02", "1", "evil.a.com", "domain", "botnet_cc"\n"2024-01-03", "2", "http://b.org/x", "url", "payload"\n"2024-01-03", "3", "abc", "md5", "x"\n')
+    (tmp_path / "t.csv").write_text(
+        '# preamble\n"2024-01-02", "1", "evil.a.com", "domain", "botnet_cc"\n"2024-01-03", "2", "http://b.org/x", "url", "payload"\n"2024-01-03", "3", "abc", "md5", "x"\n'
+    )
     df = feeds.read_threats(spark, str(tmp_path / "t.csv"))
-    assert {(r.registered_domain, r.threat_type) for r in feeds.normalise_risk(df, "threatfox").collect()} == {("a.com", "botnet_cc"), ("b.org", "payload")}
+    assert {
+        (r.registered_domain, r.threat_type) for r in feeds.normalise_risk(df, "threatfox").collect()
+    } == {("a.com", "botnet_cc"), ("b.org", "payload")}
     assert feeds.risk_profile(df, "threatfox").first().row_count == 4
-    (tmp_path / "h.csv").write_text('ioc, ioc_type, first_seen\na.com, domain, 2024-01-02, more, "and, more"\nioc, ioc_type, first_seen\nb.org, domain, 2024-01-03\n')
+    (tmp_path / "h.csv").write_text(
+        'ioc, ioc_type, first_seen\na.com, domain, 2024-01-02, more, "and, more"\nioc, ioc_type, first_seen\nb.org, domain, 2024-01-03\n'
+    )
     rows = feeds.read_threats(spark, str(tmp_path / "h.csv")).collect()
     assert [(r.ioc, r._extra) for r in rows] == [("a.com", ["more", "and, more"]), ("ioc", []), ("b.org", [])]
     with gzip.open(tmp_path / "p.csv.gz", "wt") as f:
@@ -48,7 +58,13 @@ def test_risk_feeds(spark, tmp_path):
 
 
 def published(spark, day, shift=0.0):
-    rows = [(f"d{i}.com", 90.0 - i + shift if i < 8 else None, "full" if i < 8 else "sparse", 5 if i < 8 else 2, "tranco,opr", None, None, i == 0, 2 if i == 0 else 0, "a|b" if i == 0 else "", day, "v1") for i in range(10)]
+    rows = [
+        (
+            f"d{i}.com", 90.0 - i + shift if i < 8 else None, "full" if i < 8 else "sparse", 5 if i < 8 else 2, "tranco,opr",
+            None, None, i == 0, 2 if i == 0 else 0, "a|b" if i == 0 else "", day, "v1"
+        )
+        for i in range(10)
+    ]
     return spark.createDataFrame(rows, archive.PUBLIC_SCHEMA).coalesce(1)
 
 
@@ -73,12 +89,20 @@ def test_release_round_trip(spark, tmp_path):
 
 def test_rows_of_every_archive_are_checked(spark, tmp_path):
     now = datetime.datetime(2026, 7, 20, 12)
-    good = archive.export_archive(published(spark, datetime.date(2026, 7, 20)), str(tmp_path), "data-2026-W30", {}, now, prefix="some_name")
+    good = archive.export_archive(
+        published(spark, datetime.date(2026, 7, 20)), str(tmp_path), "data-2026-W30", {}, now, prefix="some_name"
+    )
     assert archive.discover(str(tmp_path)) == [good] and good.csv_path.endswith("some_name_2026-07-20.csv.gz")
     archive.check_rows(spark, [good])
-    other = archive.export_archive(published(spark, datetime.date(2026, 7, 13)).unionByName(published(spark, datetime.date(2026, 7, 13)).limit(2)), str(tmp_path), "data-2026-W29", {}, now)
+    other = archive.export_archive(
+        published(spark, datetime.date(2026, 7, 13)).unionByName(published(spark, datetime.date(2026, 7, 13)).limit(2)),
+        str(tmp_path), "data-2026-W29", {}, now
+    )
     wrong = archive.Release(other.tag, datetime.date(2026, 7, 14), "v2", other.csv_path, other.meta_path)
-    with pytest.raises(ValueError, match="data-2026-W29: 2 repeated domains; data-2026-W29: 12 rows of another date; data-2026-W29: 12 rows of another version"):
+    with pytest.raises(
+        ValueError,
+        match="data-2026-W29: 2 repeated domains; data-2026-W29: 12 rows of another date; data-2026-W29: 12 rows of another version"
+    ):
         archive.check_rows(spark, [wrong, good])
 
 
@@ -97,7 +121,11 @@ def test_history_validation():
     assert len(archive.validate_history(drifting)) == 8
     with pytest.raises(ValueError, match="2 of the last 4"):
         archive.validate_history([*good[:4], *good[6:]])
-    for bad in (good[3:], [*good[:6], rel(29, monday + datetime.timedelta(weeks=5, days=6)), good[7]], [*good[:3], rel(26, good[3].snapshot_date + datetime.timedelta(days=2)), *good[4:]], [*good[:-1], rel(30, good[-1].snapshot_date, "w")], []):
+    for bad in (
+        good[3:], [*good[:6], rel(29, monday + datetime.timedelta(weeks=5, days=6)), good[7]],
+        [*good[:3], rel(26, good[3].snapshot_date + datetime.timedelta(days=2)), *good[4:]],
+        [*good[:-1], rel(30, good[-1].snapshot_date, "w")], []
+    ):
         with pytest.raises(ValueError):
             archive.validate_history(bad)
 
@@ -105,11 +133,24 @@ def test_history_validation():
 def test_ingest_records_and_tables(spark, tmp_path):
     data = tmp_path / "rows.csv"
     data.write_text("x")
-    archive.write_ingest(str(tmp_path), archive.IngestRecord("tranco", "fresh", "2026-07-10", row_count=3, normalized_path=str(data)))
+    archive.write_ingest(
+        str(tmp_path), archive.IngestRecord("tranco", "fresh", "2026-07-10", row_count=3, normalized_path=str(data))
+    )
     assert archive.read_ingest(str(tmp_path), "tranco", "2026-07-10").row_count == 3
     assert archive.cached_ingest(str(tmp_path), "tranco", datetime.date(2026, 7, 20)).status == "stale"
     assert archive.cached_ingest(str(tmp_path), "tranco", datetime.date(2026, 8, 20)).status == "missing"
-    for day, text in (("2026-07-11", "no json"), ("2026-07-12", "[]"), ("2026-07-13", json.dumps({"source": "tranco", "status": "fresh", "snapshot_date": "2026-07-01", "downloaded_at": "2026-07-19T08:00:00", "row_count": 4, "normalized_path": str(data), "list_id": "x"}))):
+    for day, text in (
+        ("2026-07-11", "no json"), ("2026-07-12", "[]"),
+        (
+            "2026-07-13",
+            json.dumps(
+                {
+                    "source": "tranco", "status": "fresh", "snapshot_date": "2026-07-01", "downloaded_at": "2026-07-19T08:00:00",
+                    "row_count": 4, "normalized_path": str(data), "list_id": "x"
+                }
+            )
+        )
+    ):
         (tmp_path / "tranco" / day).mkdir()
         (tmp_path / "tranco" / day / "_meta.json").write_text(text)
     assert archive.cached_ingest(str(tmp_path), "tranco", datetime.date(2026, 7, 20)).row_count == 4
@@ -117,7 +158,9 @@ def test_ingest_records_and_tables(spark, tmp_path):
         assert archive.swap_table(spark.range(n).toDF("x"), str(tmp_path / "raw"), datetime.date(2026, 7, 20)) == n
     (tmp_path / "raw").rename(tmp_path / "raw__before")  # as after a crash between the two moves
     with pytest.raises(Exception, match="broken"):
-        archive.swap_table(spark.range(1).select(F.raise_error(F.lit("broken")).alias("x")), str(tmp_path / "raw"), datetime.date(2026, 7, 21))
+        archive.swap_table(
+            spark.range(1).select(F.raise_error(F.lit("broken")).alias("x")), str(tmp_path / "raw"), datetime.date(2026, 7, 21)
+        )
     assert spark.read.parquet(str(tmp_path / "raw")).count() == 5
     assert spark.read.parquet(str(tmp_path / "raw")).columns == ["x", "snapshot_date", "ingested_at"]
     assert archive.empty_table(spark, health.LOG_SCHEMA).count() == 0
@@ -143,7 +186,14 @@ def test_fallback_and_contract(spark, data):
 def test_streamed_log(spark, tmp_path):
     (tmp_path / "in").mkdir()
     def put(k, status):
-        (tmp_path / "in" / f"{k}.json").write_text(json.dumps({"source": "tranco", "update_started_at": f"2026-07-0{k}T00:00:00Z", "update_completed_at": f"2026-07-0{k}T01:00:00Z", "status": status, "row_count": k}))
+        (tmp_path / "in" / f"{k}.json").write_text(
+            json.dumps(
+                {
+                    "source": "tranco", "update_started_at": f"2026-07-0{k}T00:00:00Z",
+                    "update_completed_at": f"2026-07-0{k}T01:00:00Z", "status": status, "row_count": k
+                }
+            )
+        )
         refresh.follow_updates(spark, str(tmp_path / "in"), str(tmp_path / "log"), str(tmp_path / "cp")).awaitTermination()
     put(1, "success")
     put(2, "stale")
@@ -154,7 +204,9 @@ def test_streamed_log(spark, tmp_path):
 
 
 def test_release_reports(spark):
-    a, b = published(spark, datetime.date(2026, 7, 13)), published(spark, datetime.date(2026, 7, 20), 1.0).where("registered_domain <> 'd9.com'")
+    a, b = published(spark, datetime.date(2026, 7, 13)), published(
+        spark, datetime.date(2026, 7, 20), 1.0
+    ).where("registered_domain <> 'd9.com'")
     assert releases.set_difference(b, a).first().removed == 1
     assert releases.score_drift(releases.both(b, a)).first().mean_delta == 1.0
     assert releases.transitions(releases.both(b, a)).where("previous = 'full'").first().to_full == 8

@@ -29,7 +29,10 @@ def rolling(y, window):
     x, v = np.arange(window)[seen], y[seen]
     n = len(v)
     w = 0.5 ** ((window - 1 - x) / (2.0 if window == 4 else window / 2))
-    out = {"n": n, "ok": n >= max(3, math.ceil(0.75 * window)), "ewma": (w * v).sum() / w.sum() if n else 0.0, "slope": 0.0, "res": 0.0, "se": math.inf}
+    out = {
+        "n": n, "ok": n >= max(3, math.ceil(0.75 * window)), "ewma": (w * v).sum() / w.sum() if n else 0.0, "slope": 0.0,
+        "res": 0.0, "se": math.inf
+    }
     if n >= 2:
         slope, icept = np.polyfit(x, v, 1)
         out["slope"] = slope
@@ -41,7 +44,10 @@ def rolling(y, window):
 
 def expected(world):
     score, count, mask, risk = world
-    rank = {i: k + 1 for k, i in enumerate(sorted(range(DOMAINS), key=lambda i: (-score[i, -1], -count[i, -1], f"domain-{i:03d}.example")))}
+    rank = {
+        i: k + 1
+        for k, i in enumerate(sorted(range(DOMAINS), key=lambda i: (-score[i, -1], -count[i, -1], f"domain-{i:03d}.example")))
+    }
     band = {i: sum(rank[i] > limit for limit in T.BAND_LIMITS) for i in rank}
     trend = {i: rolling(score[i], 8) for i in rank}
     def confirmed(t):
@@ -72,7 +78,8 @@ def expected(world):
             now = risk[i, -1]
             state = "multi-source-observed" if now >= 2 else "single-source-observed" if now == 1 else "recent-history-only" if risk[i].max() else "none-observed"
             out[f"domain-{i:03d}.example"] = (
-                level["ewma"] if level["ok"] else None, sure if t["ok"] else None, label, conf[i] if t["ok"] else None, int(seen.sum()), str(shock).lower(), min(100, max(0, candidate)) if level["ok"] else None, state,
+                level["ewma"] if level["ok"] else None, sure if t["ok"] else None, label, conf[i] if t["ok"] else None,
+                int(seen.sum()), str(shock).lower(), min(100, max(0, candidate)) if level["ok"] else None, state,
             )
     return out
 
@@ -80,7 +87,10 @@ def expected(world):
 def frame(spark, world):
     score, count, mask, risk = world
     rows = [
-        (f"domain-{i:03d}.example", w, None if np.isnan(score[i, w]) else float(score[i, w]), int(count[i, w]), int(mask[i, w]), int(risk[i, w])) for i in range(DOMAINS) for w in range(WEEKS)
+        (
+            f"domain-{i:03d}.example", w, None if np.isnan(score[i, w]) else float(score[i, w]), int(count[i, w]),
+            int(mask[i, w]), int(risk[i, w])
+        ) for i in range(DOMAINS) for w in range(WEEKS)
     ]
     return spark.createDataFrame(rows, "registered_domain string, slot int, score double, sources int, mask int, risks int")
 
@@ -91,7 +101,10 @@ def test_index_equals_definition(spark, world):
     assert set(got) == set(want)
     for name, values in want.items():
         r = got[name]
-        found = (r.reputation_score, r.reputation_confidence, r.reputation_trend, r.trend_strength, r.history_observations, r.structural_shock, r.score_candidate, r.observed_risk)
+        found = (
+            r.reputation_score, r.reputation_confidence, r.reputation_trend, r.trend_strength, r.history_observations,
+            r.structural_shock, r.score_candidate, r.observed_risk
+        )
         for a, b in zip(found, values):
             assert a == pytest.approx(b, abs=1e-4) if isinstance(b, float) and a is not None else a == b, (name, found, values)
     order = [(-(x.score_candidate if x.score_candidate is not None else -1), x.registered_domain) for x in index.collect()]
@@ -105,6 +118,8 @@ def test_missing_week_and_empty_history(spark, world):
     assert T.temporal_index(T.history(rows.limit(0), WEEKS), F.current_date()).count() == 0
 
 
-@pytest.mark.parametrize("text, mask", [("tranco,opr", 17), ("majestic,radar,crux", 14), ("", 0), (None, 0), ("not-opr", 0), ("opr, opr", 16)])
+@pytest.mark.parametrize(
+    "text, mask", [("tranco,opr", 17), ("majestic,radar,crux", 14), ("", 0), (None, 0), ("not-opr", 0), ("opr, opr", 16)]
+)
 def test_source_mask(spark, text, mask):
     assert spark.createDataFrame([(text,)], "x string").select(T.source_mask("x").alias("m")).first().m == mask

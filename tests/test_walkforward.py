@@ -26,7 +26,10 @@ def window(y, size):
     y = y[-size:]
     seen = np.isfinite(y)
     x, v, n = np.arange(size)[seen].astype(float), y[seen], int(seen.sum())
-    out = {"n": n, "ok": n >= max(3, math.ceil(0.75 * size)), "slope": 0.0, "res": 0.0, "conf": 0.0, "ewma": 0.0, "mean": 0.0, "fit": 0.0}
+    out = {
+        "n": n, "ok": n >= max(3, math.ceil(0.75 * size)), "slope": 0.0, "res": 0.0, "conf": 0.0, "ewma": 0.0, "mean": 0.0,
+        "fit": 0.0
+    }
     if n:
         weight = 0.5 ** ((size - 1 - x) / (2.0 if size == 4 else size / 2))
         out |= {"ewma": (weight * v).sum() / weight.sum(), "mean": v.mean(), "fit": v.mean()}
@@ -55,7 +58,9 @@ def scaled(parts, band):
         scale = max(1.4826 * np.median(np.abs(conf - np.median(conf))), 0.05)
         noise = max(np.median([p["res"] for p in able]), 0.05)
         cap = (0.01, 0.03, 0.10, 0.30, 0.75)[b]
-        out |= {i: (cap * math.tanh(parts[i]["conf"] / scale) if parts[i]["ok"] else 0.0, noise, cap) for i in band if band[i] == b}
+        out |= {
+            i: (cap * math.tanh(parts[i]["conf"] / scale) if parts[i]["ok"] else 0.0, noise, cap) for i in band if band[i] == b
+        }
     return out
 
 
@@ -71,8 +76,10 @@ def meta(world, last):
             if p["ok"]:
                 a, e, f, r = adjust[i][0], p["ewma"], p["fit"], p["res"]
                 values = {
-                    "sma": p["mean"], "ewma": e, "trend": f, "trend-resid-0.5": f - 0.5 * r, "trend-resid-1.0": f - r, "trend-momentum-0.5": f + 0.5 * p["clip"],
-                    "trend-resid-0.5-momentum-0.5": f - 0.5 * r + 0.5 * p["clip"], "ewma-confirmed-0.1": e + 0.1 * p["conf"], "ewma-confirmed-0.25": e + 0.25 * p["conf"],
+                    "sma": p["mean"], "ewma": e, "trend": f, "trend-resid-0.5": f - 0.5 * r, "trend-resid-1.0": f - r,
+                    "trend-momentum-0.5": f + 0.5 * p["clip"],
+                    "trend-resid-0.5-momentum-0.5": f - 0.5 * r + 0.5 * p["clip"], "ewma-confirmed-0.1": e + 0.1 * p["conf"],
+                    "ewma-confirmed-0.25": e + 0.25 * p["conf"],
                     "ewma-scale-aware": e + a, "ewma-scale-aware-asymmetric": e + (1.5 * a if a < 0 else a),
                 }
                 for name, v in values.items():
@@ -103,7 +110,8 @@ def index(world, last):
             return before["ewma"] + share * (base - before["ewma"]) if shock and before["ok"] else base
 
         values = {
-            "raw": score[i, last], "level": base, "trend-gated": base + sure * a, "shock-gated": held + gated, "shock-damped-0.25": damped(0.25) + gated, "shock-damped-0.5": damped(0.5) + gated,
+            "raw": score[i, last], "level": base, "trend-gated": base + sure * a, "shock-gated": held + gated,
+            "shock-damped-0.25": damped(0.25) + gated, "shock-damped-0.5": damped(0.5) + gated,
             "conservative-0.5": held + gated - 0.5 * cap * (1 - sure), "conservative-1.0": held + gated - cap * (1 - sure),
         }
         for name, v in values.items():
@@ -113,7 +121,10 @@ def index(world, last):
 
 def evaluated(world, candidates):
     found = {last: candidates(world, last) for last in range(FIRST, SLOTS)}
-    top = {(name, last): [i for i, _ in sorted(v.items(), key=lambda x: (-x[1], x[0]))] for last, (values, _) in found.items() for name, v in values.items()}
+    top = {
+        (name, last): [i for i, _ in sorted(v.items(), key=lambda x: (-x[1], x[0]))]
+        for last, (values, _) in found.items() for name, v in values.items()
+    }
     out = {}
     for name in {n for n, _ in top}:
         def share(a, b, n):
@@ -142,9 +153,15 @@ def evaluated(world, candidates):
 def test_evaluation_equals_definition(spark, world, monkeypatch, kind, one_task_rows):
     monkeypatch.setattr(ranking, "ONE_TASK_ROWS", one_task_rows)
     score, count, mask = world
-    rows = [(f"d{i:03d}", w, None if np.isnan(score[i, w]) else float(score[i, w]), int(count[i, w]), int(mask[i, w]), 0) for i in range(DOMAINS) for w in range(SLOTS)]
+    rows = [
+        (f"d{i:03d}", w, None if np.isnan(score[i, w]) else float(score[i, w]), int(count[i, w]), int(mask[i, w]), 0)
+        for i in range(DOMAINS) for w in range(SLOTS)
+    ]
     rows = [r for r in rows if r[2] is not None]
-    hist = T.history(spark.createDataFrame(rows, "registered_domain string, slot int, score double, sources int, mask int, risks int"), SLOTS, latest_only=False)
+    hist = T.history(
+        spark.createDataFrame(rows, "registered_domain string, slot int, score double, sources int, mask int, risks int"), SLOTS,
+        latest_only=False
+    )
     values = (W.meta_candidates if kind == "meta" else W.index_candidates)(hist, SLOTS)
     got = {r["candidate"]: r.asDict() for r in W.evaluate(values, FIRST, SLOTS - 1, shocks=kind == "index").collect()}
     want = evaluated(world, meta if kind == "meta" else index)
