@@ -19,6 +19,8 @@ from pyspark.sql.window import Window
 RANGES = 256
 #: Rows that a window without ranges may hold.
 ONE_TASK_ROWS = 1_000_000
+#: A table that the optimiser takes for no larger isn't even counted.
+SMALL_BYTES = 32 << 20
 
 
 def percentile_window(value: str, direction: str = "asc") -> Column:
@@ -32,12 +34,21 @@ def quantile_edges(
 ) -> dict[str, list[float]]:
     """Range edges of several columns in one job, none for ``one_task_rows`` values or fewer; columns: name to (table, column)."""
     most = ONE_TASK_ROWS if one_task_rows is None else one_task_rows
-    parts = [df.select(F.lit(name).alias("name"), F.col(c).cast("double").alias("v")) for name, (df, c) in columns.items()]
+    known = {name: x for name, x in columns.items() if not most or _planned_bytes(x[0]) > SMALL_BYTES}
+    if not known:
+        return {name: [] for name in columns}
+    parts = [df.select(F.lit(name).alias("name"), F.col(c).cast("double").alias("v")) for name, (df, c) in known.items()]
     shares = [i / ranges for i in range(1, ranges)]
     found = reduce(DataFrame.unionByName, parts).groupBy("name").agg(
         F.count("v").alias("n"), F.percentile_approx("v", shares, 20 * ranges).alias("e")
     )
-    return {name: [] for name in columns} | {r.name: sorted(set(r.e or [])) if r.n > most else [] for r in found.collect()}
+    edges = {r.name: sorted(set(r.e or [])) if r.n > most else [] for r in found.collect()}
+    return {name: [] for name in columns} | edges
+
+
+def _planned_bytes(df: DataFrame) -> int:
+    """The optimiser's own estimate, without a job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def range_of(value: Column, edges: list[float], descending: bool = False) -> Column:
