@@ -84,7 +84,7 @@ class Packer:
         self.limits, self.cut, self.window = limits, cut, window
         self._caps = np.array([limits.tokens, limits.segments, limits.loss], dtype=float)
         self._waiting: list[Example] = []
-        self._needs = np.zeros((window + 1, 3))
+        self._needs, self._shares = np.zeros((3, window + 1)), np.zeros((3, window + 1))  # and as shares of the limits
         self._sequence = -1
         self._left = np.zeros(3, dtype=np.int64)
         self._capacity = 0
@@ -101,14 +101,16 @@ class Packer:
             yield from self._place()
 
     def _hold(self, e: Example) -> None:
-        self._needs[len(self._waiting)] = e.length, 1, e.loss_in(e.length)
+        at, needs = len(self._waiting), (e.length, 1, e.loss_in(e.length))
+        self._needs[:, at] = needs
+        self._shares[:, at] = needs / self._caps
         self._waiting.append(e)
 
     def _take(self, i: int) -> Example:
         last = len(self._waiting) - 1
         e = self._waiting[i]
         self._waiting[i] = self._waiting[last]
-        self._needs[i] = self._needs[last]
+        self._needs[:, i], self._shares[:, i] = self._needs[:, last], self._shares[:, last]
         self._waiting.pop()
         return e
 
@@ -118,7 +120,7 @@ class Packer:
         self._sequence += 1
         tokens = self.limits.tokens
         if self.cut:
-            lengths, most = self._needs[: len(self._waiting), 0], self.limits.segments
+            lengths, most = self._needs[0, : len(self._waiting)], self.limits.segments
             total = int((lengths if len(lengths) <= most else np.partition(lengths, -most)[-most:]).sum())
             if total < tokens:
                 tokens = 1 << (total.bit_length() - 1)
@@ -128,22 +130,24 @@ class Packer:
     def _place(self) -> Iterator[Placed]:
         if self._sequence < 0 or not self._left[0] or not self._left[1]:
             self._open()
-        needs = self._needs[: len(self._waiting)]
-        fits = (needs <= self._left).all(axis=1)
-        worth = (needs / self._caps) @ (self._left / self._caps)
+        lengths, _, losses = self._needs[:, : len(self._waiting)]  # each needs one segment, and one at least is left
+        fits = (lengths <= self._left[0]) & (losses <= self._left[2])
+        worth = (self._left / self._caps) @ self._shares[:, : len(self._waiting)]
         i = int(np.argmax(np.where(fits, worth, -1.0)))
         whole = bool(fits[i])
-        if whole and self.cut and needs[i, 0] * self._left[1] < self._left[0] and self._left[2] >= self._left[0]:
-            whole = not (needs[:, 0] > self._left[0]).any()  # else segments run out before tokens do
+        if whole and self.cut and lengths[i] * self._left[1] < self._left[0] and self._left[2] >= self._left[0]:
+            whole = not (lengths > self._left[0]).any()  # else segments run out before tokens do
         if whole:
             e = self._take(i)
             length = e.length
         elif self.cut:
-            lengths = np.array(
-                [e.longest(int(self._left[0]), int(self._left[2])) for e in self._waiting]
-            ) if self._left[2] < self._left[0] else None
-            i = int(np.argmax(worth)) if lengths is None else int(np.argmax(lengths))
-            length = int(self._left[0]) if lengths is None else int(lengths[i])
+            tokens, loss = int(self._left[0]), int(self._left[2])
+            if loss < tokens:
+                longest = [e.longest(tokens, loss) for e in self._waiting]
+                length = max(longest)
+                i = longest.index(length)
+            else:
+                i, length = int(np.argmax(worth)), tokens
             if not length:
                 self._left[0] = 0
                 return
