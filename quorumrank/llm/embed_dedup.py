@@ -25,7 +25,7 @@ from pyspark.sql.window import Window
 
 from .components import connected_components, forest
 from .ngram_join import by_key
-from .shared import forget, pick, stored
+from .shared import forget, pick, stored, tidy
 
 THRESHOLD = 0.93
 #: Vectors of a cell, and rows multiplied at once.
@@ -97,7 +97,7 @@ def principal_axes(rows: DataFrame, dims: int, dtype: type) -> np.ndarray:
     """Orthonormal axes of the unit vectors by falling second moment, over all rows and the first ROTATED_DIMS dimensions."""
     dims = min(dims, ROTATED_DIMS)
     sums = rows.select("key").mapInArrow(
-        _moments(dims, dtype), "at long, s double"
+        tidy(_moments(dims, dtype)), "at long, s double"
     ).groupBy("at").agg(F.sum("s").alias("s")).toArrow()
     moment = np.zeros(dims * dims)
     moment[sums.column("at").to_numpy()] = sums.column("s").to_numpy()
@@ -172,7 +172,7 @@ def _tile_links(axes: np.ndarray, threshold: float, dtype: type):
 def _tiled(tiles: DataFrame, axes: np.ndarray, threshold: float, dtype: type) -> DataFrame:
     """(a, b, links): links found by a tile, and a member of the component there."""
     return tiles.repartition("label", "tile").sortWithinPartitions("label", "tile").mapInArrow(
-        _tile_links(axes, threshold, dtype), "a long, b long, links long"
+        tidy(_tile_links(axes, threshold, dtype)), "a long, b long, links long"
     )
 
 
@@ -239,7 +239,7 @@ def _class_links(rows: DataFrame, dims: int, threshold: float, dtype: type) -> D
 
     rows = rows.select("label", "cls", "copies", "key")
     rows = stored(
-        rows.mapInArrow(placed, T.StructType([*rows.schema.fields, *[T.StructField(b, T.IntegerType()) for b in _BANDS]])),
+        rows.mapInArrow(tidy(placed), T.StructType([*rows.schema.fields, *[T.StructField(b, T.IntegerType()) for b in _BANDS]])),
         "placed"
     )
     grid, sides = _cells(rows, reach)
@@ -260,7 +260,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD) -> DataFra
     kind = vectors.schema["embedding"].dataType
     dtype = np.float32 if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType) else np.float64
     rows = pick(vectors, "vec_id", "embedding", "label").withColumn("label", F.col("label").cast("string"))
-    table = stored(rows.mapInArrow(_keys(dtype), "vec_id long, label string, dims int, d1 long, d2 long, key binary"), "vectors")
+    table = stored(rows.mapInArrow(tidy(_keys(dtype)), "vec_id long, label string, dims int, d1 long, d2 long, key binary"), "vectors")
     classes = table.where("key is not null").groupBy("label", "d1", "d2").agg(
         F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"), F.first("dims").alias("dims"),
         F.first("key").alias("key")

@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from .components import connected_components
-from .shared import forget, if_small, pick, row_chunks, stored
+from .shared import forget, if_small, pick, row_chunks, stored, tidy
 from .wordhash import mix, shingle_sets
 
 #: A pair links when NUM * intersection... : 100 * intersection >= 80 * union.
@@ -126,7 +126,7 @@ def _hot_in(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def hot_shingles(docs: DataFrame, keep: int = HOT_SHINGLES) -> np.ndarray:
     """The most frequent shingles of the corpus, rarest first. Only the order of the index depends on them."""
     found = (
-        docs.select("text").mapInArrow(_hot_in, "h long, c long")
+        docs.select("text").mapInArrow(tidy(_hot_in), "h long, c long")
         .groupBy("h").agg(F.sum("c").alias("c")).where("c >= 8")
         .orderBy(F.desc("c"), "h").limit(keep).select("h").toArrow()
     )
@@ -175,7 +175,7 @@ def shingle_table(docs: DataFrame, hot: np.ndarray) -> DataFrame:
                     ["doc_id", "n", "d1", "d2", "prefix", "rare", "bits"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(sets, _SET_SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(tidy(sets), _SET_SCHEMA)
 
 
 def by_key(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -334,7 +334,7 @@ def _met(rows: DataFrame, key: str, most: int) -> DataFrame:
 def _tiled(places: DataFrame, key: str, payload: str, act) -> DataFrame:
     """Edges found in the tiles of rows that carry their payload."""
     return places.repartition(F.col(key), F.col("block")).sortWithinPartitions(key, "block").mapInArrow(
-        _edges_of_tiles(key, payload, act), _EDGE_SCHEMA
+        tidy(_edges_of_tiles(key, payload, act)), _EDGE_SCHEMA
     )
 
 
@@ -396,11 +396,11 @@ def _whole_sets(docs: DataFrame, members: DataFrame, repeated: bool) -> DataFram
     )
     found = docs.join(
         if_small(stored(named, "named-members")), "doc_id"
-    ).select("g", "cls", "c1", "c2", "text").mapInArrow(_items, _ITEMS)
+    ).select("g", "cls", "c1", "c2", "text").mapInArrow(tidy(_items), _ITEMS)
     unnamed = members.where("rep is null").select("g", "cls", "d1", "d2")
     if not unnamed.isEmpty():
         none = [F.lit(None).cast("long").alias(c) for c in ("g", "cls", "c1", "c2")]
-        texts = docs.where("doc_id is null").select(*none, "text").mapInArrow(_items, _ITEMS).drop("g", "cls")
+        texts = docs.where("doc_id is null").select(*none, "text").mapInArrow(tidy(_items), _ITEMS).drop("g", "cls")
         found = found.unionByName(texts.join(unnamed, ["d1", "d2"]))
         repeated = True
     return found.dropDuplicates(["cls"]) if repeated else found
@@ -439,7 +439,7 @@ def _exact_links(docs: DataFrame, classes: DataFrame, groups: DataFrame, repeate
     ).join(classes.select("cls", "rep", "d1", "d2"), "cls")
     members = stored(members, "members")
     items = stored(_whole_sets(docs, members, repeated).withColumn("label", F.col("cls")), "items")
-    wide = stored(items.select("g", "cls", "n", "items").mapInArrow(_wide, "g long, cls long, n int, bits binary"), "wide")
+    wide = stored(items.select("g", "cls", "n", "items").mapInArrow(tidy(_wide), "g long, cls long, n int, bits binary"), "wide")
     wide = wide.withColumns({"label": F.col("cls"), "w": F.octet_length("bits") / 8 + F.lit(ROW_ELEMENTS)})
     nearer = stored(connected_components(_links_in_groups(wide, TILE_ELEMENTS, "bits", _bound_tile)), "groups")
     rows = items.drop("g").join(if_small(nearer.select(F.col("node").alias("cls"), F.col("component").alias("g"))), "cls")
@@ -573,7 +573,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
         kept = kept.join(repeated, "doc_id", "left_anti").select(*names).unionByName(again.select(*names))
     if not table.where("doc_id is null").isEmpty():
         schema = T.StructType([*rows.schema.fields, T.StructField("d1", T.LongType()), T.StructField("d2", T.LongType())])
-        without = rows.where("doc_id is null").mapInArrow(_digests, schema)
+        without = rows.where("doc_id is null").mapInArrow(tidy(_digests), schema)
         empty = without.where("d1 is null").select(*names)
         alone = named.where("component_id is null").select("d1", "d2", F.coalesce("component", "cls").alias("component"))
         one = without.join(alone, ["d1", "d2"]).groupBy("component").agg(F.first(F.struct(*names)).alias("row")).select("row.*")

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import pick, row_chunks
+from .shared import pick, row_chunks, tidy
 from .word_tokens import word_tokens
 
 SEQUENCE_TOKENS = 2048
@@ -203,7 +203,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, limits: Limits = Limits()) -
         out += [row(x) for x in packer.finish()]
         yield flush()
 
-    return pick(docs, "doc_id", "text").mapInArrow(act, _PIECES)
+    return pick(docs, "doc_id", "text").mapInArrow(tidy(act), _PIECES)
 
 
 _TURNS = "conv_id long, first_turn long, start long, length long, loss_tokens long, ids_crc32 long, sequence_id long, offset long"
@@ -268,4 +268,4 @@ def pack_conversations(
 
     order = ("conv_id", "turn", "role", "text")
     rows = pick(turns, *order)
-    return rows.repartitionByRange(*order[:2], F.xxhash64("role", "text")).sortWithinPartitions(*order).mapInArrow(act, _TURNS)
+    return rows.repartitionByRange(*order[:2], F.xxhash64("role", "text")).sortWithinPartitions(*order).mapInArrow(tidy(act), _TURNS)

@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import pick, row_chunks
+from .shared import pick, row_chunks, tidy
 from .word_tokens import Memory
 
 SPACE = "▁"
@@ -242,7 +242,7 @@ def encode(docs: DataFrame, model: str) -> DataFrame:
                     ["doc_id", "ids", "starts", "ends"],
                 )
 
-    return pick(docs, "doc_id", "text").mapInArrow(act, "doc_id long, ids array<int>, starts array<long>, ends array<long>")
+    return pick(docs, "doc_id", "text").mapInArrow(tidy(act), "doc_id long, ids array<int>, starts array<long>, ends array<long>")
 
 
 def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
@@ -258,7 +258,7 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
             texts = [c.processor.decode(i or []) for i in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
-    return pick(encoded, "doc_id", "ids").mapInArrow(act, "doc_id long, text string")
+    return pick(encoded, "doc_id", "ids").mapInArrow(tidy(act), "doc_id long, text string")
 
 
 def round_trip(docs: DataFrame, model: str) -> DataFrame:
@@ -286,5 +286,5 @@ def round_trip(docs: DataFrame, model: str) -> DataFrame:
             )
 
     return pick(docs, "doc_id", "text").mapInArrow(
-        act, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_crc32 long"
+        tidy(act), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string, spans_crc32 long"
     )

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import row_chunks
+from .shared import row_chunks, tidy
 
 #: The setting that holds the key.
 KEY_SETTING = "spark.quorumrank.pseudonym.key"
@@ -428,7 +428,7 @@ def pseudonymise(docs: DataFrame, key: bytes | None = None, undo: bool = False,
             yield pa.RecordBatch.from_arrays(columns, [*names, *extra])
 
     fields = [*docs.schema.fields, *[T.StructField(c, T.LongType()) for c in extra]]
-    return docs.mapInArrow(act, T.StructType(fields))
+    return docs.mapInArrow(tidy(act), T.StructType(fields))
 
 
 def pseudonymised_documents(docs: DataFrame, key: bytes | None = None) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -55,6 +57,20 @@ def if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if df.count() <= (BROADCAST_ROWS if rows is None else rows) else df
 
 
+def tidy(act: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``act``, after which a Python worker gives memory that it doesn't need back to the system: workers live on."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from act(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):  # where the C library has no such call
+                ctypes.CDLL(None).malloc_trim(0)
+
+    return run
+
+
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """Only the named columns, so further columns of the input, whatever their names, can't clash."""
     return df.select(*[df[f"`{n}`"] for n in names])

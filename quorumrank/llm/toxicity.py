@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import pick, row_chunks
+from .shared import pick, row_chunks, tidy
 from .wordhash import buffers, mix, non_letters, span_hashes, spans
 
 #: Bounds of the training sample: so many confirmed toxic and so many unlabelled documents, those of smallest hash.
@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, unla
     others = docs.where(fold_of() != 0).select("doc_id", F.lit(False).alias("positive"))
     others = others.orderBy(F.xxhash64("doc_id"), "doc_id").limit(unlabelled_rows)
     sample = docs.join(F.broadcast(toxic.unionByName(others).distinct()), "doc_id")  # toxic_rows + unlabelled_rows ids at most
-    table = sample.select("positive", "text").mapInArrow(_encode, "positive boolean, buckets binary").toArrow()
+    table = sample.select("positive", "text").mapInArrow(tidy(_encode), "positive boolean, buckets binary").toArrow()
     rows: dict[bool, list[np.ndarray]] = {True: [], False: []}
     for batch in table.to_batches():  # views of the table's own memory
         data, at = buffers(batch.column("buckets"))
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             values = np.concatenate(parts) if parts else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values, pa.float64())], [*names, "score"])
 
-    return docs.mapInArrow(scored, T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
+    return docs.mapInArrow(tidy(scored), T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ _powers: list[np.ndarray] = []
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of an odd base and of its inverse modulo 2**64, for n positions at least."""
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, (1 << 20) + 4096)
         inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
         tables = []
         for base in (_BASE, inverse):
