@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from quorumrank.llm import pii, toxicity
 from quorumrank.llm.queries import QUERIES
 
@@ -53,5 +54,18 @@ def test_stages_on_odd_and_no_rows(spark, data, odd_documents, no_documents):
             out.count()
 
 
+def test_a_cluster_without_a_key_gets_one_of_its_own(spark, data, odd_documents, monkeypatch):
+    """The third stage does its work there, hides by a key that isn't public, and the application can undo it."""
+    docs = odd_documents.withColumn("n_chars", odd_documents.score)
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://host:7077")
+    with pytest.warns(UserWarning, match=pii.KEY_SETTING):
+        out = corpus_pipeline.STAGES[2][1](spark, docs, data)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got == {r.doc_id: r.text for r in corpus_pipeline.STAGES[2][1](spark, docs, data).collect()}
+    assert got[9] not in (texts[9], pii.Pseudonymiser(pii.DEMO_KEY).text(texts[9])[0])
+    assert {r.doc_id: r.text for r in pii.pseudonymise(out, undo=True).collect()} == texts
+
+
 def test_every_operator_has_a_query():
     assert {re.match(r"op(\d+)_", q)[1] for q in QUERIES} == {str(n) for n in range(1, 11)}
