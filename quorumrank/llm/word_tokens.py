@@ -5,8 +5,7 @@ from __future__ import annotations
 import functools
 import os
 import re
-
-import numpy as np
+import struct
 
 #: Pieces of one generation of a Python worker's memory; two generations are held.
 CACHE_PIECES, CACHE_CHARS = 250_000, 40
@@ -16,6 +15,11 @@ _LETTERS = "a-zß-öø-ÿ"
 _PLAIN = re.compile("[\t-\r -~À-ÖØ-öø-ÿ]*")
 #: English endings, runs of letters, single digits, and runs of anything else that isn't white space.
 _PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\\s{_LETTERS}0-9]+")
+#: One such piece of a plain lower-cased text.
+_ONE = re.compile(f"[{_LETTERS}]+|[0-9]|'(?:[stmd]|re|ve|ll)|[!-/:-@[-`{{-~]+")
+#: How byte-level models write the bytes of what isn't ASCII: those without a visible Latin-1 character from 256 on.
+_UNSEEN = [b for b in range(256) if not (33 <= b <= 126 or 161 <= b <= 172 or b >= 174)]
+_WRITTEN = {c: "".join(chr(256 + _UNSEEN.index(b) if b in _UNSEEN else b) for b in chr(c).encode()) for c in range(128, 256)}
 
 
 class Memory(dict):
@@ -50,13 +54,33 @@ class WordTokens:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._special = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
-        self._pieces = Memory(self._ids)
+        self._model = self._tokenizer.model
+        self._pieces = Memory(self._by_model if self._model_agrees() else self._ids)
         probe = "Ab's  c12\n\nd. ÉtÉ*** e_ x'T don't, ''s *'s I'LL'd ß--1st"
         if self._text(probe) != self._ids(probe):
             raise ValueError("this tokenizer keeps white space or merges across pieces")
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes() if text else b""
+        ids = self._tokenizer.encode(text, add_special_tokens=False).ids if text else ()
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _by_model(self, piece: str) -> bytes:
+        """The ids of one piece, without the tokenizer's own normalising and dividing where the piece needs neither."""
+        if not _ONE.fullmatch(piece):
+            return self._ids(piece)
+        ids = [t.id for t in self._model.tokenize(piece if piece.isascii() else piece.translate(_WRITTEN))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _model_agrees(self) -> bool:
+        if any(_ONE.fullmatch(s) or s in "'re've'll" for s in self._special):
+            return False  # the model alone knows no special tokens; none of these may lie inside a piece
+        plain = [c for c in map(chr, range(33, 256)) if _PLAIN.fullmatch(c) and c == c.lower()]
+        probes = plain + [f"{a}{b}" for a in plain for b in ("a", "é", ".", a) if _ONE.fullmatch(f"{a}{b}")]
+        probes += ["'s", "'re", "information", "überprüfung", "élèves", "niño", "...", "!?", "=-=-", "q" * 300]
+        try:
+            return all(self._by_model(x) == self._ids(x) for x in probes)
+        except Exception:  # models without bytes may refuse a piece
+            return False
 
     def _text(self, text: str) -> bytes:
         look = self._pieces.__getitem__

@@ -16,7 +16,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from quorumrank.llm import context_tree, fingerprint, packing, piece_codec, pii, toxicity, wordhash
+from quorumrank.llm import context_tree, fingerprint, packing, piece_codec, pii, toxicity, word_tokens, wordhash
 
 PIECES, WORDS = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -506,6 +506,22 @@ def test_packing_keeps_every_id(documents, odd_documents, no_documents):
     assert packing.pack_documents(no_documents, WORDS).count() == 0
 
 
+def test_plain_pieces_go_to_the_model_at_once():
+    """With the same ids as the whole tokenizer's, which plain texts need no more; others still go through it."""
+    from tokenizers import Tokenizer
+
+    t, w, rng = Tokenizer.from_file(WORDS), word_tokens.WordTokens(WORDS), np.random.default_rng(8)
+    plain = [c for c in map(chr, range(256)) if word_tokens._PLAIN.fullmatch(c)]
+    texts = ["".join(rng.choice(plain, int(n))) for n in rng.integers(0, 400, 300)]
+    texts += ["".join(rng.choice(list("aeélßÄtsr'd. 1"), int(n))) for n in rng.integers(0, 400, 300)]
+    ids = lambda x: np.array(t.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+    odd = ["x\x00y \x1f", "été 日本語 naïve\u0301", "it's <|endoftext|> a", "\xa0a\x85b×2÷3ª", "İstanbul Straße ẞ", "a" * 5000]
+    assert w.encode(texts + odd + [None]) == [*map(ids, texts + odd), b""]
+    w = word_tokens.WordTokens(WORDS)
+    w._tokenizer = None
+    assert w.encode(texts) == [*map(ids, texts)]
+
+
 @pytest.mark.parametrize("shortest, longest", [(1, 1), (3, 3), (5, 5), (10, 10), (15, 15), (1, 40), (1, 4000)])
 def test_short_texts_are_packed_without_padding(shortest, longest):
     rng = np.random.default_rng(4)
